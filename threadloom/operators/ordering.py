@@ -15,10 +15,11 @@ from threadloom.session import broadcast_if_small, materialize
 SLICE_ROWS = 1_000_000
 
 
-def order_key(seed: int, *ids: Column | str) -> Column:
+def order_key(seed: int | Column, *ids: Column | str) -> Column:
     """Position of a row in the seeded order, as a hex string."""
     cols = [F.col(c) if isinstance(c, str) else c for c in ids]
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[c.cast("string") for c in cols]))
+    first = seed if isinstance(seed, Column) else F.lit(seed)
+    return F.md5(F.concat_ws("|", *[c.cast("string") for c in [first, *cols]]))
 
 
 def cut_keys(keyed: DataFrame, targets: dict[str, Column], weight: Column | None = None,
@@ -57,9 +58,10 @@ def cut_keys(keyed: DataFrame, targets: dict[str, Column], weight: Column | None
 
 def large_groups(df: DataFrame, keys: list[str], order: Column, slice_rows: int) -> DataFrame | None:
     """Groups above ``slice_rows`` with their order range, or None. Reads key columns only."""
+    numeric = order.cast("double")
     ranges = (
         df.groupBy(*keys)
-        .agg(F.count("*").alias("group_rows"), F.min(order).alias("lo"), F.max(order).alias("hi"))
+        .agg(F.count("*").alias("group_rows"), F.min(numeric).alias("lo"), F.max(numeric).alias("hi"))
         .where(F.col("group_rows") > slice_rows)
     )
     table = materialize(ranges, "large-groups")
@@ -68,16 +70,23 @@ def large_groups(df: DataFrame, keys: list[str], order: Column, slice_rows: int)
 
 def positions(df: DataFrame, keys: list[str], order: Column, ties: list[str], name: str,
               slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """1-based position of each row in its group by (order, ties), nulls last.
+    """1-based position of each row in its group by (order, ties), nulls last."""
+    large = large_groups(df, keys, order, slice_rows)
+    if large is None:
+        sequence = W.partitionBy(*keys).orderBy(order.asc_nulls_last(), *ties)
+        return df.withColumn(name, F.row_number().over(sequence))
+    return sliced_positions(df, keys, order, ties, name, large, slice_rows)
+
 
-    A group above ``slice_rows`` is cut into value slices of ``order``; every slice is numbered in
-    its own task and shifted by the sizes of the slices before it.
+def sliced_positions(df: DataFrame, keys: list[str], order: Column, ties: list[str], name: str,
+                     large: DataFrame, slice_rows: int) -> DataFrame:
+    """Positions when some groups are large.
+
+    A group in ``large`` is cut into value slices of ``order``; every slice is numbered in its own
+    task and shifted by the sizes of the slices before it.
     """
     numeric = order.cast("double")
     sequence = [order.asc_nulls_last(), *ties]
-    large = large_groups(df, keys, numeric, slice_rows)
-    if large is None:
-        return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*sequence)))
     # eight slices per slice_rows keep bursts of rows close in order apart
     slices = F.ceil(F.col("group_rows") / slice_rows) * 8
     width = F.greatest((F.col("hi") - F.col("lo")) / slices, F.lit(1e-9))

@@ -42,3 +42,10 @@ def raw_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalise(raw_tweets(spark, sf_dir))
+
+
+def turns(spark: SparkSession, sf_dir: str, agent: str = BRAND) -> DataFrame:
+    """Customer and agent turns in the shape the context operators take; system turns say nothing."""
+    role = F.when(F.col("role") == "user", "Customer").otherwise(agent)
+    return table(spark, sf_dir, "conversations").where(F.col("role").isin("user", "assistant")).select(
+        F.col("conv_id").alias("conversation_id"), F.col("turn").alias("position"), role.alias("role"), "text")

@@ -59,7 +59,7 @@ inter AS (
 )"""
 
 MESSAGES = PAIRS + """,
-both AS (
+sides AS (
   SELECT conversation_id, customer_tweet_id AS tweet_id, customer_author_id AS author_id, true AS inbound,
          customer_created_at AS created_at, customer_ts AS ts, customer_message AS text,
          customer_parent_id AS parent_id FROM pairs
@@ -68,7 +68,7 @@ both AS (
          customer_tweet_id FROM pairs
 ),
 messages AS (
-  SELECT *, row_number() OVER (PARTITION BY conversation_id ORDER BY ts, tweet_id) AS message_position FROM both
+  SELECT *, row_number() OVER (PARTITION BY conversation_id ORDER BY ts, tweet_id) AS message_position FROM sides
 )"""
 
 
@@ -177,3 +177,124 @@ _TURN_COUNTS = """count(*) AS total_convs, count(*) FILTER (n <= 2) AS two_turn_
 sql("turn_distribution", INTERACTIONS, f"""
 SELECT {_TURNS} FROM (
   SELECT {_TURN_COUNTS} FROM (SELECT conversation_id, count(*) AS n FROM inter GROUP BY conversation_id))""")
+
+# --- splits and golden set -----------------------------------------------------------------
+
+SPLIT = INTERACTIONS + """,
+ranked AS (
+  SELECT conversation_id, row_number() OVER (ORDER BY md5('42|' || conversation_id), conversation_id) AS rn,
+         count(*) OVER () AS n
+  FROM (SELECT DISTINCT conversation_id FROM inter)
+),
+convs AS (
+  SELECT conversation_id,
+         CASE WHEN rn <= floor(n * 0.70::DOUBLE) THEN 'train'
+              WHEN rn <= floor(n * 0.70::DOUBLE) + floor(n * 0.15::DOUBLE) THEN 'validation'
+              ELSE 'test' END AS split
+  FROM ranked
+),
+split_rows AS (SELECT i.*, c.split FROM inter i JOIN convs c USING (conversation_id))"""
+
+SUBSET = SPLIT + """,
+running AS (
+  SELECT conversation_id, split, n,
+         sum(n) OVER (PARTITION BY split ORDER BY
+           md5(CASE split WHEN 'train' THEN '43|' WHEN 'validation' THEN '44|' ELSE '45|' END || conversation_id)) AS upto
+  FROM (SELECT split, conversation_id, count(*) AS n FROM split_rows GROUP BY ALL)
+),
+subset_rows AS (
+  SELECT s.* FROM split_rows s JOIN running r USING (conversation_id)
+  WHERE r.upto - r.n < CASE r.split WHEN 'train' THEN 80 ELSE 15 END
+)"""
+
+CARVED = SPLIT + """,
+sampled AS (
+  SELECT conversation_id FROM split_rows WHERE split = 'test' GROUP BY conversation_id HAVING count(*) = 1
+  ORDER BY md5('42|' || conversation_id), conversation_id LIMIT 4
+),
+carved AS (
+  SELECT *, CASE WHEN conversation_id IN (SELECT conversation_id FROM sampled) THEN 'golden' ELSE 'pool' END AS part
+  FROM split_rows WHERE split = 'test'
+)"""
+
+
+def context_of(source: str) -> str:
+    line = "'Customer: ' || customer_message || chr(10) || 'Brand: ' || brand_response"
+    return f"""
+contexts AS (
+  SELECT *, 2 * pair_no - 1 AS message_position, pair_no > 1 AS is_multi_turn,
+         coalesce(array_to_string(earlier, chr(10)), '') AS conversation_context
+  FROM (
+    SELECT *, row_number() OVER w AS pair_no,
+           list({line}) OVER (PARTITION BY conversation_id ORDER BY customer_ts, brand_tweet_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier
+    FROM {source} WINDOW w AS (PARTITION BY conversation_id ORDER BY customer_ts, brand_tweet_id)
+  )
+)"""
+
+
+def overlap_sql(source: str, part: str, parts: list[str]) -> str:
+    from itertools import combinations
+
+    return " UNION ALL ".join(
+        f"SELECT '{key}' AS id, '{a}' AS left_part, '{b}' AS right_part, count(*) AS n FROM "
+        f"(SELECT DISTINCT {key} FROM {source} WHERE {part} = '{a}' INTERSECT "
+        f"SELECT DISTINCT {key} FROM {source} WHERE {part} = '{b}')"
+        for key in ("conversation_id", "interaction_id") for a, b in combinations(parts, 2))
+
+
+sql("conversation_split", SPLIT, "SELECT conversation_id, split FROM convs")
+sql("split_sample", SUBSET, "SELECT split, conversation_id, brand_tweet_id FROM subset_rows")
+sql("split_stats", SUBSET + """,
+scoped AS (
+  SELECT 'full' AS scope, split, conversation_id FROM split_rows
+  UNION ALL SELECT 'working', split, conversation_id FROM subset_rows
+)""", f"""
+SELECT scope, split, {_TURNS}, interactions FROM (
+  SELECT scope, split, {_TURN_COUNTS}, sum(n)::BIGINT AS interactions
+  FROM (SELECT scope, split, conversation_id, count(*) AS n FROM scoped GROUP BY ALL) GROUP BY scope, split)""")
+sql("split_overlap", SPLIT, overlap_sql("split_rows", "split", ["train", "validation", "test"]))
+sql("golden_carveout", CARVED, "SELECT conversation_id, brand_tweet_id, part FROM carved")
+sql("golden_template", CARVED + ", golden AS (SELECT * FROM carved WHERE part = 'golden')," + context_of("golden"), """
+SELECT format('GOLD_{:03d}', row_number() OVER (ORDER BY conversation_id, brand_tweet_id)) AS example_id,
+       conversation_id, interaction_id, conversation_context, customer_message, '' AS ground_truth_intent,
+       brand_response AS historical_reference_reply, is_multi_turn, message_position, '' AS risk_tier,
+       '' AS requires_human_escalation, '' AS escalation_reason, '' AS annotation_notes,
+       'phase4_v1' AS annotation_version
+FROM contexts""")
+_KEYS = "interaction_id, conversation_id, brand_tweet_id"
+sql("pool_reconstruction", CARVED, f"""
+SELECT (SELECT count(*) FROM (SELECT {_KEYS} FROM split_rows WHERE split = 'test'
+                              EXCEPT ALL SELECT {_KEYS} FROM carved)) AS missing,
+       (SELECT count(*) FROM (SELECT {_KEYS} FROM carved
+                              EXCEPT ALL SELECT {_KEYS} FROM split_rows WHERE split = 'test')) AS extra""")
+sql("golden_disjointness", CARVED + """,
+parts AS (
+  SELECT conversation_id, interaction_id, split AS part FROM split_rows WHERE split <> 'test'
+  UNION ALL SELECT conversation_id, interaction_id, part FROM carved
+)""", overlap_sql("parts", "part", ["train", "validation", "golden", "pool"]))
+sql("reply_integrity", INTERACTIONS, """
+SELECT count(*) AS violations FROM inter a
+WHERE NOT EXISTS (SELECT 1 FROM inter b WHERE a.interaction_id = b.interaction_id
+                  AND a.brand_response = b.brand_response)""")
+sql("preceding_context", INTERACTIONS + "," + context_of("inter"), """
+SELECT conversation_id, brand_tweet_id, message_position, is_multi_turn, conversation_context FROM contexts""")
+
+TURNS = """
+turns AS (
+  SELECT conv_id AS conversation_id, turn AS position, CASE role WHEN 'user' THEN 'Customer' ELSE 'Brand' END AS role,
+         text FROM conversations WHERE role IN ('user', 'assistant')
+)"""
+MEMORY = TURNS + f""",
+memory AS (
+  SELECT conversation_id, position, text,
+         CASE WHEN history IS NULL OR len(history) = 0 THEN {strip('text')}
+              ELSE 'Preceding Context:' || chr(10) || right(array_to_string(history, chr(10)), 2000)
+                   || chr(10) || chr(10) || 'Current Inquiry:' || chr(10) || {strip('text')} END AS context
+  FROM (
+    SELECT *, list(role || ': ' || {strip('text')}) OVER (PARTITION BY conversation_id ORDER BY position
+                                                      ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS history
+    FROM turns WHERE text <> ''
+  ) WHERE role = 'Customer'
+)"""
+sql("memory_context", MEMORY, "SELECT conversation_id, position, context FROM memory")

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadloom.operators import profile, threads
-from threadloom.plans.inputs import BRAND, table, tweets
+from threadloom.operators import context, profile, splits, threads
+from threadloom.plans.inputs import BRAND, table, turns, tweets
+from threadloom.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -92,3 +93,96 @@ def conversation_lengths(spark, sf):
 @query
 def turn_distribution(spark, sf):
     return profile.turn_distribution(threads.interactions(tweets(spark, sf), BRAND))
+
+
+# --- splits and golden set -----------------------------------------------------------------
+
+# Working subset targets for the driver tables, small enough to cut every split.
+TARGETS = {"train": 80, "validation": 15, "test": 15}
+GOLDEN_N, CALIBRATION_N = 4, 8
+
+
+def prepared(spark, sf):
+    """Clean interactions as a stored table, as the later stages read them more than once."""
+    return materialize(threads.interactions(tweets(spark, sf), BRAND), "interactions")
+
+
+def split_interactions(spark, sf):
+    return splits.split_conversations(prepared(spark, sf))
+
+
+def carved(spark, sf):
+    test = split_interactions(spark, sf).where("split = 'test'")
+    return materialize(splits.carve_out(test, GOLDEN_N), "carved")
+
+
+@query
+def conversation_split(spark, sf):
+    return split_interactions(spark, sf).select("conversation_id", "split").distinct()
+
+
+@query
+def split_sample(spark, sf):
+    return splits.sample_subsets(split_interactions(spark, sf), TARGETS).select(
+        "split", "conversation_id", "brand_tweet_id")
+
+
+@query
+def split_stats(spark, sf):
+    full = materialize(split_interactions(spark, sf), "split")
+    return splits.split_statistics(full, splits.sample_subsets(full, TARGETS))
+
+
+@query
+def split_overlap(spark, sf):
+    full = materialize(split_interactions(spark, sf), "split")
+    return splits.overlaps(full, "conversation_id", "split", splits.SPLITS).unionByName(
+        splits.overlaps(full, "interaction_id", "split", splits.SPLITS))
+
+
+@query
+def golden_carveout(spark, sf):
+    return carved(spark, sf).select("conversation_id", "brand_tweet_id", "part")
+
+
+@query
+def golden_template(spark, sf):
+    golden = carved(spark, sf).where("part = 'golden'")
+    return splits.annotation_template(context.preceding_context(golden, BRAND))
+
+
+@query
+def pool_reconstruction(spark, sf):
+    parts = carved(spark, sf)
+    test = split_interactions(spark, sf).where("split = 'test'")
+    keys = ["interaction_id", "conversation_id", "brand_tweet_id"]
+    return splits.reconstruction_violations(
+        [parts.where("part = 'golden'"), parts.where("part = 'pool'")], test, keys)
+
+
+@query
+def golden_disjointness(spark, sf):
+    full = materialize(split_interactions(spark, sf), "split")
+    parts = full.where("split <> 'test'").withColumnRenamed("split", "part").unionByName(
+        splits.carve_out(full.where("split = 'test'"), GOLDEN_N).drop("split"))
+    names = ["train", "validation", "golden", "pool"]
+    return splits.overlaps(parts, "conversation_id", "part", names).unionByName(
+        splits.overlaps(parts, "interaction_id", "part", names))
+
+
+@query
+def reply_integrity(spark, sf):
+    full = prepared(spark, sf)
+    template = splits.annotation_template(context.preceding_context(full, BRAND))
+    return splits.reply_violations(template, full).agg(F.count("*").alias("violations"))
+
+
+@query
+def preceding_context(spark, sf):
+    return context.preceding_context(prepared(spark, sf), BRAND).select(
+        "conversation_id", "brand_tweet_id", "message_position", "is_multi_turn", "conversation_context")
+
+
+@query
+def memory_context(spark, sf):
+    return context.memory_context(turns(spark, sf)).select("conversation_id", "position", "context")
