@@ -33,15 +33,6 @@ def word_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"({WORD})"), F.lit(1))
 
 
-def ngrams(tokens: Column, n: int) -> Column:
-    """Space-joined n-grams of a token array; empty when the array is shorter than n."""
-    if n == 1:
-        return tokens
-    starts = F.sequence(F.lit(1), F.size(tokens) - (n - 1))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
-    return F.when(F.size(tokens) >= n, grams).otherwise(F.array().cast("array<string>"))
-
-
 def bigrams(tokens: Column) -> Column:
     """Two-word n-grams by zipping the array with its own tail: linear in the text length."""
     size = F.size(tokens)
@@ -59,32 +50,3 @@ def contains_any(text: Column, words: list[str]) -> Column:
     for word in words:
         hit = hit | text.contains(word)
     return hit
-
-
-def multiset_overlap(left: Column, right: Column) -> Column:
-    """Size of the multiset intersection of two string arrays.
-
-    Both arrays are tagged with their side, sorted together and folded once, so a row costs
-    O(n log n) and no shuffle.
-    """
-    tagged = F.array_sort(
-        F.concat(
-            F.transform(left, lambda g: F.struct(g.alias("g"), F.lit(0).alias("s"))),
-            F.transform(right, lambda g: F.struct(g.alias("g"), F.lit(1).alias("s"))),
-        )
-    )
-    zero = F.struct(
-        F.lit("").alias("g"), F.lit(0).alias("l"), F.lit(0).alias("r"), F.lit(0).alias("t")
-    )
-
-    def step(acc: Column, x: Column) -> Column:
-        same = acc["g"] == x["g"]
-        is_left = x["s"] == 0
-        return F.struct(
-            x["g"].alias("g"),
-            (F.when(same, acc["l"]).otherwise(0) + F.when(is_left, 1).otherwise(0)).alias("l"),
-            (F.when(same, acc["r"]).otherwise(0) + F.when(is_left, 0).otherwise(1)).alias("r"),
-            (acc["t"] + F.when(same, 0).otherwise(F.least(acc["l"], acc["r"]))).alias("t"),
-        )
-
-    return F.aggregate(tagged, zero, step, lambda a: a["t"] + F.least(a["l"], a["r"]))

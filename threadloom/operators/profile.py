@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from threadloom.functions.numbers import round_even
 from threadloom.functions.text import is_blank
 from threadloom.operators.threads import BRAND, brand_replies, match_parents, one_row, rooted_pairs
 
@@ -123,7 +124,7 @@ def turn_distribution(inter: DataFrame, by: list[str] | None = None) -> DataFram
     )
 
     def pct(name: str):
-        share = F.round(F.try_divide(F.col(name) * 100.0, F.col("total_convs")), 2)
+        share = round_even(F.try_divide(F.col(name) * 100.0, F.col("total_convs")), 2)
         return F.coalesce(share, F.lit(0.0))
 
     return counts.select(

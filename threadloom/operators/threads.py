@@ -201,7 +201,7 @@ def one_row(*parts: DataFrame) -> DataFrame:
 
 def thread_messages(tweets: DataFrame, brand: str = BRAND, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Both messages of every pair, once per conversation, numbered by time and id."""
-    messages = thread_message_set(tweets, brand)
+    messages = materialize(thread_message_set(tweets, brand), "messages")
     return positions(messages, ["conversation_id"], F.unix_micros("ts"), ["tweet_id"],
                      "message_position", slice_rows)
 

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from dataclasses import replace
 
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from threadloom.operators import retrieval
+from threadloom.operators.replies import TEMPLATES, Template
+from threadloom.operators.rules import INTENTS, LABEL_RULES, Rule
+from threadloom.session import ship_package
 from threadloom.sources.tweets import normalise
 
 BRAND = "Brand"
@@ -11,6 +17,7 @@ BRAND = "Brand"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -49,3 +56,81 @@ def turns(spark: SparkSession, sf_dir: str, agent: str = BRAND) -> DataFrame:
     role = F.when(F.col("role") == "user", "Customer").otherwise(agent)
     return table(spark, sf_dir, "conversations").where(F.col("role").isin("user", "assistant")).select(
         F.col("conv_id").alias("conversation_id"), F.col("turn").alias("position"), role.alias("role"), "text")
+
+
+# Keywords that do occur in the invented text of the driver tables, one rule per intent.
+PROBE_WORDS = {
+    "account_security_access": ("whst",),
+    "package_missing_damaged": ("heed",),
+    "refund_return_processing": ("ción",),
+    "cancellation_modification": ("les",),
+    "payment_billing_issues": ("und", "ung"),
+    "order_tracking_delivery": ("with",),
+    "product_inquiry_availability": ("for",),
+}
+
+
+# Stop words of the phrase query: frequent words of the four languages.
+STOP_WORDS = ["de", "la", "en", "die", "der", "und", "the", "and", "of", "to", "in", "le", "el"]
+
+
+def probe_rules() -> list[Rule]:
+    by_intent = {rule.intent: rule for rule in LABEL_RULES}
+    return [replace(by_intent[i], words=words) for i, words in PROBE_WORDS.items()]
+
+
+def probe_templates() -> list[Template]:
+    words = [("whst", "heed"), ("ción", "les"), ("und", "ung")]
+    return [replace(template, words=w) for template, w in zip(TEMPLATES, words)]
+
+
+def vectors(spark: SparkSession, sf_dir: str, id_name: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias(id_name), F.col("embedding").alias("vector"), "label")
+
+
+def intent_of_label(label: Column) -> Column:
+    """The driver's labels 0-9 stand for the first ten intents."""
+    return F.element_at(F.array(*[F.lit(i) for i in INTENTS]), label + 1)
+
+
+def classified_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its true intent, the intent and similarity of its nearest other vector, and
+    a zero-shot confidence. Scores are stretched so that the threshold grid cuts through them."""
+    vecs = vectors(spark, sf_dir, "query_id")
+    corpus = vectors(spark, sf_dir, "corpus_id")
+    nearest = retrieval.knn_join(vecs, corpus, 1, exclude_same_id=True)
+    found = nearest.join(corpus.select("corpus_id", F.col("label").alias("found")), "corpus_id")
+    scored = retrieval.zero_shot(vecs, retrieval.class_means(vecs, "label"))
+    return scored.join(found.select("query_id", "found", "similarity"), "query_id").select(
+        "query_id", "label", F.col("found").alias("predicted_label"),
+        intent_of_label(F.col("label")).alias("true_intent"),
+        intent_of_label(F.col("found")).alias("predicted_intent"),
+        F.round(F.least(F.col("confidence") * 1.5, F.lit(1.0)), 6).alias("intent_confidence"),
+        F.round(F.col("similarity") * 1.5, 6).alias("retrieval_similarity"))
+
+
+def telemetry_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as decision telemetry: errors and purchases escalate."""
+    reason = F.when(F.col("event_type") == "error", "high_risk").when(
+        F.col("event_type") == "purchase", "sensitive_account_issue").otherwise("none")
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("interaction_id"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
+        F.when(F.col("event_type").isin("error", "purchase"), "ESCALATE").otherwise("AUTO").alias("decision"),
+        reason.alias("escalation_reason"),
+        F.col("event_type").alias("predicted_intent"),
+        F.least(F.lit(1.0), F.col("value") / 100).alias("intent_confidence"),
+        F.least(F.lit(1.0), F.col("value") / 200).alias("retrieval_similarity"),
+        (F.col("value") / 1000).alias("elapsed_seconds"),
+        (F.col("event_id") % 4).alias("evidence_count"))
+
+
+def turn_vectors(inter: DataFrame, spark: SparkSession, sf_dir: str, id_name: str) -> DataFrame:
+    """Interactions with the vector that stands for their customer message."""
+    vecs = vectors(spark, sf_dir, "vec_id")
+    size = vecs.select(F.count("*").alias("n")).scalar()
+    conv, turn = F.floor((F.col("customer_tweet_id") - 1) / 100), (F.col("customer_tweet_id") - 1) % 100
+    return inter.withColumn("vec_id", (conv * 8 + turn) % size).join(vecs, "vec_id").withColumn(
+        id_name, F.col("brand_tweet_id"))

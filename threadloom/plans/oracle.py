@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from threadloom.operators.replies import DEFAULT_REPLY
+from threadloom.operators.rules import INTENTS, LABEL_RULES, OTHER
+from threadloom.plans.inputs import STOP_WORDS, probe_rules, probe_templates
+
 SQL: dict[str, str] = {}
 
 SPACE = r"[\s\p{Z}\x{0B}\x{1C}-\x{1F}\x{85}]"
@@ -168,9 +172,9 @@ SELECT min(n) AS min_length, max(n) AS max_length, round(avg(n), 6) AS mean_leng
 FROM (SELECT conversation_id, count(*) AS n FROM messages GROUP BY conversation_id)""")
 
 _TURNS = """total_convs, two_turn_cnt, three_turn_cnt, four_plus_turn_cnt,
-       coalesce(round(two_turn_cnt * 100.0::DOUBLE / nullif(total_convs, 0), 2), 0) AS two_turn_pct,
-       coalesce(round(three_turn_cnt * 100.0::DOUBLE / nullif(total_convs, 0), 2), 0) AS three_turn_pct,
-       coalesce(round(four_plus_turn_cnt * 100.0::DOUBLE / nullif(total_convs, 0), 2), 0) AS four_plus_turn_pct"""
+       coalesce(round_even(two_turn_cnt * 100.0::DOUBLE / nullif(total_convs, 0), 2), 0) AS two_turn_pct,
+       coalesce(round_even(three_turn_cnt * 100.0::DOUBLE / nullif(total_convs, 0), 2), 0) AS three_turn_pct,
+       coalesce(round_even(four_plus_turn_cnt * 100.0::DOUBLE / nullif(total_convs, 0), 2), 0) AS four_plus_turn_pct"""
 _TURN_COUNTS = """count(*) AS total_convs, count(*) FILTER (n <= 2) AS two_turn_cnt,
        count(*) FILTER (n = 3) AS three_turn_cnt, count(*) FILTER (n >= 4) AS four_plus_turn_cnt"""
 
@@ -298,3 +302,513 @@ memory AS (
   ) WHERE role = 'Customer'
 )"""
 sql("memory_context", MEMORY, "SELECT conversation_id, position, context FROM memory")
+
+# --- labels and examples -------------------------------------------------------------------
+
+REASONS = ("high_risk", "ambiguous_request", "insufficient_context", "sensitive_account_issue",
+           "potential_policy_exception", "complex_unresolved_issue", "none")
+
+
+def quoted(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def any_of(text: str, words) -> str:
+    return "(" + " OR ".join(f"contains({text}, {quoted(w)})" for w in words) + ")"
+
+
+def first_rule(text: str, rules, field: str) -> str:
+    def literal(value):
+        return str(value).lower() if isinstance(value, bool) else quoted(value)
+
+    cases = " ".join(f"WHEN {any_of(text, r.words)} THEN {literal(getattr(r, field))}" for r in rules)
+    return f"CASE {cases} ELSE {literal(getattr(OTHER, field))} END"
+
+
+def labelled(source: str, text: str, rules) -> str:
+    return f"""
+labelled AS (
+  SELECT *, {first_rule('full_text', rules, 'intent')} AS intent, {first_rule('full_text', rules, 'risk')} AS risk_tier,
+         {first_rule('full_text', rules, 'escalate')} AS requires_human_escalation,
+         {first_rule('full_text', rules, 'reason')} AS escalation_reason,
+         {first_rule('full_text', rules, 'note')} AS annotation_notes
+  FROM (SELECT *, {text} AS full_text FROM {source})
+)"""
+
+
+HISTORY = TURNS + f""",
+remembered AS (
+  SELECT conversation_id, position, text, coalesce(array_to_string(history, chr(10)), '') AS history_text
+  FROM (
+    SELECT *, list(role || ': ' || {strip('text')}) OVER (PARTITION BY conversation_id ORDER BY position
+                                                      ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS history
+    FROM turns WHERE text <> ''
+  ) WHERE role = 'Customer'
+)"""
+PROBE = probe_rules()
+LABELLED_TURNS = HISTORY + "," + labelled("remembered", "lower(text) || ' ' || lower(history_text)", PROBE)
+
+sql("rule_labels", LABELLED_TURNS, """
+SELECT conversation_id, position, intent, risk_tier, requires_human_escalation, escalation_reason, annotation_notes
+FROM labelled""")
+sql("silver_labels", TURNS + "," + labelled("(SELECT * FROM turns WHERE role = 'Customer')", "lower(text) || ' '", LABEL_RULES),
+    "SELECT conversation_id, position, intent, risk_tier, escalation_reason FROM labelled")
+sql("label_violations", LABELLED_TURNS, f"""
+SELECT count(*) AS violations FROM labelled
+WHERE escalation_reason NOT IN ({', '.join(map(quoted, REASONS))})
+   OR (escalation_reason = 'none') = requires_human_escalation""")
+sql("label_distribution", LABELLED_TURNS, " UNION ALL ".join(
+    f"SELECT '{c}' AS label, {c}::VARCHAR AS value, count(*) AS n, "
+    f"round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM labelled), 6) AS pct FROM labelled GROUP BY {c}"
+    for c in ("intent", "requires_human_escalation", "escalation_reason")))
+sql("golden_profile", INTERACTIONS + "," + context_of("inter") + ","
+    + labelled("contexts", "lower(customer_message) || ' ' || lower(conversation_context)", PROBE), """
+SELECT intent, risk_tier, count(*) AS n, count(*) FILTER (is_multi_turn) AS multi_turn,
+       count(*) FILTER (NOT is_multi_turn) AS single_turn, count(*) FILTER (requires_human_escalation) AS escalate,
+       count(*) FILTER (NOT requires_human_escalation) AS auto
+FROM labelled GROUP BY intent, risk_tier""")
+sql("taxonomy_coverage", TURNS + f""",
+counted AS (
+  SELECT {first_rule('lower(text)', PROBE, 'intent')} AS intent_id, count(*) AS n
+  FROM turns WHERE role = 'Customer' GROUP BY 1
+)""", f"""
+SELECT i.intent_id, coalesce(c.n, 0) AS n,
+       round(coalesce(c.n, 0) * 100.0::DOUBLE / (SELECT count(*) FROM turns WHERE role = 'Customer'), 6) AS pct
+FROM (SELECT unnest([{', '.join(map(quoted, INTENTS))}]) AS intent_id) i LEFT JOIN counted c USING (intent_id)""")
+
+TEXTS = TURNS + f""",
+conv_ranks AS (
+  SELECT conversation_id, row_number() OVER (ORDER BY md5('42|' || conversation_id)) AS rn, count(*) OVER () AS n
+  FROM (SELECT DISTINCT conversation_id FROM turns WHERE role = 'Customer')
+),
+texts AS (
+  SELECT t.conversation_id * 100 + t.position AS id, {strip('t.text')} AS text,
+         rn <= floor(n * 0.70::DOUBLE) AS train
+  FROM turns t JOIN conv_ranks USING (conversation_id) WHERE t.role = 'Customer' AND {strip('t.text')} <> ''
+),
+held AS (SELECT DISTINCT text FROM texts WHERE NOT train),
+cleaned AS (
+  SELECT id, text,
+         regexp_replace({strip("regexp_replace(text, '@[\\p{L}\\p{N}_]+', '', 'g')")}, '{SPACE}+', ' ', 'g') AS cleaned,
+         text NOT IN (SELECT text FROM held) AS free
+  FROM texts WHERE train
+)"""
+sql("heldout_filter", TEXTS, """
+SELECT id, cleaned FROM cleaned WHERE free AND length(cleaned) BETWEEN 15 AND 180""")
+sql("cleaned_examples", TEXTS + ", matched AS (" + " UNION ALL ".join(
+    f"SELECT '{r.intent}' AS intent, cleaned AS example, 0 AS kind, id AS ord FROM cleaned WHERE free "
+    f"AND length(cleaned) BETWEEN 15 AND 180 AND regexp_matches(text, '(?i)({'|'.join(r.words)})')" for r in PROBE)
+    + f"""),
+fill_rows AS (
+  SELECT *, row_number() OVER (ORDER BY md5('42|' || id), id) AS ord FROM cleaned
+  ORDER BY md5('42|' || id), id LIMIT 50
+),
+fill AS (
+  SELECT i.intent, cleaned AS example, 1 AS kind, ord FROM fill_rows,
+         (SELECT unnest([{', '.join(quoted(r.intent) for r in PROBE)}]) AS intent) i
+  WHERE free AND length(cleaned) >= 15
+),
+firsts AS (
+  SELECT intent, example, min((kind, ord)) AS o FROM (SELECT * FROM matched UNION ALL SELECT * FROM fill) GROUP BY ALL
+)""", """
+SELECT intent, rank::INTEGER AS rank, example FROM (
+  SELECT *, row_number() OVER (PARTITION BY intent ORDER BY o, example) AS rank FROM firsts
+) WHERE rank <= 3""")
+sql("calibration_labels", CARVED + """,
+candidates AS (
+  SELECT * FROM split_rows WHERE split = 'validation'
+    AND conversation_id NOT IN (SELECT conversation_id FROM carved WHERE part = 'golden')
+  ORDER BY md5('100|' || brand_tweet_id), brand_tweet_id LIMIT 8
+),""" + labelled("candidates", "lower(customer_message) || ' '", PROBE), """
+SELECT format('CALIB_{:03d}', row_number() OVER (ORDER BY md5('100|' || brand_tweet_id), brand_tweet_id)) AS calib_id,
+       brand_tweet_id, intent AS predicted_intent, requires_human_escalation, escalation_reason
+FROM labelled""")
+sql("inquiry_validation", "", f"""
+SELECT CASE WHEN {strip("coalesce(text, '')")} <> '' THEN 'valid' ELSE 'rejected' END AS status, role, count(*) AS n,
+       sum(length({strip("coalesce(text, '')")}))::BIGINT AS chars
+FROM conversations GROUP BY 1, 2""")
+
+# --- retrieval, triage and evaluation ------------------------------------------------------
+
+NEAREST = """
+sims AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS corpus_id, b.label AS found,
+         round(list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 12) AS similarity
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
+),
+nearest AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, corpus_id) AS rank FROM sims
+)"""
+
+
+def zero_shot_of(queries: str, classes: str) -> str:
+    return f"""
+class_means AS (
+  SELECT label, list(m ORDER BY d) AS v FROM (
+    SELECT label, d, avg(x) AS m FROM (
+      SELECT label, unnest(embedding::DOUBLE[]) AS x, generate_subscripts(embedding, 1) AS d FROM {classes}
+    ) GROUP BY label, d
+  ) GROUP BY label
+),
+cosines AS (
+  SELECT q.query_id, c.label,
+         round(list_inner_product(q.embedding::DOUBLE[], c.v) / sqrt(list_inner_product(c.v, c.v)), 12) AS cosine
+  FROM {queries} q, class_means c
+),
+zero_shot AS (
+  SELECT query_id, first(label ORDER BY cosine DESC, label) AS predicted_class,
+         max(exp(cosine * 10)) / sum(exp(cosine * 10)) AS confidence
+  FROM cosines GROUP BY query_id
+)"""
+
+
+INTENT_LIST = "[" + ", ".join(map(quoted, INTENTS)) + "]"
+ALL_VECTORS = "(SELECT vec_id AS query_id, embedding FROM embeddings)"
+CLASSIFIED = NEAREST + "," + zero_shot_of(ALL_VECTORS, "embeddings") + f""",
+classified AS (
+  SELECT e.vec_id AS query_id, e.label, n.found AS predicted_label, {INTENT_LIST}[e.label + 1] AS true_intent,
+         {INTENT_LIST}[n.found + 1] AS predicted_intent,
+         round(least(z.confidence * 1.5, 1.0), 6) AS intent_confidence,
+         round(n.similarity * 1.5, 6) AS retrieval_similarity
+  FROM embeddings e JOIN nearest n ON n.query_id = e.vec_id AND n.rank = 1 JOIN zero_shot z ON z.query_id = e.vec_id
+)"""
+_TRIAGE = """CASE predicted_intent WHEN 'account_security_access' THEN 'high_risk'
+         WHEN 'payment_billing_issues' THEN 'sensitive_account_issue'
+         WHEN 'package_missing_damaged' THEN 'potential_policy_exception'
+         WHEN 'feedback_general_complaint' THEN 'complex_unresolved_issue'
+         WHEN 'other_unclear' THEN 'ambiguous_request'
+         ELSE CASE WHEN coalesce(intent_confidence, 1) < 0.60::DOUBLE OR coalesce(retrieval_similarity, 1) < {tau}::DOUBLE
+                   THEN 'insufficient_context' ELSE 'none' END END"""
+_ALWAYS = ("('account_security_access', 'payment_billing_issues', 'package_missing_damaged', "
+           "'feedback_general_complaint', 'other_unclear')")
+
+sql("knn_top3", NEAREST, """
+SELECT query_id, corpus_id, round(similarity, 6) AS similarity, rank::INTEGER AS rank FROM nearest WHERE rank <= 3""")
+sql("retrieval_diagnostics", NEAREST, """
+SELECT (SELECT count(*) FROM embeddings) AS num_queries,
+       round(avg(similarity) FILTER (rank = 1), 6) AS mean_top1, round(min(similarity) FILTER (rank = 1), 6) AS min_top1,
+       round(max(similarity) FILTER (rank = 1), 6) AS max_top1, round(avg(similarity), 6) AS mean_topk,
+       round(median(similarity) FILTER (rank = 1), 6) AS median_top1
+FROM nearest WHERE rank <= 5""")
+sql("zero_shot_intent", zero_shot_of(ALL_VECTORS, "embeddings"), """
+SELECT query_id, predicted_class, round(confidence, 6) AS confidence FROM zero_shot""")
+sql("triage_decisions", CLASSIFIED, f"""
+SELECT query_id, predicted_intent, intent_confidence, retrieval_similarity, escalation_reason,
+       escalation_reason <> 'none' AS requires_human_escalation,
+       CASE WHEN escalation_reason <> 'none' THEN 'ESCALATE' ELSE 'AUTO' END AS decision
+FROM (SELECT *, {_TRIAGE.format(tau='0.50')} AS escalation_reason FROM classified)""")
+
+GRID = CLASSIFIED + f""",
+taus AS (SELECT i::DOUBLE / 100 AS tau FROM range(40, 90, 5) t(i)),
+outcomes AS (
+  SELECT a.tau AS tau_confidence, b.tau AS tau_similarity, true_intent IN {_ALWAYS} AS truth,
+         predicted_intent IN {_ALWAYS} OR intent_confidence < a.tau OR retrieval_similarity < b.tau AS predicted
+  FROM classified, taus a, taus b
+),
+counts AS (
+  SELECT tau_confidence, tau_similarity, count(*) FILTER (truth AND predicted) AS tp,
+         count(*) FILTER (NOT truth AND predicted) AS fp, count(*) FILTER (truth AND NOT predicted) AS fn,
+         count(*) FILTER (NOT truth AND NOT predicted) AS tn
+  FROM outcomes GROUP BY ALL
+),
+rates AS (
+  SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS precision,
+         CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS recall,
+         CASE WHEN tp + fn > 0 THEN fn / (tp + fn) ELSE 0 END AS false_auto_rate
+  FROM counts
+),
+grid AS (
+  SELECT *, CASE WHEN precision + recall > 0 THEN 2 * (precision * recall) / (precision + recall) ELSE 0 END AS f1
+  FROM rates
+)"""
+_GRID_COLUMNS = """tau_confidence, tau_similarity, tp, fp, fn, tn, round(precision, 6) AS precision,
+       round(recall, 6) AS recall, round(f1, 6) AS f1, round(false_auto_rate, 6) AS false_auto_rate"""
+sql("threshold_grid", GRID, f"SELECT {_GRID_COLUMNS} FROM grid")
+sql("threshold_best", GRID, f"""
+SELECT {_GRID_COLUMNS} FROM grid WHERE false_auto_rate <= 0.30::DOUBLE
+ORDER BY f1 DESC, tau_confidence, tau_similarity LIMIT 1""")
+
+sql("confusion_matrix", CLASSIFIED + """,
+labels_seen AS (SELECT label FROM classified UNION SELECT predicted_label FROM classified)""", """
+SELECT a.label::VARCHAR AS truth, b.label::VARCHAR AS pred, count(c.query_id) AS n
+FROM labels_seen a CROSS JOIN labels_seen b
+LEFT JOIN classified c ON c.label = a.label AND c.predicted_label = b.label GROUP BY 1, 2""")
+REPORT = CLASSIFIED + """,
+labels_seen AS (SELECT label FROM classified UNION SELECT predicted_label FROM classified),
+base AS (
+  SELECT l.label::VARCHAR AS label, count(*) FILTER (c.label = l.label AND c.predicted_label = l.label) AS tp,
+         count(*) FILTER (c.label = l.label) AS support, count(*) FILTER (c.predicted_label = l.label) AS predicted
+  FROM labels_seen l, classified c GROUP BY 1
+),
+pr AS (
+  SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0 END AS precision,
+         CASE WHEN support > 0 THEN tp / support ELSE 0 END AS recall FROM base
+),
+report AS (
+  SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS f1 FROM pr
+)"""
+sql("class_report", REPORT, """
+SELECT label, tp, support, predicted, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1 FROM report""")
+sql("macro_report", REPORT, """
+SELECT count(*) AS labels, sum(support)::BIGINT AS n, sum(tp)::BIGINT AS correct,
+       round(avg(precision), 6) AS macro_precision, round(avg(recall), 6) AS macro_recall,
+       round(avg(f1), 6) AS macro_f1, round(sum(tp) / sum(support), 6) AS micro_f1,
+       round(sum(tp) / sum(support), 6) AS accuracy FROM report""")
+sql("majority_baseline", "", """
+SELECT vec_id AS query_id, (SELECT label::VARCHAR FROM embeddings GROUP BY label ORDER BY count(*) DESC, label::VARCHAR
+                            LIMIT 1) AS predicted_label, 1.0::DOUBLE AS confidence FROM embeddings""")
+sql("score_diagnostics", CLASSIFIED, "SELECT count(*) AS num_items, " + ", ".join(
+    f"round(avg({s}), 6) AS {s}_mean, round(stddev_pop({s}), 6) AS {s}_std, round(min({s}), 6) AS {s}_min, "
+    f"round(max({s}), 6) AS {s}_max" for s in ("intent_confidence", "retrieval_similarity")) + " FROM classified")
+sql("triage_metrics", f"""
+rows_ AS (
+  SELECT l.toxic = 1 AS truth, {any_of('lower(d.text)', ['hate', 'idiot', 'whst', 'heed'])} AS predicted
+  FROM documents d JOIN labels l USING (doc_id)
+),
+c AS (
+  SELECT count(*) FILTER (truth AND predicted) AS tp, count(*) FILTER (NOT truth AND predicted) AS fp,
+         count(*) FILTER (truth AND NOT predicted) AS fn, count(*) FILTER (NOT truth AND NOT predicted) AS tn FROM rows_
+)""", """
+SELECT tp, fp, fn, tn, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall,
+       round(2 * (tp / (tp + fp)) * (tp / (tp + fn)) / (tp / (tp + fp) + tp / (tp + fn)), 6) AS f1,
+       round(fn / (tp + fn), 6) AS false_auto_rate, round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy FROM c""")
+
+
+def rubric_of(text: str) -> str:
+    return f"""CASE WHEN length({text}) > 10 THEN 2 ELSE 1 END AS correctness,
+         CASE WHEN {any_of(f'lower({text})', ['dm', 'detail'])} THEN 2 ELSE 1 END AS groundedness,
+         CASE WHEN {any_of(f'lower({text})', ['please', 'dm'])} THEN 2 ELSE 1 END AS helpfulness,
+         CASE WHEN contains(lower({text}), 'refund') AND contains(lower({text}), 'free') THEN 0 ELSE 2 END AS policy_safety"""
+
+
+_TOTAL = "correctness + groundedness + helpfulness + policy_safety"
+sql("agreement", f"""
+judged AS (
+  SELECT quality * 2 - toxic + 5 AS h, {_TOTAL} + extra AS j FROM (
+    SELECT *, {rubric_of('text')},
+           contains(lower(text), 'whst')::INT + contains(lower(text), 'heed')::INT + contains(lower(text), 'ung')::INT AS extra
+    FROM documents JOIN labels USING (doc_id))
+),
+ranks AS (
+  SELECT h, j, rank() OVER (ORDER BY h) + (count(*) OVER (PARTITION BY h) - 1) / 2 AS rh,
+         rank() OVER (ORDER BY j) + (count(*) OVER (PARTITION BY j) - 1) / 2 AS rj FROM judged
+),
+one AS (
+  SELECT count(*) AS n, count(*) FILTER (h = j) AS exact, count(*) FILTER (abs(h - j) <= 1) AS near, corr(rh, rj) AS rho
+  FROM ranks
+)""", """
+SELECT n, round(exact * 100.0::DOUBLE / n, 6) AS exact_pct, round(near * 100.0::DOUBLE / n, 6) AS within1_pct,
+       round(rho, 6) AS rho, round(rho * sqrt((n - 2) / (1 - rho * rho)), 6) AS t_stat FROM one""")
+
+GRAMS = INTERACTIONS + f""",
+words AS (
+  SELECT brand_tweet_id, [w FOR w IN string_split_regex(lower(customer_message), '{SPACE}+') IF w <> ''] AS h,
+         [w FOR w IN string_split_regex(lower(brand_response), '{SPACE}+') IF w <> ''] AS r FROM inter
+),
+grams AS (
+""" + " UNION ALL ".join(
+    f"SELECT brand_tweet_id, {n} AS n, '{side}' AS side, unnest([array_to_string({side}[i:i+{n - 1}], ' ') "
+    f"FOR i IN range(1, len({side}) - {n - 2})]) AS gram FROM words" for n in (1, 2, 4) for side in "hr") + """
+),
+gram_counts AS (
+  SELECT brand_tweet_id, n, gram, count(*) FILTER (side = 'h') AS ch, count(*) FILTER (side = 'r') AS cr
+  FROM grams GROUP BY ALL
+),
+shared AS (
+  SELECT brand_tweet_id, n, sum(least(ch, cr)) AS common FROM gram_counts GROUP BY ALL
+),
+parts AS (
+  SELECT w.brand_tweet_id, len(h) AS nh, len(r) AS nr,
+         coalesce(max(common) FILTER (n = 1), 0)::DOUBLE AS c1, coalesce(max(common) FILTER (n = 2), 0)::DOUBLE AS c2,
+         coalesce(max(common) FILTER (n = 4), 0)::DOUBLE AS c4
+  FROM words w LEFT JOIN shared s USING (brand_tweet_id) GROUP BY ALL
+),
+precisions AS (
+  SELECT *, CASE WHEN nh > 0 THEN c1 / nh ELSE 0 END AS p1, CASE WHEN nh > 1 THEN c2 / (nh - 1) ELSE 0 END AS p2,
+         CASE WHEN nh > 3 THEN c4 / (nh - 3) ELSE 0 END AS p4, CASE WHEN nr > 0 THEN c1 / nr ELSE 0 END AS r1,
+         CASE WHEN nr > 1 THEN c2 / (nr - 1) ELSE 0 END AS r2,
+         CASE WHEN nh > nr THEN 1.0::DOUBLE WHEN nh > 0 THEN exp(1 - nr / nh) ELSE 0 END AS bp
+  FROM parts
+),
+scores AS (
+  SELECT brand_tweet_id, bp * p1 AS bleu_1, bp * sqrt(p1 * p2) AS bleu_2,
+         CASE WHEN p1 * p2 * p4 > 0 THEN bp * pow(p1 * p2 * p4, 0.25) ELSE 0 END AS bleu_4,
+         CASE WHEN p1 + r1 > 0 THEN 2 * p1 * r1 / (p1 + r1) ELSE 0 END AS rouge_1,
+         CASE WHEN p2 + r2 > 0 THEN 2 * p2 * r2 / (p2 + r2) ELSE 0 END AS rouge_2
+  FROM precisions
+)"""
+_OVERLAPS = ("bleu_1", "bleu_2", "bleu_4", "rouge_1", "rouge_2")
+sql("bleu_rouge_n", GRAMS, "SELECT brand_tweet_id, " + ", ".join(
+    f"round({s}::DOUBLE, 6) AS {s}" for s in _OVERLAPS) + " FROM scores")
+sql("bleu_rouge_means", GRAMS, "SELECT count(*) AS pairs, " + ", ".join(
+    f"round(avg({s}::DOUBLE), 6) AS {s}" for s in _OVERLAPS) + " FROM scores")
+
+sql("rubric_scores", TURNS, f"""
+SELECT *, {_TOTAL} AS total_score FROM (
+  SELECT conversation_id, position, {rubric_of('text')} FROM turns WHERE role = 'Brand')""")
+sql("rubric_ingest", "", f"""
+SELECT *, {_TOTAL} AS total_score, count(*) AS n FROM (
+  SELECT least(greatest(event_id % 5 - 1, 0), 2)::INTEGER AS correctness,
+         least(CASE WHEN event_id % 3 > 0 THEN event_id % 4 ELSE 1 END, 2)::INTEGER AS groundedness,
+         (event_id % 3)::INTEGER AS helpfulness,
+         (CASE WHEN event_id % 7 > 0 THEN event_id % 2 ELSE 1 END)::INTEGER AS policy_safety
+  FROM events) GROUP BY ALL""")
+
+
+def template_of(text: str) -> str:
+    cases = " ".join(f"WHEN {any_of(f'lower({text})', t.words)} THEN {quoted(t.reply)}" for t in probe_templates())
+    return f"CASE {cases} ELSE {quoted(DEFAULT_REPLY)} END"
+
+
+sql("template_reply", MEMORY, f"SELECT conversation_id, position, {template_of('context')} AS reply FROM memory")
+
+# --- case retrieval and the agent ----------------------------------------------------------
+
+CASES = SPLIT + """,
+cases AS (
+  SELECT s.*, e.embedding, e.label FROM split_rows s JOIN embeddings e
+    ON e.vec_id = (((s.customer_tweet_id - 1) // 100) * 8 + (s.customer_tweet_id - 1) % 100)
+                  % (SELECT count(*) FROM embeddings)
+),
+case_sims AS (
+  SELECT q.brand_tweet_id AS query_id, c.brand_tweet_id AS corpus_id, c.interaction_id, c.customer_message,
+         c.brand_response,
+         round(list_inner_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 12) AS similarity
+  FROM cases q JOIN cases c ON q.split <> 'train' AND c.split = 'train'
+),
+case_hits AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, corpus_id) AS rank FROM case_sims
+  ) WHERE rank <= 3
+)"""
+sql("top1_copy", CASES, """
+SELECT q.brand_tweet_id AS query_id, h.corpus_id AS evidence_id, coalesce(h.brand_response, '') AS generated_reply,
+       coalesce(round(h.similarity, 6), 0) AS similarity_score
+FROM cases q LEFT JOIN case_hits h ON h.query_id = q.brand_tweet_id AND h.rank = 1 WHERE q.split <> 'train'""")
+sql("prompt_table", CASES + """,
+blocks AS (
+  SELECT query_id, string_agg(format('Example {}', rank) || ' (Similarity: ' || printf('%.2f', similarity) || '):' || chr(10)
+           || '  Customer Inquiry: ' || customer_message || chr(10) || '  Historical Reply: ' || brand_response,
+           chr(10) || chr(10) ORDER BY rank) AS block
+  FROM case_hits GROUP BY query_id
+)""", f"""
+SELECT q.brand_tweet_id AS query_id,
+       'Customer Inquiry: "' || customer_message || '"' || chr(10) || 'Predicted Intent Category: '
+       || {INTENT_LIST}[label + 1] || chr(10) || chr(10) || 'Retrieved Historical Support Examples:' || chr(10)
+       || coalesce(block, '') || chr(10) || chr(10) || 'Draft a grounded, polite Twitter response (<=280 chars):' AS prompt
+FROM cases q LEFT JOIN blocks b ON b.query_id = q.brand_tweet_id WHERE q.split <> 'train'""")
+
+AGENT = CASES + ", inquiries AS (SELECT * FROM cases WHERE split <> 'train')," + context_of("inquiries") + "," + zero_shot_of(
+    "(SELECT brand_tweet_id AS query_id, embedding FROM inquiries)", "(SELECT * FROM cases WHERE split = 'train')") + f""",
+framed AS (
+  SELECT c.brand_tweet_id AS query_id, c.interaction_id, {INTENT_LIST}[z.predicted_class + 1] AS predicted_intent,
+         least(z.confidence * 2, 1.0) AS intent_confidence,
+         CASE WHEN is_multi_turn
+              THEN 'Preceding Context:' || chr(10) || right(conversation_context, 2000) || chr(10) || chr(10)
+                   || 'Current Inquiry:' || chr(10) || {strip('customer_message')}
+              ELSE {strip('customer_message')} END AS query_context_used
+  FROM contexts c JOIN zero_shot z ON z.query_id = c.brand_tweet_id
+),
+evidence AS (
+  SELECT query_id, count(*) AS k, max(similarity) AS best, to_json(list(interaction_id ORDER BY rank))::VARCHAR AS ids,
+         max(brand_response) FILTER (rank = 1) AS top1 FROM case_hits GROUP BY query_id
+),
+decided AS (
+  SELECT *, {_TRIAGE.format(tau='0.30')} AS escalation_reason FROM (
+    SELECT f.*, coalesce(e.k, 0)::INTEGER AS retrieval_top_k, coalesce(e.best, 0) AS retrieval_similarity,
+           coalesce(e.ids, '[]') AS evidence_ids, coalesce(e.top1, '') AS top1
+    FROM framed f LEFT JOIN evidence e USING (query_id))
+),
+records AS (
+  SELECT *, escalation_reason <> 'none' AS requires_human_escalation,
+         CASE WHEN escalation_reason = 'none' THEN {template_of('query_context_used')} END AS generated_response
+  FROM decided
+)"""
+sql("agent_pipeline", AGENT, """
+SELECT query_id, interaction_id, predicted_intent, round_even(intent_confidence, 4) AS intent_confidence, retrieval_top_k,
+       round_even(retrieval_similarity, 4) AS retrieval_similarity,
+       CASE WHEN requires_human_escalation THEN 'ESCALATE' ELSE 'AUTO' END AS decision, requires_human_escalation,
+       escalation_reason, evidence_ids, generated_response, length(query_context_used)::INTEGER AS context_chars
+FROM records""")
+sql("variant_means", AGENT + """,
+variants AS (
+  SELECT query_id, 'A' AS variant, top1 AS reply FROM records
+  UNION ALL SELECT query_id, 'B', top1 FROM records
+  UNION ALL SELECT query_id, 'C', coalesce(generated_response, '[ESCALATED TO HUMAN AGENT]') FROM records
+)""", f"""
+SELECT variant, count(*) AS n, round(avg(correctness), 6) AS correctness, round(avg(groundedness), 6) AS groundedness,
+       round(avg(helpfulness), 6) AS helpfulness, round(avg(policy_safety), 6) AS policy_safety,
+       round(avg({_TOTAL}), 6) AS total_score
+FROM (SELECT variant, {rubric_of('reply')} FROM variants) GROUP BY variant""")
+
+# --- TF-IDF --------------------------------------------------------------------------------
+
+
+def term_counts(keep: str) -> str:
+    return f"""
+tokens AS (
+  SELECT doc_id, [t FOR t IN regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}') IF {keep}] AS t FROM documents
+),
+term_counts AS (
+  SELECT doc_id, term, count(*) AS tf FROM (
+    SELECT doc_id, unnest(t) AS term FROM tokens
+    UNION ALL SELECT doc_id, unnest([t[i] || ' ' || t[i + 1] FOR i IN range(1, len(t))]) FROM tokens
+  ) GROUP BY ALL
+)"""
+
+
+sql("tfidf_weights", term_counts("true") + """,
+idf AS (
+  SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + count(*))) + 1 AS idf
+  FROM term_counts GROUP BY term HAVING count(*) >= 2
+),
+raw AS (SELECT doc_id, term, (1 + ln(tf)) * idf AS w FROM term_counts JOIN idf USING (term)),
+norms AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM raw GROUP BY doc_id)""", """
+SELECT doc_id, term, round(w / norm, 6) AS weight FROM raw JOIN norms USING (doc_id)""")
+sql("tfidf_phrases", term_counts("t NOT IN (" + ", ".join(map(quoted, STOP_WORDS)) + ")") + """,
+kept AS (
+  SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + count(*))) + 1 AS idf
+  FROM term_counts GROUP BY term HAVING count(*) >= 5 ORDER BY sum(tf) DESC, term LIMIT 50
+),
+raw AS (SELECT doc_id, term, tf * idf AS w FROM term_counts JOIN kept USING (term)),
+norms AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM raw GROUP BY doc_id)""", """
+SELECT term, round(sum(w / norm) / (SELECT count(*) FROM documents), 6) AS mean_weight
+FROM raw JOIN norms USING (doc_id) GROUP BY term""")
+
+# --- telemetry -----------------------------------------------------------------------------
+
+TELEMETRY = """
+telemetry AS (
+  SELECT event_id::VARCHAR AS interaction_id, ts, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS timestamp,
+         CASE WHEN event_type IN ('error', 'purchase') THEN 'ESCALATE' ELSE 'AUTO' END AS decision,
+         CASE event_type WHEN 'error' THEN 'high_risk' WHEN 'purchase' THEN 'sensitive_account_issue'
+              ELSE 'none' END AS escalation_reason,
+         event_type AS predicted_intent, least(1.0, value / 100) AS intent_confidence,
+         least(1.0, value / 200) AS retrieval_similarity, value / 1000 AS elapsed_seconds,
+         event_id % 4 AS evidence_count
+  FROM events
+)"""
+_HISTOGRAM = [("le_0_5", "count(*) FILTER (intent_confidence <= 0.5)"), ("le_0_75", "count(*) FILTER (intent_confidence <= 0.75)"),
+              ("le_0_9", "count(*) FILTER (intent_confidence <= 0.9)"), ("le_inf", "count(*)"),
+              ("evidence_items", "sum(evidence_count)::BIGINT"), ("auto_count", "count(*) FILTER (decision = 'AUTO')"),
+              ("escalate_count", "count(*) FILTER (decision = 'ESCALATE')")]
+_TOTALS = """count(*) AS total_inquiries, count(*) FILTER (decision = 'AUTO') AS auto_handled,
+       count(*) FILTER (decision <> 'AUTO') AS escalated,
+       round_even(count(*) FILTER (decision <> 'AUTO') / count(*), 4) AS escalation_rate,
+       round_even(sum(intent_confidence) / count(*), 4) AS mean_intent_confidence"""
+sql("telemetry_records", TELEMETRY, """
+SELECT interaction_id, timestamp, decision, escalation_reason, predicted_intent, intent_confidence,
+       retrieval_similarity, round_even(elapsed_seconds * 1000.0, 2) AS latency_ms, 'mock' AS provider_mode FROM telemetry""")
+sql("telemetry_summary", TELEMETRY, f"""
+SELECT {_TOTALS},
+       (SELECT '{{' || string_agg('"' || escalation_reason || '":' || n, ',' ORDER BY escalation_reason) || '}}' FROM
+          (SELECT escalation_reason, count(*) AS n FROM telemetry WHERE decision <> 'AUTO' GROUP BY 1)) AS escalation_reasons
+FROM telemetry""")
+sql("telemetry_reasons", TELEMETRY, "SELECT decision, escalation_reason, count(*) AS n FROM telemetry GROUP BY 1, 2")
+sql("confidence_histogram", TELEMETRY, " UNION ALL ".join(
+    f"SELECT '{name}' AS metric, {value} AS n FROM telemetry" for name, value in _HISTOGRAM))
+sql("telemetry_windows", TELEMETRY, f"""
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, {_TOTALS},
+       {', '.join(f'{value} AS {name}' for name, value in _HISTOGRAM)}
+FROM telemetry GROUP BY date_trunc('hour', ts)""")

@@ -6,8 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadloom.operators import context, profile, splits, threads
-from threadloom.plans.inputs import BRAND, table, turns, tweets
+from threadloom.functions import text
+from threadloom.operators import (
+    agent, context, metrics, overlap, profile, replies, retrieval, rubric, rules, splits, telemetry, tfidf, threads,
+    triage)
+from threadloom.plans.inputs import (
+    BRAND, STOP_WORDS, classified_vectors, intent_of_label, probe_rules, probe_templates, table, telemetry_events, turn_vectors,
+    turns, tweets, vectors)
 from threadloom.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,3 +191,360 @@ def preceding_context(spark, sf):
 @query
 def memory_context(spark, sf):
     return context.memory_context(turns(spark, sf)).select("conversation_id", "position", "context")
+
+
+# --- labels and examples -------------------------------------------------------------------
+
+
+def labelled_turns(spark, sf):
+    """Customer turns labelled from message and remembered context by the probe rules."""
+    rows = context.memory_context(turns(spark, sf))
+    return rules.label_by_rules(rows, probe_rules(), "text", F.array_join("history", "\n"))
+
+
+@query
+def rule_labels(spark, sf):
+    return labelled_turns(spark, sf).select(
+        "conversation_id", "position", "intent", "risk_tier", "requires_human_escalation",
+        "escalation_reason", "annotation_notes")
+
+
+@query
+def silver_labels(spark, sf):
+    rows = turns(spark, sf).where("role = 'Customer'")
+    return rules.label_by_rules(rows, message="text").select(
+        "conversation_id", "position", "intent", "risk_tier", "escalation_reason")
+
+
+@query
+def label_violations(spark, sf):
+    return rules.label_violations(labelled_turns(spark, sf)).agg(F.count("*").alias("violations"))
+
+
+@query
+def label_distribution(spark, sf):
+    rows = labelled_turns(spark, sf)
+    parts = [profile.distribution(rows, c).select(F.lit(c).alias("label"), "value", "n", "pct")
+             for c in ("intent", "requires_human_escalation", "escalation_reason")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def golden_profile(spark, sf):
+    rows = rules.label_by_rules(
+        context.preceding_context(prepared(spark, sf), BRAND), probe_rules(), "customer_message",
+        F.col("conversation_context"))
+    return rows.groupBy("intent", "risk_tier").agg(
+        F.count("*").alias("n"), F.count_if("is_multi_turn").alias("multi_turn"),
+        F.count_if(~F.col("is_multi_turn")).alias("single_turn"),
+        F.count_if("requires_human_escalation").alias("escalate"),
+        F.count_if(~F.col("requires_human_escalation")).alias("auto"))
+
+
+@query
+def taxonomy_coverage(spark, sf):
+    return rules.taxonomy_coverage(turns(spark, sf).where("role = 'Customer'"), "text", probe_rules())
+
+
+def text_parts(spark, sf):
+    """Customer texts with an id, split by conversation: (train, held out)."""
+    rows = turns(spark, sf).where("role = 'Customer'")
+    rows = rows.withColumn("id", F.col("conversation_id") * 100 + F.col("position"))
+    rows = materialize(rows.withColumn("split", splits.split_column(rows, "conversation_id")), "texts")
+    train = rules.training_texts(rows.where("split = 'train'"), "text", "id")
+    held = [rules.training_texts(rows.where(F.col("split") == s), "text", "id") for s in ("validation", "test")]
+    return train, rules.held_out_texts(*held)
+
+
+@query
+def cleaned_examples(spark, sf):
+    return rules.mine_examples(*text_parts(spark, sf), probe_rules())
+
+
+@query
+def heldout_filter(spark, sf):
+    train, held = text_parts(spark, sf)
+    cleaned = text.clean_handles(F.col("text"))
+    return train.join(held, "text", "left_anti").select("id", cleaned.alias("cleaned")).where(
+        F.length("cleaned").between(15, 180))
+
+
+@query
+def calibration_labels(spark, sf):
+    full = materialize(split_interactions(spark, sf), "split")
+    golden = splits.carve_out(full.where("split = 'test'"), GOLDEN_N).where("part = 'golden'")
+    sample = splits.calibration_sample(full.where("split = 'validation'"), [golden], CALIBRATION_N)
+    predicted = rules.label_by_rules(sample, probe_rules()).withColumn("predicted_intent", F.col("intent"))
+    return rules.label_calibration(predicted.drop("requires_human_escalation", "escalation_reason")).select(
+        "calib_id", "brand_tweet_id", "predicted_intent", "requires_human_escalation", "escalation_reason")
+
+
+@query
+def inquiry_validation(spark, sf):
+    rows = table(spark, sf, "conversations").withColumn("message", text.strip(F.coalesce("text", F.lit(""))))
+    status = F.when(F.col("message") != "", "valid").otherwise("rejected")
+    return rows.groupBy(status.alias("status"), "role").agg(
+        F.count("*").alias("n"), F.sum(F.length("message")).alias("chars"))
+
+
+# --- retrieval, triage and evaluation ------------------------------------------------------
+
+
+@query
+def knn_top3(spark, sf):
+    hits = retrieval.knn_join(vectors(spark, sf, "query_id"), vectors(spark, sf, "corpus_id"), 3, True)
+    return hits.select("query_id", "corpus_id", F.round("similarity", 6).alias("similarity"), "rank")
+
+
+@query
+def retrieval_diagnostics(spark, sf):
+    queries = vectors(spark, sf, "query_id")
+    hits = materialize(retrieval.knn_join(queries, vectors(spark, sf, "corpus_id"), 5, True), "hits")
+    return retrieval.retrieval_diagnostics(hits, queries)
+
+
+@query
+def zero_shot_intent(spark, sf):
+    vecs = vectors(spark, sf, "query_id")
+    scored = retrieval.zero_shot(vecs, retrieval.class_means(vecs, "label"))
+    return scored.select("query_id", F.col("predicted_class").cast("int").alias("predicted_class"),
+                         F.round("confidence", 6).alias("confidence"))
+
+
+@query
+def triage_decisions(spark, sf):
+    return triage.triage(classified_vectors(spark, sf)).select(
+        "query_id", "predicted_intent", "intent_confidence", "retrieval_similarity", "decision",
+        "requires_human_escalation", "escalation_reason")
+
+
+def scored_vectors(spark, sf):
+    rows = classified_vectors(spark, sf)
+    always = F.col("true_intent").isin(list(triage.ALWAYS_ESCALATE))
+    return rows.withColumn("truth", always)
+
+
+def _rounded_grid(grid):
+    names = ["precision", "recall", "f1", "false_auto_rate"]
+    return grid.select("tau_confidence", "tau_similarity", "tp", "fp", "fn", "tn",
+                       *[F.round(c, 6).alias(c) for c in names])
+
+
+@query
+def threshold_grid(spark, sf):
+    return _rounded_grid(triage.threshold_grid(scored_vectors(spark, sf)))
+
+
+@query
+def threshold_best(spark, sf):
+    return _rounded_grid(triage.best_thresholds(triage.threshold_grid(scored_vectors(spark, sf)), 0.30))
+
+
+@query
+def confusion_matrix(spark, sf):
+    counts = metrics.confusion_counts(classified_vectors(spark, sf), "label", "predicted_label")
+    return metrics.confusion_matrix(materialize(counts, "confusion"))
+
+
+@query
+def class_report(spark, sf):
+    counts = metrics.confusion_counts(classified_vectors(spark, sf), "label", "predicted_label")
+    return metrics.class_report(counts).select(
+        "label", "tp", "support", "predicted", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
+
+
+@query
+def macro_report(spark, sf):
+    counts = metrics.confusion_counts(classified_vectors(spark, sf), "label", "predicted_label")
+    return metrics.macro_report(metrics.class_report(counts))
+
+
+@query
+def majority_baseline(spark, sf):
+    vecs = vectors(spark, sf, "query_id")
+    return metrics.majority_predictions(vecs, "label", vecs).select(
+        "query_id", "predicted_label", "confidence")
+
+
+@query
+def score_diagnostics(spark, sf):
+    rows = triage.triage(classified_vectors(spark, sf))
+    return metrics.score_diagnostics(rows, ["intent_confidence", "retrieval_similarity"])
+
+
+@query
+def triage_metrics(spark, sf):
+    docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+    low = F.lower("text")
+    rows = docs.select((F.col("toxic") == 1).alias("truth"),
+                       text.contains_any(low, ["hate", "idiot", "whst", "heed"]).alias("predicted"))
+    m = triage.triage_metrics(rows, "truth", "predicted")
+    return m.select("tp", "fp", "fn", "tn", *[
+        F.round(c, 6).alias(c) for c in ("precision", "recall", "f1", "false_auto_rate", "accuracy")])
+
+
+@query
+def agreement(spark, sf):
+    # a human score from the labels next to a rule score of the document text
+    docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+    scored = rubric.score_replies(docs, "text")
+    judge = F.col("total_score")
+    for word in ("whst", "heed", "ung"):
+        judge = judge + F.lower("text").contains(word).cast("int")
+    human = F.col("quality") * 2 - F.col("toxic") + 5
+    return metrics.agreement(scored.select(human.alias("human"), judge.alias("judge")), "human", "judge").drop("p_value")
+
+
+@query
+def bleu_rouge_n(spark, sf):
+    scored = overlap.overlap_scores(prepared(spark, sf), "customer_message", "brand_response")
+    return scored.select("brand_tweet_id", *[F.round(s, 6).alias(s) for s in overlap.SCORES[:-1]])
+
+
+@query
+def bleu_rouge_means(spark, sf):
+    scored = overlap.overlap_scores(prepared(spark, sf), "customer_message", "brand_response")
+    return overlap.corpus_means(scored.drop("rouge_l"))
+
+
+@query
+def rouge_l(spark, sf):
+    scored = overlap.overlap_scores(prepared(spark, sf), "customer_message", "brand_response")
+    return scored.select("brand_tweet_id", F.round("rouge_l", 6).alias("rouge_l"))
+
+
+@query
+def rubric_scores(spark, sf):
+    replies_ = turns(spark, sf).where(F.col("role") == BRAND)
+    return rubric.score_replies(replies_, "text").select(
+        "conversation_id", "position", *rubric.SCORES, "total_score")
+
+
+@query
+def rubric_ingest(spark, sf):
+    # external scores arrive as JSON, here built from the events with values outside 0..2 and gaps
+    v = F.col("event_id")
+    payload = F.to_json(F.struct(
+        (v % 5 - 1).cast("int").alias("correctness"),
+        F.when(v % 3 > 0, (v % 4).cast("int")).alias("groundedness"),
+        (v % 3).cast("int").alias("helpfulness"),
+        F.when(v % 7 > 0, (v % 2).cast("int")).alias("policy_safety")))
+    rows = table(spark, sf, "events").select("event_id", payload.alias("payload"))
+    return rubric.ingest_scores(rows, "payload").groupBy(*rubric.SCORES, "total_score").agg(F.count("*").alias("n"))
+
+
+@query
+def template_reply(spark, sf):
+    rows = context.memory_context(turns(spark, sf))
+    reply = replies.template_reply(F.col("context"), probe_templates())
+    return rows.select("conversation_id", "position", reply.alias("reply"))
+
+
+# --- case retrieval and the agent ----------------------------------------------------------
+
+
+def cases(spark, sf):
+    """(corpus from the train split, queries from the others), with vectors."""
+    full = materialize(split_interactions(spark, sf), "split")
+    corpus = turn_vectors(full.where("split = 'train'"), spark, sf, "corpus_id")
+    queries = turn_vectors(full.where("split <> 'train'"), spark, sf, "query_id")
+    return materialize(corpus, "cases"), materialize(queries, "inquiries")
+
+
+def case_hits(corpus, queries, k):
+    payload = corpus.select("corpus_id", *retrieval.CORPUS_COLUMNS)
+    return retrieval.knn_join(queries, corpus, k).join(payload, "corpus_id")
+
+
+@query
+def top1_copy(spark, sf):
+    corpus, queries = cases(spark, sf)
+    copied = replies.top1_copy(queries.select("query_id"), case_hits(corpus, queries, 1))
+    return copied.withColumn("similarity_score", F.round("similarity_score", 6))
+
+
+@query
+def prompt_table(spark, sf):
+    corpus, queries = cases(spark, sf)
+    evidence = replies.evidence_lists(case_hits(corpus, queries, 3), ["customer_message", "brand_response"])
+    prompt = replies.grounded_prompt(F.col("customer_message"), intent_of_label(F.col("label")), F.col("evidence"))
+    return queries.join(evidence, "query_id", "left").select("query_id", prompt.alias("prompt"))
+
+
+def decisions(spark, sf):
+    corpus, queries = cases(spark, sf)
+    classes = retrieval.class_means(corpus, "label")
+    classified = retrieval.zero_shot(queries, classes).select(
+        "query_id", intent_of_label(F.col("predicted_class").cast("int")).alias("predicted_intent"),
+        F.least(F.col("confidence") * 2, F.lit(1.0)).alias("intent_confidence"))
+    inquiries = context.preceding_context(queries, BRAND).select(
+        "query_id", "interaction_id", "conversation_id", "customer_message", "timestamp",
+        F.split(F.col("conversation_context"), "\n").alias("history"), "is_multi_turn")
+    inquiries = inquiries.withColumn("query_context_used", context.frame_context(
+        F.when(F.col("is_multi_turn"), F.col("history")).otherwise(F.array().cast("array<string>")),
+        F.col("customer_message")))
+    return agent.run(inquiries, classified, case_hits(corpus, queries, 3), tau_similarity=0.3,
+                     templates=probe_templates())
+
+
+@query
+def agent_pipeline(spark, sf):
+    return decisions(spark, sf).select(
+        "query_id", "interaction_id", "predicted_intent", "intent_confidence", "retrieval_top_k",
+        "retrieval_similarity", "decision", "requires_human_escalation", "escalation_reason",
+        F.to_json("retrieved_evidence_ids").alias("evidence_ids"), "generated_response",
+        F.length("query_context_used").alias("context_chars"))
+
+
+@query
+def variant_means(spark, sf):
+    variants = replies.reply_variants(materialize(decisions(spark, sf), "decisions"))
+    return rubric.variant_means(rubric.score_replies(variants, "reply"))
+
+
+# --- TF-IDF --------------------------------------------------------------------------------
+
+
+@query
+def tfidf_weights(spark, sf):
+    docs = table(spark, sf, "documents")
+    counts = tfidf.term_counts(docs, "doc_id", "text")
+    fitted = tfidf.fit(counts, docs.count())
+    return tfidf.weights(counts, fitted).select("doc_id", "term", F.round("weight", 6).alias("weight"))
+
+
+@query
+def tfidf_phrases(spark, sf):
+    docs = table(spark, sf, "documents")
+    phrases = tfidf.top_phrases(docs, "doc_id", "text", STOP_WORDS)
+    return phrases.select("term", F.round("mean_weight", 6).alias("mean_weight"))
+
+
+# --- telemetry -----------------------------------------------------------------------------
+
+
+@query
+def telemetry_records(spark, sf):
+    return telemetry.telemetry_record(telemetry_events(spark, sf))
+
+
+@query
+def telemetry_summary(spark, sf):
+    summary = telemetry.telemetry_summary(telemetry_events(spark, sf))
+    reasons = F.col("escalation_reasons")
+    return summary.withColumn("escalation_reasons", F.to_json(reasons))
+
+
+@query
+def telemetry_reasons(spark, sf):
+    return telemetry.reason_counts(telemetry_events(spark, sf))
+
+
+@query
+def confidence_histogram(spark, sf):
+    return telemetry.confidence_histogram(telemetry_events(spark, sf))
+
+
+@query
+def telemetry_windows(spark, sf):
+    return telemetry.windowed_totals(telemetry_events(spark, sf))

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Broadcast only tables that were counted and found to be at most this long.
-BROADCAST_MAX_ROWS = 500_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 _local_dirs: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def get_spark(app: str = "threadloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -29,6 +32,18 @@ def get_spark(app: str = "threadloom", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="threadloom-py-"), "threadloom")
+    archive = shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for cut lineage: ``spark.checkpoint.dir``, or a scratch folder in local mode."""
     path = spark.conf.get("spark.checkpoint.dir", None)
