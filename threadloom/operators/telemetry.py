@@ -32,7 +32,8 @@ def counters() -> list[Column]:
 
 def with_rates(totals: DataFrame) -> DataFrame:
     def per_inquiry(name: str) -> Column:
-        share = round_even(F.col(name) / F.nullif("total_inquiries", F.lit(0)), 4)
+        # nine digits first: a floating-point sum depends on the order of its parts beyond that
+        share = round_even(F.round(F.col(name).cast("double"), 9) / F.nullif("total_inquiries", F.lit(0)), 4)
         return F.coalesce(share, F.lit(0.0))
 
     return totals.withColumn("escalation_rate", per_inquiry("escalated")).withColumn(

@@ -111,10 +111,14 @@ def classified_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def telemetry_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_telemetry(table(spark, sf_dir, "events"))
+
+
+def as_telemetry(events: DataFrame) -> DataFrame:
     """Events as decision telemetry: errors and purchases escalate."""
     reason = F.when(F.col("event_type") == "error", "high_risk").when(
         F.col("event_type") == "purchase", "sensitive_account_issue").otherwise("none")
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("event_id").cast("string").alias("interaction_id"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),

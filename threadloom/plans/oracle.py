@@ -796,7 +796,7 @@ _HISTOGRAM = [("le_0_5", "count(*) FILTER (intent_confidence <= 0.5)"), ("le_0_7
 _TOTALS = """count(*) AS total_inquiries, count(*) FILTER (decision = 'AUTO') AS auto_handled,
        count(*) FILTER (decision <> 'AUTO') AS escalated,
        round_even(count(*) FILTER (decision <> 'AUTO') / count(*), 4) AS escalation_rate,
-       round_even(sum(intent_confidence) / count(*), 4) AS mean_intent_confidence"""
+       round_even(round(sum(intent_confidence), 9) / count(*), 4) AS mean_intent_confidence"""
 sql("telemetry_records", TELEMETRY, """
 SELECT interaction_id, timestamp, decision, escalation_reason, predicted_intent, intent_confidence,
        retrieval_similarity, round_even(elapsed_seconds * 1000.0, 2) AS latency_ms, 'mock' AS provider_mode FROM telemetry""")
@@ -812,3 +812,41 @@ sql("telemetry_windows", TELEMETRY, f"""
 SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, {_TOTALS},
        {', '.join(f'{value} AS {name}' for name, value in _HISTOGRAM)}
 FROM telemetry GROUP BY date_trunc('hour', ts)""")
+
+# --- sources, sinks and streams ------------------------------------------------------------
+
+sql("tweet_csv_scan", TWEETS, """
+SELECT tweet_id, author_id, inbound, created_at, text, parent_id, epoch(ts)::BIGINT AS epoch FROM tweets""")
+sql("split_sink", SPLIT, """
+SELECT split, count(*) AS n, count(DISTINCT conversation_id) AS conversations FROM split_rows GROUP BY split""")
+sql("golden_sink", INTERACTIONS + "," + context_of("inter"), """
+SELECT f.form, format('GOLD_{:03d}', row_number() OVER (PARTITION BY f.form ORDER BY conversation_id, brand_tweet_id)) AS example_id,
+       interaction_id, conversation_context, customer_message, brand_response AS historical_reference_reply,
+       is_multi_turn, message_position
+FROM contexts, (SELECT unnest(['csv', 'json']) AS form) f""")
+SQL["audit_log"] = SQL["telemetry_records"]
+SQL["memory_stream"] = SQL["memory_context"].replace("ELSE 'Brand' END", "ELSE 'AmazonHelp' END")
+SQL["memory_stream_ordered"] = SQL["memory_stream"]
+SQL["telemetry_stream_totals"] = SQL["telemetry_reasons"]
+SQL["telemetry_stream_windows"] = SQL["telemetry_windows"]
+sql("triage_stream", CASES + """,
+inquiries AS (
+  SELECT conv_id * 100 + turn AS query_id, 'INT_' || conv_id || '_' || turn AS interaction_id, embedding,
+         strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(conv_id * 3600 + turn * 60), '%Y-%m-%dT%H:%M:%SZ') AS timestamp
+  FROM conversations JOIN embeddings ON vec_id = (conv_id * 8 + turn) % (SELECT count(*) FROM embeddings)
+  WHERE role = 'user'
+),
+best AS (
+  SELECT q.query_id,
+         max(round(list_inner_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 12)) AS retrieval_similarity
+  FROM inquiries q, cases c WHERE c.split = 'train' GROUP BY q.query_id
+),""" + zero_shot_of("inquiries", "(SELECT * FROM cases WHERE split = 'train')") + f""",
+decided AS (
+  SELECT *, {_TRIAGE.format(tau='0.50').replace('0.60', '0.25')} AS escalation_reason FROM (
+    SELECT q.interaction_id, q.timestamp, {INTENT_LIST}[z.predicted_class + 1] AS predicted_intent,
+           z.confidence AS intent_confidence, b.retrieval_similarity
+    FROM inquiries q JOIN best b USING (query_id) JOIN zero_shot z USING (query_id))
+)""", """
+SELECT interaction_id, timestamp, CASE WHEN escalation_reason = 'none' THEN 'AUTO' ELSE 'ESCALATE' END AS decision,
+       escalation_reason, predicted_intent, round_even(intent_confidence, 4) AS intent_confidence,
+       round_even(retrieval_similarity, 4) AS retrieval_similarity, 'mock' AS provider_mode FROM decided""")

@@ -8,12 +8,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadloom.functions import text
 from threadloom.operators import (
-    agent, context, metrics, overlap, profile, replies, retrieval, rubric, rules, splits, telemetry, tfidf, threads,
+    agent, context, learning, metrics, overlap, profile, replies, retrieval, rubric, rules, splits, telemetry, tfidf, threads,
     triage)
 from threadloom.plans.inputs import (
-    BRAND, STOP_WORDS, classified_vectors, intent_of_label, probe_rules, probe_templates, table, telemetry_events, turn_vectors,
-    turns, tweets, vectors)
+    BRAND, STOP_WORDS, as_telemetry, classified_vectors, intent_of_label, probe_rules, probe_templates, raw_tweets,
+    table, telemetry_events, turn_vectors, turns, tweets, vectors)
 from threadloom.session import materialize
+from threadloom.sources.sinks import append_audit, read_audit, read_golden, write_golden, write_splits
+from threadloom.sources.tweets import assert_source, normalise, read_tweets
+from threadloom.streaming import memory, runs
+from threadloom.streaming import telemetry as stream_telemetry
+from threadloom.streaming import triage as stream_triage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -548,3 +553,128 @@ def confidence_histogram(spark, sf):
 @query
 def telemetry_windows(spark, sf):
     return telemetry.windowed_totals(telemetry_events(spark, sf))
+
+
+# --- learning ------------------------------------------------------------------------------
+
+
+def labelled_texts(spark, sf):
+    """Customer turns with silver labels and a split by conversation."""
+    rows = turns(spark, sf).where("role = 'Customer'").withColumn(
+        "doc_id", F.col("conversation_id") * 100 + F.col("position"))
+    rows = rules.label_by_rules(rows, probe_rules(), "text").select("conversation_id", "doc_id", "text", "intent")
+    return materialize(rows.withColumn("split", splits.split_column(rows, "conversation_id")), "silver")
+
+
+@query
+def logreg_model(spark, sf):
+    rows = labelled_texts(spark, sf)
+    model, _ = learning.train(rows.where("split = 'train'"), rows.where("split = 'validation'"))
+    test = rows.where("split = 'test'")
+    return learning.predict(test, model).join(test.select("doc_id", "intent"), "doc_id").select(
+        "doc_id", "intent", "predicted_intent", F.round("intent_confidence", 4).alias("intent_confidence"))
+
+
+@query
+def kmeans_sweep(spark, sf):
+    vecs = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    swept = learning.kmeans_sweep(vecs)
+    return swept.select("k", F.round("silhouette", 6).alias("silhouette"), F.round("inertia", 4).alias("inertia"), "best")
+
+
+# --- sources and sinks ---------------------------------------------------------------------
+
+
+@query
+def tweet_csv_scan(spark, sf):
+    """The whole tweet table written as quoted multi-line CSV and scanned back."""
+    path = runs.scratch(spark, "tweets-csv")
+    source = raw_tweets(spark, sf)
+    source.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    scanned = normalise(assert_source(read_tweets(spark, path), min_rows=1))
+    return scanned.select("tweet_id", "author_id", "inbound", "created_at", "text", "parent_id",
+                          F.unix_seconds("ts").alias("epoch"))
+
+
+@query
+def split_sink(spark, sf):
+    path = runs.scratch(spark, "splits")
+    write_splits(split_interactions(spark, sf), path)
+    return spark.read.parquet(path).groupBy("split").agg(
+        F.count("*").alias("n"), F.countDistinct("conversation_id").alias("conversations"))
+
+
+@query
+def golden_sink(spark, sf):
+    """Every interaction as an annotation row, through CSV and JSON lines and back."""
+    path = runs.scratch(spark, "golden")
+    rows = splits.annotation_template(context.preceding_context(prepared(spark, sf), BRAND))
+    write_golden(rows, path)
+    back = [read_golden(spark, path, rows.schema, form).select(F.lit(form).alias("form"), "*") for form in ("csv", "json")]
+    return back[0].unionByName(back[1]).select(
+        "form", "example_id", "interaction_id", "conversation_context", "customer_message",
+        "historical_reference_reply", "is_multi_turn", "message_position")
+
+
+@query
+def audit_log(spark, sf):
+    path = runs.scratch(spark, "audit")
+    append_audit(telemetry.telemetry_record(telemetry_events(spark, sf)), path)
+    return read_audit(spark, path)
+
+
+# --- streams -------------------------------------------------------------------------------
+
+
+def turn_stream(spark, sf):
+    rows = runs.file_stream(spark, f"{sf}/conversations*.parquet", table(spark, sf, "conversations").schema)
+    role = F.when(F.col("role") == "user", "Customer").otherwise(F.lit("AmazonHelp"))
+    return rows.where(F.col("role").isin("user", "assistant")).select(
+        F.col("conv_id").alias("conversation_id"), F.col("turn").alias("position"), role.alias("role"), "text",
+        F.timestamp_seconds(F.lit(1704067200) + F.col("conv_id") * 3600 + F.col("turn") * 60).alias("ts"))
+
+
+def event_stream(spark, sf):
+    rows = runs.file_stream(spark, f"{sf}/events*.parquet", table(spark, sf, "events").schema)
+    return as_telemetry(rows)
+
+
+@query
+def memory_stream(spark, sf):
+    return runs.run_to_table(memory.memory_stream(turn_stream(spark, sf)), "memory")
+
+
+@query
+def memory_stream_ordered(spark, sf):
+    return runs.run_to_table(memory.memory_stream(turn_stream(spark, sf), "0 seconds"), "memory")
+
+
+@query
+def telemetry_stream_totals(spark, sf):
+    totals = stream_telemetry.running_totals(event_stream(spark, sf))
+    return stream_telemetry.run_updates(totals, ["decision", "escalation_reason"], "totals")
+
+
+@query
+def telemetry_stream_windows(spark, sf):
+    windows = stream_telemetry.windowed_stream(event_stream(spark, sf))
+    return stream_telemetry.run_updates(windows, ["window_start"], "windows")
+
+
+@query
+def triage_stream(spark, sf):
+    """Customer turns as a stream of inquiries, triaged against the cases of the train split."""
+    corpus, _ = cases(spark, sf)
+    classes = materialize(
+        retrieval.class_means(corpus, "label").withColumn("class_id", intent_of_label(F.col("class_id"))), "classes")
+    vecs = vectors(spark, sf, "vec_id")
+    size = vecs.count()
+    inquiries = turn_stream(spark, sf).where("role = 'Customer'").withColumn(
+        "vec_id", (F.col("conversation_id") * 8 + F.col("position")) % size).join(vecs, "vec_id").select(
+        (F.col("conversation_id") * 100 + F.col("position")).alias("query_id"),
+        F.concat_ws("_", F.lit("INT"), "conversation_id", "position").alias("interaction_id"),
+        F.col("conversation_id").cast("string").alias("conversation_id"), F.col("text").alias("customer_message"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"), "vector")
+    path = runs.scratch(spark, "triage")
+    stream_triage.start_triage(inquiries, corpus, classes, path, tau_confidence=0.25).awaitTermination()
+    return read_audit(spark, f"{path}/audit").drop("batch", "latency_ms")
