@@ -77,7 +77,7 @@ def memory_context(turns: DataFrame, max_turns: int = MAX_TURNS, max_chars: int
     """
     kept = turns.where((F.col("conversation_id").cast("string") != "") & (F.col("text") != ""))
     kept = kept.withColumn("line", history_line(F.col("role"), F.col("text")))
-    keys, order = ["conversation_id"], F.col("position")
+    keys, order, block_rows = ["conversation_id"], F.col("position"), max(block_rows, max_turns)
     large = large_groups(kept, keys, order, block_rows)
     if large is None:
         window = W.partitionBy(*keys).orderBy(order)
