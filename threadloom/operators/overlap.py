@@ -22,9 +22,11 @@ def _f1(p: Column, r: Column) -> Column:
 
 def overlap_scores(df: DataFrame, hypothesis: str, reference: str) -> DataFrame:
     """Adds BLEU-1/2/4 and ROUGE-1/2/L. Each row is scored on its own: no explode, no shuffle."""
-    words = df.withColumn("h", split_words(F.col(hypothesis))).withColumn("r", split_words(F.col(reference)))
-    counted = words.withColumn("shared", shared_grams(F.col("h"), F.col("r"))).select(
-        *df.columns, "shared.*", F.size("h").alias("nh"), F.size("r").alias("nr"))
+    row = F.struct(*df.columns)
+    words = df.select(row.alias("row"), split_words(F.col(hypothesis)).alias("h"), split_words(F.col(reference)).alias("r"))
+    counted = words.select(
+        "row", shared_grams(F.col("h"), F.col("r")).alias("shared"), F.size("h").alias("nh"), F.size("r").alias("nr")
+    ).select("row", "shared.*", "nh", "nr")
     hyp, ref = F.col("nh"), F.col("nr")
     p = {n: _share(F.col(f"grams{n}"), hyp - (n - 1)) for n in (1, 2, 4)}
     r = {n: _share(F.col(f"grams{n}"), ref - (n - 1)) for n in (1, 2)}
@@ -32,7 +34,7 @@ def overlap_scores(df: DataFrame, hypothesis: str, reference: str) -> DataFrame:
     bp = F.when(hyp > ref, 1.0).when(hyp > 0, F.exp(1 - ref / F.greatest(hyp, F.lit(1)))).otherwise(0.0)
     product = p[1] * p[2] * p[4]
     return counted.select(
-        *df.columns,
+        "row.*",
         (bp * p[1]).alias("bleu_1"), (bp * F.sqrt(p[1] * p[2])).alias("bleu_2"),
         F.when(product > 0, bp * F.pow(product, F.lit(0.25))).otherwise(0.0).alias("bleu_4"),
         _f1(p[1], r[1]).alias("rouge_1"), _f1(p[2], r[2]).alias("rouge_2"),

@@ -742,6 +742,59 @@ SELECT variant, count(*) AS n, round(avg(correctness), 6) AS correctness, round(
        round(avg({_TOTAL}), 6) AS total_score
 FROM (SELECT variant, {rubric_of('reply')} FROM variants) GROUP BY variant""")
 
+_FRAMED = f"""CASE WHEN len(lines) = 0 THEN {strip('customer_message')}
+       ELSE 'Preceding Context:' || chr(10) || right(array_to_string(lines, chr(10)), 2000) || chr(10) || chr(10)
+            || 'Current Inquiry:' || chr(10) || {strip('customer_message')} END"""
+_ESCALATING = ("account_security_access", "payment_billing_issues", "package_missing_damaged", "other_unclear")
+
+
+def answered_of(source: str) -> str:
+    intent = first_rule("lower(ctx)", PROBE, "intent")
+    return f"""
+    SELECT conversation_id, turn_no, position, ctx, intent, reply,
+           list_concat(lines, CASE WHEN reply IS NULL THEN ['Customer: ' || {strip('customer_message')}]
+                              ELSE ['Customer: ' || {strip('customer_message')}, 'Brand: ' || {strip('reply')}] END) AS joined
+    FROM (
+      SELECT *, CASE WHEN intent NOT IN ({', '.join(map(quoted, _ESCALATING))}) THEN {template_of('ctx')} END AS reply
+      FROM (SELECT *, {intent} AS intent FROM (SELECT *, {_FRAMED} AS ctx FROM ({source})))
+    )"""
+
+
+sql("agent_closed_loop", TURNS + f""",
+numbered AS (
+  SELECT conversation_id, position, text AS customer_message,
+         row_number() OVER (PARTITION BY conversation_id ORDER BY position) AS turn_no
+  FROM turns WHERE role = 'Customer'
+),
+loop_rows AS (
+  {answered_of("SELECT *, []::VARCHAR[] AS lines FROM numbered WHERE turn_no = 1")}
+  UNION ALL
+  {answered_of("SELECT n.*, CASE WHEN len(l.joined) > 4 THEN l.joined[len(l.joined) - 3:] ELSE l.joined END AS lines "
+               "FROM loop_rows l JOIN numbered n ON n.conversation_id = l.conversation_id AND n.turn_no = l.turn_no + 1")}
+)""", """
+SELECT conversation_id, position, intent, CASE WHEN reply IS NULL THEN 'ESCALATE' ELSE 'AUTO' END AS decision,
+       CASE intent WHEN 'account_security_access' THEN 'high_risk' WHEN 'payment_billing_issues' THEN 'sensitive_account_issue'
+            WHEN 'package_missing_damaged' THEN 'potential_policy_exception' WHEN 'other_unclear' THEN 'ambiguous_request'
+            ELSE 'none' END AS escalation_reason,
+       ctx AS query_context_used, reply AS generated_response
+FROM loop_rows""")
+sql("pool_diagnostics", AGENT + """,
+head AS (
+  SELECT r.*, i.customer_message, round_even(r.intent_confidence, 4) AS c, round_even(r.retrieval_similarity, 4) AS s
+  FROM records r JOIN inquiries i ON i.brand_tweet_id = r.query_id ORDER BY query_id LIMIT 1000
+)""", "SELECT count(*) AS num_items, " + ", ".join(
+    f"round(avg({x}), 6) AS {n}_mean, round(stddev_pop({x}), 6) AS {n}_std, round(min({x}), 6) AS {n}_min, "
+    f"round(max({x}), 6) AS {n}_max" for x, n in (("c", "intent_confidence"), ("s", "retrieval_similarity")))
+    + ", round(avg(length(customer_message)), 6) AS mean_message_length FROM head")
+sql("calibration_isolation", CARVED + """,
+candidates AS (
+  SELECT * FROM split_rows WHERE split = 'validation'
+    AND conversation_id NOT IN (SELECT conversation_id FROM carved WHERE part = 'golden')
+  ORDER BY md5('100|' || brand_tweet_id), brand_tweet_id LIMIT 8
+)""", """
+SELECT 'interaction_id' AS id, 'golden' AS left_part, 'calibration' AS right_part, count(*) AS n FROM (
+  SELECT interaction_id FROM carved WHERE part = 'golden' INTERSECT SELECT interaction_id FROM candidates)""")
+
 # --- TF-IDF --------------------------------------------------------------------------------
 
 

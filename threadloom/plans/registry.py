@@ -507,6 +507,37 @@ def variant_means(spark, sf):
     return rubric.variant_means(rubric.score_replies(variants, "reply"))
 
 
+@query
+def agent_closed_loop(spark, sf):
+    """All customer turns, with the agent's own replies as memory; the probe rules give the intent."""
+    rows = turns(spark, sf).where("role = 'Customer'").withColumnRenamed("text", "customer_message")
+
+    def decide(framed):
+        labelled = rules.label_by_rules(framed, probe_rules(), "query_context_used")
+        return triage.triage(labelled.withColumn("confidence", F.lit(1.0)), "intent", "confidence", "confidence")
+
+    answered = agent.closed_loop(rows, decide, BRAND, probe_templates())
+    return answered.select("conversation_id", "position", "intent", "decision", "escalation_reason",
+                           "query_context_used", "generated_response")
+
+
+@query
+def pool_diagnostics(spark, sf):
+    """Score diagnostics over the head of the inquiries, as the pool report reads its first 1,000."""
+    head = decisions(spark, sf).orderBy("query_id").limit(1000)
+    return metrics.score_diagnostics(head, ["intent_confidence", "retrieval_similarity"], "customer_message")
+
+
+@query
+def calibration_isolation(spark, sf):
+    full = materialize(split_interactions(spark, sf), "split")
+    golden = splits.carve_out(full.where("split = 'test'"), GOLDEN_N).where("part = 'golden'")
+    sample = splits.calibration_sample(full.where("split = 'validation'"), [golden], CALIBRATION_N)
+    parts = golden.select("interaction_id", F.lit("golden").alias("part")).unionByName(
+        sample.select("interaction_id", F.lit("calibration").alias("part")))
+    return splits.overlaps(parts, "interaction_id", "part", ["golden", "calibration"])
+
+
 # --- TF-IDF --------------------------------------------------------------------------------
 
 
