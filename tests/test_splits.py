@@ -80,8 +80,9 @@ def test_no_overlap_and_exact_reconstruction(inter):
 
 def test_annotation_template_and_reply_integrity(inter):
     with_context = context.preceding_context(inter.where("conversation_id = 'CONV_AH_3'"))
-    rows = splits.annotation_template(with_context).orderBy("example_id").collect()
-    assert [r.example_id for r in rows] == ["GOLD_001", "GOLD_002", "GOLD_003", "GOLD_004"]
+    rows = sorted(splits.annotation_template(with_context).collect(), key=lambda r: r.message_position)
+    order = sorted(range(30, 34), key=lambda i: hashlib.md5(f"42|{i}".encode()).hexdigest())
+    assert [r.example_id for r in rows] == [f"GOLD_{order.index(i) + 1:03d}" for i in range(30, 34)]
     assert [r.message_position for r in rows] == [1, 3, 5, 7]
     assert rows[2].conversation_context == "Customer: m0\nAmazonHelp: r0\nCustomer: m1\nAmazonHelp: r1"
     assert rows[0].annotation_version == "phase4_v1" and rows[0].risk_tier == ""

@@ -14,7 +14,11 @@ CUSTOMER, AGENT = "Customer", "AmazonHelp"
 CONTEXT_HEAD, INQUIRY_HEAD = "Preceding Context:\n", "\n\nCurrent Inquiry:\n"
 
 
-def preceding_context(inter: DataFrame, agent: str = AGENT, block_rows: int = SLICE_ROWS) -> DataFrame:
+#: Pairs of one conversation whose whole histories are joined in one task.
+HISTORY_BLOCK_ROWS = 10_000
+
+
+def preceding_context(inter: DataFrame, agent: str = AGENT, block_rows: int = HISTORY_BLOCK_ROWS) -> DataFrame:
     """All earlier lines of the conversation for each interaction, its position and multi-turn flag.
 
     A conversation above ``block_rows`` pairs is cut into blocks: each block joins its own lines in

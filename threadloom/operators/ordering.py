@@ -56,6 +56,21 @@ def cut_keys(keyed: DataFrame, targets: dict[str, Column], weight: Column | None
     )
 
 
+def global_rank(df: DataFrame, key: Column, name: str) -> DataFrame:
+    """1-based rank of every row by a hex key, without a window over the whole table.
+
+    Rows are ranked inside their 4-digit key prefix and shifted by the totals of the prefixes
+    before it; the table of totals has at most 65,536 rows.
+    """
+    rows = df.withColumn("rank_key", key).withColumn("prefix", F.substring("rank_key", 1, 4))
+    totals = rows.groupBy("prefix").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(W.partitionBy(F.lit(0)).orderBy("prefix").rowsBetween(W.unboundedPreceding, -1))
+    shifts = totals.select("prefix", F.coalesce(before, F.lit(0)).alias("shift"))
+    inside = F.row_number().over(W.partitionBy("prefix").orderBy("rank_key"))
+    return rows.withColumn("inside", inside).join(F.broadcast(shifts), "prefix").withColumn(
+        name, F.col("inside") + F.col("shift")).drop("prefix", "rank_key", "inside", "shift")
+
+
 def large_groups(df: DataFrame, keys: list[str], order: Column, slice_rows: int) -> DataFrame | None:
     """Groups above ``slice_rows`` with their order range, or None. Reads key columns only."""
     numeric = order.cast("double")

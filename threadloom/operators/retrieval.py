@@ -15,8 +15,8 @@ from threadloom.session import materialize
 
 #: A search task compares at most about this many corpus rows with this many query rows.
 BLOCK_ROWS, QUERY_ROWS = 8192, 4096
-#: Cells of the corpus; the pivots and one radius per cell are all the driver ever holds.
-PIVOTS = 64
+#: Most cells a corpus is cut into; the pivots and one radius per cell are all the driver ever holds.
+MAX_PIVOTS = 2048
 MAX_CLASSES = 1000
 # Corpus columns and the softmax temperature.
 CORPUS_COLUMNS = ["interaction_id", "conversation_id", "customer_message", "brand_response"]
@@ -26,7 +26,7 @@ _HITS = "query_id bigint, corpus_id bigint, similarity double"
 
 
 def knn_join(queries: DataFrame, corpus: DataFrame, k: int, exclude_same_id: bool = False,
-             block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS, pivots: int = PIVOTS) -> DataFrame:
+             block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS, pivots: int | None = None) -> DataFrame:
     """(query_id, corpus_id, similarity, rank): the k best corpus rows of every query, exactly.
 
     ``queries``: query_id, vector; ``corpus``: corpus_id, vector; vectors have unit length.
@@ -39,10 +39,12 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, exclude_same_id: boo
     """
     corpus = corpus.select("corpus_id", "vector")
     queries = queries.select("query_id", "vector")
-    if corpus.count() <= block_rows:
+    size = corpus.count()
+    if size <= block_rows:
         located = corpus.withColumn("cell", F.lit(0))
         hits = _search(queries.withColumn("cell", F.lit(0)), located, {0: 1}, k, exclude_same_id, query_rows)
         return rank_hits(hits, k)
+    pivots = pivots or min(MAX_PIVOTS, math.ceil(size / block_rows))
     centres = np.array([r["vector"] for r in seeded_sample(corpus, pivots, 0, ["corpus_id"]).collect()], dtype=float)
     located = materialize(
         corpus.withColumn("at", _nearest(centres)(F.col("vector")))

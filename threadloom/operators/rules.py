@@ -210,7 +210,9 @@ def mine_examples(train: DataFrame, held_out: DataFrame, rules: list[Rule] = EXA
     An intent with fewer is filled from one seeded sample. Ranks use a partial top-n in each task,
     so a frequent intent does not travel as a whole.
     """
-    free = train.join(held_out, "text", "left_anti").withColumn("example", clean_handles(F.col("text")))
+    # copies of a text collapse first, on the key the exclusion join needs anyway
+    texts = train.groupBy("text").agg(F.min("id").alias("id"))
+    free = texts.join(held_out, "text", "left_anti").withColumn("example", clean_handles(F.col("text")))
     hits = F.array_compact(F.array(*[
         F.when(F.col("text").rlike("(?iu)" + "|".join(rf"\Q{w}\E" for w in rule.words)), F.lit(rule.intent))
         for rule in rules]))

@@ -6,7 +6,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from threadloom.operators.ordering import cut_keys, order_key
+from threadloom.operators.ordering import cut_keys, global_rank, order_key
 from threadloom.operators.profile import turn_distribution
 from threadloom.schemas import GOLDEN_COLUMNS
 
@@ -23,18 +23,15 @@ def split_column(ids: DataFrame, id_column: str, seed: int = SPLIT_SEED,
                  train: float = TRAIN_SHARE, validation: float = VALIDATION_SHARE) -> Column:
     """The split of an id: floor(train N) first ids of the seeded order, then floor(validation N).
 
-    Only two cut keys are looked up, so assigning a split to any table is a comparison without a
-    join or shuffle.
+    Only two cut keys are looked up, as one row, so assigning a split to any table is a comparison
+    with two literals: no join, no shuffle.
     """
     keyed = ids.select(id_column).distinct().select(order_key(seed, id_column).alias("key"))
     n_train, n_validation = F.floor(F.col("total") * train), F.floor(F.col("total") * validation)
-    cuts = cut_keys(keyed, {"train": n_train, "validation": n_train + n_validation})
+    cuts = cut_keys(keyed, {"train": n_train, "validation": n_train + n_validation}).first()
     key = order_key(seed, id_column)
-    return (
-        F.when(key <= cuts.select("train").scalar(), "train")
-        .when(key <= cuts.select("validation").scalar(), "validation")
+    return F.when(key <= F.lit(cuts["train"]), "train").when(key <= F.lit(cuts["validation"]), "validation") \
         .otherwise("test")
-    )
 
 
 def split_conversations(inter: DataFrame, seed: int = SPLIT_SEED) -> DataFrame:
@@ -55,12 +52,11 @@ def sample_subsets(split: DataFrame, targets: dict[str, int] = SUBSET_TARGETS,
         target = F.when(F.col("split") == name, targets.get(name, 0)).otherwise(target)
     key = order_key(split_seed, "conversation_id")
     sizes = split.groupBy("split", "conversation_id").agg(F.count("*").alias("n")).withColumn("key", key)
-    cuts = cut_keys(sizes, {"cut": target}, F.col("n"), ["split"])
-    # one row per split
-    return (
-        split.join(F.broadcast(cuts), "split", "left")
-        .where(F.col("cut").isNull() | (key <= F.col("cut"))).drop("cut")
-    )
+    cuts = cut_keys(sizes, {"cut": target}, F.col("n"), ["split"]).collect()  # at most one row per split
+    keep = F.lit(True)
+    for row in cuts:
+        keep = F.when(F.col("split") == row["split"], key <= row["cut"]).otherwise(keep)
+    return split.where(keep)
 
 
 def overlaps(df: DataFrame, id_column: str, part: str, parts: list[str]) -> DataFrame:
@@ -113,17 +109,15 @@ def reconstruction_violations(parts: list[DataFrame], whole: DataFrame, keys: li
     )
 
 
-def numbered(df: DataFrame, prefix: str, name: str, order: list[Column | str]) -> DataFrame:
-    """Sequential labels ``PREFIX_001`` over a sample; the input is a limited set."""
-    from pyspark.sql import Window as W
-
-    row = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(*order))
-    return df.withColumn(name, F.format_string(f"{prefix}_%03d", row))
+def numbered(df: DataFrame, prefix: str, name: str, seed: int, ids: list[str]) -> DataFrame:
+    """Sequential labels ``PREFIX_001`` in seeded order."""
+    ranked = global_rank(df, order_key(seed, *ids), "number")
+    return ranked.withColumn(name, F.format_string(f"{prefix}_%03d", F.col("number"))).drop("number")
 
 
 def annotation_template(golden_with_context: DataFrame) -> DataFrame:
     """The 14-column annotation table with blank label columns."""
-    rows = numbered(golden_with_context, "GOLD", "example_id", ["conversation_id", "brand_tweet_id"])
+    rows = numbered(golden_with_context, "GOLD", "example_id", SPLIT_SEED, ["brand_tweet_id"])
     blank = F.lit("")
     return rows.select(
         "*", F.col("brand_response").alias("historical_reference_reply"),
@@ -148,7 +142,7 @@ def calibration_sample(validation: DataFrame, excluded: list[DataFrame], n: int
             raise ValueError(f"{found} calibration candidates, {n} needed")
     ids = ["brand_tweet_id"]
     sample = seeded_sample(candidates, n, seed, ids)
-    return numbered(sample, "CALIB", "calib_id", [order_key(seed, *ids), *ids])
+    return numbered(sample, "CALIB", "calib_id", seed, ids)
 
 
 def reply_violations(labelled: DataFrame, source: DataFrame) -> DataFrame:

@@ -260,7 +260,7 @@ SELECT scope, split, {_TURNS}, interactions FROM (
 sql("split_overlap", SPLIT, overlap_sql("split_rows", "split", ["train", "validation", "test"]))
 sql("golden_carveout", CARVED, "SELECT conversation_id, brand_tweet_id, part FROM carved")
 sql("golden_template", CARVED + ", golden AS (SELECT * FROM carved WHERE part = 'golden')," + context_of("golden"), """
-SELECT format('GOLD_{:03d}', row_number() OVER (ORDER BY conversation_id, brand_tweet_id)) AS example_id,
+SELECT format('GOLD_{:03d}', row_number() OVER (ORDER BY md5('42|' || brand_tweet_id))) AS example_id,
        conversation_id, interaction_id, conversation_context, customer_message, '' AS ground_truth_intent,
        brand_response AS historical_reference_reply, is_multi_turn, message_position, '' AS risk_tier,
        '' AS requires_human_escalation, '' AS escalation_reason, '' AS annotation_notes,
@@ -873,7 +873,7 @@ SELECT tweet_id, author_id, inbound, created_at, text, parent_id, epoch(ts)::BIG
 sql("split_sink", SPLIT, """
 SELECT split, count(*) AS n, count(DISTINCT conversation_id) AS conversations FROM split_rows GROUP BY split""")
 sql("golden_sink", INTERACTIONS + "," + context_of("inter"), """
-SELECT f.form, format('GOLD_{:03d}', row_number() OVER (PARTITION BY f.form ORDER BY conversation_id, brand_tweet_id)) AS example_id,
+SELECT f.form, format('GOLD_{:03d}', row_number() OVER (PARTITION BY f.form ORDER BY md5('42|' || brand_tweet_id))) AS example_id,
        interaction_id, conversation_context, customer_message, brand_response AS historical_reference_reply,
        is_multi_turn, message_position
 FROM contexts, (SELECT unnest(['csv', 'json']) AS form) f""")

@@ -183,7 +183,7 @@ def golden_disjointness(spark, sf):
 @query
 def reply_integrity(spark, sf):
     full = prepared(spark, sf)
-    template = splits.annotation_template(context.preceding_context(full, BRAND))
+    template = full.withColumn("historical_reference_reply", F.col("brand_response"))
     return splits.reply_violations(template, full).agg(F.count("*").alias("violations"))
 
 
@@ -278,7 +278,7 @@ def heldout_filter(spark, sf):
 def calibration_labels(spark, sf):
     full = materialize(split_interactions(spark, sf), "split")
     golden = splits.carve_out(full.where("split = 'test'"), GOLDEN_N).where("part = 'golden'")
-    sample = splits.calibration_sample(full.where("split = 'validation'"), [golden], CALIBRATION_N)
+    sample = splits.calibration_sample(full.where("split = 'validation'"), [golden], CALIBRATION_N, strict=False)
     predicted = rules.label_by_rules(sample, probe_rules()).withColumn("predicted_intent", F.col("intent"))
     return rules.label_calibration(predicted.drop("requires_human_escalation", "escalation_reason")).select(
         "calib_id", "brand_tweet_id", "predicted_intent", "requires_human_escalation", "escalation_reason")
@@ -532,7 +532,7 @@ def pool_diagnostics(spark, sf):
 def calibration_isolation(spark, sf):
     full = materialize(split_interactions(spark, sf), "split")
     golden = splits.carve_out(full.where("split = 'test'"), GOLDEN_N).where("part = 'golden'")
-    sample = splits.calibration_sample(full.where("split = 'validation'"), [golden], CALIBRATION_N)
+    sample = splits.calibration_sample(full.where("split = 'validation'"), [golden], CALIBRATION_N, strict=False)
     parts = golden.select("interaction_id", F.lit("golden").alias("part")).unionByName(
         sample.select("interaction_id", F.lit("calibration").alias("part")))
     return splits.overlaps(parts, "interaction_id", "part", ["golden", "calibration"])
