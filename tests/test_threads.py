@@ -127,6 +127,15 @@ def test_conversation_lengths_and_turns(spark):
     assert len(threads.thread_sample(threads.thread_messages(df), 5).columns) == 8
 
 
+def test_hot_message_is_spread_without_losing_replies(spark):
+    rows = [tweet(1, "c", True), tweet(2, "c", True), tweet(3, "c", True, 1)]
+    rows += [tweet(100 + i, "AmazonHelp", False, 1 if i % 3 else 2 + i % 2) for i in range(60)]
+    df = frame(spark, *rows)
+    plain, spread = threads.rooted_pairs(df), threads.rooted_pairs(df, hot_rows=5)
+    assert plain.count() == 60
+    assert tuples(plain) == tuples(spread.select(*plain.columns))
+
+
 def test_sliced_positions_equal_plain_positions(spark):
     df = spark.range(200).select(F.lit("one").alias("conversation_id"), (F.col("id") * 7 % 31).alias("at"), "id") \
         .unionByName(spark.range(3).select(F.lit("small").alias("conversation_id"), F.lit(None).cast("long").alias("at"), "id"))

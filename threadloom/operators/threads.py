@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from threadloom.functions.text import is_blank
 from threadloom.operators.ordering import SLICE_ROWS, positions
+from threadloom.operators.skew import HOT_ROWS, lookup_join
 from threadloom.schemas import INTERACTION_COLUMNS
 from threadloom.session import materialize
 
@@ -31,13 +32,8 @@ def match_parents(tweets: DataFrame, brand: str = BRAND) -> DataFrame:
     return replies.join(parents, "parent_id", "left")
 
 
-def reply_pairs(tweets: DataFrame, brand: str = BRAND) -> DataFrame:
-    """Each brand reply next to the customer message it answers.
-
-    One equi-join on the parent id. The customer side is unique per id, so a message with very
-    many replies only makes the reply side long, which the adaptive skew join splits.
-    """
-    replies = brand_replies(tweets, brand).where(F.col("parent_id").isNotNull()).select(
+def _replies(tweets: DataFrame, brand: str) -> DataFrame:
+    return brand_replies(tweets, brand).where(F.col("parent_id").isNotNull()).select(
         F.col("parent_id").alias("customer_tweet_id"),
         F.col("tweet_id").alias("brand_tweet_id"),
         F.col("author_id").alias("brand_author_id"),
@@ -45,7 +41,10 @@ def reply_pairs(tweets: DataFrame, brand: str = BRAND) -> DataFrame:
         F.col("created_at").alias("brand_created_at"),
         F.col("ts").alias("brand_ts"),
     )
-    customers = tweets.where("inbound").select(
+
+
+def _customers(tweets: DataFrame) -> DataFrame:
+    return tweets.where("inbound").select(
         F.col("tweet_id").alias("customer_tweet_id"),
         F.col("author_id").alias("customer_author_id"),
         F.col("text").alias("customer_message"),
@@ -53,7 +52,11 @@ def reply_pairs(tweets: DataFrame, brand: str = BRAND) -> DataFrame:
         F.col("ts").alias("customer_ts"),
         F.col("parent_id").alias("customer_parent_id"),
     )
-    return replies.join(customers, "customer_tweet_id")
+
+
+def reply_pairs(tweets: DataFrame, brand: str = BRAND, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Each brand reply next to the customer message it answers."""
+    return lookup_join(_replies(tweets, brand), _customers(tweets), "customer_tweet_id", "brand_tweet_id", hot_rows)
 
 
 def thread_roots(tweets: DataFrame) -> DataFrame:
@@ -121,10 +124,15 @@ def _close_cycles(links: DataFrame, state: DataFrame) -> DataFrame:
     return _inbound_roots(links, done.unionByName(closed))
 
 
-def rooted_pairs(tweets: DataFrame, brand: str = BRAND) -> DataFrame:
-    """Reply pairs with their ids and conversation."""
+def rooted_pairs(tweets: DataFrame, brand: str = BRAND, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Reply pairs with their ids and conversation.
+
+    Roots meet the customer messages first, one row to one row; the replies, of which one message
+    may have very many, come last and are spread where a message is hot.
+    """
     roots = thread_roots(tweets).withColumnRenamed("tweet_id", "customer_tweet_id")
-    return reply_pairs(tweets, brand).join(roots, "customer_tweet_id").select(
+    customers = _customers(tweets).join(roots, "customer_tweet_id")
+    return lookup_join(_replies(tweets, brand), customers, "customer_tweet_id", "brand_tweet_id", hot_rows).select(
         "*",
         F.concat(F.lit(CONVERSATION_PREFIX), F.col("root_id")).alias("conversation_id"),
         F.concat(F.lit(INTERACTION_PREFIX), F.col("customer_tweet_id")).alias("interaction_id"),
