@@ -525,7 +525,7 @@ _GRID_COLUMNS = """tau_confidence, tau_similarity, tp, fp, fn, tn, round(precisi
        round(recall, 6) AS recall, round(f1, 6) AS f1, round(false_auto_rate, 6) AS false_auto_rate"""
 sql("threshold_grid", GRID, f"SELECT {_GRID_COLUMNS} FROM grid")
 sql("threshold_best", GRID, f"""
-SELECT {_GRID_COLUMNS} FROM grid WHERE false_auto_rate <= 0.30::DOUBLE
+SELECT {_GRID_COLUMNS} FROM grid WHERE false_auto_rate <= 0.1501::DOUBLE
 ORDER BY f1 DESC, tau_confidence, tau_similarity LIMIT 1""")
 
 sql("confusion_matrix", CLASSIFIED + """,

@@ -342,7 +342,7 @@ def threshold_grid(spark, sf):
 
 @query
 def threshold_best(spark, sf):
-    return _rounded_grid(triage.best_thresholds(triage.threshold_grid(scored_vectors(spark, sf)), 0.30))
+    return _rounded_grid(triage.best_thresholds(triage.threshold_grid(scored_vectors(spark, sf))))
 
 
 @query
