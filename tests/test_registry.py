@@ -17,7 +17,7 @@ SAMPLE = ["interaction_funnel", "split_sample", "golden_carveout", "cleaned_exam
 def test_names_match_and_entry_runs(spark):
     queries, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(queries)
-    assert set(queries) - set(sql) == {"rouge_l", "logreg_model", "kmeans_sweep"}
+    assert set(queries) - set(sql) == {"logreg_model", "kmeans_sweep"}
     assert entry.entry(spark).count() > 0
 
 

@@ -644,6 +644,28 @@ sql("bleu_rouge_n", GRAMS, "SELECT brand_tweet_id, " + ", ".join(
 sql("bleu_rouge_means", GRAMS, "SELECT count(*) AS pairs, " + ", ".join(
     f"round(avg({s}::DOUBLE), 6) AS {s}" for s in _OVERLAPS) + " FROM scores")
 
+# one row of the common-subsequence table per word; a running maximum closes the row
+sql("rouge_l", INTERACTIONS + f""",
+words AS (
+  SELECT brand_tweet_id, [w FOR w IN string_split_regex(lower(customer_message), '{SPACE}+') IF w <> ''] AS h,
+         [w FOR w IN string_split_regex(lower(brand_response), '{SPACE}+') IF w <> ''] AS r FROM inter
+),
+lcs AS (
+  SELECT brand_tweet_id, 0 AS i, [0 FOR x IN r] AS filled FROM words
+  UNION ALL
+  SELECT brand_tweet_id, i + 1, [list_max(step[1:j]) FOR j IN range(1, len(step) + 1)] FROM (
+    SELECT l.brand_tweet_id, l.i,
+           [CASE WHEN w.h[l.i + 1] = w.r[j] THEN CASE WHEN j = 1 THEN 0 ELSE l.filled[j - 1] END + 1
+                 ELSE l.filled[j] END FOR j IN range(1, len(w.r) + 1)] AS step
+    FROM lcs l JOIN words w USING (brand_tweet_id) WHERE l.i < len(w.h)
+  )
+),
+shares AS (
+  SELECT brand_tweet_id, coalesce(filled[len(filled)], 0) / len(h) AS p, coalesce(filled[len(filled)], 0) / len(r) AS q
+  FROM lcs JOIN words USING (brand_tweet_id) WHERE i = len(h)
+)""", """
+SELECT brand_tweet_id, round(CASE WHEN p + q > 0 THEN 2 * p * q / (p + q) ELSE 0 END, 6) AS rouge_l FROM shares""")
+
 sql("rubric_scores", TURNS, f"""
 SELECT *, {_TOTAL} AS total_score FROM (
   SELECT conversation_id, position, {rubric_of('text')} FROM turns WHERE role = 'Brand')""")
