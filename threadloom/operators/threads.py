@@ -74,20 +74,23 @@ def thread_roots(tweets: DataFrame) -> DataFrame:
     )
     state = links.select("tweet_id", "jump", F.when(F.col("inbound"), F.col("tweet_id")).alias("top"))
     is_open = F.col("jump").isNotNull()
-    n_open, distance, bound = state.where(is_open).count(), 1, None
+    done, moving = state.where(~is_open), state.where(is_open)
+    n_open, distance, bound = moving.count(), 1, None
     while n_open:
         # an open row has at least ``distance`` ancestors, and all but the last of them are open
         longest = n_open + distance
         bound = longest if bound is None else min(bound, longest)
         if distance > bound:
-            return _close_cycles(links, state)
-        ahead = state.select(F.col("tweet_id").alias("jump"), F.col("jump").alias("next_jump"),
-                             F.col("top").alias("next_top"))
-        moved = state.where(is_open).join(ahead, "jump").select(
+            return _close_cycles(links, done, moving)
+        ahead = done.unionByName(moving).select(
+            F.col("tweet_id").alias("jump"), F.col("jump").alias("next_jump"), F.col("top").alias("next_top"))
+        moved = moving.join(ahead, "jump").select(
             "tweet_id", F.col("next_jump").alias("jump"), F.coalesce("next_top", "top").alias("top"))
-        state = materialize(state.where(~is_open).unionByName(moved), "thread-roots")
-        n_open, distance = state.where(is_open).count(), distance * 2
-    return _inbound_roots(links, state)
+        # only rows that moved are written again; finished rows stay where they are
+        moved = materialize(moved, "thread-roots")
+        done, moving = done.unionByName(moved.where(~is_open)), moved.where(is_open)
+        n_open, distance = moving.count(), distance * 2
+    return _inbound_roots(links, done)
 
 
 def _inbound_roots(links: DataFrame, state: DataFrame) -> DataFrame:
@@ -96,13 +99,12 @@ def _inbound_roots(links: DataFrame, state: DataFrame) -> DataFrame:
         state.select("tweet_id", F.col("top").alias("root_id")), "tweet_id")
 
 
-def _close_cycles(links: DataFrame, state: DataFrame) -> DataFrame:
+def _close_cycles(links: DataFrame, done: DataFrame, looping: DataFrame) -> DataFrame:
     """Finish rows that lead into a cycle: walk with the visited ids until one would repeat."""
-    done = state.where(F.col("jump").isNull())
     parents = links.where(F.col("jump").isNotNull()).select(
         F.col("tweet_id").alias("at"), F.col("jump").alias("next"))
     inbound = links.where("inbound").select(F.col("tweet_id").alias("next"), F.lit(True).alias("next_inbound"))
-    walk = state.where(F.col("jump").isNotNull()).select(
+    walk = looping.select(
         "tweet_id", F.col("tweet_id").alias("at"), F.array("tweet_id").alias("seen"),
         F.when(F.lit(True), F.col("tweet_id")).alias("top"), F.lit(False).alias("closed"))
     while not walk.where(~F.col("closed")).isEmpty():
