@@ -38,7 +38,7 @@ LEVELS = 4
 #: Classes of a tile that one block holds.
 BLOCK = 1000
 #: Bits of a signature per difference allowed in its band.
-BITS_PER_DIFFERENCE = 32
+BITS_PER_DIFFERENCE = 8
 
 SETS = ("doc_id long, n_shingles long, fp_hi long, fp_lo long, keys array<long>, bitmap binary")
 
