@@ -86,6 +86,6 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_score: int = MIN_SCORE)
 
 def clean(docs: DataFrame, benchmark: DataFrame, min_score: int = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` without a verified overlap, with all their columns."""
-    found = overlaps(docs, benchmark, min_score).select(F.col("doc_id").alias("hit_doc"), F.col("text_key").alias("hit_key")).distinct()
-    here = docs.doc_id.cast("long").eqNullSafe(F.col("hit_doc")) & (F.xxhash64(docs.text.cast("string")) == F.col("hit_key"))
+    found = overlaps(docs, benchmark, min_score).select(F.col("doc_id").alias("_hit_doc"), F.col("text_key").alias("_hit_key")).distinct()
+    here = docs.doc_id.cast("long").eqNullSafe(F.col("_hit_doc")) & (F.xxhash64(docs.text.cast("string")) == F.col("_hit_key"))
     return docs.join(found, here, "left_anti")

@@ -48,10 +48,14 @@ def op6_ngram_jaccard_join(spark, sf):
     return ngram_join.ngram_components(table(spark, sf, "documents"), k=3, percent=90)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    pieces = packing.pack(docs, tokenizer_path())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 @query
 def op7_pack_tokens(spark, sf):
-    pieces = packing.pack(table(spark, sf, "documents"), tokenizer_path())
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return packed(table(spark, sf, "documents"))
 
 
 @query

@@ -152,26 +152,25 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", rules: tuple[Rule, ...] = RU
 
     All rows and columns stay; ``n_chars`` follows the new text where it exists.
     """
-    spans = find_secrets(docs, rules)
-    order = Window.partitionBy("doc_id", "text_key").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
-    fresh = F.coalesce(F.col("start") > F.max("end").over(order), F.lit(True))
-    group = F.sum(fresh.cast("int")).over(Window.partitionBy("doc_id", "text_key").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0))
-    merged = spans.withColumn("fresh", fresh).withColumn("run", F.sum(F.col("fresh").cast("int")).over(
-        Window.partitionBy("doc_id", "text_key").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0))
-    ).groupBy("doc_id", "text_key", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    cuts = merged.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts")).select(
-        F.col("doc_id").alias("cut_doc"), F.col("text_key").alias("cut_key"), "cuts")
+    in_text = Window.partitionBy("doc_id", "text_key").orderBy("start", "end")
+    fresh = F.coalesce(F.col("start") > F.max("end").over(in_text.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    runs = find_secrets(docs, rules).withColumn("fresh", fresh.cast("int")).withColumn(
+        "run", F.sum("fresh").over(in_text.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = runs.groupBy("doc_id", "text_key", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    cuts = merged.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_secret_cuts")).select(
+        F.col("doc_id").alias("_secret_doc"), F.col("text_key").alias("_secret_key"), "_secret_cuts")
     names = docs.columns
-    keyed = docs.withColumn("text_key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    joined = keyed.join(cuts, keyed.doc_id.cast("long").eqNullSafe(F.col("cut_doc")) & (F.col("text_key") == F.col("cut_key")), "left")
+    own_key = F.xxhash64(F.coalesce(docs.text.cast("string"), F.lit("")))
+    joined = docs.join(cuts, docs.doc_id.cast("long").eqNullSafe(F.col("_secret_doc")) & (own_key == F.col("_secret_key")), "left")
+    cut = F.col("_secret_cuts")
+    from_place = lambda i: F.coalesce(F.get(cut, i - 1)["end"], F.lit(0))
     pieces = F.transform(
-        F.sequence(F.lit(0), F.size("cuts")),
+        F.sequence(F.lit(0), F.size(cut)),
         lambda i: F.substring(
-            F.col("text"),
-            F.coalesce(F.get("cuts", i - 1)["end"], F.lit(0)).cast("int") + 1,
-            (F.coalesce(F.get("cuts", i)["start"], F.length("text").cast("long")) - F.coalesce(F.get("cuts", i - 1)["end"], F.lit(0))).cast("int")))
-    text = F.when(F.col("cuts").isNull(), F.col("text")).otherwise(F.array_join(pieces, mark))
+            docs.text, from_place(i).cast("int") + 1,
+            (F.coalesce(F.get(cut, i)["start"], F.length(docs.text).cast("long")) - from_place(i)).cast("int")))
+    text = F.when(cut.isNull(), docs.text).otherwise(F.array_join(pieces, mark))
     out = joined.withColumn("text", text)
     if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("cuts").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+        out = out.withColumn("n_chars", F.when(cut.isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return out.select(*names)

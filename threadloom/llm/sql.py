@@ -37,3 +37,155 @@ WITH RECURSIVE {jaccard_ctes('documents', 3, 90)}
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, d.doc_id) AS component_id
 FROM documents d LEFT JOIN sized USING (doc_id) LEFT JOIN component c ON c.id = d.doc_id
 """
+
+SQL["op10_vector_near_dedup"] = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.93),
+{_components('link')}
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component, vec_id) AS component_id,
+       coalesce(component, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY a) ON a = vec_id LEFT JOIN component ON id = vec_id
+"""
+
+
+def _rule_rows(rank: int, rule) -> str:
+    """Surviving matches of one rule: places follow from the pieces between the matches."""
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, '{rule.kind}' AS kind, {rank} AS rank, unnest(range(1, len(m) + 1)) AS i, m, c, p, {rule.min_length} AS least
+  FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}', 0) AS m, regexp_extract_all(t, '{pattern}', {rule.group}) AS c,
+               regexp_split_to_array(t, '{pattern}') AS p FROM docs) WHERE len(m) > 0"""
+
+
+def _secrets() -> str:
+    from threadloom.llm.secrets import BASE, RULES
+
+    found = "\n  UNION ALL".join(_rule_rows(i, r) for i, r in enumerate(RULES))
+    counts = ", ".join(f"count(kind) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in BASE)
+    base = ", ".join(f"'{r.kind}'" for r in BASE)
+    joined = "coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) {}, '')"
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({found}),
+span AS (
+  SELECT doc_id, kind, rank, list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS s, length(m[i]) AS n
+  FROM found WHERE length(c[i]) >= least),
+placed AS (SELECT doc_id, kind, rank, s::BIGINT AS s, (s + n)::BIGINT AS e FROM span)
+SELECT d.doc_id, {counts}, sha256({joined.format(f"FILTER (kind IN ({base}))")}) AS base_sha256, {joined.format("")} AS spans
+FROM docs d LEFT JOIN placed USING (doc_id) GROUP BY d.doc_id
+"""
+
+
+SQL["op3_secret_scan"] = _secrets()
+
+
+def _overlaps() -> str:
+    from threadloom.llm.decontamination import MASKS, MIN_SCORE, MISMATCH
+
+    words = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+    places = lambda t: "\n  UNION ALL ".join(
+        f"SELECT id, {i} AS mask, i - 1 AS place, [{', '.join(f'w[i + {j}]' for j in m)}] AS seed FROM (SELECT id, w, unnest(range(1, len(w) - {m[-1]} + 1)) AS i FROM {t})"
+        for i, m in enumerate(MASKS))
+    return f"""
+WITH dw AS (SELECT doc_id AS id, {words} AS w FROM documents),
+iw AS (SELECT item_id AS id, {words} AS w FROM benchmark),
+ds AS ({places('dw')}),
+items AS ({places('iw')}),
+hit AS (SELECT DISTINCT ds.id AS doc_id, items.id AS item_id, ds.place - items.place AS diagonal FROM ds JOIN items USING (mask, seed)),
+line AS (
+  SELECT doc_id, item_id, diagonal, i, coalesce(CASE WHEN diagonal + i >= 1 THEN dw.w[diagonal + i] END = iw.w[i], false) AS same
+  FROM (SELECT hit.*, unnest(range(1, len(w) + 1)) AS i FROM hit JOIN iw ON iw.id = item_id) h
+  JOIN dw ON dw.id = doc_id JOIN iw ON iw.id = item_id),
+summed AS (
+  SELECT *, sum(CASE WHEN same THEN 1 ELSE {MISMATCH} END) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY i) AS total FROM line),
+low AS (
+  SELECT *, coalesce(min(total) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS least
+  FROM summed),
+scored AS (
+  SELECT doc_id, item_id, diagonal, max(total - least(least, 0)) AS score, count(*) FILTER (same) AS matched FROM low GROUP BY 1, 2, 3)
+SELECT doc_id, item_id, diagonal AS doc_place, matched, score::BIGINT AS score FROM scored WHERE score >= {MIN_SCORE}
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY score DESC, diagonal) = 1
+"""
+
+
+SQL["op5_decontaminate"] = _overlaps()
+
+
+def _licenses() -> str:
+    from threadloom.llm.licenses import COVERAGE, K, NEAR, PHRASES, TEMPLATES
+
+    phrases = ", ".join(f"('{p}', {len(p.split())}, '{label}')" for p, label in PHRASES.items())
+    numbered = [(label, text.split()) for label, texts in TEMPLATES.items() for text in texts]
+    rows = ", ".join(f"('{label}', {n}, {i}, '{' '.join(w[i:i + K])}', {len(w) - K + 1})" for n, (label, w) in enumerate(numbered) for i in range(len(w) - K + 1))
+    return f"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+phrase(gram, k, label) AS (VALUES {phrases}),
+template(label, template, place, gram, places) AS (VALUES {rows}),
+gram AS (
+  SELECT doc_id, i - 1 AS place, k, array_to_string(w[i:i + k - 1], ' ') AS gram
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (VALUES (2), (3)) sizes(k))),
+base AS (
+  SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels
+  FROM gram JOIN phrase USING (gram, k) GROUP BY doc_id),
+vote AS (
+  SELECT doc_id, t.label, t.template, t.place AS tplace, t.places, g.place, g.place - t.place AS diagonal
+  FROM gram g JOIN template t ON g.gram = t.gram AND g.k = {K}),
+step AS (
+  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal, place) <= {NEAR} THEN 0 ELSE 1 END AS fresh FROM vote),
+merged AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal, place ROWS UNBOUNDED PRECEDING) AS span FROM step),
+span AS (
+  SELECT doc_id, label, count(DISTINCT tplace) / places AS coverage FROM merged GROUP BY doc_id, label, template, places, span
+  HAVING count(DISTINCT tplace) / places >= {COVERAGE}),
+own AS (SELECT doc_id, list(DISTINCT label) AS labels, max(coverage) AS score FROM span GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       array_to_string(list_sort(coalesce(base.labels, [])), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(own.labels, [])))), ',') AS labels,
+       greatest(CASE WHEN n_base > 0 THEN 1.0 ELSE 0.0 END::DOUBLE, coalesce(score, 0.0)) AS score
+FROM words d LEFT JOIN base USING (doc_id) LEFT JOIN own USING (doc_id)
+"""
+
+
+SQL["op9_license_scan"] = _licenses()
+
+
+def _chat() -> str:
+    from threadloom.llm.chat import INSTRUCT
+
+    control = "|".join(c.replace("[", "\\[").replace("]", "\\]") for c in sorted(INSTRUCT.control, key=len, reverse=True))
+    marks = " ".join(f"WHEN '{role}' THEN {len(t.before) + len(t.after)}" for role, t in INSTRUCT.turns.items())
+    other = len(INSTRUCT.other.before.replace("{role}", "")) + len(INSTRUCT.other.after)
+    pattern = f"\\\\|{control}"
+    grown = lambda c: f"length(regexp_replace({c}, '{pattern}', '\\0_', 'g'))"
+    follows = " OR ".join(f"(state = '{s}' AND role IN ({', '.join(repr(r) for r in after)}))" for s, after in INSTRUCT.follows.items())
+    states = ", ".join(f"'{s}'" for s in INSTRUCT.follows)
+    learned = ", ".join(f"'{role}'" for role, t in INSTRUCT.turns.items() if t.loss)
+    text = "</s>[INST] ok [/INST]"
+    order = "ORDER BY turn NULLS FIRST, role, text"
+    return f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '{text}'), (-1, 1, 'assistant', '{text}')),
+seen AS (
+  SELECT *, row_number() OVER w AS nth, lag(turn) OVER w AS last_turn,
+    CASE WHEN row_number() OVER w = 1 THEN '{INSTRUCT.start}' WHEN lag(role) OVER w IN ({states}) THEN lag(role) OVER w END AS state
+  FROM turns WINDOW w AS (PARTITION BY conv_id {order})),
+judged AS (
+  SELECT *, CASE WHEN turn IS NULL OR (nth > 1 AND turn IS NOT DISTINCT FROM last_turn) THEN 'turn ' || coalesce(turn::VARCHAR, 'None') || ' is missing or repeated'
+       WHEN state IS NULL OR NOT ({follows}) THEN (CASE role WHEN '' THEN 'no role' ELSE role END) || ' after ' || coalesce(state, 'None') END AS error
+  FROM seen)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' {order})) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role IN ({learned})), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' {order}) FILTER (role IN ({learned})), '')) AS loss_sha256,
+       sum(CASE role {marks} ELSE {other} + {grown('role')} END + {grown('text')})::BIGINT AS formatted_chars,
+       count(error) = 0 AS valid, arg_min(error, nth) FILTER (error IS NOT NULL) AS error
+FROM judged GROUP BY conv_id
+"""
+
+
+SQL["op8_chat_format"] = _chat()

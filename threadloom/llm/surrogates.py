@@ -54,8 +54,8 @@ TYPES = {
     "person": f"(?<![\\p{{L}}\\p{{N}}]){_ANY_TITLE}\\.? {_NAME}(?: {_NAME}){{0,2}}",
 }
 PATTERN = "|".join(f"(?:{p})" for p in TYPES.values())
-#: Attempts after which the key is refused; a round halves what is left many times over.
-MAX_ATTEMPTS = 24
+#: Attempts after which the key is refused. Names grow longer, so only numbers that fill their format can reach it.
+MAX_ATTEMPTS = 64
 
 
 def entity_type(match: Column) -> Column:
@@ -125,8 +125,8 @@ def _pick(words: str, value: Column) -> Column:
     return F.element_at(options, (value % len(words.split()) + 1).cast("int"))
 
 
-def _person(plain: Column, gender: Column, digest: Column) -> Column:
-    """Given name by gender (from the second part on, a surname of two syllables), in the script of the original."""
+def _person(plain: Column, gender: Column, digest: Column, attempt: Column) -> Column:
+    """Given name by gender and a surname of syllables, in the script of the original; later attempts have longer surnames."""
     cyrillic = plain.rlike("\\p{IsCyrillic}")
     parts = F.size(F.split(plain, " "))
 
@@ -135,8 +135,10 @@ def _person(plain: Column, gender: Column, digest: Column) -> Column:
         for g in ("n", "m", "f"):
             given = F.when(gender == g, _pick(GIVEN[script][g], _byte(digest, 0))).otherwise(given)
             ending = F.when(gender == g, F.lit(ENDINGS[script][g])).otherwise(ending)
-        surname = F.initcap(F.concat(*[_pick(SYLLABLES[script], _byte(digest, i)) for i in (1, 2, 3)], ending))
-        middle = F.initcap(F.concat(*[_pick(SYLLABLES[script], _byte(digest, i)) for i in (4, 5)]))
+        length = F.least(attempt / 2, F.lit(20)).cast("int") + 3
+        stem = F.array_join(F.transform(F.sequence(F.lit(1), length), lambda i: _pick(SYLLABLES[script], _byte(digest, i))), "")
+        surname = F.initcap(F.concat(stem, ending))
+        middle = F.initcap(F.concat(*[_pick(SYLLABLES[script], _byte(digest, i)) for i in (30, 31)]))
         return F.when(parts == 1, surname).when(parts == 2, F.concat(given, F.lit(" "), surname)).otherwise(
             F.concat(given, F.lit(" "), middle, F.lit(" "), surname))
 
@@ -154,7 +156,7 @@ def surrogate_value(kind: Column, plain: Column, gender: Column, attempt: Column
     octet = lambda i: _byte(digest, i)
     ip = F.concat_ws(".", (octet(0) % 223 + 1).cast("string"), *[octet(i).cast("string") for i in (1, 2, 3)])
     return (F.when(kind == "email", email).when(kind == "card", _card(plain, digest)).when(kind == "ip", ip)
-            .when(kind == "person", _person(plain, gender, digest)).when(kind == "iban", _reshape(plain, digest, True, F.lit(2)))
+            .when(kind == "person", _person(plain, gender, digest, attempt)).when(kind == "iban", _reshape(plain, digest, True, F.lit(2)))
             .otherwise(_reshape(plain, digest, False, F.lit(0))))
 
 

@@ -32,6 +32,8 @@ RATE = 0.02
 MIN_TEXTS = 4
 #: Texts of a language needed, of each class, for a threshold of its own.
 MIN_CALIBRATION = 12
+#: Logits by which a threshold exceeds that of a text of unknown words.
+FLOOR_MARGIN = 0.5
 #: Byte lengths of the parts of a word that are hashed beside the word: leading, then trailing.
 LEADING, TRAILING = (4, 6, 8), (4,)
 
@@ -202,6 +204,9 @@ def fit(texts: pa.Array, labels: np.ndarray, class_weights: tuple[float, float]
             slope = float(error.sum())
             bias_m, bias_v = 0.9 * bias_m + 0.1 * slope, 0.999 * bias_v + 0.001 * slope ** 2
             model.bias -= RATE * (bias_m / correct1) / (np.sqrt(bias_v / correct2) + 1e-6)
+    # a text without a word of the training texts is no evidence, so no threshold is below its logit
+    unknown = np.concatenate([np.maximum(o, 0) for o in model.offsets])
+    floor = max(model.bias, float(unknown @ model.weights + model.bias)) + FLOOR_MARGIN
     logit, language = model.logits(words)
     weight = np.where(labels == 1, class_weights[1], class_weights[0])
     everyone = best_threshold(logit[calibrating], labels[calibrating], weight[calibrating])
@@ -210,6 +215,7 @@ def fit(texts: pa.Array, labels: np.ndarray, class_weights: tuple[float, float]
         mine = calibrating & (language == code)
         if min(np.sum(labels[mine] == 1), np.sum(labels[mine] == 0)) >= MIN_CALIBRATION:
             model.thresholds[code] = best_threshold(logit[mine], labels[mine], weight[mine])
+    model.thresholds = {code: max(cut, floor) for code, cut in model.thresholds.items()}
     return model
 
 
