@@ -5,9 +5,10 @@ stand before it there. The prefix sums of the partition totals (one row per part
 global offset. The second pass cuts each document at the multiples of the window and returns a record
 for each piece, so only the last window is padded.
 
-Texts are tokenized by chunk: a space or line feed before a printable character always opens a new
-pre-token of a byte-level BPE with the usual pattern, so the ids of a text are those of its chunks one
-after the other. Each distinct chunk of a slice is tokenized once per worker.
+Texts are tokenized by chunk, cut where a byte-level BPE with the usual pattern always begins a new
+pre-token: before a space or line feed that a printable character follows, and between letters, digits
+and punctuation. The ids of a text are those of its chunks one after the other, and a worker tokenizes
+each distinct chunk once. Texts that spell out a special token are tokenized whole.
 """
 
 from __future__ import annotations
@@ -23,9 +24,16 @@ from threadloom.llm.scratch import Scratch
 from threadloom.llm.words import slices, span_hashes, text_bytes
 from threadloom.session import broadcast_if_small
 
-#: Distinct chunks a worker remembers.
-CACHE_CHUNKS = 400_000
+#: Distinct chunks a worker remembers, about 25 bytes each.
+CACHE_CHUNKS = 1_500_000
 
+# classes of bytes: letters, digits, punctuation; 0 is all else, and the apostrophe, which opens contractions
+_LETTER, _DIGIT, _POINT = 1, 2, 3
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[0x21:0x7F] = _POINT
+_CLASS[0x30:0x3A] = _DIGIT
+_CLASS[0x41:0x5B] = _CLASS[0x61:0x7B] = _LETTER
+_CLASS[0x27] = 0
 _OPENS = np.zeros(256, bool)
 _OPENS[0x21:0x7F] = True
 _OPENS[0xC3] = True
@@ -33,59 +41,90 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x0A]] = True
 
 
+def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where chunks begin in consecutive texts."""
+    if not len(data):
+        return np.zeros(0, np.int64)
+    kind = _CLASS[data]
+    # U+00C0 to U+00FF, but for the signs of multiplication and division, are letters of two bytes
+    after = data[1:]
+    lead = np.flatnonzero((data[:-1] == 0xC3) & (after >= 0x80) & (after < 0xC0) & (after != 0x97) & (after != 0xB7))
+    kind[lead] = kind[lead + 1] = _LETTER
+    opens = np.zeros(len(data), bool)
+    opens[1:] = (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+    blank = np.zeros(len(data), bool)
+    blank[:-1] = _BLANK[data[:-1]] & _OPENS[after]
+    ends = offsets[1:][offsets[1:] > 0] - 1
+    blank[ends] = False
+    opens |= blank
+    opens[offsets[:-1][offsets[:-1] < len(data)]] = True
+    return np.flatnonzero(opens)
+
+
 class ChunkTokenizer:
-    """Token ids of texts, through a cache of chunks."""
+    """Token ids of texts, through a cache of chunks: sorted hashes, and where the ids lie in a pool."""
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.end_id = end_id
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.pool = np.array([self.end_id], np.uint32)
-        self.starts, self.lengths = np.zeros(1, np.int64), np.ones(1, np.int64)
-
-    def _learn(self, hashes: list[int], chunks: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        first = len(self.starts)
-        self.known.update(zip(hashes, range(first, first + len(ids))))
-        self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        flat = np.fromiter((i for one in ids for i in one), np.uint32, int(lengths.sum()))
-        self.pool = np.concatenate([self.pool, flat])
+        self.known = np.zeros(0, np.uint64)
+        self.starts, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        # the end id is at 0
+        self.pool, self.used = np.full(1 << 16, self.end_id, np.uint32), 1
+
+    def _learn(self, place: np.ndarray, hashes: np.ndarray, chunks: list[str]) -> None:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, ids), np.int32, len(ids))
+        flat = np.array([i for one in ids for i in one], np.uint32)
+        while self.used + len(flat) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used:self.used + len(flat)] = flat
+        begins = (self.used + np.cumsum(lengths) - lengths).astype(np.int32)
+        self.used += len(flat)
+        self.known = np.insert(self.known, place, hashes)
+        self.starts, self.lengths = np.insert(self.starts, place, begins), np.insert(self.lengths, place, lengths)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds) of consecutive texts, each closed by the end id."""
+        raw = data.tobytes()
+        if not any(s in raw for s in self.special):
+            return self._encode(data, offsets, raw)
+        parts = []
+        for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            if any(x in raw[s:e] for x in self.special):
+                parts.append(np.array([*self.tokenizer.encode(raw[s:e].decode(), add_special_tokens=False).ids, self.end_id], np.uint32))
+            else:
+                parts.append(self._encode(data[s:e], np.array([0, e - s]), raw[s:e])[0])
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+
+    def _encode(self, data: np.ndarray, offsets: np.ndarray, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) > CACHE_CHUNKS:
             self.clear()
-        opens = np.zeros(len(data), bool)
-        if len(data):
-            opens[:-1] = _BLANK[data[:-1]] & _OPENS[data[1:]]
-            ends = offsets[1:][offsets[1:] > 0] - 1
-            opens[ends] = False
-            opens[offsets[:-1][offsets[:-1] < len(data)]] = True
-        starts = np.flatnonzero(opens)
-        stops = np.append(starts[1:], len(data))
+        starts = chunk_starts(data, offsets)
+        stops = np.append(starts[1:], len(data))[:len(starts)]
         distinct, example, inverse = np.unique(span_hashes(data, starts, stops), return_index=True, return_inverse=True)
-        hashes = distinct.tolist()
-        index = np.fromiter((self.known.get(h, -1) for h in hashes), np.int64, len(hashes))
-        missing = np.flatnonzero(index < 0)
-        if len(missing):
-            raw = data.tobytes()
-            places = example[missing]
-            chunks = [raw[s:e].decode() for s, e in zip(starts[places].tolist(), stops[places].tolist())]
-            first = len(self.starts)
-            self._learn([hashes[i] for i in missing.tolist()], chunks)
-            index[missing] = np.arange(first, first + len(missing))
+        place = np.searchsorted(self.known, distinct)
+        found = np.zeros(len(distinct), bool)
+        inside = place < len(self.known)
+        found[inside] = self.known[place[inside]] == distinct[inside]
+        if not found.all():
+            new = np.flatnonzero(~found)
+            chunks = [raw[s:e].decode() for s, e in zip(starts[example[new]].tolist(), stops[example[new]].tolist())]
+            self._learn(place[new], distinct[new], chunks)
+            place = np.searchsorted(self.known, distinct)
         chunk_bounds = np.searchsorted(starts, offsets)
-        which = np.insert(index[inverse], chunk_bounds[1:], 0)
-        lengths = self.lengths[which]
+        which = np.insert(place[inverse], chunk_bounds[1:], -1)
+        end = which < 0
+        lengths = np.where(end, 1, self.lengths[which] if len(self.lengths) else 1)
+        begins = np.where(end, 0, self.starts[which] if len(self.starts) else 0)
         total = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self.pool[np.repeat(self.starts[which] - total[:-1], lengths) + np.arange(total[-1])]
+        ids = self.pool[np.repeat(begins - total[:-1], lengths) + np.arange(total[-1])]
         return ids, total[chunk_bounds + np.arange(len(chunk_bounds))]
 
 
