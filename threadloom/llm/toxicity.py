@@ -122,16 +122,19 @@ def fit(texts: pa.Array, labels: np.ndarray, class_weights: tuple[float, float]
     if len(set(labels.tolist())) < 2:
         return None
     rng = np.random.default_rng(seed)
-    data, offsets = text_bytes(texts)
-    words = hash_words(data, offsets, ALNUM)
-    distinct, example, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
-    rows = buckets(words, example) if len(distinct) else np.zeros((0, 1 + len(LEADING) + len(TRAILING)), np.int64)
-    n, bounds = len(labels), words.bounds
+    # slice by slice, so that only hashes of the whole sample are held
+    parts = [words for _, _, words in words_of(texts, ALNUM)]
+    distinct, inverse = np.unique(np.concatenate([p.hashes for p in parts]), return_inverse=True)
+    rows = np.zeros((len(distinct), 1 + len(LEADING) + len(TRAILING)), np.int32)
+    for part in parts:
+        seen, example = np.unique(part.hashes, return_index=True)
+        rows[np.searchsorted(distinct, seen)] = buckets(part, example)
+    n, bounds = len(labels), np.concatenate([[0], np.cumsum(np.concatenate([np.diff(p.bounds) for p in parts]))])
     calibrating = np.arange(n) % 5 == 0
     owner = np.repeat(np.arange(n), np.diff(bounds))
     texts_with = np.zeros(BUCKETS, np.int64)
     for c in range(rows.shape[1]):
-        pair = np.unique(rows[inverse, c] * n + owner) if len(owner) else np.zeros(0, np.int64)
+        pair = np.unique(rows[inverse, c].astype(np.int64) * n + owner) if len(owner) else np.zeros(0, np.int64)
         texts_with += np.bincount(pair // n, minlength=BUCKETS)
     trained = (texts_with >= MIN_TEXTS)[:, None].astype(np.float32)
     model = Model(np.zeros((BUCKETS, DIM), np.float32),
@@ -207,7 +210,7 @@ def fit(texts: pa.Array, labels: np.ndarray, class_weights: tuple[float, float]
     # a text without a word of the training texts is no evidence, so no threshold is below its logit
     unknown = np.concatenate([np.maximum(o, 0) for o in model.offsets])
     floor = max(model.bias, float(unknown @ model.weights + model.bias)) + FLOOR_MARGIN
-    logit, language = model.logits(words)
+    logit, language = (np.concatenate(x) for x in zip(*(model.logits(p) for p in parts)))
     weight = np.where(labels == 1, class_weights[1], class_weights[0])
     everyone = best_threshold(logit[calibrating], labels[calibrating], weight[calibrating])
     model.thresholds = {-1: everyone}
