@@ -24,8 +24,8 @@ from threadloom.llm.scratch import Scratch
 from threadloom.llm.words import slices, span_hashes, text_bytes
 from threadloom.session import broadcast_if_small
 
-#: Distinct chunks a worker remembers, about 25 bytes each.
-CACHE_CHUNKS = 1_500_000
+#: Distinct chunks a worker remembers, about 25 bytes each; bytes and chunks that it handles at once.
+CACHE_CHUNKS, SLICE_BYTES, LEARN_CHUNKS = 1_000_000, 1 << 18, 4000
 
 # classes of bytes: letters, digits, punctuation; 0 is all else, and the apostrophe, which opens contractions
 _LETTER, _DIGIT, _POINT = 1, 2, 3
@@ -79,9 +79,12 @@ class ChunkTokenizer:
         self.pool, self.used = np.full(1 << 16, self.end_id, np.uint32), 1
 
     def _learn(self, place: np.ndarray, hashes: np.ndarray, chunks: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, ids), np.int32, len(ids))
-        flat = np.array([i for one in ids for i in one], np.uint32)
+        parts, counts = [], []
+        for first in range(0, len(chunks), LEARN_CHUNKS):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(chunks[first:first + LEARN_CHUNKS], add_special_tokens=False)]
+            counts += map(len, found)
+            parts.append(np.array([i for one in found for i in one], np.uint32))
+        lengths, flat = np.array(counts, np.int32), np.concatenate(parts)
         while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         self.pool[self.used:self.used + len(flat)] = flat
@@ -128,13 +131,23 @@ class ChunkTokenizer:
         return ids, total[chunk_bounds + np.arange(len(chunk_bounds))]
 
 
+#: One tokenizer per worker process: its cache serves all tasks of the worker.
+_tokenizers: dict[tuple[str, int], ChunkTokenizer] = {}
+
+
+def tokenizer_for(path: str, end_id: int) -> ChunkTokenizer:
+    if (path, end_id) not in _tokenizers:
+        _tokenizers[path, end_id] = ChunkTokenizer(path, end_id)
+    return _tokenizers[path, end_id]
+
+
 def _tokenize(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = ChunkTokenizer(path, end_id)
+        tokenizer = tokenizer_for(path, end_id)
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            for first, last in slices(offsets):
+            for first, last in slices(offsets, SLICE_BYTES):
                 cut = offsets[first:last + 1]
                 ids, bounds = tokenizer.encode(data[cut[0]:cut[-1]], cut - cut[0])
                 raw = pa.py_buffer(ids.astype("<u4").tobytes())
