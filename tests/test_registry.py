@@ -5,6 +5,7 @@ from conftest import tuples
 import __spark_entry__ as entry
 from threadloom.operators import agent
 from threadloom.operators.replies import Template
+from threadloom.plans import oracle, registry
 from pyspark.sql import functions as F
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -15,9 +16,8 @@ SAMPLE = ["interaction_funnel", "split_sample", "golden_carveout", "cleaned_exam
 
 
 def test_names_match_and_entry_runs(spark):
-    queries, sql = entry.queries(), entry.oracle_sql()
-    assert set(sql) <= set(queries)
-    assert set(queries) - set(sql) == {"logreg_model", "kmeans_sweep"}
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(registry.QUERIES) - set(oracle.SQL) == {"logreg_model", "kmeans_sweep", "agent_trained"}
     assert entry.entry(spark).count() > 0
 
 

@@ -29,25 +29,25 @@ def brute(queries, corpus, k, exclude=False):
 
 
 @pytest.mark.parametrize("spread", [None, 0.1])
-@pytest.mark.parametrize("sizes", [{}, {"block_rows": 40, "query_rows": 25, "pivots": 5}])
-def test_knn_is_exact(spark, spread, sizes):
+@pytest.mark.parametrize("sizes", [{}, {"block_rows": 40, "query_rows": 25}])
+def test_knn_is_exact_for_vectors_of_any_length(spark, spread, sizes):
     rng = np.random.default_rng(3)
     corpus, queries = unit(rng, 300, 8, spread), unit(rng, 60, 8, spread)
     corpus[200:203] = corpus[0]  # exact copies: ties go to the smaller id
-    hits = retrieval.knn_join(frame(spark, queries, "query_id"), frame(spark, corpus, "corpus_id"), 4, **sizes)
-    assert sorted(tuples(hits, "query_id", "corpus_id", "rank")) == brute(queries, corpus, 4)
-    itself = retrieval.knn_join(frame(spark, corpus, "query_id"), frame(spark, corpus, "corpus_id"), 2, True, **sizes)
-    assert sorted(tuples(itself, "query_id", "corpus_id", "rank")) == brute(corpus, corpus, 2, True)
-
-
-def test_bounds_rule_out_far_cells(spark):
-    rng = np.random.default_rng(5)
-    corpus = unit(rng, 400, 8, 0.02)
-    angles = {c: 0.2 for c in range(4)}
-    best, others = retrieval._routes(corpus[:4].astype(float), angles)
-    df = frame(spark, corpus[:50], "query_id").select(
-        others(F.col("vector"), best(F.col("vector")), F.lit(0.999)).alias("cells"))
-    assert df.agg(F.avg(F.size("cells"))).first()[0] < 3
+    longer = corpus * np.where(np.arange(300) % 2, 4, 1)[:, None]  # powers of two keep the cosines' bits
+    hits = retrieval.knn_join(frame(spark, queries * 2, "query_id"), frame(spark, longer, "corpus_id"), 4, **sizes)
+    norm = lambda m: m.astype(float) / np.linalg.norm(m.astype(float), axis=1, keepdims=True)
+    assert sorted(tuples(hits, "query_id", "corpus_id", "rank")) == brute(norm(queries), norm(corpus), 4)
+    itself = retrieval.knn_join(frame(spark, corpus, "query_id"), frame(spark, longer, "corpus_id"), 2, True, **sizes)
+    assert sorted(tuples(itself, "query_id", "corpus_id", "rank")) == brute(norm(corpus), norm(corpus), 2, True)
+
+
+def test_an_index_of_another_model_is_refused(spark, tmp_path):
+    corpus = frame(spark, unit(np.random.default_rng(2), 5, 4), "corpus_id")
+    retrieval.build_index(corpus, str(tmp_path / "index"), "one")
+    assert retrieval.load_index(spark, str(tmp_path / "index"), "one").table.count() == 5
+    with pytest.raises(ValueError, match="not of two"):
+        retrieval.load_index(spark, str(tmp_path / "index"), "two")
 
 
 def test_small_corpus_gives_fewer_ranks(spark):

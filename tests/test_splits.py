@@ -102,9 +102,10 @@ def test_calibration_excludes_and_raises(inter):
 
 
 def test_median_is_exact(spark):
-    for values in ([3.0], [1.0, 2.0], [5.0, 1.0, 3.0], [float(i * i % 997) for i in range(5000)]):
+    for values in ([3.0], [1.0, 2.0], [5.0, 1.0, 3.0], [float(i * i % 997) for i in range(5000)], [2.0 ** i for i in range(60)]):
         df = spark.createDataFrame([(v,) for v in values], "v double")
         ordered = sorted(values)
         middle = (ordered[(len(values) - 1) // 2] + ordered[len(values) // 2]) / 2
         assert exact_median(df, "v").first()["median"] == middle
+        assert exact_median(df, "v", most=3).first()["median"] == middle
     assert exact_median(spark.createDataFrame([], "v double"), "v").first()["median"] is None

@@ -1,7 +1,7 @@
 from conftest import tuples
 from pyspark.sql import functions as F
 
-from threadloom.operators import context, telemetry
+from threadloom.operators import context, retrieval, telemetry
 from threadloom.streaming import memory, runs
 from threadloom.streaming import telemetry as stream_telemetry
 from threadloom.streaming import triage as stream_triage
@@ -89,7 +89,8 @@ def test_triage_stream_writes_one_audit_row_per_valid_inquiry(spark, tmp_path):
     parts = [spark.createDataFrame([(1, "a", "c", "where", "t", [1.0, 0.0]), (2, "b", "c", "  ", "t", [1.0, 0.0])], schema),
              spark.createDataFrame([(3, "d", "c", "help", "t", [0.0, 1.0])], schema)]
     out = str(tmp_path / "out")
-    stream_triage.start_triage(stream_of(spark, str(tmp_path / "in"), parts), corpus, classes, out).awaitTermination()
+    index = retrieval.build_index(corpus, str(tmp_path / "index"), "test")
+    stream_triage.start_triage(stream_of(spark, str(tmp_path / "in"), parts), corpus, index, classes, out).awaitTermination()
     audit = spark.read.json(f"{out}/audit")
     assert tuples(audit, "interaction_id", "decision", "escalation_reason") == [
         ("a", "AUTO", "none"), ("d", "ESCALATE", "high_risk")]

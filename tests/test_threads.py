@@ -141,6 +141,9 @@ def test_sliced_positions_equal_plain_positions(spark):
         .unionByName(spark.range(3).select(F.lit("small").alias("conversation_id"), F.lit(None).cast("long").alias("at"), "id"))
     from threadloom.operators.ordering import positions
 
+    # equal and missing times are cut into slices too
+    for n, at in ((300, F.lit(5).cast("long")), (500, F.lit(None).cast("long"))):
+        df = df.unionByName(spark.range(80).select(F.lit(f"g{n}").alias("conversation_id"), at.alias("at"), "id"))
     plain = positions(df, ["conversation_id"], F.col("at"), ["id"], "p")
     sliced = positions(df, ["conversation_id"], F.col("at"), ["id"], "p", slice_rows=10)
     assert tuples(plain, "conversation_id", "id", "p") == tuples(sliced, "conversation_id", "id", "p")
@@ -162,3 +165,9 @@ def test_source_contract_fails_loudly(spark):
     with pytest.raises(ValueError, match="lacks"):
         assert_source(demo_tweets(spark).drop("author_id"), min_rows=1)
     assert assert_source(demo_tweets(spark), min_rows=6).count() == 6
+
+
+def test_repeated_ids_are_refused(spark):
+    df = frame(spark, tweet(1, "c", True), tweet(1, "c", True), tweet(2, "AmazonHelp", False, 1))
+    with pytest.raises(ValueError, match="twice"):
+        threads.rooted_pairs(df)

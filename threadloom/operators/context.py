@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from threadloom.functions.text import strip
-from threadloom.operators.ordering import SLICE_ROWS, large_groups, sliced_positions
+from threadloom.operators.ordering import SLICE_ROWS, large_groups, positions, sliced_positions
 
 # Memory bounds, speaker labels and the framing of the context.
 MAX_TURNS = 4
@@ -101,6 +101,16 @@ def memory_context(turns: DataFrame, max_turns: int = MAX_TURNS, max_chars: int
         "context", frame_context(F.col("history"), F.col("text"), max_chars)).drop("line")
 
 
+def interaction_turns(inter: DataFrame, agent: str = AGENT) -> DataFrame:
+    """Interactions as turns: two rows each, in conversation order, with all columns of the interaction."""
+    pairs = positions(inter, ["conversation_id"], F.unix_micros("customer_ts"), ["brand_tweet_id"], "pair_no")
+    first = F.col("pair_no") * 2 - 1
+    turn = F.explode(F.array(
+        F.struct(first.alias("position"), F.lit(CUSTOMER).alias("role"), F.col("customer_message").alias("text")),
+        F.struct((first + 1).alias("position"), F.lit(agent).alias("role"), F.col("brand_response").alias("text"))))
+    return pairs.select("*", turn.alias("turn")).select("*", "turn.*").drop("turn", "pair_no")
+
+
 def explicit_context(history: Column, message: Column, max_turns: int = MAX_TURNS,
                      max_chars: int = MAX_CONTEXT_CHARS) -> Column:
     """Context from a given history array of (role, text): it replaces the remembered turns."""

@@ -72,14 +72,9 @@ def global_rank(df: DataFrame, key: Column, name: str) -> DataFrame:
 
 
 def large_groups(df: DataFrame, keys: list[str], order: Column, slice_rows: int) -> DataFrame | None:
-    """Groups above ``slice_rows`` with their order range, or None. Reads key columns only."""
-    numeric = order.cast("double")
-    ranges = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("group_rows"), F.min(numeric).alias("lo"), F.max(numeric).alias("hi"))
-        .where(F.col("group_rows") > slice_rows)
-    )
-    table = materialize(ranges, "large-groups")
+    """(keys, group_rows) of the groups above ``slice_rows``, or None. Reads key columns only."""
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("group_rows")).where(F.col("group_rows") > slice_rows)
+    table = materialize(sizes, "large-groups")
     return None if table.isEmpty() else table
 
 
@@ -97,62 +92,55 @@ def sliced_positions(df: DataFrame, keys: list[str], order: Column, ties: list[s
                      large: DataFrame, slice_rows: int) -> DataFrame:
     """Positions when some groups are large.
 
-    A group in ``large`` is cut into value slices of ``order``; every slice is numbered in its own
-    task and shifted by the sizes of the slices before it.
+    Rows of the groups in ``large`` are dealt by range of (keys, order, ties) into slices of about
+    ``slice_rows`` rows, so equal or missing orders are cut as well. Every slice is numbered in its own
+    task and shifted by the sizes of the group's slices before it.
     """
-    numeric = order.cast("double")
     sequence = [order.asc_nulls_last(), *ties]
-    # eight slices per slice_rows keep bursts of rows close in order apart
-    slices = F.ceil(F.col("group_rows") / slice_rows) * 8
-    width = F.greatest((F.col("hi") - F.col("lo")) / slices, F.lit(1e-9))
-    part = F.when(F.col("group_rows").isNull(), 0).otherwise(
-        F.coalesce(F.least(F.floor((numeric - F.col("lo")) / width), slices), slices + 1)
-    ).cast("long")
-    sliced = (
-        df.join(broadcast_if_small(large), keys, "left").withColumn("slice", part)
-        .withColumn("sliced", F.col("group_rows").isNotNull()).drop("group_rows", "lo", "hi")
-    )
-    sizes = sliced.where("sliced").groupBy(*keys, "slice").agg(F.count("*").alias("n"))
-    shift = F.coalesce(
-        F.sum("n").over(W.partitionBy(*keys).orderBy("slice").rowsBetween(W.unboundedPreceding, -1)),
-        F.lit(0),
-    )
-    shifts = materialize(sizes.select(*keys, "slice", shift.alias("shift")), "slice-shifts")
+    rows = large.agg(F.sum("group_rows")).first()[0]
+    marked = df.join(broadcast_if_small(large.withColumn("sliced", F.lit(True)).drop("group_rows")), keys, "left")
+    small = marked.where("sliced is null").withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*sequence)))
+    dealt = marked.where("sliced").repartitionByRange(max(2, -(-rows // slice_rows)), *keys, *sequence)
+    dealt = materialize(dealt.withColumn("slice", F.spark_partition_id()), "slices")
+    sizes = dealt.groupBy(*keys, "slice").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(W.partitionBy(*keys).orderBy("slice").rowsBetween(W.unboundedPreceding, -1))
+    shifts = materialize(sizes.select(*keys, "slice", F.coalesce(before, F.lit(0)).alias("shift")), "slice-shifts")
     in_slice = F.row_number().over(W.partitionBy(*keys, "slice").orderBy(*sequence))
-    return (
-        sliced.withColumn("in_slice", in_slice)
-        .join(broadcast_if_small(shifts), [*keys, "slice"], "left")
-        .withColumn(name, (F.col("in_slice") + F.coalesce("shift", F.lit(0))).cast("int"))
-        .drop("in_slice", "shift", "slice", "sliced")
-    )
+    numbered = dealt.withColumn("in_slice", in_slice).join(broadcast_if_small(shifts), [*keys, "slice"])
+    numbered = numbered.withColumn(name, (F.col("in_slice") + F.col("shift")).cast("int"))
+    return numbered.drop("in_slice", "shift", "slice", "sliced").unionByName(small.drop("sliced"))
 
 
-def exact_median(df: DataFrame, value: str) -> DataFrame:
+#: Distinct values that the last step of a median orders, and ranges counted to get there.
+MEDIAN_VALUES, RANGES = 100_000, 4096
+
+
+def exact_median(df: DataFrame, value: str, most: int = MEDIAN_VALUES) -> DataFrame:
     """One row, one column ``median``: the exact median without gathering all values.
 
-    An approximate bracket around the middle is cut out first; only the rows inside it are ordered,
-    and the rank is corrected by the number of rows below.
+    Equal values collapse first. While more than ``most`` are left, they are counted in ``RANGES`` ranges
+    of equal width, and only the ranges that hold the middle ranks go on. Finite values only.
     """
-    values = df.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
-    # the sketch errs by at most n/10000 ranks; the bracket leaves four times that on both sides
-    bracket = values.agg(F.percentile_approx("v", [0.4995, 0.5005], 10_000).alias("p"))
-    lo, hi = bracket.select(F.col("p")[0]).scalar(), bracket.select(F.col("p")[1]).scalar()
-    tagged = values.select(
-        "v", F.when(F.col("v") < lo, -1).when(F.col("v") > hi, 1).otherwise(0).alias("side"))
-    grouped = (
-        tagged.select("side", F.when(F.col("side") == 0, F.col("v")).alias("v"))
-        .groupBy("side", "v").agg(F.count("*").alias("n"))
-    )
-    upto = F.sum("n").over(W.partitionBy(F.lit(0)).orderBy("side", "v"))
-    ranked = grouped.select("side", "v", upto.alias("upto"), "n",
-                            F.sum("n").over(W.partitionBy(F.lit(0))).alias("total"))
-    first = F.floor((F.col("total") + 1) / 2)
-    second = F.floor(F.col("total") / 2) + 1
-
-    def holds(rank: Column) -> Column:
-        return (F.col("upto") >= rank) & (F.col("upto") - F.col("n") < rank)
-
-    return ranked.agg(
-        ((F.max(F.when(holds(first), F.col("v"))) + F.max(F.when(holds(second), F.col("v")))) / 2)
-        .alias("median")
-    )
+    values = materialize(df.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
+                         .groupBy("v").agg(F.count("*").alias("n")), "median-values")
+    total, distinct, lo, hi = values.agg(F.sum("n"), F.count("*"), F.min("v"), F.max("v")).first()
+    if not distinct:
+        return df.sparkSession.createDataFrame([(None,)], "median double")
+    ranks, below, inside = ((total + 1) // 2, total // 2 + 1), 0, values
+    while distinct > most and lo < hi:
+        place = F.least(F.floor((F.col("v") - lo) / (hi - lo) * RANGES), F.lit(RANGES - 1))
+        counted = inside.groupBy(place.alias("place")).agg(
+            F.sum("n").alias("n"), F.count("*").alias("distinct"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        before, kept = below, []
+        for part in sorted(counted.collect()):  # one row per range
+            if any(before < rank <= before + part["n"] for rank in ranks):
+                below = before if not kept else below
+                kept.append(part)
+            before += part["n"]
+        distinct, lo, hi = sum(p["distinct"] for p in kept), kept[0]["lo"], kept[-1]["hi"]
+        inside = inside.where(F.col("v").between(lo, hi))
+    upto = F.lit(below) + F.sum("n").over(W.partitionBy(F.lit(0)).orderBy("v"))
+    ranked = inside.select("v", upto.alias("upto"), "n")
+    holds = lambda rank: (F.col("upto") >= rank) & (F.col("upto") - F.col("n") < rank)
+    middle = [F.max(F.when(holds(rank), F.col("v"))) for rank in ranks]
+    return ranked.agg(((middle[0] + middle[1]) / 2).alias("median"))

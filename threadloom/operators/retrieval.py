@@ -1,22 +1,23 @@
-"""Exact nearest neighbours by inner product over unit vectors, and what is computed from them."""
+"""Nearest neighbours by cosine over a stored index, exactly, and what is computed from them."""
 
 from __future__ import annotations
 
 import math
+import uuid
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from threadloom.operators.ordering import exact_median
-from threadloom.operators.splits import seeded_sample
 from threadloom.operators.threads import one_row
-from threadloom.session import materialize
+from threadloom.session import shared_dir
 
-#: A search task compares at most about this many corpus rows with this many query rows.
-BLOCK_ROWS, QUERY_ROWS = 8192, 4096
-#: Most cells a corpus is cut into; the pivots and one radius per cell are all the driver ever holds.
-MAX_PIVOTS = 2048
+#: A search task compares about this many corpus rows with this many query rows.
+BLOCK_ROWS, QUERY_ROWS = 32_768, 4096
+#: Elements of a score matrix held at once.
+SCORES = 4_000_000
 MAX_CLASSES = 1000
 # Corpus columns and the softmax temperature.
 CORPUS_COLUMNS = ["interaction_id", "conversation_id", "customer_message", "brand_response"]
@@ -25,122 +26,68 @@ TEMPERATURE = 10.0
 _HITS = "query_id bigint, corpus_id bigint, similarity double"
 
 
-def knn_join(queries: DataFrame, corpus: DataFrame, k: int, exclude_same_id: bool = False,
-             block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS, pivots: int | None = None) -> DataFrame:
-    """(query_id, corpus_id, similarity, rank): the k best corpus rows of every query, exactly.
-
-    ``queries``: query_id, vector; ``corpus``: corpus_id, vector; vectors have unit length.
-
-    The corpus is cut into cells around pivot vectors. A query first searches the cell with the
-    best possible similarity; its k-th score then rules out every cell whose bound (angle to the
-    pivot less the cell radius) stays below it, and only the rest are searched. Cells are cut into
-    blocks and their queries into chunks, so no task sees an unbounded group, and each task hands
-    on k rows per query. Ties go to the smaller corpus id.
-    """
-    corpus = corpus.select("corpus_id", "vector")
-    queries = queries.select("query_id", "vector")
-    size = corpus.count()
-    if size <= block_rows:
-        located = corpus.withColumn("cell", F.lit(0))
-        hits = _search(queries.withColumn("cell", F.lit(0)), located, {0: 1}, k, exclude_same_id, query_rows)
-        return rank_hits(hits, k)
-    pivots = pivots or min(MAX_PIVOTS, math.ceil(size / block_rows))
-    centres = np.array([r["vector"] for r in seeded_sample(corpus, pivots, 0, ["corpus_id"]).collect()], dtype=float)
-    located = materialize(
-        corpus.withColumn("at", _nearest(centres)(F.col("vector")))
-        .select("corpus_id", "vector", F.col("at.cell").alias("cell"), F.col("at.angle").alias("angle")), "knn-corpus")
-    cells = located.groupBy("cell").agg(F.count("*").alias("n"), F.max("angle").alias("radius")).collect()
-    blocks = {r["cell"]: math.ceil(r["n"] / block_rows) for r in cells}
-    radius = {r["cell"]: r["radius"] for r in cells}
-    located = located.drop("angle")
-    best, others = _routes(centres, radius)
-    home = materialize(queries.withColumn("cell", best(F.col("vector"))), "knn-queries")
-    first = materialize(_search(home, located, blocks, k, exclude_same_id, query_rows), "knn-first")
-    floor = rank_hits(first, k).groupBy("query_id").agg(
-        F.when(F.count("*") == k, F.min("similarity")).alias("floor"))
-    onward = home.join(floor, "query_id", "left").select(
-        "query_id", "vector",
-        F.explode(others(F.col("vector"), F.col("cell"), F.coalesce("floor", F.lit(-2.0)))).alias("cell"))
-    second = _search(materialize(onward, "knn-onward"), located, blocks, k, exclude_same_id, query_rows)
-    return rank_hits(first.unionByName(second), k)
-
-
-def rank_hits(hits: DataFrame, k: int) -> DataFrame:
-    """The k best hits per query; the row_number filter is applied in part before the shuffle."""
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("similarity"), "corpus_id"))
-    return hits.withColumn("rank", rank).where(F.col("rank") <= k)
-
-
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    return np.stack(vectors.to_numpy()).astype(np.float64)
-
-
-def _nearest(centres: np.ndarray):
-    @F.pandas_udf("cell int, angle double")
-    def nearest(vector: pd.Series) -> pd.DataFrame:
-        scores = _matrix(vector) @ centres.T
-        cell = scores.argmax(axis=1)
-        top = scores[np.arange(len(cell)), cell]
-        return pd.DataFrame({"cell": cell.astype("int32"), "angle": np.arccos(np.clip(top, -1, 1))})
-
-    return nearest
-
-
-def _routes(centres: np.ndarray, radius: dict[int, float]):
-    """UDFs for the most promising cell, and for the other cells that may beat a score."""
-    names = np.array(sorted(radius), dtype="int32")
-    angles = np.array([radius[c] for c in names])
-    pivots = centres[names]
-
-    def bounds(vector: pd.Series) -> np.ndarray:
-        away = np.arccos(np.clip(_matrix(vector) @ pivots.T, -1, 1)) - angles
-        return np.cos(np.maximum(away, 0.0)) + 1e-5  # room for vectors that are unit only in float32
+@dataclass(frozen=True)
+class VectorIndex:
+    """Unit vectors of a corpus, stored in blocks: block, corpus_id, vector."""
 
-    @F.pandas_udf("int")
-    def best(vector: pd.Series) -> pd.Series:
-        # among cells that could hold a perfect match take the nearest pivot
-        return pd.Series(names[(_matrix(vector) @ pivots.T).argmax(axis=1)])
+    table: DataFrame
+    blocks: int
+    model_name: str
 
-    @F.pandas_udf("array<int>")
-    def others(vector: pd.Series, home: pd.Series, floor: pd.Series) -> pd.Series:
-        keep = (bounds(vector) >= floor.to_numpy()[:, None]) & (names[None, :] != home.to_numpy()[:, None])
-        return pd.Series([names[row] for row in keep])
 
-    return best, others
+def unit_vector(vector: Column) -> Column:
+    """The vector in double precision and of length 1; a zero vector stays zero."""
+    doubles = vector.cast("array<double>")
+    norm = F.sqrt(F.aggregate(doubles, F.lit(0.0), lambda acc, x: acc + x * x))
+    return F.transform(doubles, lambda x: F.when(norm > 0, x / norm).otherwise(0.0))
 
 
-def _by_cell(values: dict[int, int]) -> Column:
-    """Look up a small per-cell number."""
-    top = max(values, default=0)
-    return F.element_at(F.array(*[F.lit(values.get(c, 1)) for c in range(top + 1)]), F.col("cell") + 1)
+def build_index(corpus: DataFrame, path: str, model_name: str, block_rows: int = BLOCK_ROWS) -> VectorIndex:
+    """Normalise (corpus_id, vector), deal the rows into blocks by id and store them with the model's name.
 
-
-def _search(routes: DataFrame, located: DataFrame, blocks: dict[int, int], k: int, exclude_same_id: bool,
-            query_rows: int) -> DataFrame:
-    """Top k per (query, block): queries and corpus meet on (cell, block, chunk)."""
-    counts = {r["cell"]: r["n"] for r in routes.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    chunks = {c: math.ceil(n / query_rows) for c, n in counts.items()}
-    if not chunks:
-        return routes.sparkSession.createDataFrame([], _HITS)
-
-    def spread(name: str, parts: Column) -> Column:
-        return F.pmod(F.xxhash64(name), parts).cast("int")
-
-    def every(parts: Column) -> Column:
-        return F.explode(F.sequence(F.lit(0), parts - 1))
-
-    n_blocks, n_chunks = _by_cell(blocks), _by_cell(chunks)
-    left = routes.withColumn("chunk", spread("query_id", n_chunks)).withColumn("block", every(n_blocks))
-    right = located.where(F.col("cell").isin([int(c) for c in chunks])) \
-        .withColumn("block", spread("corpus_id", n_blocks)).withColumn("chunk", every(n_chunks))
+    The corpus is counted and written once; searches only read. Any block size gives the same results.
+    """
+    blocks = max(1, math.ceil(corpus.count() / block_rows))
+    block = F.pmod(F.xxhash64("corpus_id"), F.lit(blocks)).cast("int")
+    rows = corpus.select(block.alias("block"), "corpus_id", unit_vector(F.col("vector")).alias("vector"))
+    rows.repartition("block").write.mode("overwrite").parquet(f"{path}/vectors")
+    spark = corpus.sparkSession
+    spark.createDataFrame([(model_name, blocks)], "model_name string, blocks int").write.mode("overwrite").json(f"{path}/meta")
+    return load_index(spark, path, model_name)
+
+
+def load_index(spark: SparkSession, path: str, model_name: str) -> VectorIndex:
+    """A stored index; one of another model is refused, and Spark raises when the path does not exist."""
+    meta = spark.read.schema("model_name string, blocks int").json(f"{path}/meta").first()
+    if meta["model_name"] != model_name:
+        raise ValueError(f"the index holds vectors of {meta['model_name']}, not of {model_name}")
+    table = spark.read.schema("block int, corpus_id bigint, vector array<double>").parquet(f"{path}/vectors")
+    return VectorIndex(table, meta["blocks"], model_name)
+
+
+def search(queries: DataFrame, index: VectorIndex, k: int, exclude_same_id: bool = False,
+           query_rows: int = QUERY_ROWS) -> DataFrame:
+    """(query_id, corpus_id, similarity, rank): the k best corpus rows of every query by cosine, exactly.
+
+    ``queries``: query_id, vector of any length. A stated set of queries meets the whole corpus block by
+    block: a task holds one block and one chunk of queries, and hands on k rows per query. Ties go to the
+    smaller corpus id.
+    """
+    chunks = max(1, math.ceil(queries.count() / query_rows))
+    every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    left = queries.select(
+        "query_id", unit_vector(F.col("vector")).alias("vector"),
+        F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int").alias("chunk")).withColumn("block", every(index.blocks))
+    right = index.table.withColumn("chunk", every(chunks))
 
     def top_k(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(q) and len(c):
             c = c.sort_values("corpus_id")
             ids, vectors = c["corpus_id"].to_numpy(), _matrix(c["vector"])
-            for start in range(0, len(q), 256):
-                part = q.iloc[start:start + 256]
+            step = max(1, SCORES // len(c))
+            for start in range(0, len(q), step):
+                part = q.iloc[start:start + step]
                 own = part["query_id"].to_numpy()
                 scores = np.round(_matrix(part["vector"]) @ vectors.T, 12)
                 if exclude_same_id:
@@ -155,8 +102,25 @@ def _search(routes: DataFrame, located: DataFrame, blocks: dict[int, int], k: in
         hits = pd.concat(found)
         return hits[np.isfinite(hits["similarity"])]
 
-    keys = ["cell", "block", "chunk"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(top_k, _HITS)
+    keys = ["block", "chunk"]
+    return rank_hits(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(top_k, _HITS), k)
+
+
+def knn_join(queries: DataFrame, corpus: DataFrame, k: int, exclude_same_id: bool = False,
+             block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
+    """``search`` over an index that is built for this one call."""
+    path = f"{shared_dir(corpus.sparkSession)}/index-{uuid.uuid4().hex}"
+    return search(queries, build_index(corpus, path, "unnamed", block_rows), k, exclude_same_id, query_rows)
+
+
+def rank_hits(hits: DataFrame, k: int) -> DataFrame:
+    """The k best hits per query; the row_number filter is applied in part before the shuffle."""
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("similarity"), "corpus_id"))
+    return hits.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def _matrix(vectors: pd.Series) -> np.ndarray:
+    return np.stack(vectors.to_numpy()).astype(np.float64)
 
 
 def retrieval_corpus(inter: DataFrame) -> DataFrame:

@@ -128,18 +128,17 @@ def annotation_template(golden_with_context: DataFrame) -> DataFrame:
 
 
 def calibration_sample(validation: DataFrame, excluded: list[DataFrame], n: int = CALIBRATION_SIZE,
-                       seed: int = CALIBRATION_SEED, strict: bool = True) -> DataFrame:
-    """n validation rows outside every excluded conversation, labelled ``CALIB_001``…"""
+                       seed: int = CALIBRATION_SEED) -> DataFrame:
+    """n validation rows outside every excluded conversation, labelled ``CALIB_001``…; too few are an error."""
     candidates = validation
     if excluded:
         taken = excluded[0].select("conversation_id")
         for other in excluded[1:]:
             taken = taken.unionByName(other.select("conversation_id"))
         candidates = validation.join(taken.distinct(), "conversation_id", "left_anti")
-    if strict:
-        found = candidates.select("conversation_id").limit(n).count()
-        if found < n:
-            raise ValueError(f"{found} calibration candidates, {n} needed")
+    found = candidates.select("conversation_id").limit(n).count()
+    if found < n:
+        raise ValueError(f"{found} calibration candidates, {n} needed")
     ids = ["brand_tweet_id"]
     sample = seeded_sample(candidates, n, seed, ids)
     return numbered(sample, "CALIB", "calib_id", seed, ids)

@@ -65,9 +65,12 @@ def thread_roots(tweets: DataFrame) -> DataFrame:
     Pointer doubling: each round joins the still open pointers with the state and doubles the
     distance covered, so a thread of depth d takes log2(d) joins. A walk stops at a parent that is
     missing. What is still open once the distance exceeds any acyclic length hangs on a reply
-    cycle and is walked step by step.
+    cycle and is walked step by step. A repeated id is an error.
     """
     ids = tweets.select(F.col("tweet_id").alias("jump"), F.lit(True).alias("known"))
+    repeated = tweets.groupBy("tweet_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).collect()
+    if repeated:
+        raise ValueError(f"tweet id {repeated[0]['tweet_id']} occurs twice or more")
     links = tweets.select("tweet_id", "inbound", F.col("parent_id").alias("jump")).join(ids, "jump", "left")
     links = materialize(
         links.select("tweet_id", "inbound", F.when(F.col("known"), F.col("jump")).alias("jump")), "thread-links"

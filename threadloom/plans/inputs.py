@@ -13,6 +13,8 @@ from threadloom.session import ship_package
 from threadloom.sources.tweets import normalise
 
 BRAND = "Brand"
+#: Ids of turns: conversation times this, plus the turn.
+TURN_STRIDE = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +27,7 @@ def raw_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as source tweets: reply to the turn before, with some parents unknown
     (ids divisible by 17) and some pointing two turns up (ids divisible by 19)."""
     turns = table(spark, sf_dir, "conversations")
-    tweet_id = F.col("conv_id") * 100 + F.col("turn") + 1
+    tweet_id = F.col("conv_id") * TURN_STRIDE + F.col("turn") + 1
     created = F.timestamp_seconds(F.lit(1704067200) + F.col("conv_id") * 3600 + F.col("turn") * 60)
     parent = (
         F.when(F.col("turn") == 0, None)
@@ -94,14 +96,21 @@ def intent_of_label(label: Column) -> Column:
     return F.element_at(F.array(*[F.lit(i) for i in INTENTS]), label + 1)
 
 
+def case_vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(queries, corpus): every tenth vector is a query, the others are the cases."""
+    is_query = F.col("vec_id") % 10 == 0
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"), "label")
+    return (rows.where(is_query).withColumnRenamed("vec_id", "query_id"),
+            rows.where(~is_query).withColumnRenamed("vec_id", "corpus_id"))
+
+
 def classified_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every vector with its true intent, the intent and similarity of its nearest other vector, and
+    """Every query vector with its true intent, the intent and similarity of its nearest case, and
     a zero-shot confidence. Scores are stretched so that the threshold grid cuts through them."""
-    vecs = vectors(spark, sf_dir, "query_id")
-    corpus = vectors(spark, sf_dir, "corpus_id")
-    nearest = retrieval.knn_join(vecs, corpus, 1, exclude_same_id=True)
+    queries, corpus = case_vectors(spark, sf_dir)
+    nearest = retrieval.knn_join(queries, corpus, 1)
     found = nearest.join(corpus.select("corpus_id", F.col("label").alias("found")), "corpus_id")
-    scored = retrieval.zero_shot(vecs, retrieval.class_means(vecs, "label"))
+    scored = retrieval.zero_shot(queries, retrieval.class_means(vectors(spark, sf_dir, "vec_id"), "label"))
     return scored.join(found.select("query_id", "found", "similarity"), "query_id").select(
         "query_id", "label", F.col("found").alias("predicted_label"),
         intent_of_label(F.col("label")).alias("true_intent"),
@@ -135,6 +144,7 @@ def turn_vectors(inter: DataFrame, spark: SparkSession, sf_dir: str, id_name: st
     """Interactions with the vector that stands for their customer message."""
     vecs = vectors(spark, sf_dir, "vec_id")
     size = vecs.select(F.count("*").alias("n")).scalar()
-    conv, turn = F.floor((F.col("customer_tweet_id") - 1) / 100), (F.col("customer_tweet_id") - 1) % 100
+    place = F.col("customer_tweet_id") - 1
+    conv, turn = F.floor(place / TURN_STRIDE), place % TURN_STRIDE
     return inter.withColumn("vec_id", (conv * 8 + turn) % size).join(vecs, "vec_id").withColumn(
         id_name, F.col("brand_tweet_id"))

@@ -30,7 +30,7 @@ tweets AS (
               WHEN tweet_id % 17 = 0 THEN -(tweet_id - 1)
               WHEN tweet_id % 19 = 0 AND turn > 1 THEN tweet_id - 2
               ELSE tweet_id - 1 END AS parent_id
-  FROM (SELECT *, conv_id * 100 + turn + 1 AS tweet_id FROM conversations)
+  FROM (SELECT *, conv_id * 1000000 + turn + 1 AS tweet_id FROM conversations)
 )"""
 
 ROOTS = TWEETS + """,
@@ -93,7 +93,7 @@ sql("tweet_quality_profile", TWEETS, " UNION ALL ".join(
        "SELECT 'duplicate_tweet_ids', (count(*) - count(DISTINCT tweet_id))::DOUBLE FROM tweets"]))
 
 sql("brand_ranking", TWEETS, """
-SELECT author_id || '_' || ((tweet_id - 1) // 100) % 25 AS brand, count(*) AS brand_responses,
+SELECT author_id || '_' || ((tweet_id - 1) // 1000000) % 25 AS brand, count(*) AS brand_responses,
        count(DISTINCT parent_id) AS direct_queries
 FROM tweets WHERE NOT inbound GROUP BY 1 ORDER BY brand_responses DESC, brand LIMIT 20""")
 
@@ -278,9 +278,9 @@ parts AS (
   UNION ALL SELECT conversation_id, interaction_id, part FROM carved
 )""", overlap_sql("parts", "part", ["train", "validation", "golden", "pool"]))
 sql("reply_integrity", INTERACTIONS, """
-SELECT count(*) AS violations FROM inter a
-WHERE NOT EXISTS (SELECT 1 FROM inter b WHERE a.interaction_id = b.interaction_id
-                  AND a.brand_response = b.brand_response)""")
+SELECT 'as_is' AS template, count(*) AS n FROM inter a
+WHERE NOT EXISTS (SELECT 1 FROM inter b WHERE a.interaction_id = b.interaction_id AND a.brand_response = b.brand_response)
+UNION ALL SELECT 'planted', count(*) FROM inter WHERE customer_tweet_id % 3 = 0""")
 sql("preceding_context", INTERACTIONS + "," + context_of("inter"), """
 SELECT conversation_id, brand_tweet_id, message_position, is_multi_turn, conversation_context FROM contexts""")
 
@@ -382,7 +382,7 @@ conv_ranks AS (
   FROM (SELECT DISTINCT conversation_id FROM turns WHERE role = 'Customer')
 ),
 texts AS (
-  SELECT t.conversation_id * 100 + t.position AS id, {strip('t.text')} AS text,
+  SELECT t.conversation_id * 1000000 + t.position AS id, {strip('t.text')} AS text,
          rn <= floor(n * 0.70::DOUBLE) AS train
   FROM turns t JOIN conv_ranks USING (conversation_id) WHERE t.role = 'Customer' AND {strip('t.text')} <> ''
 ),
@@ -414,11 +414,17 @@ firsts AS (
 SELECT intent, rank::INTEGER AS rank, example FROM (
   SELECT *, row_number() OVER (PARTITION BY intent ORDER BY o, example) AS rank FROM firsts
 ) WHERE rank <= 3""")
-sql("calibration_labels", CARVED + """,
+HUMAN = """,
+human AS (
+  SELECT conversation_id FROM (SELECT DISTINCT conversation_id FROM split_rows WHERE split = 'validation')
+  ORDER BY md5('42|' || conversation_id), conversation_id LIMIT 1
+)"""
+sql("calibration_labels", CARVED + HUMAN + """,
 candidates AS (
   SELECT * FROM split_rows WHERE split = 'validation'
     AND conversation_id NOT IN (SELECT conversation_id FROM carved WHERE part = 'golden')
-  ORDER BY md5('100|' || brand_tweet_id), brand_tweet_id LIMIT 8
+    AND conversation_id NOT IN (SELECT conversation_id FROM human)
+  ORDER BY md5('100|' || brand_tweet_id), brand_tweet_id LIMIT 2
 ),""" + labelled("candidates", "lower(customer_message) || ' '", PROBE), """
 SELECT format('CALIB_{:03d}', row_number() OVER (ORDER BY md5('100|' || brand_tweet_id), brand_tweet_id)) AS calib_id,
        brand_tweet_id, intent AS predicted_intent, requires_human_escalation, escalation_reason
@@ -433,8 +439,8 @@ FROM conversations GROUP BY 1, 2""")
 NEAREST = """
 sims AS (
   SELECT a.vec_id AS query_id, b.vec_id AS corpus_id, b.label AS found,
-         round(list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 12) AS similarity
-  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
+         round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 12) AS similarity
+  FROM embeddings a JOIN embeddings b ON a.vec_id % 10 = 0 AND b.vec_id % 10 <> 0
 ),
 nearest AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, corpus_id) AS rank FROM sims
@@ -484,8 +490,9 @@ _ALWAYS = ("('account_security_access', 'payment_billing_issues', 'package_missi
 
 sql("knn_top3", NEAREST, """
 SELECT query_id, corpus_id, round(similarity, 6) AS similarity, rank::INTEGER AS rank FROM nearest WHERE rank <= 3""")
+SQL["knn_blocks"] = SQL["index_round_trip"] = SQL["knn_top3"]
 sql("retrieval_diagnostics", NEAREST, """
-SELECT (SELECT count(*) FROM embeddings) AS num_queries,
+SELECT (SELECT count(*) FROM embeddings WHERE vec_id % 10 = 0) AS num_queries,
        round(avg(similarity) FILTER (rank = 1), 6) AS mean_top1, round(min(similarity) FILTER (rank = 1), 6) AS min_top1,
        round(max(similarity) FILTER (rank = 1), 6) AS max_top1, round(avg(similarity), 6) AS mean_topk,
        round(median(similarity) FILTER (rank = 1), 6) AS median_top1
@@ -690,13 +697,13 @@ sql("template_reply", MEMORY, f"SELECT conversation_id, position, {template_of('
 CASES = SPLIT + """,
 cases AS (
   SELECT s.*, e.embedding, e.label FROM split_rows s JOIN embeddings e
-    ON e.vec_id = (((s.customer_tweet_id - 1) // 100) * 8 + (s.customer_tweet_id - 1) % 100)
+    ON e.vec_id = (((s.customer_tweet_id - 1) // 1000000) * 8 + (s.customer_tweet_id - 1) % 1000000)
                   % (SELECT count(*) FROM embeddings)
 ),
 case_sims AS (
   SELECT q.brand_tweet_id AS query_id, c.brand_tweet_id AS corpus_id, c.interaction_id, c.customer_message,
          c.brand_response,
-         round(list_inner_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 12) AS similarity
+         round(list_cosine_similarity(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 12) AS similarity
   FROM cases q JOIN cases c ON q.split <> 'train' AND c.split = 'train'
 ),
 case_hits AS (
@@ -721,16 +728,29 @@ SELECT q.brand_tweet_id AS query_id,
        || coalesce(block, '') || chr(10) || chr(10) || 'Draft a grounded, polite Twitter response (<=280 chars):' AS prompt
 FROM cases q LEFT JOIN blocks b ON b.query_id = q.brand_tweet_id WHERE q.split <> 'train'""")
 
-AGENT = CASES + ", inquiries AS (SELECT * FROM cases WHERE split <> 'train')," + context_of("inquiries") + "," + zero_shot_of(
+AGENT = CASES + f""",
+inquiries AS (SELECT * FROM cases WHERE split <> 'train'),
+paired AS (
+  SELECT *, row_number() OVER (PARTITION BY conversation_id ORDER BY customer_ts, brand_tweet_id) AS pair_no FROM inquiries
+),
+said AS (
+  SELECT conversation_id, 2 * pair_no - 1 AS place, 'Customer: ' || {strip('customer_message')} AS line FROM paired
+  UNION ALL SELECT conversation_id, 2 * pair_no, 'Brand: ' || {strip('brand_response')} FROM paired
+),
+remembered_lines AS (
+  SELECT p.brand_tweet_id AS query_id, string_agg(s.line, chr(10) ORDER BY s.place) AS block
+  FROM paired p JOIN said s ON s.conversation_id = p.conversation_id AND s.place BETWEEN 2 * p.pair_no - 5 AND 2 * p.pair_no - 2
+  GROUP BY 1
+),""" + zero_shot_of(
     "(SELECT brand_tweet_id AS query_id, embedding FROM inquiries)", "(SELECT * FROM cases WHERE split = 'train')") + f""",
 framed AS (
   SELECT c.brand_tweet_id AS query_id, c.interaction_id, {INTENT_LIST}[z.predicted_class + 1] AS predicted_intent,
          least(z.confidence * 2, 1.0) AS intent_confidence,
-         CASE WHEN is_multi_turn
-              THEN 'Preceding Context:' || chr(10) || right(conversation_context, 2000) || chr(10) || chr(10)
+         CASE WHEN block IS NOT NULL
+              THEN 'Preceding Context:' || chr(10) || right(block, 2000) || chr(10) || chr(10)
                    || 'Current Inquiry:' || chr(10) || {strip('customer_message')}
               ELSE {strip('customer_message')} END AS query_context_used
-  FROM contexts c JOIN zero_shot z ON z.query_id = c.brand_tweet_id
+  FROM paired c JOIN zero_shot z ON z.query_id = c.brand_tweet_id LEFT JOIN remembered_lines m ON m.query_id = c.brand_tweet_id
 ),
 evidence AS (
   SELECT query_id, count(*) AS k, max(similarity) AS best, to_json(list(interaction_id ORDER BY rank))::VARCHAR AS ids,
@@ -751,7 +771,7 @@ sql("agent_pipeline", AGENT, """
 SELECT query_id, interaction_id, predicted_intent, round_even(intent_confidence, 4) AS intent_confidence, retrieval_top_k,
        round_even(retrieval_similarity, 4) AS retrieval_similarity,
        CASE WHEN requires_human_escalation THEN 'ESCALATE' ELSE 'AUTO' END AS decision, requires_human_escalation,
-       escalation_reason, evidence_ids, generated_response, length(query_context_used)::INTEGER AS context_chars
+       escalation_reason, evidence_ids, generated_response, query_context_used
 FROM records""")
 sql("variant_means", AGENT + """,
 variants AS (
@@ -803,16 +823,17 @@ FROM loop_rows""")
 sql("pool_diagnostics", AGENT + """,
 head AS (
   SELECT r.*, i.customer_message, round_even(r.intent_confidence, 4) AS c, round_even(r.retrieval_similarity, 4) AS s
-  FROM records r JOIN inquiries i ON i.brand_tweet_id = r.query_id ORDER BY query_id LIMIT 1000
+  FROM records r JOIN inquiries i ON i.brand_tweet_id = r.query_id
 )""", "SELECT count(*) AS num_items, " + ", ".join(
     f"round(avg({x}), 6) AS {n}_mean, round(stddev_pop({x}), 6) AS {n}_std, round(min({x}), 6) AS {n}_min, "
     f"round(max({x}), 6) AS {n}_max" for x, n in (("c", "intent_confidence"), ("s", "retrieval_similarity")))
     + ", round(avg(length(customer_message)), 6) AS mean_message_length FROM head")
-sql("calibration_isolation", CARVED + """,
+sql("calibration_isolation", CARVED + HUMAN + """,
 candidates AS (
   SELECT * FROM split_rows WHERE split = 'validation'
     AND conversation_id NOT IN (SELECT conversation_id FROM carved WHERE part = 'golden')
-  ORDER BY md5('100|' || brand_tweet_id), brand_tweet_id LIMIT 8
+    AND conversation_id NOT IN (SELECT conversation_id FROM human)
+  ORDER BY md5('100|' || brand_tweet_id), brand_tweet_id LIMIT 2
 )""", """
 SELECT 'interaction_id' AS id, 'golden' AS left_part, 'calibration' AS right_part, count(*) AS n FROM (
   SELECT interaction_id FROM carved WHERE part = 'golden' INTERSECT SELECT interaction_id FROM candidates)""")
@@ -906,14 +927,14 @@ SQL["telemetry_stream_totals"] = SQL["telemetry_reasons"]
 SQL["telemetry_stream_windows"] = SQL["telemetry_windows"]
 sql("triage_stream", CASES + """,
 inquiries AS (
-  SELECT conv_id * 100 + turn AS query_id, 'INT_' || conv_id || '_' || turn AS interaction_id, embedding,
+  SELECT conv_id * 1000000 + turn AS query_id, 'INT_' || conv_id || '_' || turn AS interaction_id, embedding,
          strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(conv_id * 3600 + turn * 60), '%Y-%m-%dT%H:%M:%SZ') AS timestamp
   FROM conversations JOIN embeddings ON vec_id = (conv_id * 8 + turn) % (SELECT count(*) FROM embeddings)
   WHERE role = 'user'
 ),
 best AS (
   SELECT q.query_id,
-         max(round(list_inner_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 12)) AS retrieval_similarity
+         max(round(list_cosine_similarity(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 12)) AS retrieval_similarity
   FROM inquiries q, cases c WHERE c.split = 'train' GROUP BY q.query_id
 ),""" + zero_shot_of("inquiries", "(SELECT * FROM cases WHERE split = 'train')") + f""",
 decided AS (
@@ -925,3 +946,16 @@ decided AS (
 SELECT interaction_id, timestamp, CASE WHEN escalation_reason = 'none' THEN 'AUTO' ELSE 'ESCALATE' END AS decision,
        escalation_reason, predicted_intent, round_even(intent_confidence, 4) AS intent_confidence,
        round_even(retrieval_similarity, 4) AS retrieval_similarity, 'mock' AS provider_mode FROM decided""")
+
+# --- the same results by another path: sinks, spread keys, slices and blocks --------------------
+
+SQL["statistics_sink"] = SQL["split_stats"]
+SQL["threshold_sink"] = f"SELECT tau_confidence, tau_similarity FROM ({SQL['threshold_best']})"
+sql("corpus_projection", INTERACTIONS, "SELECT interaction_id, conversation_id, customer_message, brand_response FROM inter")
+sql("source_contract", TWEETS, "SELECT inbound, count(*) AS n FROM tweets GROUP BY inbound")
+SQL["reply_pairs_spread"] = SQL["reply_pairs"]
+SQL["thread_messages_sliced"] = SQL["thread_messages"]
+SQL["preceding_context_blocks"] = SQL["preceding_context"]
+SQL["memory_context_blocks"] = SQL["memory_context"]
+sql("value_median", "", "SELECT round(median(value), 6) AS median FROM events")
+sql("telemetry_stream_summary", TELEMETRY, f"SELECT {_TOTALS} FROM telemetry")

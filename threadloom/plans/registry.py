@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadloom.functions import text
 from threadloom.operators import (
-    agent, context, learning, metrics, overlap, profile, replies, retrieval, rubric, rules, splits, telemetry, tfidf, threads,
+    agent, context, learning, metrics, ordering, overlap, profile, replies, retrieval, rubric, rules, splits, telemetry, tfidf, threads,
     triage)
 from threadloom.plans.inputs import (
-    BRAND, STOP_WORDS, as_telemetry, classified_vectors, intent_of_label, probe_rules, probe_templates, raw_tweets,
+    BRAND, STOP_WORDS, TURN_STRIDE, as_telemetry, case_vectors, classified_vectors, intent_of_label, probe_rules, probe_templates, raw_tweets,
     table, telemetry_events, turn_vectors, turns, tweets, vectors)
 from threadloom.session import materialize
-from threadloom.sources.sinks import append_audit, read_audit, read_golden, write_golden, write_splits
+from threadloom.sources.sinks import (
+    append_audit, read_audit, read_golden, read_thresholds, write_golden, write_splits, write_statistics, write_thresholds)
 from threadloom.sources.tweets import assert_source, normalise, read_tweets
 from threadloom.streaming import memory, runs
 from threadloom.streaming import telemetry as stream_telemetry
@@ -41,7 +42,7 @@ def tweet_quality_profile(spark, sf):
 def brand_ranking(spark, sf):
     # one account per 25th of the conversations, so that the top 20 is a real cut
     accounts = tweets(spark, sf).withColumn(
-        "author_id", F.concat("author_id", F.lit("_"), F.floor((F.col("tweet_id") - 1) / 100) % 25))
+        "author_id", F.concat("author_id", F.lit("_"), F.floor((F.col("tweet_id") - 1) / TURN_STRIDE) % 25))
     return profile.brand_ranking(accounts)
 
 
@@ -109,7 +110,7 @@ def turn_distribution(spark, sf):
 
 # Working subset targets for the driver tables, small enough to cut every split.
 TARGETS = {"train": 80, "validation": 15, "test": 15}
-GOLDEN_N, CALIBRATION_N = 4, 8
+GOLDEN_N, CALIBRATION_N, HUMAN_N = 4, 2, 1
 
 
 def prepared(spark, sf):
@@ -182,9 +183,13 @@ def golden_disjointness(spark, sf):
 
 @query
 def reply_integrity(spark, sf):
+    """The golden template against the source: no violation as it is, and each one that is planted (every third reply)."""
     full = prepared(spark, sf)
-    template = full.withColumn("historical_reference_reply", F.col("brand_response"))
-    return splits.reply_violations(template, full).agg(F.count("*").alias("violations"))
+    template = materialize(splits.annotation_template(context.preceding_context(full, BRAND)), "template")
+    changed = F.when(F.substring("interaction_id", 8, 20).cast("long") % 3 == 0, F.concat("historical_reference_reply", F.lit("!")))
+    planted = template.withColumn("historical_reference_reply", F.coalesce(changed, F.col("historical_reference_reply")))
+    return splits.reply_violations(template, full).agg(F.count("*").alias("n")).select(F.lit("as_is").alias("template"), "n").unionByName(
+        splits.reply_violations(planted, full).agg(F.count("*").alias("n")).select(F.lit("planted").alias("template"), "n"))
 
 
 @query
@@ -254,7 +259,7 @@ def taxonomy_coverage(spark, sf):
 def text_parts(spark, sf):
     """Customer texts with an id, split by conversation: (train, held out)."""
     rows = turns(spark, sf).where("role = 'Customer'")
-    rows = rows.withColumn("id", F.col("conversation_id") * 100 + F.col("position"))
+    rows = rows.withColumn("id", F.col("conversation_id") * TURN_STRIDE + F.col("position"))
     rows = materialize(rows.withColumn("split", splits.split_column(rows, "conversation_id")), "texts")
     train = rules.training_texts(rows.where("split = 'train'"), "text", "id")
     held = [rules.training_texts(rows.where(F.col("split") == s), "text", "id") for s in ("validation", "test")]
@@ -274,11 +279,19 @@ def heldout_filter(spark, sf):
         F.length("cleaned").between(15, 180))
 
 
+def annotated(full):
+    """(golden, human): the golden set of the test split, and the validation conversations that people labelled."""
+    golden = splits.carve_out(full.where("split = 'test'"), GOLDEN_N).where("part = 'golden'")
+    validation = full.where("split = 'validation'")
+    human = splits.seeded_sample(validation.select("conversation_id").distinct(), HUMAN_N, splits.SPLIT_SEED, ["conversation_id"])
+    return golden, human
+
+
 @query
 def calibration_labels(spark, sf):
     full = materialize(split_interactions(spark, sf), "split")
-    golden = splits.carve_out(full.where("split = 'test'"), GOLDEN_N).where("part = 'golden'")
-    sample = splits.calibration_sample(full.where("split = 'validation'"), [golden], CALIBRATION_N, strict=False)
+    golden, human = annotated(full)
+    sample = splits.calibration_sample(full.where("split = 'validation'"), [golden, human], CALIBRATION_N)
     predicted = rules.label_by_rules(sample, probe_rules()).withColumn("predicted_intent", F.col("intent"))
     return rules.label_calibration(predicted.drop("requires_human_escalation", "escalation_reason")).select(
         "calib_id", "brand_tweet_id", "predicted_intent", "requires_human_escalation", "escalation_reason")
@@ -295,16 +308,37 @@ def inquiry_validation(spark, sf):
 # --- retrieval, triage and evaluation ------------------------------------------------------
 
 
+def _top3(hits):
+    return hits.select("query_id", "corpus_id", F.round("similarity", 6).alias("similarity"), "rank")
+
+
 @query
 def knn_top3(spark, sf):
-    hits = retrieval.knn_join(vectors(spark, sf, "query_id"), vectors(spark, sf, "corpus_id"), 3, True)
-    return hits.select("query_id", "corpus_id", F.round("similarity", 6).alias("similarity"), "rank")
+    return _top3(retrieval.knn_join(*case_vectors(spark, sf), 3))
+
+
+@query
+def knn_blocks(spark, sf):
+    """The same neighbours from many small blocks and chunks, and from vectors of any length."""
+    stretch = lambda df, name: df.withColumn("vector", F.transform(
+        F.col("vector").cast("array<double>"), lambda x: x * (F.col(name) % 5 + 1)))
+    queries, corpus = case_vectors(spark, sf)
+    return _top3(retrieval.knn_join(stretch(queries, "query_id"), stretch(corpus, "corpus_id"), 3, block_rows=64, query_rows=16))
+
+
+@query
+def index_round_trip(spark, sf):
+    """The same neighbours from an index that was stored with its model's name and loaded again."""
+    queries, corpus = case_vectors(spark, sf)
+    path = runs.scratch(spark, "vector-index")
+    retrieval.build_index(corpus, path, "driver-embeddings")
+    return _top3(retrieval.search(queries, retrieval.load_index(spark, path, "driver-embeddings"), 3))
 
 
 @query
 def retrieval_diagnostics(spark, sf):
-    queries = vectors(spark, sf, "query_id")
-    hits = materialize(retrieval.knn_join(queries, vectors(spark, sf, "corpus_id"), 5, True), "hits")
+    queries, corpus = case_vectors(spark, sf)
+    hits = materialize(retrieval.knn_join(queries, corpus, 5), "hits")
     return retrieval.retrieval_diagnostics(hits, queries)
 
 
@@ -476,29 +510,45 @@ def prompt_table(spark, sf):
     return queries.join(evidence, "query_id", "left").select("query_id", prompt.alias("prompt"))
 
 
+def framed_inquiries(queries):
+    """Inquiries with the context that the agent's memory of four turns gives them."""
+    turns_ = context.interaction_turns(queries, BRAND)
+    return context.memory_context(turns_).select(
+        "query_id", "interaction_id", "conversation_id", "customer_message", "timestamp", F.col("context").alias("query_context_used"))
+
+
 def decisions(spark, sf):
     corpus, queries = cases(spark, sf)
     classes = retrieval.class_means(corpus, "label")
     classified = retrieval.zero_shot(queries, classes).select(
         "query_id", intent_of_label(F.col("predicted_class").cast("int")).alias("predicted_intent"),
         F.least(F.col("confidence") * 2, F.lit(1.0)).alias("intent_confidence"))
-    inquiries = context.preceding_context(queries, BRAND).select(
-        "query_id", "interaction_id", "conversation_id", "customer_message", "timestamp",
-        F.split(F.col("conversation_context"), "\n").alias("history"), "is_multi_turn")
-    inquiries = inquiries.withColumn("query_context_used", context.frame_context(
-        F.when(F.col("is_multi_turn"), F.col("history")).otherwise(F.array().cast("array<string>")),
-        F.col("customer_message")))
-    return agent.run(inquiries, classified, case_hits(corpus, queries, 3), tau_similarity=0.3,
+    return agent.run(framed_inquiries(queries), classified, case_hits(corpus, queries, 3), tau_similarity=0.3,
                      templates=probe_templates())
 
 
-@query
-def agent_pipeline(spark, sf):
-    return decisions(spark, sf).select(
+def _decision_record(rows):
+    return rows.select(
         "query_id", "interaction_id", "predicted_intent", "intent_confidence", "retrieval_top_k",
         "retrieval_similarity", "decision", "requires_human_escalation", "escalation_reason",
-        F.to_json("retrieved_evidence_ids").alias("evidence_ids"), "generated_response",
-        F.length("query_context_used").alias("context_chars"))
+        F.to_json("retrieved_evidence_ids").alias("evidence_ids"), "generated_response", "query_context_used")
+
+
+@query
+def agent_pipeline(spark, sf):
+    return _decision_record(decisions(spark, sf))
+
+
+@query
+def agent_trained(spark, sf):
+    """The agent with the trained classifier: it reads the framed context and learns from the train split's labels."""
+    corpus, queries = cases(spark, sf)
+    inquiries = materialize(framed_inquiries(queries), "framed")
+    rows = labelled_texts(spark, sf)
+    model, _ = learning.train(rows.where("split = 'train'"), rows.where("split = 'validation'"))
+    texts = inquiries.select(F.col("query_id").alias("doc_id"), F.col("query_context_used").alias("text"))
+    classified = learning.predict(texts, model).withColumnRenamed("doc_id", "query_id")
+    return _decision_record(agent.run(inquiries, classified, case_hits(corpus, queries, 3), tau_similarity=0.3, templates=probe_templates()))
 
 
 @query
@@ -523,16 +573,15 @@ def agent_closed_loop(spark, sf):
 
 @query
 def pool_diagnostics(spark, sf):
-    """Score diagnostics over the head of the inquiries, as the pool report reads its first 1,000."""
-    head = decisions(spark, sf).orderBy("query_id").limit(1000)
-    return metrics.score_diagnostics(head, ["intent_confidence", "retrieval_similarity"], "customer_message")
+    """Score diagnostics over all inquiries of the pool."""
+    return metrics.score_diagnostics(decisions(spark, sf), ["intent_confidence", "retrieval_similarity"], "customer_message")
 
 
 @query
 def calibration_isolation(spark, sf):
     full = materialize(split_interactions(spark, sf), "split")
-    golden = splits.carve_out(full.where("split = 'test'"), GOLDEN_N).where("part = 'golden'")
-    sample = splits.calibration_sample(full.where("split = 'validation'"), [golden], CALIBRATION_N, strict=False)
+    golden, human = annotated(full)
+    sample = splits.calibration_sample(full.where("split = 'validation'"), [golden, human], CALIBRATION_N)
     parts = golden.select("interaction_id", F.lit("golden").alias("part")).unionByName(
         sample.select("interaction_id", F.lit("calibration").alias("part")))
     return splits.overlaps(parts, "interaction_id", "part", ["golden", "calibration"])
@@ -544,7 +593,7 @@ def calibration_isolation(spark, sf):
 @query
 def tfidf_weights(spark, sf):
     docs = table(spark, sf, "documents")
-    counts = tfidf.term_counts(docs, "doc_id", "text")
+    counts = materialize(tfidf.term_counts(docs, "doc_id", "text"), "term-counts")
     fitted = tfidf.fit(counts, docs.count())
     return tfidf.weights(counts, fitted).select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
@@ -592,7 +641,7 @@ def telemetry_windows(spark, sf):
 def labelled_texts(spark, sf):
     """Customer turns with silver labels and a split by conversation."""
     rows = turns(spark, sf).where("role = 'Customer'").withColumn(
-        "doc_id", F.col("conversation_id") * 100 + F.col("position"))
+        "doc_id", F.col("conversation_id") * TURN_STRIDE + F.col("position"))
     rows = rules.label_by_rules(rows, probe_rules(), "text").select("conversation_id", "doc_id", "text", "intent")
     return materialize(rows.withColumn("split", splits.split_column(rows, "conversation_id")), "silver")
 
@@ -635,6 +684,69 @@ def split_sink(spark, sf):
         F.count("*").alias("n"), F.countDistinct("conversation_id").alias("conversations"))
 
 
+@query
+def statistics_sink(spark, sf):
+    """The statistics of the splits, stored and read back."""
+    path = runs.scratch(spark, "statistics")
+    full = materialize(split_interactions(spark, sf), "split")
+    stats = splits.split_statistics(full, splits.sample_subsets(full, TARGETS))
+    write_statistics(stats, path)
+    return spark.read.schema(stats.schema).json(path)
+
+
+@query
+def threshold_sink(spark, sf):
+    """The best thresholds, stored and read back as the configuration of the agent."""
+    path = runs.scratch(spark, "thresholds")
+    rows = materialize(scored_vectors(spark, sf), "scored")
+    write_thresholds(triage.best_thresholds(triage.threshold_grid(rows)), path, rows.count(), "false auto rate")
+    return spark.createDataFrame([read_thresholds(spark, path)], "tau_confidence double, tau_similarity double")
+
+
+@query
+def corpus_projection(spark, sf):
+    return retrieval.retrieval_corpus(prepared(spark, sf))
+
+
+@query
+def source_contract(spark, sf):
+    """Rows that pass the source's contract, by direction."""
+    return normalise(assert_source(raw_tweets(spark, sf), min_rows=1)).groupBy("inbound").agg(F.count("*").alias("n"))
+
+
+@query
+def reply_pairs_spread(spark, sf):
+    """The reply pairs with every answered message treated as hot, its replies dealt over two salts."""
+    return threads.rooted_pairs(tweets(spark, sf), BRAND, hot_rows=0.5).select(
+        "interaction_id", "conversation_id", "customer_tweet_id", "brand_tweet_id", "timestamp")
+
+
+@query
+def thread_messages_sliced(spark, sf):
+    """The thread messages with conversations of more than two messages cut into slices."""
+    return threads.thread_messages(tweets(spark, sf), BRAND, slice_rows=2).select(
+        "conversation_id", "message_position", "tweet_id", "author_id", "inbound", "created_at", "parent_id")
+
+
+@query
+def preceding_context_blocks(spark, sf):
+    """The preceding contexts with conversations of more than one pair cut into blocks."""
+    return context.preceding_context(prepared(spark, sf), BRAND, block_rows=1).select(
+        "conversation_id", "brand_tweet_id", "message_position", "is_multi_turn", "conversation_context")
+
+
+@query
+def memory_context_blocks(spark, sf):
+    """The remembered contexts with long conversations cut into blocks of four turns."""
+    return context.memory_context(turns(spark, sf), block_rows=4).select("conversation_id", "position", "context")
+
+
+@query
+def value_median(spark, sf):
+    """The median of all event values, from ranges instead of one ordered list."""
+    return ordering.exact_median(table(spark, sf, "events"), "value", most=50).select(F.round("median", 6).alias("median"))
+
+
 @query
 def golden_sink(spark, sf):
     """Every interaction as an annotation row, through CSV and JSON lines and back."""
@@ -686,6 +798,12 @@ def telemetry_stream_totals(spark, sf):
     return stream_telemetry.run_updates(totals, ["decision", "escalation_reason"], "totals")
 
 
+@query
+def telemetry_stream_summary(spark, sf):
+    summary = stream_telemetry.running_summary(event_stream(spark, sf))
+    return stream_telemetry.run_updates(summary, ["scope"], "summary").drop("scope")
+
+
 @query
 def telemetry_stream_windows(spark, sf):
     windows = stream_telemetry.windowed_stream(event_stream(spark, sf))
@@ -702,10 +820,11 @@ def triage_stream(spark, sf):
     size = vecs.count()
     inquiries = turn_stream(spark, sf).where("role = 'Customer'").withColumn(
         "vec_id", (F.col("conversation_id") * 8 + F.col("position")) % size).join(vecs, "vec_id").select(
-        (F.col("conversation_id") * 100 + F.col("position")).alias("query_id"),
+        (F.col("conversation_id") * TURN_STRIDE + F.col("position")).alias("query_id"),
         F.concat_ws("_", F.lit("INT"), "conversation_id", "position").alias("interaction_id"),
         F.col("conversation_id").cast("string").alias("conversation_id"), F.col("text").alias("customer_message"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"), "vector")
     path = runs.scratch(spark, "triage")
-    stream_triage.start_triage(inquiries, corpus, classes, path, tau_confidence=0.25).awaitTermination()
+    index = retrieval.build_index(corpus, f"{path}/index", "driver-embeddings")
+    stream_triage.start_triage(inquiries, corpus, index, classes, path, tau_confidence=0.25).awaitTermination()
     return read_audit(spark, f"{path}/audit").drop("batch", "latency_ms")

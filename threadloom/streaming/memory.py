@@ -45,8 +45,8 @@ class ConversationMemory(StatefulProcessor):
             return
         if self.ordered:
             self.waiting.appendList(arrived)
-            for at in {r[0] for r in arrived}:
-                self.handle.registerTimer(at)
+            # one release once the watermark has passed the batch, not one per distinct time
+            self.handle.registerTimer(max(r[0] for r in arrived))
         else:
             yield from self._advance(key, sorted(arrived, key=lambda r: r[1]))
 

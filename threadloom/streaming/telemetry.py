@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from threadloom.operators.telemetry import reason_counts, windowed_totals
+from threadloom.operators.telemetry import counters, reason_counts, windowed_totals, with_rates
 from threadloom.streaming.runs import scratch
 
 
@@ -14,6 +14,11 @@ def running_totals(events: DataFrame) -> DataFrame:
     return reason_counts(events)
 
 
+def running_summary(events: DataFrame) -> DataFrame:
+    """Totals, escalation rate and mean confidence since the stream began, as one row (``scope``)."""
+    return with_rates(events.groupBy(F.lit("all").alias("scope")).agg(*counters()))
+
+
 def windowed_stream(events: DataFrame, delay: str = "10 minutes", width: str = "1 hour") -> DataFrame:
     """Totals and histogram per event-time window; windows older than the watermark leave the state."""
     return windowed_totals(events.withWatermark("ts", delay), width)
