@@ -28,8 +28,7 @@ def query(fn: Query) -> Query:
 def prepare(spark: SparkSession) -> None:
     """Settings and code that Arrow steps need on the executors."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    if not spark.sparkContext.master.startswith("local["):
-        ship_package(spark)
+    ship_package(spark)
 
 
 def tokenizer_path() -> str:

@@ -42,6 +42,7 @@ ENDINGS = {"latin": {"f": "er", "m": "er", "n": "er"}, "cyrillic": {"f": "ова
 _NAME = "\\p{Lu}[\\p{L}'’-]+"
 _TITLE = {g: "(?:" + "|".join(t.replace("-", "\\-") for t in names.split()) + ")" for g, names in TITLES.items()}
 _ANY_TITLE = "(?:" + "|".join(_TITLE.values()) + ")"
+_INITIALS = "".join(sorted({t[0] for names in TITLES.values() for t in names.split()}))
 #: Expressions of the entity types, in order of precedence. Each starts at a border, so a scan is linear.
 TYPES = {
     "email": "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\\.[A-Za-z0-9-]{1,63}){0,8}\\.[A-Za-z]{2,24}",
@@ -51,9 +52,11 @@ TYPES = {
     "phone": "(?:(?<![A-Za-z0-9])\\+\\d{1,3}[ .-]?(?:\\(\\d{1,4}\\)[ .-]?)?\\d{2,5}(?:[ .-]?\\d{2,5}){1,4}"
              "|(?<![A-Za-z0-9])\\(\\d{3}\\) ?\\d{3}[.-]\\d{4}|(?<![A-Za-z0-9.-])\\d{3}[.-]\\d{3}[.-]\\d{4})(?![A-Za-z0-9])",
     "ip": "(?<![A-Za-z0-9.])(?:(?:25[0-5]|2[0-4]\\d|1\\d\\d|[1-9]?\\d)\\.){3}(?:25[0-5]|2[0-4]\\d|1\\d\\d|[1-9]?\\d)(?![A-Za-z0-9])(?!\\.\\d)",
-    "person": f"(?<![\\p{{L}}\\p{{N}}]){_ANY_TITLE}\\.? {_NAME}(?: {_NAME}){{0,2}}",
+    "person": f"(?<![\\p{{L}}\\p{{N}}])(?=[{_INITIALS}]){_ANY_TITLE}\\.? {_NAME}(?: {_NAME}){{0,2}}",
 }
 PATTERN = "|".join(f"(?:{p})" for p in TYPES.values())
+#: Every type but persons needs one of these; the expression of persons alone is a cheaper scan.
+SIGNS = "[0-9@]"
 #: Attempts after which the key is refused. Names grow longer, so only numbers that fill their format can reach it.
 MAX_ATTEMPTS = 64
 
@@ -213,7 +216,8 @@ def pseudonymise(docs: DataFrame, key: str = "change-me") -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "surrogates")
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    holds = F.coalesce(F.col("text").rlike(PATTERN), F.lit(False))
+    holds = F.when(F.col("text").rlike(SIGNS), F.col("text").rlike(PATTERN)).otherwise(F.col("text").rlike(TYPES["person"]))
+    holds = F.coalesce(holds, F.lit(False))
     found = scratch.store(named.where(holds).select(
         "doc_id", F.xxhash64("text").alias("text_key"), F.split("text", PATTERN, -1).alias("pieces"),
         F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)).alias("matches")), "found")
