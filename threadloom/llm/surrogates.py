@@ -75,7 +75,9 @@ def canonical(kind: Column, match: Column) -> Column:
     """What identifies an entity whatever its spelling: numbers without separators, folded addresses, names without title."""
     squeezed = F.regexp_replace(match, "[^\\p{L}\\p{N}]", "")
     name = F.regexp_replace(match, f"^{_ANY_TITLE}\\.? ", "")
-    return (F.when(kind == "email", F.lower(match)).when(kind == "ip", match).when(kind == "person", F.lower(name)).otherwise(squeezed))
+    dialled = F.regexp_replace(match, "[^0-9+]", "")
+    return (F.when(kind == "email", F.lower(match)).when(kind == "ip", match).when(kind == "person", F.lower(name))
+            .when(kind == "phone", dialled).otherwise(squeezed))
 
 
 def _gender(match: Column) -> Column:
@@ -160,14 +162,17 @@ def surrogate_value(kind: Column, plain: Column, gender: Column, attempt: Column
     ip = F.concat_ws(".", (octet(0) % 223 + 1).cast("string"), *[octet(i).cast("string") for i in (1, 2, 3)])
     return (F.when(kind == "email", email).when(kind == "card", _card(plain, digest)).when(kind == "ip", ip)
             .when(kind == "person", _person(plain, gender, digest, attempt)).when(kind == "iban", _reshape(plain, digest, True, F.lit(2)))
-            .otherwise(_reshape(plain, digest, False, F.lit(0))))
+            # a plus and the first digit after it, which names the region, stay
+            .otherwise(_reshape(plain, digest, False, F.when(plain.startswith("+"), 2).otherwise(0))))
 
 
 def spelled(kind: Column, match: Column, value: Column) -> Column:
     """The surrogate in the spelling of a mention: its separators, its title, its case."""
+    plain = F.regexp_replace(value, "[^\\p{L}\\p{N}]", "")
+
     def place(char, i):
         before = F.regexp_replace(F.substring(match, F.lit(1), i), "[^\\p{L}\\p{N}]", "")
-        return F.when(char.rlike("^[\\p{L}\\p{N}]$"), F.substring(value, F.length(before) + 1, F.lit(1))).otherwise(char)
+        return F.when(char.rlike("^[\\p{L}\\p{N}]$"), F.substring(plain, F.length(before) + 1, F.lit(1))).otherwise(char)
 
     number = F.array_join(F.transform(F.split(match, ""), place), "")
     title = F.regexp_extract(match, f"^({_ANY_TITLE}\\.? )", 1)
