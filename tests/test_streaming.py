@@ -95,3 +95,14 @@ def test_triage_stream_writes_one_audit_row_per_valid_inquiry(spark, tmp_path):
     assert tuples(audit, "interaction_id", "decision", "escalation_reason") == [
         ("a", "AUTO", "none"), ("d", "ESCALATE", "high_risk")]
     assert audit.select("batch").distinct().count() == 2
+
+
+def test_explicit_history_replaces_memory_and_clear_empties_it(spark, tmp_path):
+    schema = SCHEMA + ", history array<string>"
+    rows = [(1, 0, "Customer", "a", None, None), (1, 1, "AmazonHelp", "b", None, None),
+            (1, 2, "Customer", "c", None, ["Customer: x", "Agent: y"]), (1, 3, "clear", None, None, None),
+            (1, 4, "Customer", "d", None, None), (1, 5, "Customer", "e", None, [])]
+    df = spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_seconds(F.col("position") + 1_000_000))
+    got = tuples(runs.run_to_table(memory.memory_stream(stream_of(spark, str(tmp_path / "in"), [df])), "t"), "position", "context")
+    frame = lambda lines, text: "Preceding Context:\n" + "\n".join(lines) + "\n\nCurrent Inquiry:\n" + text
+    assert got == [(0, "a"), (2, frame(["Customer: x", "Agent: y"], "c")), (4, "d"), (5, frame(["Customer: d"], "e"))]

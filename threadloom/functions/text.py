@@ -50,3 +50,8 @@ def contains_any(text: Column, words: list[str]) -> Column:
     for word in words:
         hit = hit | text.contains(word)
     return hit
+
+
+def title_label(label: Column) -> Column:
+    """An identifier as a heading: underscores become spaces, words are capitalised."""
+    return F.initcap(F.replace(label, F.lit("_"), F.lit(" ")))

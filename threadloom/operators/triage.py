@@ -21,14 +21,14 @@ MAX_FALSE_AUTO_RATE = 0.1501
 
 def escalation_reason(intent: Column, confidence: Column, similarity: Column,
                       tau_confidence=TAU_CONFIDENCE, tau_similarity=TAU_SIMILARITY) -> Column:
-    """Reason by precedence: intent first, then confidence, then similarity; missing scores count as 1."""
+    """Reason by precedence: intent first, then confidence, then similarity; scores that are null or NaN count as 1."""
     name = strip(intent)
     pairs = list(ALWAYS_ESCALATE.items())
     case = F.when(name == pairs[0][0], pairs[0][1])
     for label, reason in pairs[1:]:
         case = case.when(name == label, reason)
-    weak = (F.coalesce(confidence, F.lit(1.0)) < tau_confidence) | (
-        F.coalesce(similarity, F.lit(1.0)) < tau_similarity)
+    known = lambda score: F.coalesce(F.nanvl(score.cast("double"), F.lit(1.0)), F.lit(1.0))
+    weak = (known(confidence) < tau_confidence) | (known(similarity) < tau_similarity)
     return case.when(weak, "insufficient_context").otherwise("none")
 
 

@@ -361,11 +361,14 @@ sql("label_distribution", LABELLED_TURNS, " UNION ALL ".join(
     f"SELECT '{c}' AS label, {c}::VARCHAR AS value, count(*) AS n, "
     f"round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM labelled), 6) AS pct FROM labelled GROUP BY {c}"
     for c in ("intent", "requires_human_escalation", "escalation_reason")))
-sql("golden_profile", INTERACTIONS + "," + context_of("inter") + ","
+sql("golden_profile", CARVED + "," + context_of("(SELECT * FROM carved WHERE part = 'golden')") + ","
     + labelled("contexts", "lower(customer_message) || ' ' || lower(conversation_context)", PROBE), """
 SELECT intent, risk_tier, count(*) AS n, count(*) FILTER (is_multi_turn) AS multi_turn,
        count(*) FILTER (NOT is_multi_turn) AS single_turn, count(*) FILTER (requires_human_escalation) AS escalate,
-       count(*) FILTER (NOT requires_human_escalation) AS auto
+       count(*) FILTER (NOT requires_human_escalation) AS auto,
+       round(100.0::DOUBLE * count(*) FILTER (is_multi_turn) / count(*), 6) AS multi_turn_pct,
+       round(100.0::DOUBLE * count(*) FILTER (requires_human_escalation) / count(*), 6) AS escalate_pct,
+       array_to_string(list_transform(string_split(intent, '_'), lambda w: upper(w[1]) || w[2:]), ' ') AS title
 FROM labelled GROUP BY intent, risk_tier""")
 sql("taxonomy_coverage", TURNS + f""",
 counted AS (

@@ -241,14 +241,18 @@ def label_distribution(spark, sf):
 
 @query
 def golden_profile(spark, sf):
+    """Risk, turns and escalation of each intent in the golden set, with the shares that the report prints."""
+    golden = carved(spark, sf).where("part = 'golden'")
     rows = rules.label_by_rules(
-        context.preceding_context(prepared(spark, sf), BRAND), probe_rules(), "customer_message",
-        F.col("conversation_context"))
+        context.preceding_context(golden, BRAND), probe_rules(), "customer_message", F.col("conversation_context"))
+    share = lambda c: F.round(100 * F.count_if(c) / F.count("*"), 6)
     return rows.groupBy("intent", "risk_tier").agg(
         F.count("*").alias("n"), F.count_if("is_multi_turn").alias("multi_turn"),
         F.count_if(~F.col("is_multi_turn")).alias("single_turn"),
         F.count_if("requires_human_escalation").alias("escalate"),
-        F.count_if(~F.col("requires_human_escalation")).alias("auto"))
+        F.count_if(~F.col("requires_human_escalation")).alias("auto"),
+        share("is_multi_turn").alias("multi_turn_pct"), share("requires_human_escalation").alias("escalate_pct")).withColumn(
+        "title", text.title_label(F.col("intent")))
 
 
 @query

@@ -9,8 +9,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-#: Broadcast only tables that were counted and found to be at most this long.
-BROADCAST_MAX_ROWS = 1_000_000
+#: Broadcast only tables that were measured and found to be at most this large.
+BROADCAST_MAX_ROWS, BROADCAST_MAX_BYTES = 1_000_000, 64 << 20
 
 _local_dirs: dict[str, str] = {}
 _shipped: set[str] = set()
@@ -69,6 +69,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(table: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast for a stored table of counted size; a longer one keeps the shuffle join."""
-    return F.broadcast(table) if table.count() <= max_rows else table
+def broadcast_if_small(table: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Hint a broadcast for a stored table of measured size; a larger one keeps the shuffle join.
+
+    Rows are counted, and the bytes of text and array columns summed; other columns count as 8 bytes.
+    """
+    width = F.lit(8 * len(table.columns))
+    for name, kind in table.dtypes:
+        if kind in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(name), F.lit(0))
+        elif kind.startswith("array"):
+            width = width + 8 * F.coalesce(F.size(name), F.lit(0))
+    rows, size = table.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(table) if rows <= max_rows and size <= max_bytes else table

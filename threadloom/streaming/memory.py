@@ -12,6 +12,8 @@ from threadloom.operators.context import (
     CONTEXT_HEAD, CUSTOMER, INQUIRY_HEAD, MAX_CONTEXT_CHARS, MAX_TURNS)
 
 OUTPUT = "conversation_id long, position long, context string"
+#: A row with this role makes its conversation forget what was said.
+CLEAR = "clear"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -25,7 +27,8 @@ class ConversationMemory(StatefulProcessor):
 
     The state holds the last ``max_turns`` lines of a conversation. With ``ordered`` set, turns wait
     in a buffer until the watermark has passed them and are released in event-time order; without
-    it they count in order of arrival, by position within a micro-batch.
+    it they count in order of arrival, by position within a micro-batch. A turn that brings a history
+    of its own (lines "role: text") takes its context from that; a row with role ``CLEAR`` empties the state.
     """
 
     def __init__(self, ordered: bool, max_turns: int = MAX_TURNS, max_chars: int = MAX_CONTEXT_CHARS,
@@ -36,11 +39,11 @@ class ConversationMemory(StatefulProcessor):
         self.handle = handle
         self.lines = handle.getListState("lines", "line string", self.ttl_ms)
         if self.ordered:
-            self.waiting = handle.getListState("waiting", "at long, position long, role string, text string")
+            self.waiting = handle.getListState("waiting", "at long, position long, role string, text string, history array<string>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        arrived = [(int(r.at), int(r.position), r.role, r.text)
-                   for chunk in rows for r in chunk.itertuples(index=False) if r.text]
+        arrived = [(int(r.at), int(r.position), r.role, r.text or "", [] if r.history is None else [str(x) for x in r.history])
+                   for chunk in rows for r in chunk.itertuples(index=False) if r.text or r.role == CLEAR]
         if not arrived or key[0] is None:
             return
         if self.ordered:
@@ -66,10 +69,13 @@ class ConversationMemory(StatefulProcessor):
     def _advance(self, key, turns) -> Iterator[pd.DataFrame]:
         lines = [row[0] for row in self.lines.get()]
         out = []
-        for _, position, role, text in turns:
+        for _, position, role, text, history in turns:
+            if role == CLEAR:
+                lines = []
+                continue
             text = text.strip()
             if role == CUSTOMER:
-                out.append((int(key[0]), position, self._context(lines, text)))
+                out.append((int(key[0]), position, self._context(list(history)[-self.max_turns:] or lines, text)))
             lines = [*lines, f"{role}: {text}"][-self.max_turns:]
         self.lines.put([(line,) for line in lines])
         if out:
@@ -86,7 +92,7 @@ class ConversationMemory(StatefulProcessor):
 
 def memory_stream(turns: DataFrame, ordered_delay: str | None = None, max_turns: int = MAX_TURNS,
                   max_chars: int = MAX_CONTEXT_CHARS, ttl_ms: int | None = None) -> DataFrame:
-    """Contexts of a stream of turns (conversation_id, position, role, text, ts).
+    """Contexts of a stream of turns (conversation_id, position, role, text, ts, and history if there is one).
 
     ``ordered_delay`` is how late a turn may come and still take its place in event time; None
     takes turns as they arrive, with ``ttl_ms`` to forget idle conversations.
@@ -95,7 +101,8 @@ def memory_stream(turns: DataFrame, ordered_delay: str | None = None, max_turns:
     ordered = ordered_delay is not None
     if ordered:
         turns = turns.withWatermark("ts", ordered_delay)
-    rows = turns.selectExpr("conversation_id", "position", "role", "text", "ts", "unix_millis(ts) AS at")
+    history = "history" if "history" in turns.columns else "CAST(NULL AS array<string>) AS history"
+    rows = turns.selectExpr("conversation_id", "position", "role", "text", "ts", "unix_millis(ts) AS at", history)
     return rows.groupBy("conversation_id").transformWithStateInPandas(
         statefulProcessor=ConversationMemory(ordered, max_turns, max_chars, ttl_ms),
         outputStructType=OUTPUT, outputMode="Append",
