@@ -12,7 +12,7 @@ Two texts link when the Jaccard similarity of their sets of word k-grams reaches
   differing shingle, so the count of differing bits bounds the overlap from above.
 * Pairs that pass have their sorted shingle arrays intersected.
 
-Equal sets are one class throughout. Large tiles are cut into blocks and the pairs of blocks are
+Equal sets are one class throughout, and of tiles with equal members one is kept. Large tiles are cut into blocks and the pairs of blocks are
 spread over tasks. A first round verifies one partner per class and block, which joins large groups of
 near copies by a linear number of pairs; a second round looks at all pairs that are in different
 components after it. No pair is left out.
@@ -40,7 +40,7 @@ BLOCK = 1000
 #: Bits of a signature per difference allowed in its band.
 BITS_PER_DIFFERENCE = 8
 
-SETS = ("doc_id long, n_shingles long, fp_hi long, fp_lo long, keys array<long>, bitmap binary")
+SETS = "doc_id long, text_key long, n_shingles long, fp_hi long, fp_lo long, bitmap binary"
 
 
 class Bands:
@@ -156,23 +156,36 @@ def bitmaps(value: np.ndarray, bounds: np.ndarray, bands: Bands) -> list[bytes]:
 
 
 def _sign(k: int, percent: int):
+    """Size, fingerprint and bitmap of each text's set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
         for batch in batches:
-            ids = batch.column(0)
-            for first, last, words in words_of(batch.column(1), SPACED):
+            for first, last, words in words_of(batch.column("text"), SPACED):
                 value, bounds = shingle_sets(words, k)
-                owner, key = tile_keys(value, bounds, bands)
-                order = np.argsort(owner, kind="stable")
-                cuts = np.searchsorted(owner[order], np.arange(last - first + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(first, last - first),
+                    batch.column("doc_id").slice(first, last - first),
+                    batch.column("text_key").slice(first, last - first),
                     pa.array(np.diff(bounds), pa.int64()),
                     pa.array(_sums(mix(value), bounds).view(np.int64)),
                     pa.array(_sums(mix(value ^ np.uint64(0xF1F1)), bounds).view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(key[order].view(np.int64))),
                     pa.array(bitmaps(value, bounds, bands), pa.binary()),
-                ], names=["doc_id", "n_shingles", "fp_hi", "fp_lo", "keys", "bitmap"])
+                ], names=["doc_id", "text_key", "n_shingles", "fp_hi", "fp_lo", "bitmap"])
+    return run
+
+
+def _keys(k: int, percent: int):
+    """The tile keys of each text's set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands = Bands(percent)
+        for batch in batches:
+            for first, last, words in words_of(batch.column("text"), SPACED):
+                value, bounds = shingle_sets(words, k)
+                owner, key = tile_keys(value, bounds, bands)
+                order = np.argsort(owner, kind="stable")
+                cuts = np.searchsorted(owner[order], np.arange(last - first + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("doc_id").slice(first, last - first),
+                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(key[order].view(np.int64)))], names=["rep", "keys"])
     return run
 
 
@@ -292,17 +305,30 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFram
     equals another's). Rows that repeat a doc_id count as one document for reachability.
     """
     scratch = Scratch(docs.sparkSession, "ngram")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_key", F.xxhash64("text"))
     sets = scratch.store(docs.mapInArrow(_sign(k, percent), SETS), "sets")
+    same = ["fp_hi", "fp_lo"]
     classes = scratch.store(
-        sets.where("n_shingles > 0").groupBy("fp_hi", "fp_lo").agg(
+        sets.where("n_shingles > 0").groupBy(*same).agg(
             F.min("doc_id").alias("rep"), F.count("*").alias("rows"), F.first("n_shingles").alias("n"),
-            F.first("keys").alias("keys"), F.first("bitmap").alias("bitmap")).where("rep is not null"), "classes")
+            F.first("bitmap").alias("bitmap")).where("rep is not null"), "classes")
+    # one text of each class gives the tile keys; they go from the task straight into the shuffle
+    repeated = classes.where("rows > 1").select(*same, "rep")
+    copies = scratch.store(
+        sets.join(repeated, same).where("doc_id <> rep").select(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key")).distinct(), "copies")
+    firsts = docs.where("doc_id is not null").join(
+        copies, (F.col("doc_id") == F.col("c_id")) & (F.col("text_key") == F.col("c_key")), "left_anti")
+    keyed = firsts.mapInArrow(_keys(k, percent), "rep long, keys array<long>")
     # one exchange serves both the search for tiles with two classes or more and the join back
-    rows = classes.select("rep", F.explode("keys").alias("key")).repartition("key")
-    shared = rows.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("tile_rows")).where("low <> high").select("key", "tile_rows")
+    rows = keyed.select("rep", F.explode("keys").alias("key")).where("key is not null").repartition("key")
+    member_sum = lambda salt: F.sum(F.pmod(F.xxhash64("rep", F.lit(salt)), F.lit(1 << 31)))
+    shared = rows.groupBy("key").agg(
+        F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("tile_rows"),
+        member_sum(1).alias("sum1"), member_sum(2).alias("sum2")).where("low <> high")
+    # similar texts share many segments; of the tiles with the same members one is enough
+    shared = shared.groupBy("low", "high", "tile_rows", "sum1", "sum2").agg(F.min("key").alias("key")).select("key", "tile_rows")
     members = scratch.store(rows.join(shared, "key"), "members")
-    signed = members.join(classes.select("rep", "n", "bitmap").dropDuplicates(["rep"]), "rep")
+    signed = members.join(classes.select("rep", "n", "bitmap").distinct(), "rep")
     tiles = scratch.store(signed.withColumn("label", F.col("rep")), "tiles")
     first = scratch.store(_candidates(tiles, percent, True), "pairs")
     links = _exact(first, docs, k, percent, scratch)
