@@ -23,8 +23,8 @@ from threadloom.llm.components import components
 from threadloom.llm.scratch import Scratch
 from threadloom.llm.streams import whole_groups
 
-#: Dimensions of a block.
-BLOCK_DIMS = 8
+#: Dimensions of a block. Each block sends every vector to two cells, so few blocks keep the shuffle small.
+BLOCK_DIMS = 16
 #: Vectors of a cell that one block of rows holds.
 ROWS = 3000
 #: Elements of a distance matrix handled at once.
@@ -160,18 +160,21 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     nothing. Rows that repeat a vec_id count as vectors of their own in ``n_links``.
     """
     scratch = Scratch(vectors.sparkSession, "vectors")
+    # single precision is stored and sent as it is; the arithmetic is in double precision
+    number = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
     rows = vectors.select(
-        F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
+        F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"),
+        F.col("embedding").cast(f"array<{number}>").alias("embedding"))
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("embedding") > 0) & F.forall("embedding", finite) & F.exists(
         "embedding", lambda x: x != 0)
     # 0.0 and -0.0 are the same value
-    plain = F.transform("embedding", lambda x: x + F.lit(0.0))
+    plain = F.transform("embedding", lambda x: x + F.lit(0.0).cast(number))
     rows = scratch.store(rows.select("vec_id", "label", F.when(F.coalesce(usable, F.lit(False)), plain).alias("embedding")), "rows")
     sums = rows.where("embedding is not null").groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"))
     classes = scratch.store(
         sums.select("rep", "weight", "label", F.size("embedding").alias("dims"), "embedding").mapInArrow(
-            _cells(threshold), "rep long, weight long, label string, dims int, embedding array<double>, cells array<int>"), "classes")
+            _cells(threshold), f"rep long, weight long, label string, dims int, embedding array<{number}>, cells array<int>"), "classes")
     placed = classes.select("rep", "weight", "label", "dims", "embedding", F.posexplode("cells").alias("block", "cell0"))
     placed = placed.select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("own")).withColumn(
         "cell", F.col("cell0") + F.when(F.col("own"), 0).otherwise(1)).drop("cell0")
