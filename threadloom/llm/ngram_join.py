@@ -35,8 +35,8 @@ from threadloom.llm.words import SPACED, mix, rolling, words_of
 BAND_RATIO = 1.3
 #: Attempts with another hash for sets with many empty segments.
 LEVELS = 4
-#: Classes of a tile that one block holds.
-BLOCK = 1000
+#: Classes of a tile that one block holds, and of a block that are compared at once.
+BLOCK, LEFT_ROWS = 2000, 200
 #: Bits of a signature per difference allowed in its band.
 BITS_PER_DIFFERENCE = 8
 
@@ -239,19 +239,27 @@ def _tile_pairs(percent: int, nearest_only: bool):
                     continue
                 narrow = min(len(bits[r]) for r in rows) // 8
                 folded = np.stack([_fold(bits[r], narrow) for r in rows])
-                differ, ok = passing(size[left], folded[left - s], size[right], folded[right - s], percent)
-                ok &= label[left][:, None] != label[right][None, :]
-                if low[s] == high[s]:
-                    ok &= np.tri(len(left), k=-1, dtype=bool).T
-                if nearest_only:
-                    best = np.where(ok, differ, np.iinfo(np.int64).max).argmin(axis=0)
-                    hit = np.flatnonzero(ok[best, np.arange(len(right))])
-                    found_a.append(rep[left[best[hit]]])
-                    found_b.append(rep[right[hit]])
-                else:
-                    x, y = np.nonzero(ok)
-                    found_a.append(rep[left[x]])
-                    found_b.append(rep[right[y]])
+                nearest = np.full(len(right), -1)
+                distance = np.full(len(right), np.iinfo(np.int64).max)
+                for c in range(0, len(left), LEFT_ROWS):
+                    some = left[c:c + LEFT_ROWS]
+                    differ, ok = passing(size[some], folded[some - s], size[right], folded[right - s], percent)
+                    ok &= label[some][:, None] != label[right][None, :]
+                    if low[s] == high[s]:
+                        ok &= some[:, None] < right[None, :]
+                    if nearest_only:
+                        differ[~ok] = np.iinfo(np.int64).max
+                        best = differ.argmin(axis=0)
+                        closer = differ[best, np.arange(len(right))] < distance
+                        nearest[closer] = some[best[closer]]
+                        distance[closer] = differ[best[closer], np.flatnonzero(closer)]
+                    else:
+                        x, y = np.nonzero(ok)
+                        found_a.append(rep[some[x]])
+                        found_b.append(rep[right[y]])
+                hit = np.flatnonzero(nearest >= 0)
+                found_a.append(rep[nearest[hit]])
+                found_b.append(rep[right[hit]])
             if found_a:
                 a, b = np.concatenate(found_a), np.concatenate(found_b)
                 pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
