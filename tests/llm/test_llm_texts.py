@@ -117,6 +117,14 @@ def test_without_article_constant_nodes_are_template_and_slots_are_content(spark
     assert got == {i: f"Story number {i} of its own." for i in range(12)}
 
 
+def test_no_text_is_lost_or_let_in_below_deep_elements(spark):
+    deep = "<div>" * 3000
+    html = f"<body><div><article><p>first</p>{deep}inner<aside>beside</aside>{'</div>' * 3000}<p>last</p></article><p>after</p></div></body>"
+    rows = [(1, "http://a.example/1", html), (2, "http://a.example/2", html.replace("inner", "other"))]
+    got = tuples(wrappers.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).select("page_id", "text"))
+    assert got == [(1, "first inner last"), (2, "first other last")]
+
+
 def test_tree_matching_is_the_largest_order_keeping_mapping():
     one, two = (wrappers.fold([parse(h)]) for h in ("<div><p>a</p><ul><li>b</ul></div><i>c</i>", "<div><h1>x</h1><p>a</p><ul><li>z</ul></div>"))
     pattern = wrappers.Pattern("#page")

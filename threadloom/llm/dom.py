@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable
 from hashlib import blake2b
 
 # --- fixed values: names of HTML elements ----------------------------------------------------
@@ -21,8 +22,6 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 _NAME = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-#: Deeper elements are read as children of this level.
-MAX_DEPTH = 150
 
 
 class Node:
@@ -37,17 +36,17 @@ class Node:
     def signature(self) -> str:
         return f"{self.tag}.{self.names}" if self.names else self.tag
 
-    def walk(self) -> Iterator["Node"]:
-        yield self
-        for kid in self.kids:
-            if isinstance(kid, Node):
-                yield from kid.walk()
-
 
 def parse(page: str) -> Node:
     """The element tree of a page; unclosed and stray tags are repaired as browsers usually do."""
     root = Node("#page")
     stack, place = [root], 0
+    opened: Counter = Counter()  # open elements by tag: a stray end tag costs no walk down the stack
+
+    def close(depth: int) -> None:
+        opened.subtract(node.tag for node in stack[depth:])
+        del stack[depth:]
+
     while True:
         found = _MARKUP.search(page, place)
         text = page[place:found.start()] if found else page[place:]
@@ -61,33 +60,32 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
+            if opened[tag]:
+                close(next(depth for depth in range(len(stack) - 1, 0, -1) if stack[depth].tag == tag))
             continue
-        _imply_ends(stack, tag)
+        _imply_ends(stack, opened, close, tag)
         node = Node(tag, " ".join(sorted({v.lower() for m in _NAME.finditer(rest) for v in m.group(2, 3, 4) if v})))
         stack[-1].kids.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, place)
             place = end.end() if end else len(page)
-        elif tag not in VOID and not rest.endswith("/") and len(stack) < MAX_DEPTH:
+        elif tag not in VOID and not rest.endswith("/"):
             stack.append(node)
+            opened[tag] += 1
 
 
-def _imply_ends(stack: list[Node], tag: str) -> None:
+def _imply_ends(stack: list[Node], opened: Counter, close: Callable[[int], None], tag: str) -> None:
     if tag in CLOSES_P:
-        for depth in range(len(stack) - 1, 0, -1):
+        for depth in range(len(stack) - 1 if opened["p"] else 0, 0, -1):
             if stack[depth].tag == "p":
-                del stack[depth:]
+                close(depth)
                 break
             if stack[depth].tag not in INLINE:
                 break
     elif tag in SIBLINGS:
-        for depth in range(len(stack) - 1, 0, -1):
+        for depth in range(len(stack) - 1 if any(opened[t] for t in SIBLINGS[tag]) else 0, 0, -1):
             if stack[depth].tag in SIBLINGS[tag]:
-                del stack[depth:]
+                close(depth)
                 if tag != "tr":
                     break
             elif stack[depth].tag in ("ul", "ol", "dl", "table", "tbody", "select"):
@@ -102,14 +100,20 @@ def digest(text: str) -> str:
     return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
 
 
+def joins_parent(node: Node) -> bool:
+    """Inline elements but links are part of the text around them."""
+    return node.tag in INLINE and node.tag != "a"
+
+
 def own_text(node: Node) -> str:
-    """The text that stands directly in an element, or in inline elements that hold nothing else."""
-    parts = []
-    for kid in node.kids:
+    """The text that stands directly in an element, or in inline elements inside it."""
+    parts, todo = [], list(reversed(node.kids))
+    while todo:
+        kid = todo.pop()
         if isinstance(kid, str):
             parts.append(kid)
-        elif kid.tag in INLINE and kid.tag != "a":
-            parts.append(own_text(kid))
+        elif joins_parent(kid):
+            todo.extend(reversed(kid.kids))
     return plain("".join(parts))
 
 
@@ -124,20 +128,22 @@ class Folded:
 
 def fold(nodes: list[Node]) -> Folded:
     """Folds siblings and, level by level, their children."""
-    folded = Folded(nodes[0].signature)
-    run: list[Node] = []
-    for node in nodes:
-        node.folded = folded
-        text = own_text(node)
-        if text:
-            folded.texts.append(text)
-        for kid in node.kids:
-            if not isinstance(kid, Node) or kid.tag in RAW:
-                continue
-            if run and run[0].signature != kid.signature:
-                folded.kids.append(fold(run))
-                run = []
-            run.append(kid)
-    if run:
-        folded.kids.append(fold(run))
-    return folded
+    top = Folded(nodes[0].signature)
+    todo = [(top, nodes)]
+    while todo:
+        folded, nodes = todo.pop()
+        run: list[Node] = []
+        for node in nodes:
+            node.folded = folded
+            text = "" if joins_parent(node) else own_text(node)
+            if text:
+                folded.texts.append(text)
+            for kid in node.kids:
+                if not isinstance(kid, Node) or kid.tag in RAW:
+                    continue
+                if not run or run[0].signature != kid.signature:
+                    run = []
+                    folded.kids.append(Folded(kid.signature))
+                    todo.append((folded.kids[-1], run))
+                run.append(kid)
+    return top

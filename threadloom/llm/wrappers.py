@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from threadloom.llm.dom import INLINE, RAW, Folded, Node, digest, fold, own_text, parse
+from threadloom.llm.dom import INLINE, RAW, Folded, Node, digest, fold, joins_parent, own_text, parse
 from threadloom.llm.scratch import Scratch
 
 #: Pages of a host that are aligned to find its wrapper.
@@ -64,27 +64,37 @@ def match(pattern: Pattern, page: Folded, memo: dict) -> int:
     """Simple tree matching: the number of node pairs in the largest mapping that keeps order and ancestry."""
     if pattern.signature != page.signature:
         return 0
-    key = (id(pattern), id(page))
-    if key not in memo:
-        memo[key] = 1 + _table(pattern, page, memo)[-1][-1]
-    return memo[key]
+    todo = [(pattern, page)]
+    while todo:
+        a, b = todo[-1]
+        if (id(a), id(b)) in memo:
+            todo.pop()
+            continue
+        missing = [(x, y) for x in a.kids for y in b.kids if x.signature == y.signature and (id(x), id(y)) not in memo]
+        if missing:
+            todo += missing
+        else:
+            memo[id(a), id(b)] = 1 + _table(a, b, memo)[-1][-1]
+    return memo[id(pattern), id(page)]
 
 
 def _table(pattern: Pattern, page: Folded, memo: dict) -> list[list[int]]:
+    """The best sums for the first children of both; the children's own matches are in ``memo``."""
     rows = [[0] * (len(page.kids) + 1)]
     for a in pattern.kids:
         last, row = rows[-1], [0]
         for j, b in enumerate(page.kids):
-            row.append(max(row[j], last[j + 1], last[j] + match(a, b, memo)))
+            row.append(max(row[j], last[j + 1], last[j] + memo.get((id(a), id(b)), 0)))
         rows.append(row)
     return rows
 
 
 def pairs(pattern: Pattern, page: Folded, memo: dict) -> Iterator[tuple[int | None, int | None]]:
     """Children in order, as (index in pattern, index in page); None where one side has no partner."""
+    match(pattern, page, memo)
     rows, i, j, back = _table(pattern, page, memo), len(pattern.kids), len(page.kids), []
     while i or j:
-        gain = match(pattern.kids[i - 1], page.kids[j - 1], memo) if i and j else 0
+        gain = memo.get((id(pattern.kids[i - 1]), id(page.kids[j - 1])), 0) if i and j else 0
         if gain and rows[i][j] == rows[i - 1][j - 1] + gain:
             i, j = i - 1, j - 1
             back.append((i, j))
@@ -99,46 +109,61 @@ def pairs(pattern: Pattern, page: Folded, memo: dict) -> Iterator[tuple[int | No
 
 def absorb(pattern: Pattern, page: Folded, memo: dict) -> None:
     """Merges an aligned page into the wrapper; nodes without partner are added in place."""
-    pattern.see(page)
-    kids = []
-    for i, j in list(pairs(pattern, page, memo)):
-        if j is None:
-            kids.append(pattern.kids[i])
-            continue
-        kid = pattern.kids[i] if i is not None else Pattern(page.kids[j].signature)
-        absorb(kid, page.kids[j], memo if i is not None else {})
-        kids.append(kid)
-    pattern.kids = kids
+    todo = [(pattern, page, memo)]
+    while todo:
+        pattern, page, memo = todo.pop()
+        pattern.see(page)
+        kids = []
+        for i, j in pairs(pattern, page, memo):
+            if j is None:
+                kids.append(pattern.kids[i])
+                continue
+            kids.append(pattern.kids[i] if i is not None else Pattern(page.kids[j].signature))
+            todo.append((kids[-1], page.kids[j], memo if i is not None else {}))
+        pattern.kids = kids
+
+
+def preorder(top) -> list:
+    """The nodes of a tree, each before its children."""
+    nodes, todo = [], [top]
+    while todo:
+        node = todo.pop()
+        nodes.append(node)
+        todo.extend(reversed(node.kids))
+    return nodes
 
 
 def induce(pages: list[str]) -> str:
-    """The wrapper of some pages of a host, as JSON: [signature, constant texts, children]."""
+    """The wrapper of some pages of a host, as JSON: signature, constant texts and number of children of each node."""
     wrapper = Pattern("#page")
     for page in pages:
         absorb(wrapper, fold([parse(page)]), {})
     least = max(2, CONSTANT_SHARE * len(pages))
 
-    def dump(p: Pattern) -> list:
-        return [p.signature, sorted(k for k, n in p.texts.items() if n >= least), [dump(k) for k in p.kids]]
-
-    return json.dumps(dump(wrapper))
+    return json.dumps([[p.signature, sorted(k for k, n in p.texts.items() if n >= least), len(p.kids)] for p in preorder(wrapper)])
 
 
 def load(text: str) -> Pattern:
-    def build(item: list) -> Pattern:
-        p = Pattern(item[0])
-        p.constant = frozenset(item[1])
-        p.kids = [build(k) for k in item[2]]
-        return p
-
-    return build(json.loads(text))
+    items = json.loads(text)
+    nodes = [Pattern(signature) for signature, _, _ in items]
+    open_nodes: list[list] = []  # (node, children still to come)
+    for node, (_, constant, kids) in zip(nodes, items):
+        node.constant = frozenset(constant)
+        if open_nodes:
+            open_nodes[-1][0].kids.append(node)
+            open_nodes[-1][1] -= 1
+        open_nodes.append([node, kids])
+        while open_nodes and not open_nodes[-1][1]:
+            open_nodes.pop()
+    return nodes[0]
 
 
 def _constants(pattern: Pattern, page: Folded, memo: dict, out: dict[int, frozenset]) -> None:
-    out[id(page)] = pattern.constant
-    for i, j in pairs(pattern, page, memo):
-        if i is not None and j is not None:
-            _constants(pattern.kids[i], page.kids[j], memo, out)
+    todo = [(pattern, page)]
+    while todo:
+        pattern, page = todo.pop()
+        out[id(page)] = pattern.constant
+        todo += [(pattern.kids[i], page.kids[j]) for i, j in pairs(pattern, page, memo) if i is not None and j is not None]
 
 
 def main_text(page: str, wrapper: Pattern | None) -> str:
@@ -151,25 +176,26 @@ def main_text(page: str, wrapper: Pattern | None) -> str:
     mains = _mains(root)
     parts: list[str] = []
 
-    def emit(node: Node, in_main: bool) -> None:
+    in_main = bool(mains)
+    todo: list = list(reversed(mains or [root]))
+    inherited: list[bool] = [False] * len(todo)
+    while todo:
+        node, template = todo.pop(), inherited.pop()
+        if isinstance(node, str):
+            if not template:
+                parts.append(node)
+            continue
         if is_aside(node, in_main):
-            return
-        block = node.tag not in INLINE
-        if block:
-            parts.append(" ")
-        # inside an article a text that other pages share is still the article's, unless it is a link or an item
-        known = constants.get(id(node.folded), frozenset())
-        template = bool(known) and (not in_main or node.tag in ("a", "li")) and digest(own_text(node)) in known
-        for kid in node.kids:
-            if isinstance(kid, Node):
-                emit(kid, in_main)
-            elif not template:
-                parts.append(kid)
-        if block:
-            parts.append(" ")
-
-    for main in mains or [root]:
-        emit(main, bool(mains))
+            continue
+        if not joins_parent(node):
+            # inside an article a text that other pages share is still the article's, unless it is a link or an item
+            known = constants.get(id(node.folded), frozenset())
+            template = bool(known) and (not in_main or node.tag in ("a", "li")) and digest(own_text(node)) in known
+        kids = node.kids if node.tag in INLINE else [" ", *node.kids, " "]
+        todo.extend(reversed(kids))
+        inherited.extend([template] * len(kids))
+        if node.tag not in INLINE:
+            inherited[-1] = inherited[-len(kids)] = False
     return " ".join("".join(parts).split())
 
 
@@ -177,18 +203,14 @@ def _mains(root: Node) -> list[Node]:
     """Outermost article elements that are not asides, or else outermost main elements."""
     for tag in MAIN_TAGS:
         found: list[Node] = []
-
-        def search(node: Node) -> None:
+        todo = [root]
+        while todo:
+            node = todo.pop()
             if node.tag == tag or (tag == "main" and node.names == "main"):
                 if not ASIDE_NAMES.search(node.names):
                     found.append(node)
-                return
-            if not is_aside(node, False):
-                for kid in node.kids:
-                    if isinstance(kid, Node):
-                        search(kid)
-
-        search(root)
+            elif not is_aside(node, False):
+                todo.extend(kid for kid in reversed(node.kids) if isinstance(kid, Node))
         if found:
             return found
     return []
