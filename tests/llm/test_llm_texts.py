@@ -117,6 +117,18 @@ def test_without_article_constant_nodes_are_template_and_slots_are_content(spark
     assert got == {i: f"Story number {i} of its own." for i in range(12)}
 
 
+def test_every_layout_and_distinct_page_of_a_host_counts(spark, monkeypatch):
+    monkeypatch.setattr(wrappers, "MERGED_AT_ONCE", 3)
+    copies = [(100 + i, "https://h.example/copy", page(0, "<div><p>A page that was copied.</p><p>Read more on our site</p></div>")) for i in range(40)]
+    one = [(i, f"https://h.example/{i}", page(i, f"<div><p>Story number {i}.</p><p>Read more on our site</p></div>")) for i in range(1, 13)]
+    two = [(i, f"https://h.example/{i}", page(i, f"<section>{'<h2>Part %d</h2><p>Text %d.</p>' % (i, i) * (i % 7)}<pre>Call us now</pre></section>")) for i in range(13, 30)]
+    empty = [(200 + i, "https://h.example/none", None) for i in range(30)]
+    df = spark.createDataFrame(copies + one + two + empty, "page_id long, url string, html string").repartition(5)
+    got = dict((r[0], r[2]) for r in tuples(wrappers.main_texts(df)))
+    expected = {i: "A page that was copied." for i, _, _ in copies} | {i: f"Story number {i}." for i, _, _ in one} | {i: "" for i, _, _ in empty}
+    assert got == expected | {i: " ".join([f"Part {i} Text {i}."] * (i % 7)) for i, _, _ in two}
+
+
 def test_no_text_is_lost_or_let_in_below_deep_elements(spark):
     deep = "<div>" * 3000
     html = f"<body><div><article><p>first</p>{deep}inner<aside>beside</aside>{'</div>' * 3000}<p>last</p></article><p>after</p></div></body>"

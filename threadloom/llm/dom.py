@@ -96,8 +96,8 @@ def plain(text: str) -> str:
     return " ".join(text.split())
 
 
-def digest(text: str) -> str:
-    return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+def digest(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
 def joins_parent(node: Node) -> bool:

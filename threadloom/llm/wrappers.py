@@ -1,10 +1,11 @@
 """Main text of web pages by wrapper induction.
 
-For each host a few pages are aligned, tree by tree, by simple tree matching (the largest order-keeping
-mapping of nodes with equal signatures). Texts that stay the same over the aligned pages are template,
-nodes whose text varies are slots. Each page of the host is then aligned with the wrapper; its content is
-the text of its slots inside the region that the wrapper or the markup marks as main, without the regions
-that are navigation, notices, forms or comments by their element or class.
+All distinct layouts of a host (trees of folded elements without their texts) are aligned, tree by tree, by
+simple tree matching (the largest order-keeping mapping of nodes with equal signatures) and merged into its
+wrapper. Over all distinct pages of the host, each text is counted at its node of the wrapper: one that
+stands on most pages that have the node is template, nodes whose text varies are slots. Each page is then
+aligned with the wrapper; its content is the text of its slots inside the region that the markup marks as
+main, without the regions that are navigation, notices, forms or comments by their element or class.
 """
 
 from __future__ import annotations
@@ -20,14 +21,14 @@ from pyspark.sql import DataFrame, Window, functions as F
 from threadloom.llm.dom import INLINE, RAW, Folded, Node, digest, fold, joins_parent, own_text, parse
 from threadloom.llm.scratch import Scratch
 
-#: Pages of a host that are aligned to find its wrapper.
-PAGES_PER_HOST = 8
-#: A text is template if it stands on this share of the aligned pages, two at least.
+#: Layouts, or wrappers merged from them, that one task merges at a time; more are merged in rounds.
+MERGED_AT_ONCE = 64
+#: A text is template if it stands on this share of the host's distinct pages that have its node, two at least.
 CONSTANT_SHARE = 0.6
 #: Wrappers are broadcast up to this many bytes together.
 BROADCAST_BYTES = 32_000_000
-#: Wrappers a worker remembers.
-CACHE_HOSTS = 256
+#: Alignments of a layout with its host's wrapper that a worker remembers.
+CACHE_LAYOUTS = 1024
 
 # --- fixed values: elements and names of regions that are not main text -----------------------
 ASIDE_TAGS = RAW | frozenset("head nav header footer aside form button select input dialog menu title".split())
@@ -47,17 +48,12 @@ def is_aside(node: Node, inside_main: bool) -> bool:
 
 
 class Pattern:
-    """A node of a wrapper: on how many pages it and each of its texts stood."""
+    """A node of a wrapper or of a layout."""
 
-    __slots__ = ("signature", "pages", "texts", "kids", "constant")
+    __slots__ = ("signature", "kids")
 
-    def __init__(self, signature: str, pages: int = 0):
-        self.signature, self.pages, self.texts, self.kids, self.constant = signature, pages, {}, [], frozenset()
-
-    def see(self, folded: Folded) -> None:
-        self.pages += 1
-        for key in {digest(t) for t in folded.texts}:
-            self.texts[key] = self.texts.get(key, 0) + 1
+    def __init__(self, signature: str):
+        self.signature, self.kids = signature, []
 
 
 def match(pattern: Pattern, page: Folded, memo: dict) -> int:
@@ -112,7 +108,6 @@ def absorb(pattern: Pattern, page: Folded, memo: dict) -> None:
     todo = [(pattern, page, memo)]
     while todo:
         pattern, page, memo = todo.pop()
-        pattern.see(page)
         kids = []
         for i, j in pairs(pattern, page, memo):
             if j is None:
@@ -133,46 +128,47 @@ def preorder(top) -> list:
     return nodes
 
 
-def induce(pages: list[str]) -> str:
-    """The wrapper of some pages of a host, as JSON: signature, constant texts and number of children of each node."""
-    wrapper = Pattern("#page")
-    for page in pages:
-        absorb(wrapper, fold([parse(page)]), {})
-    least = max(2, CONSTANT_SHARE * len(pages))
-
-    return json.dumps([[p.signature, sorted(k for k, n in p.texts.items() if n >= least), len(p.kids)] for p in preorder(wrapper)])
+def layout_of(nodes: list) -> str:
+    """A tree in text form: signature and number of children of each node, in order."""
+    return json.dumps([x for node in nodes for x in (node.signature, len(node.kids))], separators=(",", ":"))
 
 
-def load(text: str) -> Pattern:
-    items = json.loads(text)
-    nodes = [Pattern(signature) for signature, _, _ in items]
-    open_nodes: list[list] = []  # (node, children still to come)
-    for node, (_, constant, kids) in zip(nodes, items):
-        node.constant = frozenset(constant)
-        if open_nodes:
+def load(layout: str) -> Pattern:
+    items = json.loads(layout)
+    top, open_nodes = Pattern("#page"), []
+    for i in range(0, len(items), 2):
+        node = Pattern(items[i]) if i else top
+        if i:
             open_nodes[-1][0].kids.append(node)
             open_nodes[-1][1] -= 1
-        open_nodes.append([node, kids])
+        open_nodes.append([node, items[i + 1]])
         while open_nodes and not open_nodes[-1][1]:
             open_nodes.pop()
-    return nodes[0]
+    return top
 
 
-def _constants(pattern: Pattern, page: Folded, memo: dict, out: dict[int, frozenset]) -> None:
-    todo = [(pattern, page)]
+def merge(layouts: list[str]) -> str:
+    """The layouts aligned one after the other and merged."""
+    wrapper = load(layouts[0])
+    for layout in layouts[1:]:
+        absorb(wrapper, load(layout), {})
+    return layout_of(preorder(wrapper))
+
+
+def align(wrapper: str, layout: str) -> list[int]:
+    """For each node of the layout the number of its partner in the wrapper, or -1."""
+    pattern, page = load(wrapper), load(layout)
+    number = {id(node): i for i, node in enumerate(preorder(pattern))}
+    partner, memo, todo = {}, {}, [(pattern, page)]
     while todo:
-        pattern, page = todo.pop()
-        out[id(page)] = pattern.constant
-        todo += [(pattern.kids[i], page.kids[j]) for i, j in pairs(pattern, page, memo) if i is not None and j is not None]
-
-
-def main_text(page: str, wrapper: Pattern | None) -> str:
-    """The text of a page's content slots, blocks joined by one space."""
-    root = parse(page)
-    folded = fold([root])
-    constants: dict[int, frozenset] = {}
-    if wrapper is not None:
-        _constants(wrapper, folded, {}, constants)
+        a, b = todo.pop()
+        partner[id(b)] = number[id(a)]
+        todo += [(a.kids[i], b.kids[j]) for i, j in pairs(a, b, memo) if i is not None and j is not None]
+    return [partner.get(id(node), -1) for node in preorder(page)]
+
+
+def main_text(root: Node, constants: dict[int, frozenset]) -> str:
+    """The text of a page's content slots, blocks joined by one space; ``constants`` is by id of folded node."""
     mains = _mains(root)
     parts: list[str] = []
 
@@ -216,24 +212,52 @@ def _mains(root: Node) -> list[Node]:
     return []
 
 
-def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        layouts, places, keys = [], [], []
+        for page in batch.column("html").to_pylist():
+            nodes = preorder(fold([parse(page)]))
+            texts = [(i, key) for i, node in enumerate(nodes) for key in sorted({digest(t) for t in node.texts})]
+            layouts.append(layout_of(nodes))
+            places.append([i for i, _ in texts])
+            keys.append([key for _, key in texts])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("host"), batch.column("page_hash"), pa.array(layouts, pa.string()), pa.array([digest(x) for x in layouts], pa.int64()),
+             pa.array(places, pa.list_(pa.int32())), pa.array(keys, pa.list_(pa.int64()))],
+            names=["host", "page_hash", "layout", "layout_id", "places", "keys"])
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        wrappers = [induce(pages) for pages in batch.column("pages").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(wrappers, pa.string())], names=["host", "wrapper"])
+        wrappers = [merge(layouts) for layouts in batch.column("layouts").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(wrappers, pa.string()), pa.array([digest(x) for x in wrappers], pa.int64())],
+                                         names=["host", "layout", "layout_id"])
+
+
+def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        nodes = [align(w, x) for w, x in zip(batch.column("wrapper").to_pylist(), batch.column("layout").to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("layout_id"), pa.array(nodes, pa.list_(pa.int32()))],
+                                         names=["host", "layout_id", "nodes"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache: OrderedDict[str, Pattern] = OrderedDict()
+    cache: OrderedDict[tuple[str, str], list[tuple[int, frozenset]]] = OrderedDict()
     for batch in batches:
         texts = []
-        for host, page, wrapper in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "wrapper"))):
-            pattern = None
-            if wrapper is not None:
-                pattern = cache.get(host) or load(wrapper)
-                cache[host] = pattern
-                if len(cache) > CACHE_HOSTS:
+        for host, page, wrapper, nodes, keys in zip(*(batch.column(c) for c in ("host", "html", "wrapper", "nodes", "keys"))):
+            host, root = host.as_py(), parse(page.as_py())
+            folded = preorder(fold([root]))
+            at = (host, layout_of(folded))
+            if at not in cache:
+                known: dict[int, set] = {}
+                for node, key in zip(nodes.as_py() or [], keys.as_py() or []):
+                    known.setdefault(node, set()).add(key)
+                partners = align(wrapper.as_py(), at[1]) if known else []
+                cache[at] = [(i, frozenset(known[node])) for i, node in enumerate(partners) if node in known]
+                if len(cache) > CACHE_LAYOUTS:
                     cache.popitem(last=False)
-            texts.append(main_text(page, pattern))
+            texts.append(main_text(root, {id(folded[i]): known for i, known in cache[at]}))
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
@@ -241,19 +265,43 @@ def host_of(url):
     return F.coalesce(F.lower(F.regexp_extract(url, "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1)), F.lit(""))
 
 
-def host_wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper) from at most PAGES_PER_HOST pages of each host, chosen by a hash.
+def merged_layouts(layouts: DataFrame, scratch: Scratch) -> DataFrame:
+    """(host, wrapper) from distinct (host, layout, layout_id), in rounds of about MERGED_AT_ONCE per task.
+
+    Groups follow from the layouts alone, so the result does not depend on how the rows are dealt.
+    """
+    while True:
+        sizes = layouts.groupBy("host").agg(F.count("*").alias("n")).select(F.col("host").alias("s_host"), "n")
+        most = sizes.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+        if most <= 1:
+            return layouts.select("host", F.col("layout").alias("wrapper"))
+        bucket = F.expr(f"pmod(layout_id, cast(ceil(n / {MERGED_AT_ONCE}) as bigint))").alias("bucket")
+        grouped = layouts.join(sizes, F.col("host") == F.col("s_host")).select("host", bucket, "layout").groupBy("host", "bucket").agg(
+            F.sort_array(F.collect_list("layout")).alias("layouts"))
+        layouts = scratch.store(grouped.select("host", "layouts").mapInArrow(_merge, "host string, layout string, layout_id long").distinct(), "merged")
+
+
+def host_wrappers(pages: DataFrame, scratch: Scratch) -> DataFrame:
+    """(host, wrapper, nodes, keys): the merged layout of each host and its template texts, node by node.
 
-    ``pages`` has host, html. The choice reads hashes only: the rank limit applies before the shuffle.
+    ``pages`` has host, html. All distinct pages of a host count, each once; the texts themselves are not shuffled.
     """
-    by_hash = Window.partitionBy("host").orderBy("page_hash")
-    keys = pages.select("host", F.xxhash64("html").alias("page_hash"))
-    chosen = keys.withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= PAGES_PER_HOST).select("host", "page_hash").distinct()
-    chosen = chosen.select(F.col("host").alias("c_host"), F.col("page_hash").alias("c_hash"))
-    picked = pages.withColumn("page_hash", F.xxhash64("html")).join(
-        chosen, (F.col("host") == F.col("c_host")) & (F.col("page_hash") == F.col("c_hash"))).groupBy("host", "page_hash").agg(F.min("html").alias("html"))
-    grouped = picked.groupBy("host").agg(F.sort_array(F.collect_list("html")).alias("pages"))
-    return grouped.mapInArrow(_induce, "host string, wrapper string")
+    outlines = scratch.store(pages.select("host", F.xxhash64("html").alias("page_hash"), "html").mapInArrow(
+        _outline, "host string, page_hash long, layout string, layout_id long, places array<int>, keys array<long>"), "outlines")
+    layouts = scratch.store(outlines.groupBy("host", "layout_id").agg(F.min("layout").alias("layout")).select("host", "layout", "layout_id"), "layouts")
+    wrappers = scratch.store(merged_layouts(layouts, scratch), "trees")
+    named = wrappers.select(F.col("host").alias("w_host"), "wrapper")
+    aligned = scratch.store(layouts.join(named, F.col("host") == F.col("w_host")).select("host", "layout_id", "layout", "wrapper").mapInArrow(
+        _align, "host string, layout_id long, nodes array<int>"), "aligned")
+    once = outlines.groupBy("host", "page_hash").agg(F.first(F.struct("layout_id", "places", "keys")).alias("page")).select("host", "page.*")
+    having = outlines.select("host", "page_hash", "layout_id").distinct().groupBy("host", "layout_id").agg(F.count("*").alias("n")).join(
+        aligned, ["host", "layout_id"]).select("host", "n", F.explode("nodes").alias("node")).groupBy("host", "node").agg(F.sum("n").alias("having"))
+    marks = F.explode(F.arrays_zip(F.transform("places", lambda i: F.get("nodes", i)).alias("node"), F.col("keys").alias("key"))).alias("mark")
+    counts = once.join(aligned, ["host", "layout_id"]).select("host", marks).select("host", F.col("mark.node").alias("node"), F.col("mark.key").alias("key"))
+    counts = counts.where("node >= 0").groupBy("host", "node", "key").agg(F.count("*").alias("n")).where("n >= 2")
+    constant = counts.join(having, ["host", "node"]).where(F.col("n") >= CONSTANT_SHARE * F.col("having"))
+    known = constant.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("node", "key"))).alias("known"))
+    return wrappers.join(known, "host", "left").select("host", "wrapper", F.col("known.node").alias("nodes"), F.col("known.key").alias("keys"))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
@@ -264,8 +312,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
     scratch = Scratch(pages.sparkSession, "wrappers")
     read = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")).withColumn("host", host_of(F.col("url")))
-    wrappers = scratch.store(host_wrappers(read), "wrappers")
-    size = wrappers.agg(F.coalesce(F.sum(F.length("wrapper") + F.length("host") + 64), F.lit(0))).first()[0]
+    wrappers = scratch.store(host_wrappers(read, scratch), "wrappers")
+    size = wrappers.agg(F.coalesce(F.sum(F.length("wrapper") + F.length("host") + 12 * F.coalesce(F.size("keys"), F.lit(0)) + 64), F.lit(0))).first()[0]
     beside = F.broadcast(wrappers) if size <= BROADCAST_BYTES else wrappers
-    return read.join(beside, "host", "left").select("page_id", "url", "host", "html", "wrapper").mapInArrow(
+    return read.join(beside, "host", "left").select("page_id", "url", "host", "html", "wrapper", "nodes", "keys").mapInArrow(
         _extract, "page_id long, url string, text string")
