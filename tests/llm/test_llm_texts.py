@@ -129,6 +129,20 @@ def test_every_layout_and_distinct_page_of_a_host_counts(spark, monkeypatch):
     assert got == expected | {i: " ".join([f"Part {i} Text {i}."] * (i % 7)) for i, _, _ in two}
 
 
+def test_the_alignment_decides_inside_articles_and_names_only_where_it_cannot(spark):
+    own = lambda i: f"<h1>Title {i}</h1><p>Body {i} of <b>Note</b> text.</p>"
+    inner = lambda i: f"<article>{own(i)}<div class='x1'>Our terms apply to all of this.</div><div class='related'><p>Teaser {i}</p></div></article>"
+    wraps = [("a", "<div class='content-sidebar-wrap'>%s</div>"), ("b", "<div class='layout has-sidebar'>%s</div>"), ("c", "<form>%s</form>"),
+             ("d", "<main><div class='layout has-sidebar'>%s</div></main>"),
+             ("e", "<main>%s<div class='related'><article>A teaser</article></div></main>")]
+    rows = [(100 * n + i, f"https://{host}.example/{i}", page(i, wrap % inner(i))) for n, (host, wrap) in enumerate(wraps) for i in range(6)]
+    twin = "<article><p>Both articles say this.</p></article>"
+    rows += [(900 + i, f"https://z.example/{i}", page(i, twin)) for i in range(2)]
+    got = dict((r[0], r[2]) for r in tuples(wrappers.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string"))))
+    expected = {100 * n + i: f"Title {i} Body {i} of Note text." for n in range(5) for i in range(6)}
+    assert got == expected | {900: "Both articles say this.", 901: "Both articles say this."}
+
+
 def test_no_text_is_lost_or_let_in_below_deep_elements(spark):
     deep = "<div>" * 3000
     html = f"<body><div><article><p>first</p>{deep}inner<aside>beside</aside>{'</div>' * 3000}<p>last</p></article><p>after</p></div></body>"

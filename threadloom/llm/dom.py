@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 # --- fixed values: names of HTML elements ----------------------------------------------------
@@ -100,6 +100,15 @@ def digest(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
+def descendants(node: Node) -> Iterator[Node | str]:
+    todo = list(node.kids)
+    while todo:
+        kid = todo.pop()
+        yield kid
+        if isinstance(kid, Node):
+            todo += kid.kids
+
+
 def joins_parent(node: Node) -> bool:
     """Inline elements but links are part of the text around them."""
     return node.tag in INLINE and node.tag != "a"

@@ -5,7 +5,8 @@ simple tree matching (the largest order-keeping mapping of nodes with equal sign
 wrapper. Over all distinct pages of the host, each text is counted at its node of the wrapper: one that
 stands on most pages that have the node is template, nodes whose text varies are slots. Each page is then
 aligned with the wrapper; its content is the text of its slots inside the region that the markup marks as
-main, without the regions that are navigation, notices, forms or comments by their element or class.
+main, without the regions that are navigation, forms or the like by their element. Class names decide only
+where the alignment cannot: regions named as notices, comments or menus go, unless they hold the main region.
 """
 
 from __future__ import annotations
@@ -18,13 +19,15 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from threadloom.llm.dom import INLINE, RAW, Folded, Node, digest, fold, joins_parent, own_text, parse
+from threadloom.llm.dom import INLINE, RAW, Folded, Node, descendants, digest, fold, joins_parent, own_text, parse
 from threadloom.llm.scratch import Scratch
 
 #: Layouts, or wrappers merged from them, that one task merges at a time; more are merged in rounds.
 MERGED_AT_ONCE = 64
 #: A text is template if it stands on this share of the host's distinct pages that have its node, two at least.
 CONSTANT_SHARE = 0.6
+#: Inside article and main elements it stands on so many distinct pages at least: two articles may share a passage.
+LEAST_IN_MAIN = 3
 #: Wrappers are broadcast up to this many bytes together.
 BROADCAST_BYTES = 32_000_000
 #: Alignments of a layout with its host's wrapper that a worker remembers.
@@ -41,12 +44,26 @@ MAIN_TAGS = ("article", "main")
 # --------------------------------------------------------------------------------------------
 
 
-def is_aside(node: Node, inside_main: bool) -> bool:
-    if node.tag in ASIDE_TAGS and not (inside_main and node.tag == "header"):
-        return True
+def is_aside_tag(node: Node, inside_main: bool) -> bool:
+    return node.tag in ASIDE_TAGS and not (inside_main and node.tag == "header")
+
+
+def is_named_aside(node: Node) -> bool:
     return bool(node.names) and node.tag not in ("html", "body", *MAIN_TAGS) and ASIDE_NAMES.search(node.names) is not None
 
 
+def is_main(node: Node, tag: str) -> bool:
+    return (node.tag == tag or (tag == "main" and node.names == "main")) and not ASIDE_NAMES.search(node.names)
+
+
+def holds_most(node: Node, region: Node) -> bool:
+    """Whether a node holds an article or main element, and at least half of the region's text: then it is a
+    layout box around the content, not a list of teasers or comments."""
+    inside = any(is_main(n, tag) for n in descendants(node) if isinstance(n, Node) for tag in MAIN_TAGS)
+    size = lambda top: sum(len(n) for n in descendants(top) if isinstance(n, str))
+    return inside and 2 * size(node) >= size(region)
+
+
 class Pattern:
     """A node of a wrapper or of a layout."""
 
@@ -167,48 +184,50 @@ def align(wrapper: str, layout: str) -> list[int]:
     return [partner.get(id(node), -1) for node in preorder(page)]
 
 
-def main_text(root: Node, constants: dict[int, frozenset]) -> str:
-    """The text of a page's content slots, blocks joined by one space; ``constants`` is by id of folded node."""
+def main_text(root: Node, constants: dict[int, dict[int, int]]) -> str:
+    """The text of a page's content slots, blocks joined by one space.
+
+    ``constants`` has, by id of folded node, its template texts and on how many distinct pages each stands.
+    """
     mains = _mains(root)
     parts: list[str] = []
-
     in_main = bool(mains)
-    todo: list = list(reversed(mains or [root]))
-    inherited: list[bool] = [False] * len(todo)
-    while todo:
-        node, template = todo.pop(), inherited.pop()
-        if isinstance(node, str):
-            if not template:
-                parts.append(node)
-            continue
-        if is_aside(node, in_main):
-            continue
-        if not joins_parent(node):
-            # inside an article a text that other pages share is still the article's, unless it is a link or an item
-            known = constants.get(id(node.folded), frozenset())
-            template = bool(known) and (not in_main or node.tag in ("a", "li")) and digest(own_text(node)) in known
-        kids = node.kids if node.tag in INLINE else [" ", *node.kids, " "]
-        todo.extend(reversed(kids))
-        inherited.extend([template] * len(kids))
-        if node.tag not in INLINE:
-            inherited[-1] = inherited[-len(kids)] = False
+    for region in mains or [root]:
+        todo: list = [(region, False)]
+        while todo:
+            node, template = todo.pop()
+            if isinstance(node, str):
+                if not template:
+                    parts.append(node)
+                continue
+            if is_aside_tag(node, in_main) or (is_named_aside(node) and not holds_most(node, region)):
+                continue
+            if not joins_parent(node):
+                known = constants.get(id(node.folded), {}).get(digest(own_text(node)), 0)
+                template = known >= (LEAST_IN_MAIN if in_main and node.tag not in ("a", "li") else 2)
+            kids = [(kid, template) for kid in reversed(node.kids)]
+            todo += kids if node.tag in INLINE else [(" ", False), *kids, (" ", False)]
     return " ".join("".join(parts).split())
 
 
 def _mains(root: Node) -> list[Node]:
-    """Outermost article elements that are not asides, or else outermost main elements."""
-    for tag in MAIN_TAGS:
-        found: list[Node] = []
-        todo = [root]
-        while todo:
-            node = todo.pop()
-            if node.tag == tag or (tag == "main" and node.names == "main"):
-                if not ASIDE_NAMES.search(node.names):
-                    found.append(node)
-            elif not is_aside(node, False):
-                todo.extend(kid for kid in reversed(node.kids) if isinstance(kid, Node))
-        if found:
-            return found
+    """Outermost article elements that are not asides, or else outermost main elements.
+
+    Named asides and forms are searched only if there is none outside of them.
+    """
+    for enter in (False, True):
+        for tag in MAIN_TAGS:
+            found: list[Node] = []
+            todo = [root]
+            while todo:
+                node = todo.pop()
+                if node.tag == tag or (tag == "main" and node.names == "main"):
+                    if is_main(node, tag):
+                        found.append(node)
+                elif (enter and node.tag == "form") or not (is_aside_tag(node, False) or (is_named_aside(node) and not enter)):
+                    todo.extend(kid for kid in reversed(node.kids) if isinstance(kid, Node))
+            if found:
+                return found
     return []
 
 
@@ -242,19 +261,19 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache: OrderedDict[tuple[str, str], list[tuple[int, frozenset]]] = OrderedDict()
+    cache: OrderedDict[tuple[str, str], list[tuple[int, dict[int, int]]]] = OrderedDict()
     for batch in batches:
         texts = []
-        for host, page, wrapper, nodes, keys in zip(*(batch.column(c) for c in ("host", "html", "wrapper", "nodes", "keys"))):
+        for host, page, wrapper, nodes, keys, seen in zip(*(batch.column(c) for c in ("host", "html", "wrapper", "nodes", "keys", "seen"))):
             host, root = host.as_py(), parse(page.as_py())
             folded = preorder(fold([root]))
             at = (host, layout_of(folded))
             if at not in cache:
-                known: dict[int, set] = {}
-                for node, key in zip(nodes.as_py() or [], keys.as_py() or []):
-                    known.setdefault(node, set()).add(key)
+                known: dict[int, dict[int, int]] = {}
+                for node, key, n in zip(nodes.as_py() or [], keys.as_py() or [], seen.as_py() or []):
+                    known.setdefault(node, {})[key] = n
                 partners = align(wrapper.as_py(), at[1]) if known else []
-                cache[at] = [(i, frozenset(known[node])) for i, node in enumerate(partners) if node in known]
+                cache[at] = [(i, known[node]) for i, node in enumerate(partners) if node in known]
                 if len(cache) > CACHE_LAYOUTS:
                     cache.popitem(last=False)
             texts.append(main_text(root, {id(folded[i]): known for i, known in cache[at]}))
@@ -282,7 +301,7 @@ def merged_layouts(layouts: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def host_wrappers(pages: DataFrame, scratch: Scratch) -> DataFrame:
-    """(host, wrapper, nodes, keys): the merged layout of each host and its template texts, node by node.
+    """(host, wrapper, nodes, keys, seen): the merged layout of each host, its template texts by node, and their pages.
 
     ``pages`` has host, html. All distinct pages of a host count, each once; the texts themselves are not shuffled.
     """
@@ -300,8 +319,8 @@ def host_wrappers(pages: DataFrame, scratch: Scratch) -> DataFrame:
     counts = once.join(aligned, ["host", "layout_id"]).select("host", marks).select("host", F.col("mark.node").alias("node"), F.col("mark.key").alias("key"))
     counts = counts.where("node >= 0").groupBy("host", "node", "key").agg(F.count("*").alias("n")).where("n >= 2")
     constant = counts.join(having, ["host", "node"]).where(F.col("n") >= CONSTANT_SHARE * F.col("having"))
-    known = constant.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("node", "key"))).alias("known"))
-    return wrappers.join(known, "host", "left").select("host", "wrapper", F.col("known.node").alias("nodes"), F.col("known.key").alias("keys"))
+    known = constant.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("node", "key", "n"))).alias("known"))
+    return wrappers.join(known, "host", "left").select("host", "wrapper", F.col("known.node").alias("nodes"), F.col("known.key").alias("keys"), F.col("known.n").alias("seen"))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
@@ -313,7 +332,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
     read = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")).withColumn("host", host_of(F.col("url")))
     wrappers = scratch.store(host_wrappers(read, scratch), "wrappers")
-    size = wrappers.agg(F.coalesce(F.sum(F.length("wrapper") + F.length("host") + 12 * F.coalesce(F.size("keys"), F.lit(0)) + 64), F.lit(0))).first()[0]
+    size = wrappers.agg(F.coalesce(F.sum(F.length("wrapper") + F.length("host") + 20 * F.coalesce(F.size("keys"), F.lit(0)) + 64), F.lit(0))).first()[0]
     beside = F.broadcast(wrappers) if size <= BROADCAST_BYTES else wrappers
-    return read.join(beside, "host", "left").select("page_id", "url", "host", "html", "wrapper", "nodes", "keys").mapInArrow(
+    return read.join(beside, "host", "left").select("page_id", "url", "host", "html", "wrapper", "nodes", "keys", "seen").mapInArrow(
         _extract, "page_id long, url string, text string")
