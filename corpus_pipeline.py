@@ -41,9 +41,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark, short items and changed copies judged by the item's length."""
     queries.prepare(spark)
-    return decontamination.clean(docs, queries.table(spark, sf_dir, "benchmark"))
+    return decontamination.clean(docs, queries.table(spark, sf_dir, "benchmark"), by_item=True)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

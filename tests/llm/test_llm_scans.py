@@ -132,6 +132,18 @@ def test_passages_are_found_with_substitutions_and_clean_texts_are_not(spark):
     assert decontamination.clean(docs, bench.limit(0)).count() == docs.count()
 
 
+def test_copies_are_judged_by_the_length_of_the_item(spark):
+    ten, five = " ".join(ITEM.split()[:10]), "gold rivers never sleep twice"
+    filler = " ".join(f"filler{i}" for i in range(40))
+    texts = {1: f"{filler} {changed(ITEM, 2, 7, 12, 17)} {filler}", 2: f"{filler} {ten} x", 3: f"a {five.upper()} b", 4: "Yes!", 5: f"yes {filler}",
+             6: changed(ITEM, *range(0, 20, 2)), 7: None, 8: "", 9: "gold rivers never sleep", 10: changed(five, 2)}
+    docs = spark.createDataFrame(list(texts.items()) + [(None, ten), (9, f"9 {five}")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, ITEM), (None, five), (3, ten), (3, "yes"), (4, None), (5, "")], "item_id long, text string")
+    kept = tuples(decontamination.clean(docs, bench, by_item=True))
+    assert kept == sorted([(i, texts[i]) for i in (5, 6, 7, 8, 9, 10)], key=repr)
+    assert decontamination.clean(docs, bench.limit(0), by_item=True).count() == docs.count()
+
+
 # --- licenses ------------------------------------------------------------------------------
 
 

@@ -18,6 +18,11 @@ from threadloom.session import broadcast_if_small
 MASKS = ((0, 1, 2, 4, 5), (0, 1, 3, 5, 6), (0, 2, 3, 6, 7))
 MISMATCH = -2
 MIN_SCORE = 12
+#: By item: a stretch also counts from this share of the item's words as its score, and a diagonal from this
+#: share of the item's words that agree.
+ITEM_SCORE, ITEM_AGREE = 0.75, 0.7
+#: By item: items that no mask fits count where they stand word for word; shorter ones only as a whole text.
+MIN_RUN = 3
 _BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
@@ -52,17 +57,12 @@ def stretch_score(pairs: Column) -> Column:
     return F.aggregate(pairs, start, step, lambda acc: acc["best"])
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, min_score: int = MIN_SCORE) -> DataFrame:
-    """Verified overlaps: doc_id, text_key, item_id, doc_place, matched, score.
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_key", F.xxhash64("text"))
 
-    ``docs`` has doc_id and text, ``benchmark`` item_id and text; more columns are ignored. One row per
-    document and item, for the best diagonal (the first in the text among equals): ``doc_place`` is where
-    the item's first word would stand, ``matched`` how many words agree. Null, empty and short texts have
-    no seeds. Rows that repeat doc_id and text count once; ``text_key`` is a hash of the text.
-    """
-    scratch = Scratch(docs.sparkSession, "decontaminate")
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_key", F.xxhash64("text"))
-    items = scratch.store(benchmark.select(F.col("item_id").cast("long").alias("item_id"), word_hashes(F.col("text")).alias("w")).distinct(), "items")
+
+def _scored(keyed: DataFrame, items: DataFrame, scratch: Scratch) -> DataFrame:
+    """doc_id, text_key, item_id, words (of the item), line (score, minus_place, matched) of every diagonal hit."""
     asked = scratch.store(seeds(items, "item_id").select("item_id", F.col("place").alias("item_place"), "seed"), "item-seeds")
     found = seeds(keyed.select("doc_id", "text_key", word_hashes(F.col("text")).alias("w")), "doc_id", "text_key")
     hits = found.join(broadcast_if_small(asked), "seed").select(
@@ -75,17 +75,58 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_score: int = MIN_SCORE)
     lines = hits.join(texts, hits.doc_id.eqNullSafe(F.col("t_doc")) & (hits.text_key == F.col("t_key"))).join(
         items.select("item_id", F.col("w").alias("item_w")).withColumn("item_id", F.col("item_id")), "item_id")
     same = F.transform("item_w", lambda word, i: F.coalesce(F.get("w", F.col("diagonal") + i) == word, F.lit(False)))
-    scored = lines.select("doc_id", "text_key", "item_id", "diagonal", same.alias("same")).select(
-        "doc_id", "text_key", "item_id", F.struct(
+    return lines.select("doc_id", "text_key", "item_id", "diagonal", F.size("item_w").alias("words"), same.alias("same")).select(
+        "doc_id", "text_key", "item_id", "words", F.struct(
             stretch_score(F.col("same")).alias("score"), (-F.col("diagonal")).alias("minus_place"),
             F.size(F.filter("same", lambda x: x)).alias("matched")).alias("line"))
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, min_score: int = MIN_SCORE) -> DataFrame:
+    """Verified overlaps: doc_id, text_key, item_id, doc_place, matched, score.
+
+    ``docs`` has doc_id and text, ``benchmark`` item_id and text; more columns are ignored. One row per
+    document and item, for the best diagonal (the first in the text among equals): ``doc_place`` is where
+    the item's first word would stand, ``matched`` how many words agree. Null, empty and short texts have
+    no seeds. Rows that repeat doc_id and text count once; ``text_key`` is a hash of the text.
+    """
+    scratch = Scratch(docs.sparkSession, "decontaminate")
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), word_hashes(F.col("text")).alias("w")).distinct()
+    scored = _scored(_keyed(docs), scratch.store(items, "items"), scratch)
     best = scored.where(F.col("line.score") >= min_score).groupBy("doc_id", "text_key", "item_id").agg(F.max("line").alias("line"))
     return best.select("doc_id", "text_key", "item_id", (-F.col("line.minus_place")).cast("long").alias("doc_place"),
                        F.col("line.matched").cast("long").alias("matched"), F.col("line.score").cast("long").alias("score"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, min_score: int = MIN_SCORE) -> DataFrame:
-    """The rows of ``docs`` without a verified overlap, with all their columns."""
-    found = overlaps(docs, benchmark, min_score).select(F.col("doc_id").alias("_hit_doc"), F.col("text_key").alias("_hit_key")).distinct()
+def copies_by_item(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, text_key of documents that hold an item, judged by the item's length.
+
+    A diagonal counts from MIN_SCORE or ITEM_SCORE of the item's words, or if ITEM_AGREE of them agree. Items
+    below the masks' span are found word for word. Items are told apart by their words; item_id is not read.
+    """
+    scratch = Scratch(docs.sparkSession, "decontaminate")
+    keyed = _keyed(docs)
+    items = benchmark.select(word_hashes(F.col("text")).alias("w")).where(F.size("w") > 0).distinct()
+    items = scratch.store(items.select(F.xxhash64("w").alias("item_id"), "w"), "items")
+    words = F.col("words")
+    enough = (F.col("line.score") >= F.least(F.lit(MIN_SCORE), F.ceil(ITEM_SCORE * words))) | (F.col("line.matched") >= ITEM_AGREE * words)
+    found = _scored(keyed, items, scratch).where(enough).select("doc_id", "text_key")
+    span = min(mask[-1] for mask in MASKS) + 1
+    short = scratch.store(items.where(F.size("w") < span).select(F.size("w").alias("n"), F.xxhash64("w").alias("seed")).distinct(), "short")
+    lengths = sorted(r.n for r in short.select("n").distinct().collect())
+    if lengths:
+        run = lambda n: F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.struct(F.lit(n).alias("n"), F.xxhash64(F.slice("w", i, n)).alias("seed")))
+        none = F.array().cast("array<struct<n:int,seed:bigint>>")
+        fits = lambda n: F.size("w") >= n if n >= MIN_RUN else F.size("w") == n
+        runs = F.concat(*[F.when(fits(n), run(n)).otherwise(none) for n in lengths])
+        whole = keyed.select("doc_id", "text_key", word_hashes(F.col("text")).alias("w")).select("doc_id", "text_key", F.explode(runs).alias("run"))
+        whole = whole.select("doc_id", "text_key", "run.*").join(broadcast_if_small(short), ["n", "seed"], "left_semi")
+        found = found.unionByName(whole.select("doc_id", "text_key"))
+    return found.distinct()
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, min_score: int = MIN_SCORE, by_item: bool = False) -> DataFrame:
+    """The rows of ``docs`` without a verified overlap (``by_item``: by copies_by_item), with all their columns."""
+    found = copies_by_item(docs, benchmark) if by_item else overlaps(docs, benchmark, min_score)
+    found = found.select(F.col("doc_id").alias("_hit_doc"), F.col("text_key").alias("_hit_key")).distinct()
     here = docs.doc_id.cast("long").eqNullSafe(F.col("_hit_doc")) & (F.xxhash64(docs.text.cast("string")) == F.col("_hit_key"))
     return docs.join(found, here, "left_anti")
