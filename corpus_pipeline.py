@@ -24,15 +24,31 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, toxicity.train(docs, queries.table(spark, sf_dir, "labels")))
 
 
+def _near_copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(_gone, _gone_key) of the texts that have a near copy with a smaller doc_id; no key where doc_ids have one text."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
+    key = F.xxhash64("text")
+    if texts.groupBy("doc_id").agg(F.min(key).alias("low"), F.max(key).alias("high")).where("low <> high").isEmpty():
+        groups = ngram_join.ngram_components(docs, SHINGLE, PERCENT)
+        return groups.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone"), F.lit(None).cast("long").alias("_gone_key")).distinct()
+    # texts share a doc_id: each is linked under a number of its own
+    named = scratch.store(texts.dropDuplicates(["doc_id", "text"]).withColumn("id", F.monotonically_increasing_id()), "named")
+    groups = ngram_join.ngram_components(named.select(F.col("id").alias("doc_id"), "text"), SHINGLE, PERCENT).select(F.col("doc_id").alias("id"), "component_id")
+    placed = scratch.store(named.select("id", F.struct("doc_id", key.alias("key")).alias("text")).join(groups, "id"), "placed")
+    first = placed.groupBy("component_id").agg(F.min("text").alias("first"), F.count("*").alias("n")).where("n > 1")
+    return placed.join(first, "component_id").where("text <> first").select(F.col("text.doc_id").alias("_gone"), F.col("text.key").alias("_gone_key")).distinct()
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of linked documents, and all without links.
 
-    Of rows that repeat a doc_id with equal text one stays; rows without doc_id stay.
+    Of rows that repeat a doc_id with equal text one stays; rows without doc_id stay. Different texts with
+    one doc_id are judged one by one.
     """
     queries.prepare(spark)
-    groups = ngram_join.ngram_components(docs, SHINGLE, PERCENT)
-    gone = Scratch(spark, "copies").store(groups.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    stay = docs.join(gone, docs.doc_id.cast("long") == F.col("_gone"), "left_anti")
+    gone = Scratch(spark, "copies").store(_near_copies(docs, Scratch(spark, "texts")), "gone")
+    here = (docs.doc_id.cast("long") == F.col("_gone")) & (F.col("_gone_key").isNull() | (F.xxhash64(docs.text.cast("string")) == F.col("_gone_key")))
+    stay = docs.join(gone, here, "left_anti")
     repeated = stay.groupBy("doc_id").agg(F.count("*").alias("_rows")).where("_rows > 1 and doc_id is not null").select("doc_id")
     if repeated.isEmpty():
         return stay

@@ -236,3 +236,12 @@ def test_pipeline_stages_take_empty_and_odd_tables(spark, sf):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), sf).count() == 0
         assert stage(spark, docs, sf).count() > 0
+
+
+def test_of_two_texts_with_one_doc_id_only_the_copy_goes(spark, sf):
+    words = [" ".join(f"{name}{i}" for i in range(60)) for name in ("some", "own", "more")]
+    near = words[2].replace("more0 ", "other ")
+    rows = [(1, words[0]), (5, words[0]), (5, words[1]), (2, words[2]), (6, near), (6, "a text of its own"), (7, words[1]), (5, words[1]), (8, None), (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, sf)
+    assert tuples(kept) == sorted([(1, words[0]), (5, words[1]), (2, words[2]), (6, "a text of its own"), (8, None), (8, "")], key=repr)
