@@ -27,6 +27,12 @@ def test_words_follow_their_expressions_and_hashes_are_of_the_word_alone():
     assert len(set(seen.values())) == len(seen)
 
 
+def test_nul_is_part_of_a_word_and_not_a_separator():
+    (_, _, words), = words_of(pa.array(["a\x00b", "a b", "ab", "\x00"]), SPACED)
+    assert [len(words.of(i)) for i in range(4)] == [1, 2, 1, 1]
+    assert words.of(0)[0] != words.of(2)[0]
+
+
 def test_rolling_runs_stay_inside_their_text():
     bounds = np.array([0, 0, 2, 5])
     value, runs = rolling(np.array([1, 2, 1, 2, 3], np.uint64), bounds, 2)

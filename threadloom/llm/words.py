@@ -20,9 +20,13 @@ SLICE_BYTES = 1 << 20
 
 
 def byte_table(is_separator) -> np.ndarray:
-    """The folding table: A-Z to a-z, 0 for each byte below 0x80 for which ``is_separator(byte)``."""
+    """The folding table: A-Z to a-z, 0 for each byte below 0x80 for which ``is_separator(byte)``.
+
+    NUL as part of a word is folded to 0xFF, which UTF-8 never uses.
+    """
     table = np.arange(256, dtype=np.uint8)
     table[65:91] += 32
+    table[0] = 0xFF
     for byte in range(128):
         if is_separator(byte):
             table[byte] = 0
