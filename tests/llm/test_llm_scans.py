@@ -1,5 +1,6 @@
 """Secrets, decontamination, licenses and surrogates against brute force and planted cases."""
 
+import random
 import re
 
 import duckdb
@@ -73,6 +74,34 @@ def test_rules_without_trigrams_scan_and_others_are_indexed():
     assert trigram_query("(abc)+d?efg") == frozenset([frozenset(["abc", "efg"])])
 
 
+def random_expression(rng, depth=0):
+    """An expression and a text that it matches."""
+    made = []
+    for _ in range(rng.randint(1, 4)):
+        kind = rng.random()
+        if kind < 0.4 or depth == 3:
+            word = "".join(rng.choice("abcd") for _ in range(rng.randint(1, 4)))
+            made.append((word, word))
+        elif kind < 0.6:
+            made.append(("[0-9]+", str(rng.randint(0, 999))))
+        else:
+            (x, one), (y, two) = random_expression(rng, depth + 1), random_expression(rng, depth + 1)
+            made.append(rng.choice([(f"({x})", one), (f"({x}|{y})", rng.choice([one, two])), (f"({x})?", rng.choice([one, ""])), (f"({x}){{2}}", one * 2),
+                                    (f"({x}){{5}}", one * 5), (f"({x})+", one * 3), (f"({x})*", rng.choice([one, ""])), (f"({x}){{0}}", "")]))
+    return "".join(e for e, _ in made), "".join(t for _, t in made)
+
+
+def test_groups_with_gaps_never_exclude_a_match():
+    assert trigram_query("xy([0-9]+)cd") == ANY
+    rng = random.Random(4)
+    for _ in range(3000):
+        expression, text = random_expression(rng)
+        assert re.fullmatch(expression, text)
+        assert any(all(t in text for t in branch) for branch in trigram_query(expression)), (expression, text)
+    (branch,) = trigram_query("hooks/services/(T[A-Z0-9]+)/(B[A-Z0-9]+)/")
+    assert {"hoo", "es/", "s/t"} - branch <= {"s/t"}
+
+
 def test_trigram_queries_never_exclude_a_match():
     for rule in secrets.RULES:
         query = trigram_query(rule.pattern)

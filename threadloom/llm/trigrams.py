@@ -47,46 +47,53 @@ def _class_chars(items) -> set[str] | None:
     return chars if len(chars) <= 4 else None
 
 
-def _walk(tokens, strings: set[str], query: Query) -> tuple[set[str], Query]:
-    """Follows a concatenation: ``strings`` are the literal endings so far, ``query`` what is certain."""
+def _walk(tokens, strings: set[str], query: Query) -> tuple[set[str], Query, bool]:
+    """Follows a concatenation: ``strings`` are the literal endings so far, ``query`` what is certain.
+
+    The last value tells whether the endings are all that the tokens match; else something stands before them.
+    """
+    complete = True
     for kind, value in tokens:
         options: set[str] | None = None
-        certain = ANY
+        certain, whole = ANY, True
         if kind is sre.LITERAL:
             options = {chr(value).lower()}
         elif kind is sre.IN:
             options = _class_chars(value)
         elif kind is sre.SUBPATTERN:
-            options, certain = _walk(value[3], {""}, ANY)
+            options, certain, whole = _walk(value[3], {""}, ANY)
         elif kind is sre.BRANCH:
             parts = [_walk(branch, {""}, ANY) for branch in value[1]]
-            options = set().union(*(p[0] for p in parts))
+            options, whole = set().union(*(p[0] for p in parts)), all(p[2] for p in parts)
             certain = either([both(p[1], of_strings(p[0])) for p in parts]) if any(p[1] != ANY for p in parts) else ANY
         elif kind in (sre.MAX_REPEAT, sre.MIN_REPEAT):
             low, high, body = value
-            inner, certain = _walk(body, {""}, ANY)
+            inner, certain, whole = _walk(body, {""}, ANY)
             if (low, high) == (0, 1):
                 options, certain = inner | {""}, ANY
-            elif low == high and low <= 4:
-                options = {""}
+            elif low == high and low <= 4 and (whole or not low):
+                options, certain, whole = {""}, certain if low else ANY, True
                 for _ in range(low):
                     options = {a + b for a in options for b in inner}
             elif low >= 1:
                 certain = both(certain, of_strings(inner))
+                options = inner if low == high else None
+                whole = False
             else:
                 certain = ANY
         elif kind is sre.AT:
             continue
         query = both(query, certain)
-        if options is not None and len(strings) * len(options) <= MAX_STRINGS:
+        if options is not None and whole and len(strings) * len(options) <= MAX_STRINGS:
             strings = {a + b for a in strings for b in options}
         else:
             query = both(query, of_strings(strings))
             strings = options if options is not None and len(options) <= MAX_STRINGS else {""}
-    return strings, query
+            complete = False
+    return strings, query, complete
 
 
 def trigram_query(pattern: str) -> Query:
     """What every match of ``pattern`` must contain, in lower case."""
-    strings, query = _walk(_parser.parse(pattern), {""}, ANY)
+    strings, query, _ = _walk(_parser.parse(pattern), {""}, ANY)
     return both(query, of_strings(strings))
