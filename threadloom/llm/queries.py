@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadloom.llm import (
-    chat, decontamination, licenses, ngram_join, packing, secrets, surrogates, toxicity, vector_dedup, wrappers)
+    chat, decontamination, filter_audit, licenses, ngram_join, packing, quality_votes, secrets, surrogates, toxicity, vector_dedup, whitening, wrappers)
 from threadloom.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,20 @@ def op4_main_text(spark, sf):
 @query
 def op1_pii_surrogates(spark, sf):
     return surrogates.pseudonymise(table(spark, sf, "documents"), key="registered-query")
+
+
+@query
+def op11_filter_audit(spark, sf):
+    return filter_audit.filter_audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op12_quality_votes(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    scored = quality_votes.score(docs, quality_votes.train(docs, labels))
+    return scored.select("doc_id", quality_votes.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op13_whitening(spark, sf):
+    return whitening.whitened_components(table(spark, sf, "embeddings"))

@@ -189,3 +189,42 @@ FROM judged GROUP BY conv_id
 
 
 SQL["op8_chat_format"] = _chat()
+
+
+SQL["op11_filter_audit"] = """
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+labelled AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+judged AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+         100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) AS c,
+         regexp_matches(t, '[#$%&*|]') AS d, coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e
+  FROM texts LEFT JOIN labelled USING (doc_id)),
+masks AS (
+  SELECT part, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END) || (CASE WHEN c THEN 'C' ELSE '' END)
+         || (CASE WHEN d THEN 'D' ELSE '' END) || (CASE WHEN e THEN 'E' ELSE '' END) AS fails,
+         count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+  FROM judged GROUP BY ALL),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+orders AS (
+  SELECT p.l || q.l || r.l || s.l || t.l AS o FROM letter p, letter q, letter r, letter s, letter t
+  WHERE len(list_distinct([p.l, q.l, r.l, s.l, t.l])) = 5),
+place AS (SELECT o, step, o[step] AS f, o[1:step - 1] AS before FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+seen AS (
+  SELECT part, o, step, f, n, good, toxic, fails, contains(fails, f) AS hit,
+         length(translate(fails, before, '')) < length(fails) AS gone
+  FROM place, masks),
+counted AS (
+  SELECT part, o AS filter_order, step, f,
+         coalesce(sum(n) FILTER (NOT gone AND NOT hit), 0) AS kept, coalesce(sum(n) FILTER (hit AND NOT gone), 0) AS removed,
+         coalesce(sum(n) FILTER (hit AND gone), 0) AS redundant, coalesce(sum(n) FILTER (fails = f), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (hit AND NOT gone), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (hit AND NOT gone), 0) AS toxic_lost
+  FROM seen GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM counted
+"""
