@@ -875,6 +875,49 @@ norms AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM raw GROUP BY doc_id)""",
 SELECT term, round(sum(w / norm) / (SELECT count(*) FROM documents), 6) AS mean_weight
 FROM raw JOIN norms USING (doc_id) GROUP BY term""")
 
+# --- learning ------------------------------------------------------------------------------
+
+SILVER = TURNS + "," + labelled("(SELECT * FROM turns WHERE role = 'Customer')", "lower(text) || ' '", PROBE) + """,
+ordered AS (
+  SELECT conversation_id, row_number() OVER (ORDER BY md5('42|' || conversation_id), conversation_id) AS rn, count(*) OVER () AS n
+  FROM (SELECT DISTINCT conversation_id FROM labelled)
+),
+silver AS (
+  SELECT conversation_id * 1000000 + position AS doc_id, text, intent,
+         CASE WHEN rn <= floor(n * 0.70::DOUBLE) THEN 'train'
+              WHEN rn <= floor(n * 0.70::DOUBLE) + floor(n * 0.15::DOUBLE) THEN 'validation' ELSE 'test' END AS split
+  FROM labelled JOIN ordered USING (conversation_id)
+),
+train_words AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}') AS t FROM silver WHERE split = 'train'),
+train_terms AS (
+  SELECT term FROM (
+    SELECT doc_id, unnest(t) AS term FROM train_words
+    UNION SELECT doc_id, unnest([t[i] || ' ' || t[i + 1] FOR i IN range(1, len(t))]) FROM train_words
+  ) GROUP BY term HAVING count(*) >= 2
+),
+classes AS (
+  SELECT intent, count(*) AS class_rows, sum(count(*)) OVER ()::BIGINT AS train_rows, count(*) OVER () AS k
+  FROM silver WHERE split = 'train' GROUP BY intent
+)"""
+sql("logreg_certificate", SILVER, """
+SELECT c AS c_param, intent, train_rows, class_rows, round(train_rows / (k * class_rows), 6) AS class_weight,
+       (SELECT count(*) FROM train_terms) AS terms, true AS optimal
+FROM classes, (SELECT unnest([0.1, 1.0, 10.0]::DOUBLE[]) AS c)""")
+sql("logreg_choice", SILVER, """
+SELECT c AS c_param, (SELECT count(*) FROM silver WHERE split = 'validation') AS validation_rows, true AS score_holds, true AS choice_holds
+FROM (SELECT unnest([0.1, 1.0, 10.0]::DOUBLE[]) AS c)""")
+sql("model_round_trip", SILVER, """
+SELECT doc_id, intent, true AS same_intent, true AS same_confidence FROM silver WHERE split = 'test'""")
+sql("scoring_guard", SILVER, """
+SELECT part, size::BIGINT AS size, (SELECT count(*) FROM silver WHERE split = 'test') AS scored, true AS unchanged FROM (
+  SELECT 'vocabulary' AS part, (SELECT count(*) FROM train_terms) AS size
+  UNION ALL SELECT 'coefficients', ((SELECT count(*) FROM train_terms) + 1) * (SELECT count(*) FROM classes))""")
+
+sql("kmeans_certificate", "", """
+SELECT k, (SELECT count(*) FROM embeddings) AS points, (SELECT count(*) FROM embeddings WHERE vec_id % 100 = 0) AS asked,
+       true AS fixpoint, true AS inertia_holds, true AS silhouette_holds
+FROM (SELECT unnest(range(8, 16)) AS k)""")
+
 # --- telemetry -----------------------------------------------------------------------------
 
 TELEMETRY = """

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadloom.functions import text
 from threadloom.operators import (
-    agent, context, learning, metrics, ordering, overlap, profile, replies, retrieval, rubric, rules, splits, telemetry, tfidf, threads,
+    agent, clustering, context, learning, metrics, ordering, overlap, profile, replies, retrieval, rubric, rules, splits, telemetry, tfidf, threads,
     triage)
 from threadloom.plans.inputs import (
     BRAND, STOP_WORDS, TURN_STRIDE, as_telemetry, case_vectors, classified_vectors, intent_of_label, probe_rules, probe_templates, raw_tweets,
     table, telemetry_events, turn_vectors, turns, tweets, vectors)
-from threadloom.session import materialize
+from threadloom.session import broadcast_if_small, materialize
 from threadloom.sources.sinks import (
     append_audit, read_audit, read_golden, read_thresholds, write_golden, write_splits, write_statistics, write_thresholds)
 from threadloom.sources.tweets import assert_source, normalise, read_tweets
@@ -597,9 +597,9 @@ def calibration_isolation(spark, sf):
 @query
 def tfidf_weights(spark, sf):
     docs = table(spark, sf, "documents")
-    counts = materialize(tfidf.term_counts(docs, "doc_id", "text"), "term-counts")
-    fitted = tfidf.fit(counts, docs.count())
-    return tfidf.weights(counts, fitted).select("doc_id", "term", F.round("weight", 6).alias("weight"))
+    lists = tfidf.stored_term_lists(docs, "doc_id", "text")
+    fitted = tfidf.fit(lists, docs.count())
+    return tfidf.weights(lists, fitted).select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
 @query
@@ -659,13 +659,126 @@ def logreg_model(spark, sf):
         "doc_id", "intent", "predicted_intent", F.round("intent_confidence", 4).alias("intent_confidence"))
 
 
+def trained_candidates(spark, sf):
+    """(training, rows): the three candidates fitted on the train split of the silver labels."""
+    rows = labelled_texts(spark, sf)
+    return learning.train_all(rows.where("split = 'train'"), rows.where("split = 'validation'")), rows
+
+
+@query
+def logreg_certificate(spark, sf):
+    """For each candidate and class the size of the problem, and whether the gradient at the fitted coefficients is zero."""
+    training, _ = trained_candidates(spark, sf)
+    sizes = training.features.groupBy("intent").agg(F.count("*").alias("class_rows"), F.first("w").alias("class_weight"))
+    out = []
+    for model in training.models:
+        slopes = learning.gradient(training.features, model).groupBy("class").agg(
+            F.count("*").alias("places"), F.max(F.abs("value")).alias("slope"))
+        named = slopes.withColumn("intent", F.element_at(F.lit(model.classes), F.col("class").cast("int") + 1))
+        out.append(named.join(sizes, "intent").select(
+            F.lit(model.c_param).alias("c_param"), "intent", F.lit(model.train_rows).cast("long").alias("train_rows"), "class_rows",
+            F.round("class_weight", 6).alias("class_weight"), (F.col("places") - 1).alias("terms"),
+            (F.col("slope") < learning.OPTIMAL).alias("optimal")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+@query
+def logreg_choice(spark, sf):
+    """The candidate strengths: whether the stored macro F1 is that of the predictions, and whether the first best was chosen."""
+    training, _ = trained_candidates(spark, sf)
+    rows = []
+    for i, (model, macro_f1) in enumerate(zip(training.models, training.macro_f1)):
+        scored = materialize(learning.score(training.held, model).select("intent", "predicted_intent"), "scored")
+        # per label 2 tp / (support + predicted), over all labels that occur
+        sides = scored.select(F.explode(F.array("intent", "predicted_intent")).alias("label"),
+                              (F.col("intent") == F.col("predicted_intent")).cast("int").alias("hit"))
+        f1 = sides.groupBy("label").agg((F.sum("hit") / F.count("*")).alias("f1")).agg(F.avg("f1")).first()[0]
+        earlier, later = training.macro_f1[:i], training.macro_f1[i + 1:]
+        first_best = all(f < macro_f1 for f in earlier) and all(f <= macro_f1 for f in later)
+        rows.append((model.c_param, scored.count(), abs(f1 - macro_f1) < 1e-5, first_best == (model is training.best)))
+    return spark.createDataFrame(rows, "c_param double, validation_rows long, score_holds boolean, choice_holds boolean")
+
+
+@query
+def model_round_trip(spark, sf):
+    """The chosen classifier saved and loaded: whether the loaded one scores every text of the test split the same."""
+    training, rows = trained_candidates(spark, sf)
+    path = runs.scratch(spark, "classifier")
+    learning.save(training.best, path)
+    loaded = learning.load(spark, path)
+    test = rows.where("split = 'test'")
+    before, after = (learning.predict(test, m) for m in (training.best, loaded))
+    pairs = before.join(after.select("doc_id", F.col("predicted_intent").alias("again"), F.col("intent_confidence").alias("confidence_again")), "doc_id")
+    return pairs.join(test.select("doc_id", "intent"), "doc_id").select(
+        "doc_id", "intent", (F.col("predicted_intent") == F.col("again")).alias("same_intent"),
+        (F.abs(F.col("intent_confidence") - F.col("confidence_again")) < 1e-9).alias("same_confidence"))
+
+
+@query
+def scoring_guard(spark, sf):
+    """Vocabulary and coefficients around scoring the test split: their size, and whether scoring left them as they were."""
+    training, rows = trained_candidates(spark, sf)
+    model = training.best
+
+    def states():
+        terms = model.vocabulary.terms.agg(F.count("*").alias("n"), F.sum(F.xxhash64("term", "df", "idf", "index").cast("decimal(20,0)")).alias("s")).first()
+        values = learning.coefficients(model).agg(F.count("*").alias("n"), F.sum(F.xxhash64("class", "index", "value").cast("decimal(20,0)")).alias("s")).first()
+        return [("vocabulary", *terms), ("coefficients", *values)]
+
+    before = states()
+    scored = learning.predict(rows.where("split = 'test'"), model).count()
+    after = states()
+    return spark.createDataFrame([(b[0], b[1], scored, b == a) for b, a in zip(before, after)], "part string, size long, scored long, unchanged boolean")
+
+
 @query
 def kmeans_sweep(spark, sf):
     vecs = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    swept = learning.kmeans_sweep(vecs)
+    swept = clustering.kmeans_sweep(vecs)
     return swept.select("k", F.round("silhouette", 6).alias("silhouette"), F.round("inertia", 4).alias("inertia"), "best")
 
 
+@query
+def kmeans_certificate(spark, sf):
+    """For each k, from the stored centres by joins and sums alone: whether every centre is the mean of its nearest points,
+    whether the inertia is right, and whether the silhouettes of every 100th vector equal those over all pairs with them."""
+    vecs = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    points = clustering.numbered_points(vecs)
+    chosen = clustering.best_clusterings(points)
+    centres = materialize(spark.createDataFrame(
+        [(c.k, i, v.tolist()) for c in chosen for i, v in enumerate(c.centres)], "k int, cluster int, centre array<double>"), "centres")
+    square = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+    # every point meets every centre: their number is fixed by the range of k
+    keys = F.explode(F.array(*[F.lit(c.k) for c in chosen])).alias("k")
+    near = points.select("row", "id", "vector", keys).join(F.broadcast(centres), "k").select(
+        "row", "id", "vector", "k", "cluster", square(F.col("vector"), F.col("centre")).alias("square"))
+    nearest = materialize(near.groupBy("row", "k").agg(
+        F.min(F.struct("square", "cluster")).alias("own"), F.first("id").alias("id"), F.first("vector").alias("vector")), "nearest")
+    sums = nearest.select("k", F.col("own.cluster").alias("cluster"), F.posexplode("vector").alias("dim", "value")).groupBy(
+        "k", "cluster", "dim").agg(F.avg("value").alias("mean"))
+    gaps = centres.select("k", "cluster", F.posexplode("centre").alias("dim", "value")).join(sums, ["k", "cluster", "dim"], "left")
+    still = gaps.groupBy("k").agg(F.max(F.abs(F.coalesce("mean", "value") - F.col("value"))).alias("move"))
+    costs = nearest.groupBy("k").agg(F.sum("own.square").alias("cost"), F.count("*").alias("points"))
+    # the asked vectors against all points, by way of k
+    asked = materialize(nearest.where("id % 100 = 0").select("k", "row", F.col("own.cluster").alias("mine"), F.col("vector").alias("asked")), "asked")
+    pairs = broadcast_if_small(asked).join(nearest.select("k", F.col("row").alias("other"), F.col("own.cluster").alias("cluster"), "vector"), "k")
+    means = pairs.groupBy("k", "row", "mine", "cluster").agg(
+        F.sum(F.sqrt(square(F.col("asked"), F.col("vector")))).alias("total"), F.count("*").alias("n"))
+    own = F.col("cluster") == F.col("mine")
+    sides = means.groupBy("k", "row").agg(
+        F.max(F.when(own, F.col("total") / F.greatest(F.col("n") - 1, F.lit(1)))).alias("a"), F.max(F.when(own, F.col("n"))).alias("size"),
+        F.min(F.when(~own, F.col("total") / F.col("n"))).alias("b"))
+    plain = sides.select("k", "row", F.when(F.col("size") > 1, (F.col("b") - F.col("a")) / F.greatest("a", "b")).otherwise(0.0).alias("plain"))
+    stored = clustering.silhouettes(clustering.labelled_points(points, chosen), [c.sizes for c in chosen])
+    listed = stored.select("row", F.posexplode("scores").alias("at", "score")).select(
+        "row", F.element_at(F.array(*[F.lit(c.k) for c in chosen]), F.col("at") + 1).alias("k"), "score")
+    agree = plain.join(listed, ["row", "k"]).groupBy("k").agg(F.count("*").alias("asked"), F.max(F.abs(F.col("plain") - F.col("score"))).alias("gap"))
+    inertia = spark.createDataFrame([(c.k, c.inertia) for c in chosen], "k int, inertia double")
+    return costs.join(still, "k").join(agree, "k").join(inertia, "k").select(
+        "k", "points", "asked", (F.col("move") < 1e-6).alias("fixpoint"),
+        (F.abs(F.col("cost") - F.col("inertia")) < 1e-6 * F.col("cost")).alias("inertia_holds"), (F.col("gap") < 1e-6).alias("silhouette_holds"))
+
+
 # --- sources and sinks ---------------------------------------------------------------------
 
 

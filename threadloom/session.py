@@ -57,15 +57,15 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[context.applicationId]
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def materialize(df: DataFrame, label: str, **options) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back; ``options`` are the writer's.
 
     The result has no lineage, survives lost executors and carries real size statistics, which
     lets the planner choose its joins from facts.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
