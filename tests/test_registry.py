@@ -43,12 +43,14 @@ def test_closed_loop_against_a_plain_loop(spark):
     df = spark.createDataFrame(rows, "conversation_id long, position long, customer_message string")
     templates = [Template(("alpha",), "say alpha"), Template(("beta",), "say beta")]
 
-    def decide(framed):
-        halt = F.col("customer_message") == "stop"
-        return framed.withColumn("decision", F.when(halt, "ESCALATE").otherwise("AUTO"))
+    def decide(rows, framed):
+        return {"decision": ["ESCALATE" if message == "stop" else "AUTO" for message in rows["customer_message"]]}
 
+    # batches of two rows cut through the conversations
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
     got = {(r.conversation_id, r.position): (r.query_context_used, r.generated_response)
-           for r in agent.closed_loop(df, decide, "Agent", templates, "other").collect()}
+           for r in agent.closed_loop(df, decide, "decision string", "Agent", templates, "other").collect()}
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     memory = {}
     for c, p, text in rows:
         lines = memory.setdefault(c, [])

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from conftest import tuples
 from pyspark.sql import functions as F
@@ -57,6 +59,30 @@ def test_cycle_ends_before_a_repeat(spark):
     assert roots(df) == {1: 2, 2: 1, 3: 2, 4: 4}
 
 
+def root_by_hand(i, parent, inbound):
+    seen, top = [], None
+    while i is not None and i not in seen:
+        seen.append(i)
+        top = i if inbound[i] else top
+        i = parent.get(i)
+    return top
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_graphs_with_cycles(spark, seed):
+    rng = random.Random(seed)
+    n = 150
+    parent = {i: rng.choice([None, rng.randrange(n), rng.randrange(n), 999]) for i in range(n)}
+    # a long cycle with few inbound rows, one without any, and a long way into a cycle
+    parent |= {200 + i: 200 + (i + 1) % 37 for i in range(37)} | {300 + i: 300 + (i + 1) % 5 for i in range(5)}
+    parent |= {400 + i: 401 + i for i in range(40)} | {440: 203, 450: 300}
+    inbound = {i: rng.random() < 0.4 for i in parent} | {i: False for i in range(300, 305)}
+    inbound |= {i: i in (210, 225) for i in range(200, 237)} | {450: True}
+    df = frame(spark, *[tweet(i, "c", inbound[i], p) for i, p in parent.items()])
+    known = {i: p if p in parent else None for i, p in parent.items()}
+    assert roots(df) == {i: root_by_hand(i, known, inbound) for i in parent if inbound[i]}
+
+
 def test_self_reply_is_its_own_root(spark):
     assert roots(frame(spark, tweet(1, "c", True, 1))) == {1: 1}
 

@@ -71,6 +71,12 @@ def frame_context(history: Column, message: Column, max_chars: int = MAX_CONTEXT
         F.concat(F.lit(CONTEXT_HEAD), tail, F.lit(INQUIRY_HEAD), current))
 
 
+def frame_text(history: list[str], message: str | None, max_chars: int = MAX_CONTEXT_CHARS) -> str:
+    """``frame_context`` for one row, where a step in Python needs it."""
+    current = (message or "").strip()
+    return CONTEXT_HEAD + "\n".join(history)[-max_chars:] + INQUIRY_HEAD + current if history else current
+
+
 def memory_context(turns: DataFrame, max_turns: int = MAX_TURNS, max_chars: int = MAX_CONTEXT_CHARS,
                    block_rows: int = SLICE_ROWS) -> DataFrame:
     """The bounded context of every customer turn, from the turns before it.

@@ -153,6 +153,12 @@ def label_by_rules(df: DataFrame, rules: list[Rule] = LABEL_RULES, message: str
     )
 
 
+def rule_of(text: str, rules: list[Rule] = LABEL_RULES) -> Rule:
+    """The first rule found in one text, where a step in Python needs it."""
+    low = text.lower() + " "
+    return next((rule for rule in rules if any(w in low for w in rule.words)), OTHER)
+
+
 def label_violations(labelled: DataFrame) -> DataFrame:
     """Rows whose reason is unknown, or whose escalation flag contradicts the reason."""
     reason, escalate = F.col("escalation_reason"), F.col("requires_human_escalation")

@@ -65,7 +65,7 @@ def thread_roots(tweets: DataFrame) -> DataFrame:
     Pointer doubling: each round joins the still open pointers with the state and doubles the
     distance covered, so a thread of depth d takes log2(d) joins. A walk stops at a parent that is
     missing. What is still open once the distance exceeds any acyclic length hangs on a reply
-    cycle and is walked step by step. A repeated id is an error.
+    cycle, which ends before the first tweet that would repeat. A repeated id is an error.
     """
     ids = tweets.select(F.col("tweet_id").alias("jump"), F.lit(True).alias("known"))
     repeated = tweets.groupBy("tweet_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).collect()
@@ -102,30 +102,56 @@ def _inbound_roots(links: DataFrame, state: DataFrame) -> DataFrame:
         state.select("tweet_id", F.col("top").alias("root_id")), "tweet_id")
 
 
+def _leap(rows: DataFrame, ahead: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+    """(resting, moving): every pointer of ``rows`` (at, jump, found) moved on by what lies ahead of it.
+
+    ``ahead``: at, jump, found. A row rests once ``jump`` is null; ``found`` is the latest that is not null.
+    """
+    step = ahead.select(F.col("at").alias("jump"), F.col("jump").alias("_jump"), F.col("found").alias("_found"))
+    moved = rows.join(step, "jump").select("at", F.col("_jump").alias("jump"), F.coalesce("_found", "found").alias("found"))
+    moved = materialize(moved, label)
+    return moved.where("jump IS NULL"), moved.where("jump IS NOT NULL")
+
+
 def _close_cycles(links: DataFrame, done: DataFrame, looping: DataFrame) -> DataFrame:
-    """Finish rows that lead into a cycle: walk with the visited ids until one would repeat."""
-    parents = links.where(F.col("jump").isNotNull()).select(
-        F.col("tweet_id").alias("at"), F.col("jump").alias("next"))
-    inbound = links.where("inbound").select(F.col("tweet_id").alias("next"), F.lit(True).alias("next_inbound"))
-    walk = looping.select(
-        "tweet_id", F.col("tweet_id").alias("at"), F.array("tweet_id").alias("seen"),
-        F.when(F.lit(True), F.col("tweet_id")).alias("top"), F.lit(False).alias("closed"))
-    while not walk.where(~F.col("closed")).isEmpty():
-        step = (
-            walk.where(~F.col("closed")).join(parents, "at").join(inbound, "next", "left")
-            .withColumn("closed", F.array_contains("seen", F.col("next")))
-            .select(
-                "tweet_id",
-                F.when(F.col("closed"), F.col("at")).otherwise(F.col("next")).alias("at"),
-                F.when(F.col("closed"), F.col("seen"))
-                .otherwise(F.array_append("seen", F.col("next"))).alias("seen"),
-                F.when(~F.col("closed") & F.col("next_inbound"), F.col("next"))
-                .otherwise(F.col("top")).alias("top"),
-                "closed",
-            )
-        )
-        walk = materialize(walk.where("closed").unionByName(step), "thread-cycles")
-    closed = walk.select("tweet_id", F.lit(None).cast("bigint").alias("jump"), "top")
+    """Finish rows that lead into a cycle; the walk of a row ends where it would meet a row again.
+
+    ``looping`` points further ahead than any walk without a repeat is long, so its targets are exactly the rows
+    on cycles. A walk that enters a cycle at e visits all of it and ends before e: its last inbound row is the
+    first one met backwards from e. Both the way back along the cycles and the way to the entry are found by
+    pointer doubling: the logarithm of the longest cycle and of the longest way, in rounds.
+    """
+    cycle = materialize(looping.select(F.col("jump").alias("at")).distinct(), "cycle-rows")
+    parents = links.where(F.col("jump").isNotNull()).select(F.col("tweet_id").alias("at"), F.col("jump").alias("next"), "inbound")
+    here = materialize(parents.join(cycle, "at", "left_semi"), "cycle-links")
+    # backwards: from a row to the one that names it as its parent, resting where that is inbound
+    back = here.select(F.col("next").alias("at"), F.when(~F.col("inbound"), F.col("at")).alias("jump"), F.when(F.col("inbound"), F.col("at")).alias("found"))
+    rest, moving = back.where("jump IS NULL"), back.where("jump IS NOT NULL")
+    distance, rows = 1, here.count()
+    while distance <= rows and not moving.isEmpty():
+        found, moving = _leap(moving, rest.unionByName(moving), "cycle-back")
+        rest, distance = rest.unionByName(found), distance * 2
+    # what still moves is on a cycle without any inbound row
+    last = materialize(rest.unionByName(moving.withColumn("found", F.lit(None).cast("bigint"))).select(
+        F.col("at").alias("entry"), F.col("found").alias("last")), "cycle-last")
+    # forwards: from the rows beside the cycles to their entry, with the last inbound row on the way
+    beside = parents.join(looping.select(F.col("tweet_id").alias("at")), "at", "left_semi").join(cycle, "at", "left_anti")
+    entries = cycle.select(F.col("at").alias("next"), F.lit(True).alias("enters"))
+    way = beside.join(entries, "next", "left").select(
+        "at", F.when(F.col("enters").isNull(), F.col("next")).alias("jump"),
+        F.struct(F.when(F.col("inbound"), F.col("at")).alias("top"), F.when(F.col("enters"), F.col("next")).alias("entry")).alias("found"))
+    way = materialize(way, "cycle-way")
+    rest, moving = way.where("jump IS NULL"), way.where("jump IS NOT NULL")
+    while not moving.isEmpty():
+        step = rest.unionByName(moving).select(F.col("at").alias("jump"), F.col("jump").alias("_jump"), F.col("found").alias("_found"))
+        moved = moving.join(step, "jump").select("at", F.col("_jump").alias("jump"), F.struct(
+            F.coalesce("_found.top", "found.top").alias("top"), F.col("_found.entry").alias("entry")).alias("found"))
+        moved = materialize(moved, "cycle-way")
+        rest, moving = rest.unionByName(moved.where("jump IS NULL")), moved.where("jump IS NOT NULL")
+    way = rest.select("at", "found.top", "found.entry")
+    outside = way.join(last, "entry").select(F.col("at").alias("tweet_id"), F.coalesce("last", "top").alias("top"))
+    inside = last.select(F.col("entry").alias("tweet_id"), F.col("last").alias("top"))
+    closed = outside.unionByName(inside).select("tweet_id", F.lit(None).cast("bigint").alias("jump"), "top")
     return _inbound_roots(links, done.unionByName(closed))
 
 

@@ -32,6 +32,13 @@ def escalation_reason(intent: Column, confidence: Column, similarity: Column,
     return case.when(weak, "insufficient_context").otherwise("none")
 
 
+def reason_of(intent: str, confidence: float = 1.0, similarity: float = 1.0,
+              tau_confidence: float = TAU_CONFIDENCE, tau_similarity: float = TAU_SIMILARITY) -> str:
+    """``escalation_reason`` for one row of known scores, where a step in Python needs it."""
+    weak = confidence < tau_confidence or similarity < tau_similarity
+    return ALWAYS_ESCALATE.get(intent.strip(), "insufficient_context" if weak else "none")
+
+
 def triage(df: DataFrame, intent: str = "predicted_intent", confidence: str = "intent_confidence",
            similarity: str = "retrieval_similarity", tau_confidence=TAU_CONFIDENCE,
            tau_similarity=TAU_SIMILARITY) -> DataFrame:

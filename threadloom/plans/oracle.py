@@ -102,6 +102,23 @@ sql("reply_pairs", PAIRS,
 
 sql("thread_roots", ROOTS, "SELECT tweet_id, root_id FROM roots")
 
+sql("thread_cycles", TWEETS + """,
+spans AS (SELECT (tweet_id - 1) // 1000000 AS c, min(tweet_id) AS low, max(tweet_id) AS high FROM tweets GROUP BY 1),
+third AS (SELECT * FROM spans WHERE c % 3 = 0),
+ring AS (
+  SELECT p.low, q.high AS target FROM third p JOIN third q ON q.c = p.c + 3
+  UNION ALL SELECT (SELECT arg_max(low, c) FROM third), (SELECT arg_min(high, c) FROM third)
+  UNION ALL SELECT low, CASE WHEN c % 2 = 0 THEN high ELSE least(low + 1, high) END FROM spans WHERE c % 3 <> 0),
+planted AS (SELECT low, min(target) AS target FROM ring GROUP BY low),
+looped AS (SELECT tweet_id, inbound, coalesce(target, parent_id) AS parent_id FROM tweets LEFT JOIN planted ON low = tweet_id),
+ways(tweet_id, here, top, seen) AS (
+  SELECT tweet_id, tweet_id, tweet_id, [tweet_id] FROM looped WHERE inbound
+  UNION ALL
+  SELECT w.tweet_id, p.tweet_id, CASE WHEN p.inbound THEN p.tweet_id ELSE w.top END, list_append(w.seen, p.tweet_id)
+  FROM ways w JOIN looped c ON c.tweet_id = w.here JOIN looped p ON p.tweet_id = c.parent_id
+  WHERE NOT list_contains(w.seen, p.tweet_id)
+)""", "SELECT tweet_id, arg_max(top, len(seen)) AS root_id FROM ways GROUP BY tweet_id")
+
 sql("interactions", INTERACTIONS, """
 SELECT interaction_id, conversation_id, customer_message, brand_response, timestamp, customer_author_id,
        customer_tweet_id, brand_tweet_id FROM inter""")

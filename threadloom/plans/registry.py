@@ -46,6 +46,24 @@ def brand_ranking(spark, sf):
     return profile.brand_ranking(accounts)
 
 
+@query
+def thread_cycles(spark, sf):
+    """Roots where replies run in circles: the first turn of each third conversation answers the last turn of the next
+    third one, so that all of them are one cycle, and that of each other conversation answers a turn of its own."""
+    rows = tweets(spark, sf)
+    conversation = F.floor((F.col("tweet_id") - 1) / TURN_STRIDE)
+    spans = rows.groupBy(conversation.alias("c")).agg(F.min("tweet_id").alias("low"), F.max("tweet_id").alias("high"))
+    third = spans.where("c % 3 = 0")
+    # the next third conversation, and after the last one the first
+    follows = third.select((F.col("c") - 3).alias("c"), F.col("high").alias("target"))
+    ends = third.agg(F.max("c").alias("c"), F.min(F.struct("c", "high"))["high"].alias("target"))
+    ring = third.join(follows.unionByName(ends), "c").select("low", "target")
+    own = spans.where("c % 3 <> 0").select("low", F.when(F.col("c") % 2 == 0, F.col("high")).otherwise(F.least(F.col("low") + 1, F.col("high"))).alias("target"))
+    planted = ring.unionByName(own).groupBy("low").agg(F.min("target").alias("target"))
+    looped = rows.join(planted, rows.tweet_id == planted.low, "left").withColumn("parent_id", F.coalesce("target", "parent_id"))
+    return threads.thread_roots(looped.drop("low", "target"))
+
+
 @query
 def reply_pairs(spark, sf):
     return threads.rooted_pairs(tweets(spark, sf), BRAND).select(
@@ -566,11 +584,14 @@ def agent_closed_loop(spark, sf):
     """All customer turns, with the agent's own replies as memory; the probe rules give the intent."""
     rows = turns(spark, sf).where("role = 'Customer'").withColumnRenamed("text", "customer_message")
 
-    def decide(framed):
-        labelled = rules.label_by_rules(framed, probe_rules(), "query_context_used")
-        return triage.triage(labelled.withColumn("confidence", F.lit(1.0)), "intent", "confidence", "confidence")
+    known = probe_rules()
+
+    def decide(_, framed):
+        intents = [rules.rule_of(text, known).intent for text in framed]
+        reasons = [triage.reason_of(intent) for intent in intents]
+        return {"intent": intents, "escalation_reason": reasons, "decision": ["AUTO" if r == "none" else "ESCALATE" for r in reasons]}
 
-    answered = agent.closed_loop(rows, decide, BRAND, probe_templates())
+    answered = agent.closed_loop(rows, decide, "intent string, escalation_reason string, decision string", BRAND, probe_templates())
     return answered.select("conversation_id", "position", "intent", "decision", "escalation_reason",
                            "query_context_used", "generated_response")
 
