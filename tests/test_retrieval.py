@@ -42,6 +42,21 @@ def test_knn_is_exact_for_vectors_of_any_length(spark, spread, sizes):
     assert sorted(tuples(itself, "query_id", "corpus_id", "rank")) == brute(norm(corpus), norm(corpus), 2, True)
 
 
+def test_codes_bound_the_cosine_and_rule_out_most_pairs(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    corpus, queries = unit(rng, 2000, 32), unit(rng, 40, 32)
+    corpus[3] = 0
+    corpus[4] = np.eye(32)[0]
+    index = retrieval.build_index(frame(spark, corpus, "corpus_id"), str(tmp_path / "index"), "one")
+    turned = queries.astype(float) / np.linalg.norm(queries.astype(float), axis=1, keepdims=True) @ retrieval.rotation(32)
+    for r in index.table.collect():
+        near = turned @ (np.frombuffer(bytes(r["code"]), np.int8) * r["scale"])
+        exact = turned @ (np.array(r["vector"]) @ retrieval.rotation(32))
+        assert (np.abs(near - exact) <= r["error"] + 1e-12).all() and r["error"] < 0.02
+    effort = retrieval.search_effort(frame(spark, queries, "query_id"), index, 5).first()
+    assert (effort["queries"], effort["pairs"]) == (40, 80_000) and effort["refined"] < 2_000
+
+
 def test_an_index_of_another_model_is_refused(spark, tmp_path):
     corpus = frame(spark, unit(np.random.default_rng(2), 5, 4), "corpus_id")
     retrieval.build_index(corpus, str(tmp_path / "index"), "one")

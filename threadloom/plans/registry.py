@@ -357,6 +357,14 @@ def index_round_trip(spark, sf):
     return _top3(retrieval.search(queries, retrieval.load_index(spark, path, "driver-embeddings"), 3))
 
 
+@query
+def search_effort(spark, sf):
+    """How many pairs of queries and cases the codes leave open for the exact cosine."""
+    queries, corpus = case_vectors(spark, sf)
+    effort = retrieval.search_effort(queries, retrieval.build_index(corpus, runs.scratch(spark, "vector-index"), "driver-embeddings"), 3)
+    return effort.select("queries", "pairs", (F.col("refined") < 0.2 * F.col("pairs")).alias("below_a_fifth"))
+
+
 @query
 def retrieval_diagnostics(spark, sf):
     queries, corpus = case_vectors(spark, sf)
