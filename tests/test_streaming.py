@@ -66,15 +66,65 @@ def test_running_totals_and_windows_equal_batch(spark, tmp_path):
     assert tuples(windows, *expected.columns) == tuples(expected)
 
 
-def test_late_rows_are_dropped_and_counted(spark, tmp_path):
-    parts = [events(spark, 100, 10), events(spark, 200, 10), events(spark, 0, 3)]
+def test_late_rows_are_counted_over_all_runs(spark, tmp_path):
+    path, source = str(tmp_path / "out"), str(tmp_path / "in")
+    for part in [events(spark, 100, 10), events(spark, 200, 10), events(spark, 0, 3), events(spark, 210, 4)]:
+        part.coalesce(1).write.mode("append").parquet(source)
+        stream = runs.file_stream(spark, source, part.schema)
+        stream_telemetry.run_accounted(stream_telemetry.windowed_stream(stream), path)
+    # three rows of one window are one dropped group, but three dropped rows
+    assert tuple(stream_telemetry.row_account(spark, path, ["window_start"], "total_inquiries").first()) == (27, 24, 3)
+    stream_telemetry.run_accounted(stream_telemetry.windowed_stream(stream), path)
+    assert stream_telemetry.row_account(spark, path, ["window_start"], "total_inquiries").first()["input_rows"] == 27
+
+
+def test_more_batches_than_the_engine_remembers_are_accounted(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
     path = str(tmp_path / "out")
-    query = stream_telemetry.start_updates(
-        stream_telemetry.windowed_stream(stream_of(spark, str(tmp_path / "in"), parts)), path)
+    parts = [events(spark, i, 1) for i in [100, 101, 102, 200, 3, 4, 5]]
+    stream_telemetry.run_accounted(stream_telemetry.windowed_stream(stream_of(spark, str(tmp_path / "in"), parts)), path)
+    spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    account = stream_telemetry.row_account(spark, path, ["window_start"], "total_inquiries").first()
+    assert (account["input_rows"], account["late_rows"]) == (7, 3)
+
+
+def test_a_merged_log_ignores_replayed_batches_and_stays_small(spark, tmp_path):
+    path, source, keys = str(tmp_path / "out"), str(tmp_path / "in"), ["decision", "escalation_reason"]
+    assert stream_telemetry.merge_updates(spark, path, keys) is None
+    for i in range(3):
+        events(spark, i * 10, 10).coalesce(1).write.mode("append").parquet(source)
+        stream = runs.file_stream(spark, source, events(spark, 0, 1).schema)
+        stream_telemetry.start_updates(stream_telemetry.running_totals(stream), path).awaitTermination()
+        before = tuples(stream_telemetry.latest(spark, path, keys), *keys, "n")
+        upto = stream_telemetry.merge_updates(spark, path, keys)
+        assert tuples(stream_telemetry.latest(spark, path, keys), *keys, "n") == before
+        # folders that a stopped merge left behind
+        stream_telemetry.latest(spark, path, keys).withColumn("n", F.lit(-1).cast("long")).write.parquet(f"{path}/updates/batch={upto}")
+        assert tuples(stream_telemetry.latest(spark, path, keys), *keys, "n") == before
+        assert stream_telemetry.merge_updates(spark, path, keys) == upto
+    assert before == tuples(telemetry.reason_counts(events(spark, 0, 30)))
+    assert len(list((tmp_path / "out" / "merged").iterdir())) == 1
+    # a merge that never finished does not count
+    (tmp_path / "out" / "merged" / "upto=99").mkdir()
+    assert tuples(stream_telemetry.latest(spark, path, keys), *keys, "n") == before
+
+
+def test_idle_conversations_are_forgotten_and_leave_the_state(spark, tmp_path):
+    minutes = [(1, 0, 0), (1, 2, 3), (1, 4, 40), (1, 6, 41), (2, 0, 1), (2, 2, 16)]
+    rows = spark.createDataFrame([(c, p, "Customer", f"t{p}") for c, p, _ in minutes], "conversation_id long, position long, role string, text string")
+    times = F.create_map(*[F.lit(x) for c, p, m in minutes for x in (f"{c}-{p}", m)])
+    rows = rows.withColumn("ts", F.timestamp_seconds(F.lit(1_000_000) + times[F.concat_ws("-", "conversation_id", "position")] * 60))
+    end = spark.createDataFrame([(99, i, "Customer", "end", None) for i in (0, 1)], SCHEMA)
+    ends = [end.where(F.col("position") == i).withColumn("ts", F.timestamp_seconds(F.lit(9_000_000) + i * 9_000_000)) for i in (0, 1)]
+    parts = [rows.where("position IN (2, 4)"), rows.where("position IN (0, 6)"), *ends]
+    path = str(tmp_path / "out")
+    query = runs.start(memory.memory_stream(stream_of(spark, str(tmp_path / "in"), parts), "100 minutes", idle_ms=900_000), path)
     query.awaitTermination()
-    assert stream_telemetry.late_rows(query) > 0
-    kept = stream_telemetry.latest(spark, path, ["window_start"])
-    assert kept.agg(F.sum("total_inquiries")).first()[0] == 20
+    got = {(r.conversation_id, r.position): r.context for r in spark.read.parquet(f"{path}/table").where("conversation_id < 99").collect()}
+    frame = lambda line, text: f"Preceding Context:\nCustomer: {line}\n\nCurrent Inquiry:\n{text}"
+    assert got == {(1, 0): "t0", (1, 2): frame("t0", "t2"), (1, 4): "t4", (1, 6): frame("t4", "t6"), (2, 0): "t0", (2, 2): frame("t0", "t2")}
+    left = spark.read.format("statestore").option("stateVarName", "last").load(f"{path}/checkpoint")
+    assert {r.key.conversation_id for r in left.collect()} <= {99}
 
 
 def test_triage_stream_writes_one_audit_row_per_valid_inquiry(spark, tmp_path):

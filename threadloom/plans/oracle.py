@@ -989,7 +989,26 @@ FROM contexts, (SELECT unnest(['csv', 'json']) AS form) f""")
 SQL["audit_log"] = SQL["telemetry_records"]
 SQL["memory_stream"] = SQL["memory_context"].replace("ELSE 'Brand' END", "ELSE 'AmazonHelp' END")
 SQL["memory_stream_ordered"] = SQL["memory_stream"]
-SQL["telemetry_stream_totals"] = SQL["telemetry_reasons"]
+sql("memory_stream_idle", TURNS.replace("ELSE 'Brand' END", "ELSE 'AmazonHelp' END") + f""",
+timed AS (SELECT *, conversation_id * 3600 + position * 60 + position // 3 * 1800 AS moment FROM turns),
+gapped AS (
+  SELECT *, coalesce(moment - lag(moment) OVER (PARTITION BY conversation_id ORDER BY moment, position) > 900, false) AS pause FROM timed
+  WHERE text <> ''
+),
+session AS (SELECT *, sum(pause::INT) OVER (PARTITION BY conversation_id ORDER BY moment, position) AS part FROM gapped),
+remembered AS (
+  SELECT *, list(role || ': ' || {strip('text')}) OVER (
+    PARTITION BY conversation_id, part ORDER BY moment, position ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS history FROM session
+)""", f"""
+SELECT conversation_id, position,
+       CASE WHEN history IS NULL OR len(history) = 0 THEN {strip('text')}
+            ELSE 'Preceding Context:' || chr(10) || right(array_to_string(history, chr(10)), 2000)
+                 || chr(10) || chr(10) || 'Current Inquiry:' || chr(10) || {strip('text')} END AS context
+FROM remembered WHERE role = 'Customer'""")
+sql("telemetry_late_rows", "", """
+SELECT count(*) AS input_rows, count(*) FILTER (NOT late) AS counted, count(*) FILTER (late) AS late_rows
+FROM (SELECT event_id % 50 = 0 AND ts < TIMESTAMP '2024-01-16' AS late FROM events)""")
+SQL["telemetry_stream_totals"] = SQL["telemetry_totals_merged"] = SQL["telemetry_reasons"]
 SQL["telemetry_stream_windows"] = SQL["telemetry_windows"]
 sql("triage_stream", CASES + """,
 inquiries AS (

@@ -956,6 +956,58 @@ def telemetry_stream_windows(spark, sf):
     return stream_telemetry.run_updates(windows, ["window_start"], "windows")
 
 
+@query
+def memory_stream_idle(spark, sf):
+    """Turns that arrive out of order in three runs, with a long pause after every third turn, after which nothing is remembered."""
+    rows = table(spark, sf, "conversations").where(F.col("role").isin("user", "assistant")).select(
+        F.col("conv_id").alias("conversation_id"), F.col("turn").alias("position"),
+        F.when(F.col("role") == "user", "Customer").otherwise(F.lit("AmazonHelp")).alias("role"), "text",
+        F.timestamp_seconds(F.lit(1704067200) + F.col("conv_id") * 3600 + F.col("turn") * 60 + F.floor(F.col("turn") / 3) * 1800).alias("ts"))
+    # a last row, years later, lets the watermark pass all others
+    end = spark.sql("SELECT -1L AS conversation_id, 0L AS position, 'Customer' AS role, 'end' AS text, TIMESTAMP '2090-01-01 00:00:00' AS ts")
+    path = runs.scratch(spark, "memory-idle")
+    for part in [*[rows.where(F.col("position") % 3 == i) for i in (2, 0, 1)], end]:
+        part.write.mode("append").parquet(f"{path}/in")
+        stream = memory.memory_stream(runs.file_stream(spark, f"{path}/in", rows.schema), "10000 days", idle_ms=900_000)
+        runs.start(stream, path).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{path}/table").where("conversation_id >= 0")
+
+
+def _in_runs(spark, path, parts, run):
+    """Parts of a table arrive one after the other, each read by a run that goes on from the last one."""
+    for part in parts:
+        part.write.mode("append").parquet(f"{path}/in")
+        run(runs.file_stream(spark, f"{path}/in", part.schema))
+
+
+@query
+def telemetry_late_rows(spark, sf):
+    """Hourly windows over the days in order, with every 50th event of the first half arriving last, and the account of its rows."""
+    path = runs.scratch(spark, "late")
+    rows = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    late = (F.col("event_id") % 50 == 0) & (F.col("ts") < "2024-01-16")
+    parts = [rows.where(~late & (F.col("ts") < "2024-01-11")), rows.where(~late & F.col("ts").between("2024-01-11", "2024-01-20")),
+             rows.where(~late & (F.col("ts") > "2024-01-20")), rows.where(late)]
+    _in_runs(spark, path, parts, lambda stream: stream_telemetry.run_accounted(stream_telemetry.windowed_stream(as_telemetry(stream)), path))
+    return stream_telemetry.row_account(spark, path, ["window_start"], "total_inquiries")
+
+
+@query
+def telemetry_totals_merged(spark, sf):
+    """Running totals over three runs, merged after each one; a batch that is already merged is written again before the last."""
+    path, keys = runs.scratch(spark, "merged"), ["decision", "escalation_reason"]
+    rows = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+    def run(stream):
+        stream_telemetry.start_updates(stream_telemetry.running_totals(as_telemetry(stream)), path).awaitTermination()
+        stream_telemetry.merge_updates(spark, path, keys)
+        again = stream_telemetry.latest(spark, path, keys).withColumn("n", F.lit(-1).cast("long"))
+        again.write.mode("overwrite").parquet(f"{path}/updates/batch=0")
+
+    _in_runs(spark, path, [rows.where(F.col("event_id") % 3 == i) for i in range(3)], run)
+    return stream_telemetry.latest(spark, path, keys)
+
+
 @query
 def triage_stream(spark, sf):
     """Customer turns as a stream of inquiries, triaged against the cases of the train split."""
