@@ -154,13 +154,63 @@ def test_passages_are_found_with_substitutions_and_clean_texts_are_not(spark):
     bench = spark.createDataFrame([(1, ITEM, 0), (2, None, 0), (3, "", 0), (4, "two words", 0), (1, ITEM, 0)], "item_id long, text string, place int")
     got = tuples(decontamination.overlaps(docs, bench).select("doc_id", "item_id", "matched", "score"))
     n = len(ITEM.split())
-    assert got == sorted([(1, 1, n, n), (2, 1, n - 2, n - 6), (8, 1, n, n), (None, 1, n, n)], key=repr)
+    # four of twenty words replaced are below 12 points, but 80 % of the item agrees
+    assert got == sorted([(1, 1, n, n), (2, 1, n - 2, n - 6), (3, 1, n - 4, 8), (8, 1, n, n), (None, 1, n, n)], key=repr)
     clean = decontamination.clean(docs, bench)
-    assert clean.columns == docs.columns and tuples(clean.select("doc_id")) == [(i,) for i in sorted([3, 4, 5, 6, 7, 9, 10], key=lambda x: repr((x,)))]
+    assert clean.columns == docs.columns and tuples(clean.select("doc_id")) == [(i,) for i in sorted([4, 5, 6, 7, 9, 10], key=lambda x: repr((x,)))]
     assert decontamination.overlaps(docs.limit(0), bench).count() == 0
     assert decontamination.clean(docs, bench.limit(0)).count() == docs.count()
 
 
+def overlaps_by_hand(texts, items):
+    """(doc_id, item_id, doc_place, matched, score) from all diagonals of all pairs."""
+    split = lambda t: [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower()) if w]
+    out = []
+    for i, text in texts:
+        w = split(text)
+        for name, item in {(n, tuple(split(t))) for n, t in items}:
+            if not item:
+                continue
+            best = None
+            if len(item) < 7:
+                for p in range(len(w) - len(item) + 1):
+                    if w[p:p + len(item)] == list(item) and (len(item) >= 3 or len(w) == len(item)):
+                        best = best or (len(item), -p, len(item))
+            else:
+                for p in range(-len(item) + 1, len(w)):
+                    same = [0 <= p + j < len(w) and w[p + j] == x for j, x in enumerate(item)]
+                    seeded = any(all(j + m < len(item) and same[j + m] for m in mask) for mask in decontamination.MASKS for j in range(len(item)))
+                    here = top = 0
+                    for x in same:
+                        here = max(here, 0) + (1 if x else -2)
+                        top = max(top, here)
+                    if seeded and (top >= 12 or 4 * top >= 3 * len(item) or 10 * sum(same) >= 7 * len(item)):
+                        best = max(best or (-1,), (top, -p, sum(same)))
+            if best:
+                out.append((i, name, -best[1], best[2], best[0]))
+    return sorted(out, key=repr)
+
+
+def test_overlaps_equal_all_diagonals_of_all_pairs(spark):
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(30)]
+    items = [(n, " ".join(rng.choices(vocabulary, k=k))) for n, k in enumerate([1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 15, 20, 30])]
+    items += [(3, "w1 w2 w3 w4 w5 w6 w7 w8"), (None, "other words of an item that has no id at all"), (20, None), (21, ""), (4, items[4][1])]
+    texts = []
+    for n in range(60):
+        words = (rng.choice(items)[1] or "").split()
+        for _ in range(rng.randrange(4)):
+            if words:
+                words[rng.randrange(len(words))] = "x"
+        around = [rng.choices(vocabulary, k=rng.choice([0, 3, 20])) for _ in (0, 1)]
+        texts.append((n, " ".join(around[0] + words + around[1])))
+    texts += [(100, None), (101, ""), (None, items[12][1]), (102, items[0][1])]
+    docs = spark.createDataFrame([(*t, 1, "c") for t in texts], "doc_id long, text string, name long, w string").repartition(3)
+    bench = spark.createDataFrame([(*t, "c") for t in items], "item_id long, text string, seed string")
+    got = decontamination.overlaps(docs, bench).select("doc_id", "item_id", "doc_place", "matched", "score")
+    assert tuples(got) == overlaps_by_hand(texts, items)
+
+
 def test_copies_are_judged_by_the_length_of_the_item(spark):
     ten, five = " ".join(ITEM.split()[:10]), "gold rivers never sleep twice"
     filler = " ".join(f"filler{i}" for i in range(40))

@@ -4,7 +4,7 @@ A seed is a fixed mask over consecutive words: only the words at its marked plac
 replaced word at an ignored place does not break a hit. Hashes of the texts are joined with those of
 the benchmark items; a hit gives a diagonal (place in the text less place in the item). On each diagonal
 that was hit the words are compared one by one: a match counts 1 and a mismatch -2, and the best
-scoring stretch must reach ``min_score``.
+scoring stretch must reach a score that follows from the item's length.
 """
 
 from __future__ import annotations
@@ -18,10 +18,10 @@ from threadloom.session import broadcast_if_small
 MASKS = ((0, 1, 2, 4, 5), (0, 1, 3, 5, 6), (0, 2, 3, 6, 7))
 MISMATCH = -2
 MIN_SCORE = 12
-#: By item: a stretch also counts from this share of the item's words as its score, and a diagonal from this
-#: share of the item's words that agree.
+#: A stretch also counts from this share of the item's words as its score, and a diagonal from this share of the
+#: item's words that agree.
 ITEM_SCORE, ITEM_AGREE = 0.75, 0.7
-#: By item: items that no mask fits count where they stand word for word; shorter ones only as a whole text.
+#: Items that no mask fits count where they stand word for word; shorter ones only as a whole text.
 MIN_RUN = 3
 _BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
@@ -81,20 +81,56 @@ def _scored(keyed: DataFrame, items: DataFrame, scratch: Scratch) -> DataFrame:
             F.size(F.filter("same", lambda x: x)).alias("matched")).alias("line"))
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, min_score: int = MIN_SCORE) -> DataFrame:
+def _word_for_word(keyed: DataFrame, items: DataFrame, scratch: Scratch) -> DataFrame:
+    """doc_id, text_key, item_id, place of the items that stand somewhere word for word; those below MIN_RUN words only as a whole text."""
+    asked = scratch.store(items.select("item_id", F.size("w").alias("n"), F.xxhash64("w").alias("seed")), "short-items")
+    none = F.array().cast("array<struct<n:int,seed:bigint,place:int>>")
+
+    def runs(n: int) -> Column:
+        fits = F.size("w") >= n if n >= MIN_RUN else F.size("w") == n
+        each = F.transform(F.sequence(F.lit(0), F.size("w") - n), lambda i: F.struct(
+            F.lit(n).alias("n"), F.xxhash64(F.slice("w", i + 1, n)).alias("seed"), i.alias("place")))
+        return F.when(fits, each).otherwise(none)
+
+    # lengths below the span of a mask: a few numbers
+    lengths = sorted(r.n for r in asked.select("n").distinct().collect())
+    words = keyed.select("doc_id", "text_key", word_hashes(F.col("text")).alias("w"))
+    found = words.select("doc_id", "text_key", F.explode(F.concat(none, *[runs(n) for n in lengths])).alias("run"))
+    return found.select("doc_id", "text_key", "run.*").join(broadcast_if_small(asked), ["n", "seed"]).groupBy(
+        "doc_id", "text_key", "item_id").agg(F.min("place").alias("place"), F.first("n").alias("n"))
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Verified overlaps: doc_id, text_key, item_id, doc_place, matched, score.
 
-    ``docs`` has doc_id and text, ``benchmark`` item_id and text; more columns are ignored. One row per
-    document and item, for the best diagonal (the first in the text among equals): ``doc_place`` is where
-    the item's first word would stand, ``matched`` how many words agree. Null, empty and short texts have
-    no seeds. Rows that repeat doc_id and text count once; ``text_key`` is a hash of the text.
+    ``docs`` has doc_id and text, ``benchmark`` item_id and text; more columns are ignored. A diagonal counts if its score
+    reaches MIN_SCORE or ITEM_SCORE of the item's words, or if ITEM_AGREE of the item's words agree. Items below the
+    span of the masks have no seeds and are found word for word, those below MIN_RUN words as a whole text only. One row per
+    document and item, for the best diagonal that counts (the first in the text among equals): ``doc_place`` is where
+    the item's first word would stand, ``matched`` how many words agree. An item is its id and its words: a null id
+    is an id, and two texts of one id are two items. Null and empty texts and items hold nothing. Rows that repeat doc_id and
+    text count once; ``text_key`` is a hash of the text.
     """
     scratch = Scratch(docs.sparkSession, "decontaminate")
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), word_hashes(F.col("text")).alias("w")).distinct()
-    scored = _scored(_keyed(docs), scratch.store(items, "items"), scratch)
-    best = scored.where(F.col("line.score") >= min_score).groupBy("doc_id", "text_key", "item_id").agg(F.max("line").alias("line"))
-    return best.select("doc_id", "text_key", "item_id", (-F.col("line.minus_place")).cast("long").alias("doc_place"),
-                       F.col("line.matched").cast("long").alias("matched"), F.col("line.score").cast("long").alias("score"))
+    named = benchmark.select(F.col("item_id").cast("long").alias("name"), word_hashes(F.col("text")).alias("w")).where(F.size("w") > 0).distinct()
+    key = F.xxhash64(F.col("name").isNull(), "name", "w")
+    items = scratch.store(named.select(key.alias("item_id"), "name", "w"), "items")
+    span = min(mask[-1] for mask in MASKS) + 1
+    keyed = _keyed(docs)
+    words, score, matched = F.col("words"), F.col("line.score"), F.col("line.matched")
+    enough = (score >= MIN_SCORE) | (score >= F.ceil(ITEM_SCORE * words)) | (matched * 10 >= words * int(ITEM_AGREE * 10))
+    best = _scored(keyed, items.where(F.size("w") >= span).select("item_id", "w"), scratch).where(enough).groupBy(
+        "doc_id", "text_key", "item_id").agg(F.max("line").alias("line"))
+    found = best.select("doc_id", "text_key", "item_id", (-F.col("line.minus_place")).cast("long").alias("doc_place"),
+                        F.col("line.matched").cast("long").alias("matched"), F.col("line.score").cast("long").alias("score"))
+    short = items.where(F.size("w") < span)
+    if not short.isEmpty():
+        whole = _word_for_word(keyed, short.select("item_id", "w"), scratch)
+        found = found.unionByName(whole.select("doc_id", "text_key", "item_id", F.col("place").cast("long").alias("doc_place"),
+                                               F.col("n").cast("long").alias("matched"), F.col("n").cast("long").alias("score")))
+    names = scratch.store(items.select(F.col("item_id").alias("key"), "name"), "names")
+    return found.join(broadcast_if_small(names), F.col("item_id") == F.col("key")).select(
+        "doc_id", "text_key", F.col("name").alias("item_id"), "doc_place", "matched", "score")
 
 
 def copies_by_item(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -124,9 +160,9 @@ def copies_by_item(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return found.distinct()
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, min_score: int = MIN_SCORE, by_item: bool = False) -> DataFrame:
-    """The rows of ``docs`` without a verified overlap (``by_item``: by copies_by_item), with all their columns."""
-    found = copies_by_item(docs, benchmark) if by_item else overlaps(docs, benchmark, min_score)
+def clean(docs: DataFrame, benchmark: DataFrame, by_item: bool = False) -> DataFrame:
+    """The rows of ``docs`` without a verified overlap, with all their columns; ``by_item`` does not read item_id."""
+    found = copies_by_item(docs, benchmark) if by_item else overlaps(docs, benchmark)
     found = found.select(F.col("doc_id").alias("_hit_doc"), F.col("text_key").alias("_hit_key")).distinct()
     here = docs.doc_id.cast("long").eqNullSafe(F.col("_hit_doc")) & (F.xxhash64(docs.text.cast("string")) == F.col("_hit_key"))
     return docs.join(found, here, "left_anti")

@@ -85,17 +85,20 @@ SQL["op3_secret_scan"] = _secrets()
 
 
 def _overlaps() -> str:
-    from threadloom.llm.decontamination import MASKS, MIN_SCORE, MISMATCH
+    from threadloom.llm.decontamination import MASKS, MIN_RUN, MIN_SCORE, MISMATCH
 
+    span = min(m[-1] for m in MASKS) + 1
     words = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
     places = lambda t: "\n  UNION ALL ".join(
         f"SELECT id, {i} AS mask, i - 1 AS place, [{', '.join(f'w[i + {j}]' for j in m)}] AS seed FROM (SELECT id, w, unnest(range(1, len(w) - {m[-1]} + 1)) AS i FROM {t})"
         for i, m in enumerate(MASKS))
     return f"""
 WITH dw AS (SELECT doc_id AS id, {words} AS w FROM documents),
-iw AS (SELECT item_id AS id, {words} AS w FROM benchmark),
+iw AS (
+  SELECT row_number() OVER () AS id, item_id AS name, w
+  FROM (SELECT DISTINCT item_id, {words} AS w FROM benchmark) WHERE len(w) > 0),
 ds AS ({places('dw')}),
-items AS ({places('iw')}),
+items AS ({places(f'(SELECT * FROM iw WHERE len(w) >= {span})')}),
 hit AS (SELECT DISTINCT ds.id AS doc_id, items.id AS item_id, ds.place - items.place AS diagonal FROM ds JOIN items USING (mask, seed)),
 line AS (
   SELECT doc_id, item_id, diagonal, i, coalesce(CASE WHEN diagonal + i >= 1 THEN dw.w[diagonal + i] END = iw.w[i], false) AS same
@@ -107,9 +110,19 @@ low AS (
   SELECT *, coalesce(min(total) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS least
   FROM summed),
 scored AS (
-  SELECT doc_id, item_id, diagonal, max(total - least(least, 0)) AS score, count(*) FILTER (same) AS matched FROM low GROUP BY 1, 2, 3)
-SELECT doc_id, item_id, diagonal AS doc_place, matched, score::BIGINT AS score FROM scored WHERE score >= {MIN_SCORE}
-QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY score DESC, diagonal) = 1
+  SELECT doc_id, item_id, diagonal, max(total - least(least, 0)) AS score, count(*) FILTER (same) AS matched, count(*) AS words
+  FROM low GROUP BY 1, 2, 3),
+-- items without seeds: word for word, or the whole text
+short AS (
+  SELECT dw.id AS doc_id, iw.id AS item_id, i - 1 AS diagonal, len(iw.w) AS score, len(iw.w) AS matched
+  FROM (SELECT id, w, unnest(range(1, len(w) + 1)) AS i FROM dw) dw
+  JOIN iw ON len(iw.w) < {span} AND dw.w[i:i + len(iw.w) - 1] = iw.w AND (len(iw.w) >= {MIN_RUN} OR len(dw.w) = len(iw.w))),
+counted AS (
+  SELECT doc_id, item_id, diagonal, score, matched FROM scored
+  WHERE score >= {MIN_SCORE} OR 4 * score >= 3 * words OR 10 * matched >= 7 * words
+  UNION ALL SELECT * FROM short)
+SELECT doc_id, name AS item_id, diagonal AS doc_place, matched, score::BIGINT AS score FROM counted JOIN iw ON iw.id = item_id
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY score DESC, diagonal, matched DESC) = 1
 """
 
 
