@@ -291,3 +291,58 @@ def test_surrogates_of_many_entities_are_distinct_from_each_other_and_from_origi
     assert len(got) == 3100 and len({(r.kind, r.value.lower()) for r in got}) == 3100 and any(r.attempt for r in got)
     originals = {r.plain for r in got if r.kind == "phone"}
     assert not originals & {r.value for r in got if r.kind == "phone"}
+
+
+def mod97(iban):
+    return int("".join(str(int(c, 36)) for c in (iban[4:] + iban[:4]))) % 97
+
+
+def test_names_of_any_length_case_and_without_title(spark):
+    texts = {
+        1: "Dr Anna Maria Luise Weber called.", 2: "Mr. John Smith; later John Smith called, and so did JOHN SMITH.", 3: "MR PETER PAN left",
+        4: "Frau von der Leyen and Herr Karl van der Berg met Karl van der Berg.", 5: "Mrs Kim Jones and Mr Kim Jones, Dr Kim Jones.",
+        6: "Dear Mr Anton Tall and Mrs Berta Small", 7: "New York and John Smith Junior", 8: "Prof. Otto Klein. Herr Otto Klein!", 9: "nobody here", 10: "In Great Britain only"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    out = {r.doc_id: r for r in surrogates.pseudonymise(docs, "k").collect()}
+    text = {i: r.text for i, r in out.items()}
+    for i, gone in {1: "Anna Maria Luise Weber", 2: "John Smith JOHN SMITH", 3: "PETER PAN", 4: "Leyen Karl Berg", 5: "Jones", 6: "Anton Tall Berta Small", 7: "John Smith"}.items():
+        assert not set(gone.split()) & set(re.findall(r"\w+", text[i])), text[i]
+    assert re.fullmatch(r"Dr \w+ \w+ \w+ \w+ called\.", text[1])
+    titled, bare, loud = re.fullmatch(r"Mr\. (\w+ \w+); later (\w+ \w+) called, and so did (\w+ \w+)\.", text[2]).groups()
+    assert titled == bare and loud == titled.upper() and text[7] == f"New York and {titled} Junior"
+    assert re.fullmatch(r"MR [A-Z]+ [A-Z]+ left", text[3])
+    first, again = re.fullmatch(r"Frau von der \w+ and Herr (\w+ van der \w+) met (\w+ van der \w+)\.", text[4]).groups()
+    assert first == again
+    woman, man, other = re.fullmatch(r"Mrs (\w+ \w+) and Mr (\w+ \w+), Dr (\w+ \w+)\.", text[5]).groups()
+    assert len({woman, man, other}) == 3 and woman.split()[0] in surrogates.GIVEN["latin"]["f"] and man.split()[0] in surrogates.GIVEN["latin"]["m"]
+    assert re.fullmatch(r"Dear Mr \w+ \w+ and Mrs \w+ \w+", text[6])
+    professor, herr = re.fullmatch(r"Prof\. (\w+ \w+)\. Herr (\w+ \w+)!", text[8]).groups()
+    assert professor == herr and herr.split()[0] in surrogates.GIVEN["latin"]["m"]
+    assert (text[9], text[10]) == (texts[9], texts[10])
+    assert {i: r.n_entities for i, r in out.items()} == {1: 1, 2: 3, 3: 1, 4: 3, 5: 3, 6: 2, 7: 1, 8: 2, 9: 0, 10: 0}
+
+
+def test_numbers_keep_country_and_validity(spark):
+    texts = ["IBAN DE89370400440532013000, DE89 3704 0044 0532 0130 00, DE00370400440532013000; GB82WEST12345698765432",
+             "+49 30 1234567 and +491701234567, +358 40 1234567, 030 1234567, 0171/1234567"]
+    out = [r.text for r in surrogates.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").orderBy("doc_id").collect()]
+    plain, spaced, wrong, british = re.fullmatch(r"IBAN (DE\d{20}), (DE\d\d(?: \d{4}){4} \d\d), (DE\d{20}); (GB\d\d[A-Z]{4}\d{14})", out[0]).groups()
+    assert plain == spaced.replace(" ", "") and mod97(plain) == mod97(british) == 1 and plain not in texts[0] and wrong not in texts[0]
+    assert re.fullmatch(r"\+49 \d\d \d{7} and \+49\d{10}, \+358 \d\d \d{7}, 0\d\d \d{7}, 0\d{3}/\d{7}", out[1])
+    assert not set(re.findall(r"\d{7}", texts[1])) & set(re.findall(r"\d{7}", out[1]))
+
+
+def test_no_surrogate_is_an_original_of_any_kind(spark):
+    """Entities whose first surrogates are planted as originals, of all kinds."""
+    from threadloom.llm.scratch import Scratch
+
+    seeds = [("iban", "DE89370400440532013000", "n"), ("card", "4111111111111111", "n"), ("ssn", "123456789", "n"), ("phone", "+4930123456", "n"),
+             ("ip", "10.1.2.3", "n"), ("email", "a.b@c.de", "n"), ("person", "john smith", "m"), ("person", "von der leyen", "f"), ("person", "анна иванова", "f")]
+    rows = set(seeds)
+    for _ in range(3):
+        got = surrogates.assign(spark.createDataFrame(sorted(rows), "kind string, plain string, gender string"), "k", Scratch(spark, "t")).collect()
+        taken = {r.plain.lower() for r in got}
+        assert not taken & {r.value.lower() for r in got} and len({r.value.lower() for r in got}) == len(rows)
+        # the surrogates of this round are originals of the next one, in the spelling of their kind
+        rows |= {(r.kind, r.value if r.kind == "iban" else r.value.lower(), r.gender) for r in got}
+    assert any(r.attempt for r in got)
