@@ -55,9 +55,9 @@ _ANY_TITLE = "(?:" + "|".join(_TITLE.values()) + ")"
 _INITIALS = "".join(sorted({form for names in TITLES.values() for t in names.split() for form in (t[0], t[0].upper())}))
 _PARTICLE = "(?:" + "|".join(PARTICLES.split()) + "|" + "|".join(PARTICLES.upper().split()) + ")"
 #: A part of a name, which is no title, and whole names of any number of parts.
-_NAME = f"(?!{_ANY_TITLE}[ .])\\p{{Lu}}[\\p{{L}}'’-]+"
-_FULL = f"(?:{_PARTICLE} )*{_NAME}(?: (?:{_PARTICLE} )*{_NAME})*+"
-_SEVERAL = f"{_NAME}(?: (?:{_PARTICLE} )*{_NAME})++"
+_NAME = f"(?!{_ANY_TITLE}[ .])\\p{{Lu}}[\\p{{L}}'’-]++(?!\\p{{N}})"
+_FULL = f"(?:{_PARTICLE} )*+{_NAME}(?: (?:{_PARTICLE} )*+{_NAME})*+"
+_SEVERAL = f"{_NAME}(?: (?:{_PARTICLE} )*+{_NAME})++"
 #: Expressions of the entity types, in order of precedence. Each starts at a border, so a scan is linear.
 TYPES = {
     "email": "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\\.[A-Za-z0-9-]{1,63}){0,8}\\.[A-Za-z]{2,24}",
@@ -68,9 +68,9 @@ TYPES = {
              "|(?<![A-Za-z0-9])\\(\\d{3}\\) ?\\d{3}[.-]\\d{4}|(?<![A-Za-z0-9.-])\\d{3}[.-]\\d{3}[.-]\\d{4}"
              "|(?<![A-Za-z0-9./-])0[1-9]\\d{1,3}[ /-]\\d{5,9})(?![A-Za-z0-9])",
     "ip": "(?<![A-Za-z0-9.])(?:(?:25[0-5]|2[0-4]\\d|1\\d\\d|[1-9]?\\d)\\.){3}(?:25[0-5]|2[0-4]\\d|1\\d\\d|[1-9]?\\d)(?![A-Za-z0-9])(?!\\.\\d)",
-    "person": f"(?<![\\p{{L}}\\p{{N}}])(?=[{_INITIALS}]){_ANY_TITLE}\\.? {_FULL}",
+    "person": f"(?=[{_INITIALS}])(?<![\\p{{L}}\\p{{N}}]){_ANY_TITLE}\\.? {_FULL}",
     # no entity of its own: names with a title elsewhere are looked up in it
-    "name": f"(?<![\\p{{L}}\\p{{N}}]){_SEVERAL}(?![\\p{{L}}\\p{{N}}])",
+    "name": f"(?=\\p{{Lu}})(?<![\\p{{L}}\\p{{N}}'’-]){_SEVERAL}",
 }
 PATTERN = "|".join(f"(?:{p})" for p in TYPES.values())
 #: Every type but names needs one of these; the expression of names alone is a cheaper scan.
