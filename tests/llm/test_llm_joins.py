@@ -41,6 +41,25 @@ def brute(rows, k, percent):
     return sorted((i, len(sets[i]), root[i]) for i in ids)
 
 
+def test_next_to_no_set_needs_the_last_tile():
+    rng = np.random.default_rng(4)
+    for percent in (80, 90):
+        bands = ngram_join.Bands(percent)
+        for size in (20, 60, 200, 600, 1000, 1040, 1250, 5000):
+            count = 100
+            value = np.sort(rng.integers(0, 1 << 62, size=(count, size)), axis=1).astype(np.uint64).ravel()
+            owner, key = ngram_join.tile_keys(value, np.arange(count + 1) * size, bands)
+            assert len(owner) < 0.9 * count * size and set(owner.tolist()) == set(range(count))
+            # one tile for all sets would be a key that many of them have
+            assert np.unique(key, return_counts=True)[1].max() <= 2
+
+
+def test_bands_are_found_at_any_threshold():
+    for percent in (1, 30, 50, 70, 99, 100):
+        bands = ngram_join.Bands(percent)
+        assert (bands.segments > bands.differences + bands.spare).all()
+
+
 def near_copies(seed):
     rng = random.Random(seed)
     vocabulary = [f"w{i}" for i in range(300)]

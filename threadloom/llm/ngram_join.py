@@ -33,8 +33,9 @@ from threadloom.llm.words import SPACED, mix, rolling, words_of
 
 #: Sizes of a band differ by this factor at most.
 BAND_RATIO = 1.3
-#: Attempts with another hash for sets with many empty segments.
-LEVELS = 4
+#: Attempts with another hash for sets with many empty segments. Fewer than a sixth need another one, so that
+#: next to none of the sets is left for the one tile of those that no attempt cuts well.
+LEVELS = 8
 #: Classes of a tile that one block holds, and of a block that are compared at once.
 BLOCK, LEFT_ROWS = 2000, 200
 #: Bits of a signature per difference allowed in its band.
@@ -43,6 +44,12 @@ BITS_PER_DIFFERENCE = 8
 SETS = "doc_id long, text_key long, n_shingles long, fp_hi long, fp_lo long, bitmap binary"
 
 
+def _empty(sizes: np.ndarray, segments: np.ndarray) -> np.ndarray:
+    """Empty segments to be expected of sets of these sizes, and a standard deviation more."""
+    load = sizes / segments
+    return segments * np.exp(-load) + np.sqrt(segments * np.maximum(np.exp(-load) - (1 + load) * np.exp(-2 * load), 0))
+
+
 class Bands:
     """Size bands for a threshold given in percent."""
 
@@ -55,7 +62,13 @@ class Bands:
         high = self.low[1:] - 1
         #: the most shingles in which two linked sets of the band (or from below it) can differ
         self.differences = (2 * high * (100 - percent)) // (100 + percent)
-        self.spare = 1 + (self.differences * (3 if percent < 90 else 1)) // 64
+        # the smallest set that looks for partners here leaves the most segments empty
+        smallest = np.maximum(-(-self.low[:-1] * percent // 100), 1)
+        self.spare = 1 + self.differences // 64
+        # at low thresholds no number is enough; those sets share the last tile
+        most = np.where(self.differences > 0, 2 * (self.differences + 1), 0)
+        while (short := (self.spare < most) & (self.spare < _empty(smallest, self.differences + 1 + self.spare))).any():
+            self.spare = self.spare + short * np.maximum(self.spare // 64, 1)
         self.segments = self.differences + 1 + self.spare
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
