@@ -1,9 +1,13 @@
+import random
+
 import pytest
 from conftest import tuples
 from pyspark.sql import functions as F
 
-from threadloom.sources import sinks
+from threadloom.schemas import TWEET_SOURCE
+from threadloom.sources import csv_ranges, sinks
 from threadloom.sources.taxonomy import load_taxonomy
+from threadloom.sources.tweets import read_tweets, read_tweets_by_ranges
 
 LIST = """
 intents:
@@ -64,7 +68,71 @@ def test_splits_audit_and_reports(spark, tmp_path):
     sinks.append_audit(record, str(tmp_path / "a"))
     sinks.append_audit(record, str(tmp_path / "a"))
     assert sinks.read_audit(spark, str(tmp_path / "a")).count() == 2
+    for path in ("b", "b", "c"):
+        sinks.append_audit(record, str(tmp_path / "jobs"), path)
+    assert tuples(sinks.read_audit(spark, str(tmp_path / "jobs"))) == tuples(record) * 2
+    with pytest.raises(ValueError, match="folder"):
+        sinks.append_audit(record, str(tmp_path / "jobs"), "../c")
     sinks.write_statistics(df, str(tmp_path / "stats"))
     assert spark.read.json(str(tmp_path / "stats")).count() == 2
     sinks.write_csv(df, str(tmp_path / "csv"))
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).columns == ["id", "split"]
+
+
+def write_csv_file(path, rows, end="\n", last_end=True):
+    def field(value):
+        return "" if value is None else '"' + value.replace('"', '""') + '"' if set(value) & set('",\n\r') or value == "" else value
+
+    lines = [",".join(sinks_columns)] + [",".join(map(field, row)) for row in rows]
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        f.write(end.join(lines) + (end if last_end else ""))
+
+
+sinks_columns = [f.name for f in TWEET_SOURCE]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_csv_by_ranges_equals_the_plain_scan(spark, tmp_path, end):
+    rng = random.Random(11)
+    pieces = ["a word", "届かない", '"', ",", "\n", "\n\n", " ", "x" * 40, '",\n"', ""]
+    # a text longer than several ranges, which holds what looks like records
+    long_text = "\n".join(f"{i},c,True,now,text {i},," for i in range(200))
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    for n in range(3):
+        rows = []
+        for i in range(120):
+            text = "".join(rng.choices(pieces, k=rng.randrange(8)))
+            rows.append((str(1000 * n + i), f"c{i}", "True", None, long_text if i == 50 and n == 1 else text, None, rng.choice([None, "1.0"])))
+        write_csv_file(folder / f"{n}.csv", rows, end, last_end=n != 2)
+    (folder / "empty.csv").write_text("")
+    write_csv_file(folder / "header.csv", [])
+    plain = tuples(read_tweets(spark, str(folder)))
+    assert len(plain) == 360
+    old = {key: spark.conf.get(key) for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size, batch in ((157, 3), (1000, 10000), (1 << 27, 5)):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+            assert tuples(read_tweets_by_ranges(spark, str(folder))) == plain
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+        lines = csv_ranges._lines(spark, str(folder / "1.csv"))
+        assert lines.rdd.getNumPartitions() > 5 and lines.select("range_start").distinct().count() > 5
+        # ranges that change between the passes are an error, never wrong records
+        late = csv_ranges.records(spark, str(folder))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "333")
+        with pytest.raises(Exception, match="other ranges"):
+            late.withColumn("n", F.length("text")).collect()
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_csv_by_ranges_of_broken_or_empty_input(spark, tmp_path):
+    write_csv_file(tmp_path / "none.csv", [])
+    assert read_tweets_by_ranges(spark, str(tmp_path / "none.csv")).count() == 0
+    (tmp_path / "bad.csv").write_text('tweet_id,author_id\n1,"open\n')
+    with pytest.raises(ValueError, match="pair up"):
+        read_tweets_by_ranges(spark, str(tmp_path / "bad.csv"))

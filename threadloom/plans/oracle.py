@@ -986,7 +986,9 @@ SELECT f.form, format('GOLD_{:03d}', row_number() OVER (PARTITION BY f.form ORDE
        interaction_id, conversation_context, customer_message, brand_response AS historical_reference_reply,
        is_multi_turn, message_position
 FROM contexts, (SELECT unnest(['csv', 'json']) AS form) f""")
+SQL["tweet_csv_ranges"] = SQL["tweet_csv_scan"]
 SQL["audit_log"] = SQL["telemetry_records"]
+SQL["audit_log_rerun"] = SQL["telemetry_records"]
 SQL["memory_stream"] = SQL["memory_context"].replace("ELSE 'Brand' END", "ELSE 'AmazonHelp' END")
 SQL["memory_stream_ordered"] = SQL["memory_stream"]
 sql("memory_stream_idle", TURNS.replace("ELSE 'Brand' END", "ELSE 'AmazonHelp' END") + f""",

@@ -16,7 +16,7 @@ from threadloom.plans.inputs import (
 from threadloom.session import broadcast_if_small, materialize
 from threadloom.sources.sinks import (
     append_audit, read_audit, read_golden, read_thresholds, write_golden, write_splits, write_statistics, write_thresholds)
-from threadloom.sources.tweets import assert_source, normalise, read_tweets
+from threadloom.sources.tweets import assert_source, normalise, read_tweets, read_tweets_by_ranges
 from threadloom.streaming import memory, runs
 from threadloom.streaming import telemetry as stream_telemetry
 from threadloom.streaming import triage as stream_triage
@@ -822,6 +822,16 @@ def tweet_csv_scan(spark, sf):
                           F.unix_seconds("ts").alias("epoch"))
 
 
+@query
+def tweet_csv_ranges(spark, sf):
+    """The whole tweet table written as quoted multi-line CSV and scanned back by byte ranges of its files."""
+    path = runs.scratch(spark, "tweets-ranges")
+    source = raw_tweets(spark, sf)
+    source.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    return normalise(read_tweets_by_ranges(spark, path)).select(
+        "tweet_id", "author_id", "inbound", "created_at", "text", "parent_id", F.unix_seconds("ts").alias("epoch"))
+
+
 @query
 def split_sink(spark, sf):
     path = runs.scratch(spark, "splits")
@@ -912,6 +922,17 @@ def audit_log(spark, sf):
     return read_audit(spark, path)
 
 
+@query
+def audit_log_rerun(spark, sf):
+    """Two jobs write the audit log, and one of them runs again: each record is there once."""
+    path = runs.scratch(spark, "audit-rerun")
+    records = telemetry.telemetry_record(telemetry_events(spark, sf))
+    part = F.pmod(F.xxhash64("interaction_id"), F.lit(2))
+    for job in (0, 1, 0):
+        append_audit(records.where(part == job), path, f"part-{job}")
+    return read_audit(spark, path)
+
+
 # --- streams -------------------------------------------------------------------------------
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadloom.operators.triage import TAU_CONFIDENCE, TAU_SIMILARITY
@@ -43,13 +46,21 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").options(**_CSV).csv(path)
 
 
-def append_audit(records: DataFrame, path: str) -> None:
-    """Append telemetry records as JSON lines."""
-    records.write.mode("append").json(path)
+def append_audit(records: DataFrame, path: str, job: str | None = None) -> None:
+    """Append telemetry records as JSON lines, in a folder of their ``job``.
+
+    A job that runs again with its name replaces what it wrote, so that its records are in the log once. Without a name
+    each call is a job of its own.
+    """
+    job = uuid.uuid4().hex if job is None else job
+    if not re.fullmatch(r"[\w-][\w.-]*", job):
+        raise ValueError(f"not a folder's name: {job!r}")
+    records.write.mode("overwrite").json(f"{path}/job={job}")
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(TELEMETRY).json(path)
+    """The records of all jobs."""
+    return spark.read.schema(TELEMETRY).option("recursiveFileLookup", True).json(path)
 
 
 def write_thresholds(best: DataFrame, path: str, calibration_rows: int, constraint: str) -> None:

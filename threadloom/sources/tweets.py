@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from threadloom.schemas import TWEET_SOURCE
+from threadloom.sources.csv_ranges import read_csv_ranges
 
 REQUIRED = ["tweet_id", "author_id", "inbound", "created_at", "text", "in_response_to_tweet_id"]
 
@@ -27,6 +28,11 @@ def read_tweets(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_tweets_by_ranges(spark: SparkSession, path: str) -> DataFrame:
+    """The same rows as ``read_tweets`` for well-formed files, with a task for each byte range of a file."""
+    return read_csv_ranges(spark, path, TWEET_SOURCE)
+
+
 def demo_tweets(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(DEMO_ROWS, TWEET_SOURCE)
 
