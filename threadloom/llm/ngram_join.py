@@ -354,13 +354,18 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFram
     first = scratch.store(_candidates(tiles, percent, True), "pairs")
     links = _exact(first, docs, k, percent, scratch)
     label = components(links, scratch)
-    relabelled = tiles.drop("label").join(label.withColumnRenamed("id", "rep"), "rep", "left").withColumn("label", F.coalesce("component", "rep")).drop("component")
-    mixed = relabelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
-    second = scratch.store(_candidates(relabelled.join(mixed, "key"), percent, False).join(first, ["a", "b"], "left_anti"), "pairs")
-    if not second.isEmpty():
-        links = links.unionByName(_exact(second, docs, k, percent, scratch))
-        label = components(links, scratch)
-    scratch.drop(members, tiles, first, second)
+    named = lambda rows: rows.join(label.withColumnRenamed("id", "rep"), "rep", "left").withColumn("label", F.coalesce("component", "rep")).drop("component")
+    # a table of its own: next to the aggregate itself the join could not split the rows of a large tile
+    mixed = scratch.store(named(members.select("key", "rep")).groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+                          .where("low <> high").select("key"), "mixed")
+    if not mixed.isEmpty():
+        open_tiles = named(tiles.drop("label")).join(mixed, "key", "left_semi")
+        second = scratch.store(_candidates(open_tiles, percent, False).join(first, ["a", "b"], "left_anti"), "pairs")
+        if not second.isEmpty():
+            links = links.unionByName(_exact(second, docs, k, percent, scratch))
+            label = components(links, scratch)
+        scratch.drop(second)
+    scratch.drop(members, tiles, first, mixed)
     joined = classes.select("fp_hi", "fp_lo", "rep", "rows").join(label.withColumnRenamed("id", "rep"), "rep", "left")
     groups = joined.where("rows > 1 or component is not null").select("fp_hi", "fp_lo", F.coalesce("component", "rep").alias("component"))
     own = F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
