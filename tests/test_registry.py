@@ -12,7 +12,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "labels conversations").split()
 # one query per family; tools/check_oracle.py compares all of them
 SAMPLE = ["interaction_funnel", "split_sample", "golden_carveout", "cleaned_examples", "class_report",
-          "agent_pipeline", "agent_closed_loop", "bleu_rouge_means", "tfidf_phrases", "telemetry_windows", "logreg_certificate",
+          "agent_pipeline", "agent_certificate", "agent_closed_loop", "bleu_rouge_means", "tfidf_phrases", "telemetry_windows", "logreg_certificate",
           "scoring_guard", "kmeans_certificate"]
 
 

