@@ -175,6 +175,18 @@ def test_sliced_positions_equal_plain_positions(spark):
     assert tuples(plain, "conversation_id", "id", "p") == tuples(sliced, "conversation_id", "id", "p")
 
 
+def test_tasks_of_a_sliced_table_follow_its_rows_not_its_slices(spark, monkeypatch):
+    from threadloom.operators import ordering
+
+    tasks, store = {}, ordering.materialize
+    monkeypatch.setattr(ordering, "materialize", lambda df, label: (tasks.update({label: df.rdd.getNumPartitions()}), store(df, label))[1])
+    df = spark.range(300).select((F.col("id") % 3).alias("g"), (F.col("id") * 7 % 31).alias("at"), "id")
+    plain = ordering.positions(df, ["g"], F.col("at"), ["id"], "p")
+    sliced = ordering.positions(df, ["g"], F.col("at"), ["id"], "p", slice_rows=2)
+    assert tasks["slices"] <= 4  # 150 slices
+    assert tuples(plain, "g", "id", "p") == tuples(sliced, "g", "id", "p")
+
+
 def test_csv_scan_keeps_line_breaks_and_quotes(spark, tmp_path):
     path = str(tmp_path / "t.csv")
     with open(path, "w", encoding="utf-8") as f:

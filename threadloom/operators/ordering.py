@@ -92,16 +92,22 @@ def sliced_positions(df: DataFrame, keys: list[str], order: Column, ties: list[s
                      large: DataFrame, slice_rows: int) -> DataFrame:
     """Positions when some groups are large.
 
-    Rows of the groups in ``large`` are dealt by range of (keys, order, ties) into slices of about
-    ``slice_rows`` rows, so equal or missing orders are cut as well. Every slice is numbered in its own
-    task and shifted by the sizes of the group's slices before it.
+    Rows of the groups in ``large`` are dealt by range of (keys, order, ties) over tasks and cut there, in order,
+    into slices of ``slice_rows`` rows, so equal or missing orders are cut as well. A task takes many
+    slices where they are small: the number of tasks follows the rows, not the slices. Every slice is
+    numbered alone and shifted by the sizes of the group's slices before it.
     """
     sequence = [order.asc_nulls_last(), *ties]
     rows = large.agg(F.sum("group_rows")).first()[0]
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(2, min(-(-rows // slice_rows), max(usual, -(-rows // SLICE_ROWS))))
     marked = df.join(broadcast_if_small(large.withColumn("sliced", F.lit(True)).drop("group_rows")), keys, "left")
     small = marked.where("sliced is null").withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*sequence)))
-    dealt = marked.where("sliced").repartitionByRange(max(2, -(-rows // slice_rows)), *keys, *sequence)
-    dealt = materialize(dealt.withColumn("slice", F.spark_partition_id()), "slices")
+    dealt = marked.where("sliced").repartitionByRange(parts, *keys, *sequence).sortWithinPartitions(*keys, *sequence)
+    # the number holds the partition in its upper bits and the place there, from 0, in the lower 33
+    number = F.monotonically_increasing_id()
+    place = number.bitwiseAND((1 << 33) - 1)
+    dealt = materialize(dealt.withColumn("slice", number - place % slice_rows), "slices")
     sizes = dealt.groupBy(*keys, "slice").agg(F.count("*").alias("n"))
     before = F.sum("n").over(W.partitionBy(*keys).orderBy("slice").rowsBetween(W.unboundedPreceding, -1))
     shifts = materialize(sizes.select(*keys, "slice", F.coalesce(before, F.lit(0)).alias("shift")), "slice-shifts")
