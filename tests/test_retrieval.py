@@ -42,6 +42,22 @@ def test_knn_is_exact_for_vectors_of_any_length(spark, spread, sizes):
     assert sorted(tuples(itself, "query_id", "corpus_id", "rank")) == brute(norm(corpus), norm(corpus), 2, True)
 
 
+def test_rows_are_sent_by_parts_of_many_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    corpus, queries = unit(rng, 300, 8), unit(rng, 30, 8)
+    args = frame(spark, queries, "query_id"), frame(spark, corpus, "corpus_id")
+    plain = {tuple(r) for r in retrieval.knn_join(*args, 3).collect()}
+    groups, placed = [], retrieval._placed
+    monkeypatch.setattr(retrieval, "_placed", lambda *a: (groups.append(placed(*a)), groups[-1])[1])
+    assert {tuple(r) for r in retrieval.knn_join(*args, 3, block_rows=5, query_rows=2).collect()} == plain
+    # 60 blocks and 15 chunks are one task's work
+    assert groups[0]._gd1._df.count() == 30 and groups[0]._gd2._df.count() == 300
+    # several parts and chunks, and hits cut on the way, give the same
+    for name, value in (("BLOCK_ROWS", 70), ("QUERY_ROWS", 8), ("HITS", 10)):
+        monkeypatch.setattr(retrieval, name, value)
+    assert {tuple(r) for r in retrieval.knn_join(*args, 3, block_rows=5, query_rows=2).collect()} == plain
+
+
 def test_codes_bound_the_cosine_and_rule_out_most_pairs(spark, tmp_path):
     rng = np.random.default_rng(8)
     corpus, queries = unit(rng, 2000, 32), unit(rng, 40, 32)
